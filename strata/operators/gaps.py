@@ -9,19 +9,31 @@ from pyspark.sql import functions as F
 
 from strata.operators.tail import TOPIC_PARTITION
 
-_BLOCK_BITS = 15  # the bits of one bitmap_construct_agg value
-_FAN_BITS = 16    # blocks per parent block; 15 + 3 * 16 bits cover every offset
+_BLOCK = 32     # offsets per block, one bit each; half a bigint, so that no mask is negative
+_FAN_BITS = 20  # blocks per parent block; three levels cover every offset
 
 
-def _jumps(spans: DataFrame) -> DataFrame:
+def _between(spans: DataFrame) -> DataFrame:
     """Neighbouring spans of one ``parent`` that leave offsets out between them."""
     window = Window.partitionBy(*TOPIC_PARTITION, "parent").orderBy("lo")
+    return spans.select(
+        *TOPIC_PARTITION,
+        F.lag("hi").over(window).alias("prev_offset"),
+        F.col("lo").alias("offset"),
+    ).filter(F.col("offset") - F.col("prev_offset") > 1)
+
+
+def _inside(blocks: DataFrame) -> DataFrame:
+    """Offsets left out inside a block, whose bits are at most ``_BLOCK`` array elements."""
+    bits = F.filter(F.sequence("lo", "hi"), lambda x: F.getbit("mask", (x % _BLOCK).cast("int")) == 1)
+    pairs = F.arrays_zip(
+        F.slice("present", 1, F.size("present") - 1).alias("prev_offset"),
+        F.slice("present", 2, F.size("present") - 1).alias("offset"),
+    )
     return (
-        spans.select(
-            *TOPIC_PARTITION,
-            F.lag("hi").over(window).alias("prev_offset"),
-            F.col("lo").alias("offset"),
-        )
+        blocks.filter(F.bit_count("mask") < F.col("hi") - F.col("lo") + 1)
+        .withColumn("present", bits)
+        .select(*TOPIC_PARTITION, F.inline(pairs).alias("prev_offset", "offset"))
         .filter(F.col("offset") - F.col("prev_offset") > 1)
     )
 
@@ -29,35 +41,30 @@ def _jumps(spans: DataFrame) -> DataFrame:
 def offset_gaps(log: DataFrame) -> DataFrame:
     """Every ``(topic, partition, prev_offset, offset)`` with offsets missing in between.
 
-    A topic partition may hold a third of a log, so it is never sorted as one group.
-    Offsets are cut into blocks of 2^15, and one hash aggregation, combined before its
-    shuffle, gives each block's ends and the number of different offsets in it. Only
-    blocks that miss some are read again, to place the gaps inside them. Gaps between
-    blocks are found level by level, each level with at most 2^16 blocks per group.
+    A topic partition may hold a third of a log, so it is never sorted as one group. One
+    hash aggregation, combined before its shuffle, reduces the log to one bit mask per block
+    of offsets; a record read twice sets the same bit. Everything else is derived from the
+    masks: gaps inside a block by itself, gaps between blocks level by level, with at most
+    2^20 blocks per group.
     """
-    offsets = log.select(
-        *TOPIC_PARTITION, "offset", F.shiftright("offset", _BLOCK_BITS).alias("block")
-    )
-    bit = F.col("offset").bitwiseAND((1 << _BLOCK_BITS) - 1)
-    blocks = offsets.groupBy(*TOPIC_PARTITION, "block").agg(
-        F.min("offset").alias("lo"),
-        F.max("offset").alias("hi"),
-        F.bitmap_count(F.bitmap_construct_agg(bit)).alias("n"),
-    )
-
-    holed = blocks.filter("n < hi - lo + 1").select(*TOPIC_PARTITION, "block")
-    inside = offsets.join(holed, [*TOPIC_PARTITION, "block"], "left_semi").select(
-        *TOPIC_PARTITION,
-        F.col("block").alias("parent"),
-        F.col("offset").alias("lo"),
-        F.col("offset").alias("hi"),
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("offset") % _BLOCK).cast("int"))
+    lowest = F.bit_count(F.col("mask").bitwiseAND(-F.col("mask")) - 1)
+    highest = F.length(F.bin("mask")) - 1
+    start = F.col("block") * _BLOCK
+    # The filter is spelt out so that every use of the masks has it, and they are built once.
+    blocks = (
+        log.withColumn("block", F.expr(f"offset div {_BLOCK}"))
+        .filter("block IS NOT NULL")
+        .groupBy(*TOPIC_PARTITION, "block")
+        .agg(F.bit_or(bit).alias("mask"))
+        .withColumns({"lo": start + lowest, "hi": start + highest})
     )
-    found = [_jumps(inside)]
 
+    found = [_inside(blocks)]
     level = blocks.select(*TOPIC_PARTITION, "block", "lo", "hi")
     for _ in range(3):
         level = level.withColumn("parent", F.shiftright("block", _FAN_BITS))
-        found.append(_jumps(level))
+        found.append(_between(level))
         level = level.groupBy(*TOPIC_PARTITION, F.col("parent").alias("block")).agg(
             F.min("lo").alias("lo"), F.max("hi").alias("hi")
         )

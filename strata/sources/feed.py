@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Where a line comes from. With the line's number in its task, this sorts lines as the feed
-# sent them, given capture files named in feed order.
+# Sorts blocks of lines as the feed sent them, given capture files named in feed order. One
+# task reads a block, line by line.
 FEED_ORDER = ("file", "block")
 
 

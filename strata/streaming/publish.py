@@ -16,6 +16,9 @@ from strata.sources.feed import FEED_ORDER
 # monotonically_increasing_id() counts a task's rows in its lower 33 bits.
 _ROW_BITS = (1 << 33) - 1
 
+# There is one piece per task or file block; this many are a few megabytes.
+MAX_BROADCAST_PIECES = 50_000
+
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The log's complete batches, with the columns of the Kafka source."""
@@ -34,13 +37,16 @@ def append_to_log(
     batch_id: int,
     partitions: int = 4,
     order_by: Sequence[str] = (),
+    pieces: Sequence[str] = (),
 ) -> None:
     """Append the ``value`` texts of one batch, dealt out to the topic's partitions in turn.
 
-    Offsets continue where the log ends, without gaps. Records have no key. ``order_by``
-    keeps an order across tasks; without it only each task's rows stay in order.
-    ``partitions`` belongs to the topic and must stay the same. Delivering a batch again
-    changes nothing.
+    Offsets continue where the log ends, without gaps. Records have no key. ``partitions``
+    belongs to the topic and must stay the same. Delivering a batch again changes nothing.
+
+    ``order_by`` sorts the records first. ``pieces`` needs no sort: it names columns whose
+    values each belong to one task, which holds their rows in order, as a file and its block
+    do for lines. With neither, only the rows of each task stay in order.
 
     Rows are numbered as tasks write them to a staging folder, because a row's number must
     not change when a lost executor makes Spark compute it again.
@@ -49,25 +55,29 @@ def append_to_log(
     target = layers.next_layer(spark, path, writer, batch_id)
     if target is None:
         return
-    staging = f"{path}/_staging/{target.value}"
     if order_by:
         records = records.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    staging = f"{path}/_staging/{target.value}"
+    piece = F.struct(*pieces) if pieces else F.struct(F.spark_partition_id().alias("task"))
     numbered = records.select(
         F.col("value").cast("binary").alias("value"),
-        F.spark_partition_id().alias("task"),
+        piece.alias("piece"),
         F.monotonically_increasing_id().bitwiseAND(_ROW_BITS).alias("row"),
     )
     numbered.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema("value binary, task int, row bigint").parquet(staging)
+    staged = spark.read.schema(numbered.schema).parquet(staging)
 
-    # One row per writing task, however many records there are.
-    per_task = staged.groupBy("task").agg(F.count("*").alias("n"))
-    earlier = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    begins = per_task.select("task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
+    # One row per piece, with the number its first row gets.
+    counted = staged.groupBy("piece").agg(F.count("*").alias("n"), F.min("row").alias("first"))
+    earlier = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")
+    begins = counted.select("piece", begin.alias("begin"))
+    if counted.count() <= MAX_BROADCAST_PIECES:
+        begins = F.broadcast(begins)
 
     place = F.lit(_length(spark, path, partitions)) + F.col("begin") + F.col("row")
     (
-        staged.join(F.broadcast(begins), "task")
+        staged.join(begins, "piece")
         .select("value", place.alias("place"))
         .select(
             F.lit(topic).alias("topic"),
@@ -124,9 +134,8 @@ def run_publish(
 
         def write(batch: DataFrame, batch_id: int) -> None:
             append_to_log(
-                batch.withColumn("line", F.monotonically_increasing_id()),
-                path, topic=topic, writer=writer, batch_id=batch_id,
-                partitions=partitions, order_by=(*FEED_ORDER, "line"),
+                batch, path, topic=topic, writer=writer, batch_id=batch_id,
+                partitions=partitions, pieces=FEED_ORDER,
             )
 
         sink = good.writeStream.foreachBatch(write)

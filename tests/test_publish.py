@@ -1,0 +1,127 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata import folders
+from strata.cli import file_tail
+from strata.operators import offset_gaps, sse_payloads
+from strata.sources import read_feed
+from strata.streaming import append_to_log, print_tail, publish, read_log, run_publish
+
+
+@pytest.fixture
+def root(spark):
+    return folders.scratch(spark)
+
+
+def _values(spark, numbers):
+    return spark.createDataFrame([(n, str(n)) for n in numbers], "n int, value string")
+
+
+def _rows(spark, path):
+    got = read_log(spark, path).select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+    return sorted(tuple(r) for r in got.collect())
+
+
+def test_sse_lines(spark):
+    lines = ["", ":ok", "event: message", "id: 7", 'data: {"a":1}', 'data:{"a":2}', "data: {bad", "data: ",
+             " data: {}", 'data: {"b":"data: x"}']
+    got = sse_payloads(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert [(r.value, r.is_json) for r in got] == [
+        ('{"a":1}', True), ("{bad", False), ("", False), ('{"b":"data: x"}', True)
+    ]
+
+
+def test_records_are_dealt_out_in_order_across_batches(spark, root):
+    def put(numbers, batch_id):
+        shuffled = _values(spark, numbers).repartition(3)
+        append_to_log(shuffled, root, topic="t", writer="w", batch_id=batch_id, partitions=4, order_by=["n"])
+
+    put(range(10), 0)
+    put([], 1)
+    put(range(10, 17), 2)
+    put(range(10, 17), 2)
+    assert _rows(spark, root) == sorted(("t", n % 4, n // 4, str(n)) for n in range(17))
+
+
+def test_unordered_records_get_every_offset_once(spark, root):
+    for batch_id in range(2):
+        append_to_log(_values(spark, range(101)).repartition(5), root, topic="t", writer="w", batch_id=batch_id,
+                      partitions=3)
+    rows = _rows(spark, root)
+    assert sorted((o * 3 + p) for _, p, o, _ in rows) == list(range(202))
+    assert sorted(int(v) for *_, v in rows) == sorted(list(range(101)) * 2)
+    assert offset_gaps(read_log(spark, root)).isEmpty()
+    assert folders.names(spark, f"{root}/_staging") == []
+
+
+def _capture(spark, root, name, numbers):
+    lines = []
+    for n in numbers:
+        lines += ["event: message", "data: " + json.dumps({"n": n}), ""]
+    folder = f"{root}/feed"
+    folders.make(spark, folder)
+    with open(f"{folder}/{name}.txt", "w") as file:
+        file.write("\n".join([*lines, "data: {cut", ""]))
+
+
+def test_feed_is_published_in_order_and_only_once(spark, root):
+    def publish():
+        return run_publish(read_feed(spark, f"{root}/feed"), f"{root}/checkpoint", topic="t", path=f"{root}/log")
+
+    _capture(spark, root, "1", range(5))
+    _capture(spark, root, "2", range(5, 9))
+    query = publish()
+    counts = [p.observedMetrics["feed"] for p in query.recentProgress if "feed" in p.observedMetrics]
+    assert [(c.n_payloads, c.n_not_json) for c in counts] == [(11, 2)]
+    publish()
+    _capture(spark, root, "3", range(9, 12))
+    publish()
+    expected = sorted(("t", n % 4, n // 4, json.dumps({"n": n})) for n in range(12))
+    assert _rows(spark, f"{root}/log") == expected
+
+
+def test_publish_needs_one_place(spark, root):
+    with pytest.raises(ValueError):
+        run_publish(None, root, topic="t")
+
+
+def test_tail_shows_only_what_arrives_later(spark, root):
+    append_to_log(_values(spark, range(6)), f"{root}/log", topic="t", writer="w", batch_id=0, order_by=["n"])
+    tail = file_tail(spark, f"{root}/log")
+    append_to_log(_values(spark, range(6, 9)), f"{root}/log", topic="t", writer="w", batch_id=1, order_by=["n"])
+    seen = []
+    query = (
+        tail.writeStream.foreachBatch(lambda batch, _: seen.extend(batch.collect()))
+        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert sorted(bytes(r.value).decode() for r in seen) == ["6", "7", "8"]
+
+
+def test_console_tail_drains(spark, root):
+    append_to_log(_values(spark, range(3)), f"{root}/log", topic="t", writer="w", batch_id=0)
+    query = print_tail(file_tail(spark, f"{root}/log"), checkpoint=f"{root}/checkpoint", drain=True)
+    query.awaitTermination()
+    assert query.exception() is None
+
+
+def test_pieces_need_not_be_broadcast(spark, root, monkeypatch):
+    monkeypatch.setattr(publish, "MAX_BROADCAST_PIECES", 0)
+    append_to_log(_values(spark, range(50)), root, topic="t", writer="w", batch_id=0, order_by=["n"])
+    assert _rows(spark, root) == sorted(("t", n % 4, n // 4, str(n)) for n in range(50))
+
+
+def test_blocks_of_one_file_keep_the_feed_order(spark, root):
+    _capture(spark, root, "1", range(400))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        feed = read_feed(spark, f"{root}/feed", stream=False)
+        assert feed.select("block").distinct().count() > 5
+        run_publish(read_feed(spark, f"{root}/feed"), f"{root}/checkpoint", topic="t", path=f"{root}/log")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert _rows(spark, f"{root}/log") == sorted(("t", n % 4, n // 4, json.dumps({"n": n})) for n in range(400))

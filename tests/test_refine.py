@@ -1,0 +1,96 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.operators import flatten, record_class, valid
+from strata.schemas import BRONZE, SILVER
+
+GOOD = {"$schema": "/s/1", "meta": {"uri": "u", "request_id": "r", "id": "k", "domain": "d", "stream": "s"},
+        "id": 12, "type": "edit", "namespace": 0, "title": "t", "title_url": "tu", "comment": "c",
+        "timestamp": 1700000000, "user": "me", "bot": False, "parsedcomment": "pc"}
+
+
+def _text(**changes):
+    return json.dumps({**GOOD, **changes})
+
+
+# text -> class, and some fields
+TRUTH = [
+    (_text(extra=1), "valid", {"id": "12", "bot": "false", "namespace": "0"}),
+    (_text(title={"z": [1, 2]}), "valid", {"title": '{"z":[1,2]}'}),
+    (_text()[:40], "corrupt", {"meta_id": None}),
+    ("not json", "corrupt", {"corrupt_json": "not json"}),
+    ("", "keyless", {"corrupt_json": None}),
+    ("   ", "keyless", {"corrupt_json": None}),
+    (None, "keyless", {"corrupt_json": None}),
+    ("[%s,%s]" % (_text(), _text()), "corrupt", {"meta_id": None}),
+    ("5", "corrupt", {"corrupt_json": "5"}),
+    ("null", "corrupt", {"corrupt_json": "null"}),
+    (json.dumps(_text()), "corrupt", {"meta_id": None}),
+    (_text(meta=3), "corrupt", {"meta_id": None, "type": "edit"}),
+    (json.dumps({k: v for k, v in GOOD.items() if k != "meta"}), "keyless", {"type": "edit"}),
+    (_text().replace('"meta"', '"META"'), "keyless", {"type": "edit"}),
+    (_text()[:-1] + ',"title":"last"}', "valid", {"title": "last"}),
+    (_text() + " xx", "valid", {"title": "t"}),
+    (_text(corrupt_json="mine"), "valid", {"corrupt_json": None}),
+    (_text(meta={"id": ""}), "valid", {"meta_id": "", "meta_url": None}),
+    (_text(timestamp=1700000000.7), "valid", {"event_second": None}),
+    (_text(timestamp="1700000000.7"), "valid", {"event_second": 1700000000}),
+    (_text(timestamp="abc"), "valid", {"event_second": None}),
+    (_text().replace('"title": "t"', '"title": 1e3'), "valid", {"title": "1000.0"}),
+    (_text().replace('"title": "t"', '"title": 1.50'), "valid", {"title": "1.5"}),
+]
+
+
+def _bronze(spark, texts):
+    rows = [("t", 0, i, None, text, None, None) for i, text in enumerate(texts)]
+    return spark.createDataFrame(rows, BRONZE)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_truth_table(spark, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        rows = flatten(_bronze(spark, [text for text, *_ in TRUTH]), ["offset"])
+        rows = rows.withColumns({
+            "class": record_class(), "event_second": F.unix_seconds("kafka_timestamp")
+        })
+        got = [r.asDict() for r in rows.orderBy("offset").collect()]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert [r["class"] for r in got] == [expected for _, expected, _ in TRUTH]
+    for row, (text, _, fields) in zip(got, TRUTH, strict=True):
+        assert {name: row[name] for name in fields} == fields, text
+
+
+def test_valid_keeps_exactly_the_valid_class(spark):
+    rows = flatten(_bronze(spark, [text for text, *_ in TRUTH]), ["offset"])
+    kept = {r.offset for r in valid(rows).collect()}
+    assert kept == {i for i, (_, expected, _) in enumerate(TRUTH) if expected == "valid"}
+
+
+def test_every_field_lands_in_its_column(spark):
+    row = flatten(_bronze(spark, [_text()])).first().asDict()
+    assert list(row) == SILVER.names
+    expected = {
+        "kafka_schema": "/s/1", "meta_url": "u", "meta_request_id": "r", "meta_id": "k", "meta_domain": "d",
+        "meta_stream": "s", "id": "12", "type": "edit", "namespace": "0", "title": "t", "title_url": "tu",
+        "comment": "c", "user": "me", "bot": "false", "parsedcomment": "pc", "corrupt_json": None,
+    }
+    assert {name: row[name] for name in expected} == expected
+    assert str(row["kafka_date"]) == "2023-11-14"
+    assert row["igs_timestamp"] is not None
+
+
+def test_schema_matches_declared(spark):
+    flat = flatten(_bronze(spark, [_text()]))
+    assert [(f.name, f.dataType) for f in flat.schema] == [(f.name, f.dataType) for f in SILVER]
+
+
+def test_payload_is_parsed_once_and_only_needed_columns_are_read(spark, tmp_path):
+    _bronze(spark, [_text()]).write.parquet(str(tmp_path / "b"))
+    rows = valid(flatten(spark.read.schema(BRONZE).parquet(str(tmp_path / "b")), ["offset"]))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert "ReadSchema: struct<offset:bigint,raw_values:string>" in plan
