@@ -12,15 +12,19 @@ def is_json(text: Column) -> Column:
     """True when ``text`` is exactly one JSON value, by the rules of common JSON readers.
 
     Spark's parsers stop after the first value and ignore what follows it. The text is
-    therefore tested inside an array and inside an object: whatever may follow the value
-    in one of them is an error in the other, except the closing bracket itself.
+    therefore read as the first element of an array whose second is the text's own hash:
+    the hash is found there only if the text is one value and nothing else.
 
     ``try_parse_json`` refuses duplicate keys and ``NaN``, which JSON readers commonly take.
-    Only texts that fail it are tried again with ``from_json``.
+    Only texts that fail it are tried again with ``from_json``, inside an array and inside
+    an object: what may follow the value in one of them is an error in the other.
     """
+    mark = F.xxhash64(text)
+    marked = F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]"))
+    plain = F.try_variant_get(F.try_parse_json(marked), "$[1]", "bigint") == mark
+
     in_array = F.concat(F.lit("["), text, F.lit("]"))
     in_object = F.concat(F.lit('{"v":'), text, F.lit("}"))
-    plain = F.try_parse_json(in_array).isNotNull() & F.try_parse_json(in_object).isNotNull()
     lenient = (
         F.from_json(in_array, "array<map<string,string>>", _STRICT).isNotNull()
         & F.from_json(in_object, "struct<v:map<string,string>>", _STRICT)["v"].isNotNull()
