@@ -175,11 +175,12 @@ def sse_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def publish_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folders.scratch(spark)
-    lines = fixture.feed_lines(fixture.read_events(spark, sf_dir))
-    good = sse_payloads(lines).filter("is_json").select("event_id", "line", "value")
+    # Sorted as events, before they grow into lines and are checked.
+    events = fixture.read_events(spark, sf_dir)
+    in_order = events.repartitionByRange("event_id").sortWithinPartitions("event_id")
+    good = sse_payloads(fixture.feed_lines(in_order)).filter("is_json")
     append_to_log(
-        good, path, topic=fixture.TOPIC, writer="pinned", batch_id=0,
-        partitions=fixture.PARTITIONS, order_by=("event_id", "line"),
+        good, path, topic=fixture.TOPIC, writer="pinned", batch_id=0, partitions=fixture.PARTITIONS
     )
     text = F.col("value").cast("string").alias("value")
     return read_log(spark, path).select("topic", "partition", "offset", text)

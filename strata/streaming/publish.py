@@ -36,7 +36,6 @@ def append_to_log(
     writer: str,
     batch_id: int,
     partitions: int = 4,
-    order_by: Sequence[str] = (),
     pieces: Sequence[str] = (),
 ) -> None:
     """Append the ``value`` texts of one batch, dealt out to the topic's partitions in turn.
@@ -44,9 +43,9 @@ def append_to_log(
     Offsets continue where the log ends, without gaps. Records have no key. ``partitions``
     belongs to the topic and must stay the same. Delivering a batch again changes nothing.
 
-    ``order_by`` sorts the records first. ``pieces`` needs no sort: it names columns whose
-    values each belong to one task, which holds their rows in order, as a file and its block
-    do for lines. With neither, only the rows of each task stay in order.
+    Records are numbered in the order they lie in: task by task, and by row in a task. Tasks
+    that read files are in no order, so ``pieces`` may name columns to go by instead of the
+    task, such as a file and its block; all rows of a piece must lie in one task.
 
     Rows are numbered as tasks write them to a staging folder, because a row's number must
     not change when a lost executor makes Spark compute it again.
@@ -55,8 +54,6 @@ def append_to_log(
     target = layers.next_layer(spark, path, writer, batch_id)
     if target is None:
         return
-    if order_by:
-        records = records.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     staging = f"{path}/_staging/{target.value}"
     piece = F.struct(*pieces) if pieces else F.struct(F.spark_partition_id().alias("task"))
     numbered = records.select(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import layers
@@ -22,10 +23,11 @@ def newest_valid(rows: DataFrame) -> DataFrame | None:
     """The refined rows to upsert, one per key, or None when no valid row is left.
 
     The check stops at the first valid row, before the shuffle of the deduplication, so it
-    costs little beside the write; the batch is not cached for it.
+    costs little beside the write; the batch is not cached for it. ``take`` looks into a
+    few tasks first, where ``isEmpty`` would start them all.
     """
     kept = valid(rows)
-    if kept.isEmpty():
+    if not kept.select(F.lit(1)).take(1):
         return None
     return latest_per_key(kept).select(*SILVER.names)
 

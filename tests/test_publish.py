@@ -19,6 +19,10 @@ def _values(spark, numbers):
     return spark.createDataFrame([(n, str(n)) for n in numbers], "n int, value string")
 
 
+def _sorted(spark, numbers):
+    return _values(spark, numbers).repartition(3).repartitionByRange(3, "n").sortWithinPartitions("n")
+
+
 def _rows(spark, path):
     got = read_log(spark, path).select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
     return sorted(tuple(r) for r in got.collect())
@@ -35,8 +39,7 @@ def test_sse_lines(spark):
 
 def test_records_are_dealt_out_in_order_across_batches(spark, root):
     def put(numbers, batch_id):
-        shuffled = _values(spark, numbers).repartition(3)
-        append_to_log(shuffled, root, topic="t", writer="w", batch_id=batch_id, partitions=4, order_by=["n"])
+        append_to_log(_sorted(spark, numbers), root, topic="t", writer="w", batch_id=batch_id, partitions=4)
 
     put(range(10), 0)
     put([], 1)
@@ -88,9 +91,9 @@ def test_publish_needs_one_place(spark, root):
 
 
 def test_tail_shows_only_what_arrives_later(spark, root):
-    append_to_log(_values(spark, range(6)), f"{root}/log", topic="t", writer="w", batch_id=0, order_by=["n"])
+    append_to_log(_sorted(spark, range(6)), f"{root}/log", topic="t", writer="w", batch_id=0)
     tail = file_tail(spark, f"{root}/log")
-    append_to_log(_values(spark, range(6, 9)), f"{root}/log", topic="t", writer="w", batch_id=1, order_by=["n"])
+    append_to_log(_sorted(spark, range(6, 9)), f"{root}/log", topic="t", writer="w", batch_id=1)
     seen = []
     query = (
         tail.writeStream.foreachBatch(lambda batch, _: seen.extend(batch.collect()))
@@ -109,7 +112,7 @@ def test_console_tail_drains(spark, root):
 
 def test_pieces_need_not_be_broadcast(spark, root, monkeypatch):
     monkeypatch.setattr(publish, "MAX_BROADCAST_PIECES", 0)
-    append_to_log(_values(spark, range(50)), root, topic="t", writer="w", batch_id=0, order_by=["n"])
+    append_to_log(_sorted(spark, range(50)), root, topic="t", writer="w", batch_id=0)
     assert _rows(spark, root) == sorted(("t", n % 4, n // 4, str(n)) for n in range(50))
 
 
