@@ -54,7 +54,9 @@ def _parser() -> argparse.ArgumentParser:
     silver.add_argument("--bronze_path", required=True, help="raw table")
     silver.add_argument("--silver_landing_layer", required=True, help="current-state table")
     silver.add_argument("--checkpoint", required=True, help="progress of this job")
-    silver.add_argument("--max_files", type=int, help="most files per micro-batch")
+    limit = silver.add_mutually_exclusive_group()
+    limit.add_argument("--max_files", type=int, help="most files per micro-batch")
+    limit.add_argument("--max_bytes", type=int, help="most bytes per micro-batch")
     silver.add_argument("--table_format", choices=["parquet", "delta"], default="parquet")
 
     publish = job("publish", "publish the payloads of captured feed lines to a log")
@@ -83,7 +85,8 @@ def _bronze(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _silver(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = read_raw(
-        spark, args.bronze_path, table_format=args.table_format, max_files=args.max_files
+        spark, args.bronze_path, table_format=args.table_format,
+        max_files=args.max_files, max_bytes=args.max_bytes,
     )
     run_silver(raw, args.silver_landing_layer, args.checkpoint, table_format=args.table_format)
 

@@ -22,10 +22,6 @@ FRACTIONAL_TIME = 73
 # After this many records of a partition, one offset is left unused.
 RECORDS_PER_MARKER = 50
 
-EVENTS_SCHEMA = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
-
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
@@ -33,7 +29,8 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A pattern, because the file source takes a plain path for a folder.
-    return spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/{{events}}.parquet")
+    schema = read_events(spark, sf_dir).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{events}}.parquet")
 
 
 def _hour_epoch() -> Column:
