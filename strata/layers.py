@@ -14,7 +14,7 @@ import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from strata import folders
 
@@ -80,6 +80,17 @@ def next_layer(spark: SparkSession, table: str, writer: str, batch_id: int) -> L
     return Layer(newest + 1, newest + 1, batch_id, writer)
 
 
+def whole_folder(rows: DataFrame) -> DataFrameWriter:
+    """Writer of a complete folder, in place of what a failed attempt left there.
+
+    A folder counts by the marker its job leaves, so the marker is not left to the settings.
+    """
+    return rows.write.mode("overwrite").options(**{
+        "partitionOverwriteMode": "static",
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs": "true",
+    })
+
+
 def writer_of(spark: SparkSession, checkpoint: str) -> str:
     """The name of the stream that owns ``checkpoint``, made up on first use and kept there.
 

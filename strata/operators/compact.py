@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import types as T
 
 from strata import folders, layers
 from strata.layers import Layer
 from strata.operators.upsert import write_layer
-from strata.schemas import KEY, PARTITION_DATE, SILVER
+from strata.schemas import KEY, PARTITION_DATE
 from strata.sources.current import read_layers
 
 
@@ -18,10 +17,9 @@ def compact(
     *,
     key: str = KEY,
     partition: str = PARTITION_DATE,
-    schema: T.StructType | None = SILVER,
     min_share: float = 0.25,
 ) -> bool:
-    """Fold the newest folders into one; the table's rows stay the same.
+    """Fold the newest folders into one; the table's rows and columns stay the same.
 
     An older folder is taken along only while the newer ones add up to ``min_share`` of its
     size. A large table is so rewritten once per large amount of changes, not on every run.
@@ -30,7 +28,7 @@ def compact(
     chosen = _worth_folding(spark, table, layers.live(spark, table), min_share)
     if len(chosen) < 2:
         return False
-    rows = read_layers(spark, table, chosen, key, schema)
+    rows = read_layers(spark, table, chosen, key, schema=None)
     write_layer(rows, layers.fold_of(chosen).path(table), partition)
     return True
 

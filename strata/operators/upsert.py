@@ -27,10 +27,4 @@ def upsert(
 
 
 def write_layer(rows: DataFrame, path: str, partition: str) -> None:
-    (
-        rows.hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    layers.whole_folder(rows.hint("rebalance", partition)).partitionBy(partition).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from strata import layers
 from strata.layers import Layer
 from strata.operators.latest import latest_per_key
-from strata.schemas import KEY, SILVER
+from strata.schemas import KEY, PARTITION_DATE, SILVER
 
 
 def read_layers(
@@ -21,11 +21,10 @@ def read_layers(
     deduplicated, only rid of the keys that the newer folders hold. Spark broadcasts those
     keys when they turn out small, and the oldest folder is then read without a shuffle.
     """
-    reader = spark.read.option("basePath", table)
     if schema is None:
-        reader = reader.option("mergeSchema", "true")
-    else:
-        reader = reader.schema(T.StructType([*schema.fields, T.StructField(layers.COLUMN, T.StringType())]))
+        schema = _all_columns(spark, table, chosen)
+    with_layer = T.StructType([*schema.fields, T.StructField(layers.COLUMN, T.StringType())])
+    reader = spark.read.schema(with_layer).option("basePath", table)
     rows = reader.parquet(*(layer.path(table) for layer in chosen))
 
     *newer, oldest = chosen
@@ -37,6 +36,17 @@ def read_layers(
     return base.join(recent.select(key), key, "left_anti").select(*rows.columns).union(newest).drop(layers.COLUMN)
 
 
+def _all_columns(spark: SparkSession, table: str, chosen: list[Layer]) -> T.StructType:
+    """The columns of all folders. One job wrote a folder, so one of its files tells them."""
+    fields: dict[str, T.StructField] = {}
+    for layer in reversed(chosen):
+        for field in spark.read.parquet(layer.path(table)).schema:
+            fields.setdefault(field.name, field)
+    if PARTITION_DATE in fields:  # no date to tell the type by, when all are NULL
+        fields[PARTITION_DATE] = T.StructField(PARTITION_DATE, T.DateType())
+    return T.StructType(list(fields.values()))
+
+
 def read_current(
     spark: SparkSession, table: str, key: str = KEY, schema: T.StructType | None = SILVER
 ) -> DataFrame:

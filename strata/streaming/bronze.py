@@ -16,7 +16,7 @@ def run_bronze(
 
     Map-only: each task writes the dates of its own slice of the log. Failures are raised.
     """
-    sink = envelope(log).writeStream.queryName("bronze").partitionBy(PARTITION_DATE)
+    sink = envelope(log).writeStream.partitionBy(PARTITION_DATE)
     query = (
         sink.trigger(availableNow=True)
         .outputMode("append")

@@ -73,7 +73,7 @@ def append_to_log(
         begins = F.broadcast(begins)
 
     place = F.lit(_length(spark, path, partitions)) + F.col("begin") + F.col("row")
-    (
+    placed = (
         staged.join(begins, "piece")
         .select("value", place.alias("place"))
         .select(
@@ -84,9 +84,8 @@ def append_to_log(
             "value",
         )
         .select(*LOG.names)
-        .write.mode("overwrite")
-        .parquet(target.path(path))
     )
+    layers.whole_folder(placed).parquet(target.path(path))
     folders.remove(spark, staging)
 
 

@@ -64,7 +64,7 @@ def run_silver(
         def write(batch: DataFrame, batch_id: int) -> None:
             apply_batch(batch, table, writer=writer, batch_id=batch_id)
 
-    stream = flatten(raw, LINEAGE).writeStream.queryName("silver").foreachBatch(write)
+    stream = flatten(raw, LINEAGE).writeStream.foreachBatch(write)
     query = stream.trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
     query.awaitTermination()
 

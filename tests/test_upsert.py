@@ -39,7 +39,7 @@ def table(spark):
 
 
 def _fold(spark, table, min_share=0.0):
-    return compact(spark, table, schema=SCHEMA, min_share=min_share)
+    return compact(spark, table, min_share=min_share)
 
 
 def test_missing_table_is_empty(spark, table):
@@ -169,10 +169,51 @@ def test_added_column(spark, table):
         return {r.meta_id: (r.v, r.kafka_date, r.extra) for r in got}
 
     assert rows() == {"a": (2, D1, "x"), "b": (1, D1, None)}
-    assert compact(spark, table, schema=None, min_share=0)
+    assert _fold(spark, table)
     assert rows() == {"a": (2, D1, "x"), "b": (1, D1, None)}
 
 
+def test_only_rows_without_a_date(spark, table):
+    _put(spark, table, [("a", 1, None)], 0)
+    _put(spark, table, [("b", 2, None)], 1)
+    assert _fold(spark, table)
+    assert _state(spark, table) == {"a": (1, None), "b": (2, None)}
+    assert read_current(spark, table, schema=None).schema["kafka_date"].dataType == T.DateType()
+
+
+def test_far_dates_survive(spark, table):
+    far = spark.createDataFrame([("a",), ("b",)], "meta_id string").select(
+        "meta_id", F.lit(1).alias("v"),
+        F.to_date(F.timestamp_seconds(F.when(F.col("meta_id") == "a", 1_700_000_000_000).otherwise(-99_999_999_999)))
+        .alias("kafka_date"),
+    )
+    upsert(far, table, writer="w", batch_id=0)
+    _put(spark, table, [("c", 1, D1)], 1)
+    assert _fold(spark, table)
+    rows = read_current(spark, table, schema=SCHEMA).select("meta_id", F.col("kafka_date").cast("string")).collect()
+    assert sorted(tuple(r) for r in rows) == [("a", "+55840-11-08"), ("b", "-1199-02-15"), ("c", "2024-01-01")]
+
+
+def test_settings_do_not_hide_a_batch(spark, table):
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        _put(spark, table, [("a", 1, D1)], 0)
+        _put(spark, table, [("a", 2, D2), ("b", 2, D1)], 1)
+        _uncommit(table, 1)
+        _put(spark, table, [("a", 3, D2)], 1)
+    finally:
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert _state(spark, table) == {"a": (3, D2)}
+
+
+def test_trailing_slash(spark, table):
+    _put(spark, f"{table}/", [("a", 1, D1)], 0)
+    _put(spark, f"{table}/", [("a", 2, D1)], 1)
+    assert _state(spark, f"{table}/") == _state(spark, table) == {"a": (2, D1)}
+
+
 steps = st.lists(
     st.one_of(
         st.dictionaries(st.sampled_from("abcde"), st.integers(0, 9), min_size=1, max_size=5),
