@@ -29,7 +29,7 @@ from strata.operators import (
 from strata.operators.latest import LINEAGE
 from strata.plans import fixture
 from strata.schemas import SILVER, SILVER_FROM_PAYLOAD
-from strata.sources import read_current, read_feed, read_raw
+from strata.sources import read_current, read_feed, read_file_log, read_raw
 from strata.streaming import append_to_log, apply_batch, read_log, run_bronze, run_publish, run_silver
 
 # Which of the log's partitions arrive in which batch: all records, older ones late.
@@ -173,29 +173,47 @@ def sse_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sse_payloads(lines).select("event_id", "value", "is_json")
 
 
+def _feed_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed's lines, sorted while they are still events."""
+    events = fixture.read_events(spark, sf_dir)
+    return fixture.feed_lines(events.repartitionByRange("event_id").sortWithinPartitions("event_id"))
+
+
+def _log_columns(spark: SparkSession, path: str) -> DataFrame:
+    text = F.col("value").cast("string").alias("value")
+    return read_log(spark, path).select("topic", "partition", "offset", text)
+
+
+def _publish_captured(spark: SparkSession, sf_dir: str, root: str) -> str:
+    _feed_in_order(spark, sf_dir).select("value").write.text(f"{root}/feed")
+    run_publish(
+        read_feed(spark, f"{root}/feed"), f"{root}/feed_checkpoint",
+        topic=fixture.TOPIC, path=f"{root}/log", partitions=fixture.PARTITIONS,
+    )
+    return f"{root}/log"
+
+
 def publish_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folders.scratch(spark)
-    # Sorted as events, before they grow into lines and are checked.
-    events = fixture.read_events(spark, sf_dir)
-    in_order = events.repartitionByRange("event_id").sortWithinPartitions("event_id")
-    good = sse_payloads(fixture.feed_lines(in_order)).filter("is_json")
+    good = sse_payloads(_feed_in_order(spark, sf_dir)).filter("is_json")
     append_to_log(
         good, path, topic=fixture.TOPIC, writer="pinned", batch_id=0, partitions=fixture.PARTITIONS
     )
-    text = F.col("value").cast("string").alias("value")
-    return read_log(spark, path).select("topic", "partition", "offset", text)
+    return _log_columns(spark, path)
 
 
 def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured feed files -> log, in a stream. Which offset a record gets is not compared."""
+    """Captured feed files -> log, in a stream."""
+    return _log_columns(spark, _publish_captured(spark, sf_dir, folders.scratch(spark)))
+
+
+def feed_to_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All jobs in a row: captured feed files -> log -> raw table -> current state."""
     root = folders.scratch(spark)
-    lines = fixture.feed_lines(fixture.read_events(spark, sf_dir))
-    lines.select("value").write.text(f"{root}/feed")
-    run_publish(
-        read_feed(spark, f"{root}/feed"), f"{root}/checkpoint",
-        topic=fixture.TOPIC, path=f"{root}/log", partitions=fixture.PARTITIONS,
-    )
-    return read_log(spark, f"{root}/log").select("topic", F.col("value").cast("string").alias("value"))
+    log = read_file_log(spark, _publish_captured(spark, sf_dir, root))
+    run_bronze(log, f"{root}/bronze", f"{root}/bronze_checkpoint")
+    run_silver(read_raw(spark, f"{root}/bronze"), f"{root}/silver", f"{root}/silver_checkpoint")
+    return _state(read_current(spark, f"{root}/silver"))
 
 
 def tail_after_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,5 +243,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sse_extract": sse_extract,
     "publish_log": publish_log,
     "publish_stream": publish_stream,
+    "feed_to_state": feed_to_state,
     "tail_after_mark": tail_after_mark,
 }

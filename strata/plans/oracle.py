@@ -77,9 +77,10 @@ _THREE = 'CASE WHEN "partition" IN (2, 3) THEN 0 WHEN "partition" = 0 THEN 1 ELS
 _RAW = _LOG + ' SELECT topic, "partition", "offset", kafka_date, raw_values FROM log'
 _ONE_BATCH = _winner("0", _STATE)
 
-_PAYLOADS = (
-    _LOG + ", good AS (SELECT event_id, topic, raw_values AS value FROM log WHERE json_valid(raw_values))"
-)
+_PUBLISHED = _LOG + """, numbered AS (
+  SELECT topic, raw_values AS value, row_number() OVER (ORDER BY event_id) - 1 AS place
+  FROM log WHERE json_valid(raw_values)
+) SELECT topic, CAST(place % 4 AS INTEGER) AS "partition", place // 4 AS "offset", value FROM numbered"""
 
 ORACLE_SQL: dict[str, str] = {
     "bronze_envelope": _RAW,
@@ -110,10 +111,9 @@ ORACLE_SQL: dict[str, str] = {
     "sse_extract": _LOG + """
       SELECT event_id, raw_values AS value, json_valid(raw_values) AS is_json
       FROM log WHERE raw_values IS NOT NULL""",
-    "publish_log": _PAYLOADS + """, numbered AS (
-      SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS place FROM good
-    ) SELECT topic, CAST(place % 4 AS INTEGER) AS "partition", place // 4 AS "offset", value FROM numbered""",
-    "publish_stream": _PAYLOADS + " SELECT topic, value FROM good",
+    "publish_log": _PUBLISHED,
+    "publish_stream": _PUBLISHED,
+    "feed_to_state": _ONE_BATCH,
     "tail_after_mark": _LOG + """, marks AS (
       SELECT topic, "partition", max("offset") AS mark FROM log
       WHERE kafka_date < (SELECT max(kafka_date) FROM log) GROUP BY topic, "partition"

@@ -1,14 +1,18 @@
 import json
+import sys
+from types import SimpleNamespace
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from strata import cli, folders
-from strata.operators.delta import upsert_delta
+from strata.operators.delta import compact_delta, upsert_delta
 from strata.schemas import BRONZE, PAYLOAD, SILVER
-from strata.sources import read_current, read_kafka, read_kafka_tail
+from strata.sources import read_current, read_feed, read_kafka, read_kafka_tail
 from strata.sources.log import kafka_options
+from strata.streaming import run_publish
 
 
 def test_declared_columns():
@@ -32,6 +36,45 @@ def test_missing_backends_are_errors(spark):
             reader(spark, "h:1", "t")
     with pytest.raises(ImportError):
         upsert_delta(spark.range(1), "/nowhere")
+    root = folders.scratch(spark)
+    folders.make(spark, f"{root}/feed")
+    with pytest.raises(AnalysisException):
+        run_publish(read_feed(spark, f"{root}/feed"), f"{root}/checkpoint", topic="t", servers="h:1")
+
+
+@pytest.fixture
+def delta_table(monkeypatch):
+    """Stands in for Delta Lake's ``DeltaTable``, to see what is asked of it."""
+    table = MagicMock()
+    monkeypatch.setitem(sys.modules, "delta", SimpleNamespace())
+    monkeypatch.setitem(sys.modules, "delta.tables", SimpleNamespace(DeltaTable=table))
+    return table
+
+
+def test_delta_table_is_created_only_when_missing(delta_table):
+    delta_table.isDeltaTable.return_value = False
+    batch = MagicMock()
+    upsert_delta(batch, "/t")
+    batch.write.format.assert_called_once_with("delta")
+    delta_table.forPath.assert_not_called()
+
+
+def test_delta_merge_updates_and_inserts_all(delta_table):
+    delta_table.isDeltaTable.return_value = True
+    batch = MagicMock()
+    upsert_delta(batch, "/t")
+    batch.write.format.assert_not_called()
+    merge = delta_table.forPath.return_value.alias.return_value.merge
+    assert merge.call_args.args == (batch.alias.return_value, "t.meta_id = s.meta_id")
+    merge.return_value.whenMatchedUpdateAll.assert_called_once_with()
+    inserting = merge.return_value.whenMatchedUpdateAll.return_value.whenNotMatchedInsertAll
+    inserting.return_value.execute.assert_called_once_with()
+
+
+def test_delta_compaction(delta_table):
+    compact_delta("spark", "/t")
+    delta_table.forPath.assert_called_once_with("spark", "/t")
+    delta_table.forPath.return_value.optimize.return_value.executeCompaction.assert_called_once_with()
 
 
 def test_scratch_uses_the_shared_folder(spark):

@@ -78,11 +78,12 @@ def test_silver_keeps_the_newest_in_a_batch_and_the_last_batch_across(spark, roo
     assert _titles(spark, root) == {"a": "late", "b": "b"}
 
 
-def test_silver_drains_many_batches_and_compacts(spark, root):
+@pytest.mark.parametrize("limit", [{"max_files": 1}, {"max_bytes": 1}])
+def test_silver_drains_many_batches_and_compacts(spark, root, limit):
     for i in range(5):
         _append(spark, root, i, [_payload("a", f"t{i}", 100 - i)])
         _bronze(spark, root)
-    _silver(spark, root, max_files=1)
+    _silver(spark, root, **limit)
     assert _titles(spark, root) == {"a": "t4"}
     assert len(layers.live(spark, f"{root}/silver")) < 5
 
