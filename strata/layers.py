@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from strata import folders
+from strata.schemas import COMPRESSION
 
 COLUMN = "layer"
 
@@ -85,7 +86,7 @@ def whole_folder(rows: DataFrame) -> DataFrameWriter:
 
     A folder counts by the marker its job leaves, so the marker is not left to the settings.
     """
-    return rows.write.mode("overwrite").options(**{
+    return rows.write.mode("overwrite").options(**COMPRESSION, **{
         "partitionOverwriteMode": "static",
         "mapreduce.fileoutputcommitter.marksuccessfuljobs": "true",
     })

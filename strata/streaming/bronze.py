@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.envelope import envelope
-from strata.schemas import PARTITION_DATE
+from strata.schemas import COMPRESSION, PARTITION_DATE
 
 
 def run_bronze(
@@ -17,6 +17,8 @@ def run_bronze(
     Map-only: each task writes the dates of its own slice of the log. Failures are raised.
     """
     sink = envelope(log).writeStream.partitionBy(PARTITION_DATE)
+    if table_format == "parquet":
+        sink = sink.options(**COMPRESSION)
     query = (
         sink.trigger(availableNow=True)
         .outputMode("append")

@@ -61,7 +61,7 @@ def append_to_log(
         piece.alias("piece"),
         F.monotonically_increasing_id().bitwiseAND(_ROW_BITS).alias("row"),
     )
-    numbered.write.mode("overwrite").parquet(staging)
+    layers.whole_folder(numbered).parquet(staging)
     staged = spark.read.schema(numbered.schema).parquet(staging)
 
     # One row per piece, with the number its first row gets.

@@ -51,7 +51,8 @@ def test_bronze_appends_only_what_is_new(spark, root):
     _bronze(spark, root)
     rows = spark.read.schema(BRONZE).parquet(f"{root}/bronze").orderBy("offset").collect()
     assert [(r.offset, r.raw_values) for r in rows] == [(0, "a"), (1, "b"), (2, "c")]
-    assert any(name.startswith("kafka_date=2023-11-1") for name in os.listdir(f"{root}/bronze"))
+    days = [name for name in os.listdir(f"{root}/bronze") if name.startswith("kafka_date=2023-11-1")]
+    assert days and all(n.endswith(".zstd.parquet") for d in days for n in os.listdir(f"{root}/bronze/{d}") if n[0] != ".")
 
 
 def test_bronze_does_not_depend_on_the_split_and_equals_the_batch(spark, root):
