@@ -16,12 +16,11 @@ import logging
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from strata.operators import end_offsets, tail_after
 from strata.session import build_session
 from strata.sources import read_feed, read_file_log, read_kafka, read_kafka_tail, read_raw
-from strata.streaming import print_tail, read_log, run_bronze, run_publish, run_silver
+from strata.streaming import print_tail, run_bronze, run_publish, run_silver, tail_file_log
 
 log = logging.getLogger(__name__)
 
@@ -98,16 +97,11 @@ def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
     )
 
 
-def file_tail(spark: SparkSession, path: str) -> DataFrame:
-    """Stream of the records that a file log gains from now on."""
-    return tail_after(read_file_log(spark, path), end_offsets(read_log(spark, path)))
-
-
 def _tail(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.EXTERNAL_IP:
         source = read_kafka_tail(spark, args.EXTERNAL_IP, args.topic)
     else:
-        source = file_tail(spark, args.log_path)
+        source = tail_file_log(spark, args.log_path)
     print_tail(source).awaitTermination()
 
 

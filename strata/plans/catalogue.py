@@ -28,9 +28,17 @@ from strata.operators import (
 )
 from strata.operators.latest import LINEAGE
 from strata.plans import fixture
-from strata.schemas import SILVER, SILVER_FROM_PAYLOAD
+from strata.schemas import LOG, SILVER, SILVER_FROM_PAYLOAD
 from strata.sources import read_current, read_feed, read_file_log, read_raw
-from strata.streaming import append_to_log, apply_batch, read_log, run_bronze, run_publish, run_silver
+from strata.streaming import (
+    append_to_log,
+    apply_batch,
+    read_log,
+    run_bronze,
+    run_publish,
+    run_silver,
+    tail_file_log,
+)
 
 # Which of the log's partitions arrive in which batch: all records, older ones late.
 TWO_BATCHES = [(0, 2), (1, 3)]
@@ -224,6 +232,29 @@ def tail_after_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tail_after(bronze, end_offsets(seen))
 
 
+def tail_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in a stream that starts at the end of a published log."""
+    root = folders.scratch(spark)
+    events = fixture.read_events(spark, sf_dir)
+    day = F.to_date("ts")
+    newest_day = events.agg(F.max(day)).scalar()
+
+    def publish(batch_id: int, arrived: DataFrame) -> None:
+        in_order = arrived.repartitionByRange("event_id").sortWithinPartitions("event_id")
+        append_to_log(
+            fixture.log_records(in_order).select("value"), f"{root}/log", topic=fixture.TOPIC,
+            writer="pinned", batch_id=batch_id, partitions=fixture.PARTITIONS,
+        )
+
+    publish(0, events.filter(day < newest_day))
+    tail = tail_file_log(spark, f"{root}/log")
+    publish(1, events.filter(day == newest_day))
+    sink = tail.select(*LOG.names).writeStream.trigger(availableNow=True).format("parquet")
+    sink.options(path=f"{root}/tail", checkpointLocation=f"{root}/checkpoint").start().awaitTermination()
+    text = F.col("value").cast("string").alias("value")
+    return spark.read.schema(LOG).parquet(f"{root}/tail").select("topic", "partition", "offset", text)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_envelope": bronze_envelope,
     "bronze_stream": bronze_stream,
@@ -245,4 +276,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_stream": publish_stream,
     "feed_to_state": feed_to_state,
     "tail_after_mark": tail_after_mark,
+    "tail_stream": tail_stream,
 }

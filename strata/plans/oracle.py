@@ -114,6 +114,12 @@ ORACLE_SQL: dict[str, str] = {
     "publish_log": _PUBLISHED,
     "publish_stream": _PUBLISHED,
     "feed_to_state": _ONE_BATCH,
+    "tail_stream": _LOG + """, days AS (
+      SELECT *, kafka_date = (SELECT max(kafka_date) FROM log) AS is_newest FROM log
+    ), placed AS (
+      SELECT *, row_number() OVER (ORDER BY is_newest, event_id) - 1 AS place FROM days
+    ) SELECT topic, CAST(place % 4 AS INTEGER) AS "partition", place // 4 AS "offset", raw_values AS value
+    FROM placed WHERE is_newest""",
     "tail_after_mark": _LOG + """, marks AS (
       SELECT topic, "partition", max("offset") AS mark FROM log
       WHERE kafka_date < (SELECT max(kafka_date) FROM log) GROUP BY topic, "partition"

@@ -3,9 +3,9 @@
 from strata.streaming.bronze import run_bronze
 from strata.streaming.publish import append_to_log, read_log, run_publish
 from strata.streaming.silver import apply_batch, run_silver
-from strata.streaming.tail import print_tail
+from strata.streaming.tail import print_tail, tail_file_log
 
 __all__ = [
     "append_to_log", "apply_batch", "print_tail", "read_log", "run_bronze", "run_publish",
-    "run_silver",
+    "run_silver", "tail_file_log",
 ]

@@ -1,11 +1,20 @@
-"""Show a log's records on the console."""
+"""Records that a log gains from now on."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.operators.tail import end_offsets, tail_after
+from strata.sources.log import read_file_log
+from strata.streaming.publish import read_log
+
+
+def tail_file_log(spark: SparkSession, path: str) -> DataFrame:
+    """Stream of the records beyond the end that a file log has now."""
+    return tail_after(read_file_log(spark, path), end_offsets(read_log(spark, path)))
+
 
 def print_tail(log: DataFrame, *, checkpoint: str | None = None, drain: bool = False) -> StreamingQuery:
     """Print each micro-batch of the stream ``log``, with the value as text.

@@ -86,7 +86,11 @@ _objects = st.dictionaries(
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(values=st.lists(_objects, min_size=1, max_size=20), cut=st.integers(1, 10), tail=st.sampled_from(["}", "]", ",", "x", "{}"]))
+@given(
+    values=st.lists(_objects, min_size=1, max_size=20),
+    cut=st.integers(1, 10),
+    tail=st.sampled_from(["}", "]", ",", "x", "{}"]),
+)
 def test_is_json_on_whole_cut_and_extended_objects(spark, values, cut, tail):
     whole = [json.dumps(v, ensure_ascii=False) for v in values]
     texts = whole + [t[:-cut] for t in whole] + [t + tail for t in whole]

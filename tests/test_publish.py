@@ -4,10 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata import folders
-from strata.cli import file_tail
 from strata.operators import offset_gaps, sse_payloads
 from strata.sources import read_feed
-from strata.streaming import append_to_log, print_tail, publish, read_log, run_publish
+from strata.streaming import append_to_log, print_tail, publish, read_log, run_publish, tail_file_log
 
 
 @pytest.fixture
@@ -92,7 +91,7 @@ def test_publish_needs_one_place(spark, root):
 
 def test_tail_shows_only_what_arrives_later(spark, root):
     append_to_log(_sorted(spark, range(6)), f"{root}/log", topic="t", writer="w", batch_id=0)
-    tail = file_tail(spark, f"{root}/log")
+    tail = tail_file_log(spark, f"{root}/log")
     append_to_log(_sorted(spark, range(6, 9)), f"{root}/log", topic="t", writer="w", batch_id=1)
     seen = []
     query = (
@@ -105,7 +104,7 @@ def test_tail_shows_only_what_arrives_later(spark, root):
 
 def test_console_tail_drains(spark, root):
     append_to_log(_values(spark, range(3)), f"{root}/log", topic="t", writer="w", batch_id=0)
-    query = print_tail(file_tail(spark, f"{root}/log"), checkpoint=f"{root}/checkpoint", drain=True)
+    query = print_tail(tail_file_log(spark, f"{root}/log"), checkpoint=f"{root}/checkpoint", drain=True)
     query.awaitTermination()
     assert query.exception() is None
 
