@@ -46,6 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     bronze.add_argument("--checkpoint", required=True, help="progress of this job")
     bronze.add_argument("--max_offsets", type=int, help="most records per micro-batch, Kafka")
     bronze.add_argument("--min_partitions", type=int, help="fewest read tasks, Kafka")
+    bronze.add_argument("--max_records_per_task", type=int, help="most records per read task, Kafka")
     bronze.add_argument("--max_files", type=int, help="most files per micro-batch, file log")
     bronze.add_argument("--table_format", choices=["parquet", "delta"], default="parquet")
 
@@ -76,6 +77,7 @@ def _bronze(spark: SparkSession, args: argparse.Namespace) -> None:
         source = read_kafka(
             spark, args.EXTERNAL_IP, args.topic,
             max_offsets=args.max_offsets, min_partitions=args.min_partitions,
+            max_records_per_task=args.max_records_per_task,
         )
     else:
         source = read_file_log(spark, args.log_path, max_files=args.max_files)

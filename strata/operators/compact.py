@@ -6,9 +6,9 @@ from pyspark.sql import SparkSession
 
 from strata import folders, layers
 from strata.layers import Layer
+from strata.operators.merged import read_layers
 from strata.operators.upsert import write_layer
 from strata.schemas import KEY, PARTITION_DATE
-from strata.sources.current import read_layers
 
 
 def compact(

@@ -16,6 +16,9 @@ def build_session(
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
+        # Partitions, and with them files, of a good size, not as many as there are cores.
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128MB")
         # Unlike the default type, this one has statistics that let scans skip row groups.
         .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     )

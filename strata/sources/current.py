@@ -3,48 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import layers
-from strata.layers import Layer
-from strata.operators.latest import latest_per_key
-from strata.schemas import KEY, PARTITION_DATE, SILVER
-
-
-def read_layers(
-    spark: SparkSession, table: str, chosen: list[Layer], key: str, schema: T.StructType | None
-) -> DataFrame:
-    """Newest row per key over the ``chosen`` folders, which are ordered newest first.
-
-    The oldest folder holds nearly all rows of a compacted table. It is neither sorted nor
-    deduplicated, only rid of the keys that the newer folders hold. Spark broadcasts those
-    keys when they turn out small, and the oldest folder is then read without a shuffle.
-    """
-    if schema is None:
-        schema = _all_columns(spark, table, chosen)
-    with_layer = T.StructType([*schema.fields, T.StructField(layers.COLUMN, T.StringType())])
-    reader = spark.read.schema(with_layer).option("basePath", table)
-    rows = reader.parquet(*(layer.path(table) for layer in chosen))
-
-    *newer, oldest = chosen
-    base = rows.filter(F.col(layers.COLUMN) == oldest.value)
-    if not newer:
-        return base.drop(layers.COLUMN)
-    recent = rows.filter(F.col(layers.COLUMN) != oldest.value)
-    newest = recent if len(newer) == 1 else latest_per_key(recent, key, [F.col(layers.COLUMN).desc()])
-    return base.join(recent.select(key), key, "left_anti").select(*rows.columns).union(newest).drop(layers.COLUMN)
-
-
-def _all_columns(spark: SparkSession, table: str, chosen: list[Layer]) -> T.StructType:
-    """The columns of all folders. One job wrote a folder, so one of its files tells them."""
-    fields: dict[str, T.StructField] = {}
-    for layer in reversed(chosen):
-        for field in spark.read.parquet(layer.path(table)).schema:
-            fields.setdefault(field.name, field)
-    if PARTITION_DATE in fields:  # no date to tell the type by, when all are NULL
-        fields[PARTITION_DATE] = T.StructField(PARTITION_DATE, T.DateType())
-    return T.StructType(list(fields.values()))
+from strata.operators.merged import read_layers
+from strata.schemas import KEY, SILVER
 
 
 def read_current(

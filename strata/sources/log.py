@@ -14,11 +14,13 @@ def kafka_options(
     start: str = "earliest",
     max_offsets: int | None = None,
     min_partitions: int | None = None,
+    max_records_per_task: int | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source.
 
     ``max_offsets`` bounds one micro-batch. ``min_partitions`` splits the topic's
-    partitions into more tasks, where a topic has fewer partitions than the cluster cores.
+    partitions into more tasks, where a topic has fewer partitions than the cluster cores;
+    ``max_records_per_task`` splits those that hold more records than others.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -31,6 +33,8 @@ def kafka_options(
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     if min_partitions is not None:
         options["minPartitions"] = str(min_partitions)
+    if max_records_per_task is not None:
+        options["maxRecordsPerPartition"] = str(max_records_per_task)
     return options
 
 

@@ -1,4 +1,6 @@
 import json
+import pkgutil
+import subprocess
 import sys
 from types import SimpleNamespace
 from unittest.mock import MagicMock
@@ -7,6 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+import strata
 from strata import cli, folders
 from strata.operators.delta import compact_delta, upsert_delta
 from strata.schemas import BRONZE, PAYLOAD, SILVER
@@ -25,9 +28,10 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "h:1", "kafka.security.protocol": "PLAINTEXT", "subscribe": "t",
         "startingOffsets": "earliest", "failOnDataLoss": "true",
     }
-    more = kafka_options("h:1", "t", start="latest", max_offsets=9, min_partitions=64)
+    more = kafka_options("h:1", "t", start="latest", max_offsets=9, min_partitions=64, max_records_per_task=7)
     assert more["startingOffsets"] == "latest"
     assert more["maxOffsetsPerTrigger"] == "9" and more["minPartitions"] == "64"
+    assert more["maxRecordsPerPartition"] == "7"
 
 
 def test_missing_backends_are_errors(spark):
@@ -109,3 +113,11 @@ def test_failures_become_exit_codes(spark):
         cli.main(["silver", "--bronze_path", "b"])
     with pytest.raises(SystemExit):
         cli.main(["bronze", "--EXTERNAL_IP", "h:1", "--landing_path", "b", "--checkpoint", "c"])
+
+
+def test_every_module_can_be_imported_first():
+    modules = [m.name for m in pkgutil.walk_packages(strata.__path__, "strata.")]
+    assert "strata.sources.current" in modules
+    clear = "[sys.modules.pop(n) for n in list(sys.modules) if n.startswith('strata')]"
+    code = "import importlib, sys\n" + "\n".join(f"importlib.import_module({m!r}); {clear}" for m in modules)
+    subprocess.run([sys.executable, "-c", code], check=True)
