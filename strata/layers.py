@@ -70,6 +70,8 @@ def next_layer(spark: SparkSession, table: str, writer: str, batch_id: int) -> L
     A half-written folder of the same batch is written over as long as nothing came after
     it; otherwise the batch goes last, since the batch processed last wins.
     """
+    if writer == _FOLD or not re.fullmatch(r"\w+", writer):
+        raise ValueError(f"not a writer's name: {writer}")
     known = _all(spark, table)
     newest = max((x.last for x in known), default=0)
     mine = [x for x in known if (x.writer, x.batch_id) == (writer, batch_id)]

@@ -2,6 +2,8 @@ import json
 import os
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
@@ -52,7 +54,8 @@ def test_bronze_appends_only_what_is_new(spark, root):
     rows = spark.read.schema(BRONZE).parquet(f"{root}/bronze").orderBy("offset").collect()
     assert [(r.offset, r.raw_values) for r in rows] == [(0, "a"), (1, "b"), (2, "c")]
     days = [name for name in os.listdir(f"{root}/bronze") if name.startswith("kafka_date=2023-11-1")]
-    assert days and all(n.endswith(".zstd.parquet") for d in days for n in os.listdir(f"{root}/bronze/{d}") if n[0] != ".")
+    files = [name for day in days for name in os.listdir(f"{root}/bronze/{day}") if name[0] != "."]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
 
 
 def test_bronze_does_not_depend_on_the_split_and_equals_the_batch(spark, root):
@@ -145,3 +148,44 @@ def test_silver_with_a_new_checkpoint_reads_all_again(spark, root):
     _silver(spark, root)
     run_silver(read_raw(spark, f"{root}/bronze"), f"{root}/silver", f"{root}/another_checkpoint")
     assert _titles(spark, root) == {"a": "t"}
+
+
+def test_nothing_to_read(spark, root):
+    folders.make(spark, f"{root}/log")
+    _bronze(spark, root)
+    _silver(spark, root)
+    assert _titles(spark, root) == {}
+
+
+records = st.tuples(
+    st.sampled_from(["a", "b", "c", ""]),
+    st.sampled_from([1, 2, 3, "2", "2.9", "abc", None]),
+    st.sampled_from(["fine", "fine", "fine", "cut", "no key", "blank", "null"]),
+)
+
+
+def _record_text(offset, key, second, kind):
+    payload = {"meta": {"id": key}, "title": f"t{offset}", "timestamp": second}
+    if kind == "no key":
+        del payload["meta"]
+    text = json.dumps(payload)
+    return {"cut": text[:-5], "blank": " ", "null": None}.get(kind, text)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(records, min_size=1, max_size=12), min_size=1, max_size=3))
+def test_any_log_equals_a_dict(spark, batches):
+    root = folders.scratch(spark)
+    expected, offset = {}, 0
+    for batch in batches:
+        _append(spark, root, offset, [_record_text(offset + i, *r) for i, r in enumerate(batch)])
+        newest = {}
+        for at, (key, second, kind) in enumerate(batch, offset):
+            time = {"2": 2, "2.9": 2, "abc": -1, None: -1}.get(second, second)
+            if kind == "fine" and (time, at) > newest.get(key, (-2, -1)):
+                newest[key] = (time, at)
+        expected |= {key: f"t{at}" for key, (_, at) in newest.items()}
+        offset += len(batch)
+        _bronze(spark, root)
+        _silver(spark, root)
+    assert _titles(spark, root) == expected

@@ -208,6 +208,12 @@ def test_settings_do_not_hide_a_batch(spark, table):
     assert _state(spark, table) == {"a": (3, D2)}
 
 
+@pytest.mark.parametrize("writer", ["fold", "a-b", ""])
+def test_names_that_folders_cannot_carry(spark, table, writer):
+    with pytest.raises(ValueError):
+        _put(spark, table, [("a", 1, D1)], 0, writer=writer)
+
+
 def test_trailing_slash(spark, table):
     _put(spark, f"{table}/", [("a", 1, D1)], 0)
     _put(spark, f"{table}/", [("a", 2, D1)], 1)
