@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from strata import folders
 from strata.operators.tail import end_offsets, tail_after
 from strata.sources.log import read_file_log
 from strata.streaming.publish import read_log
@@ -19,12 +20,12 @@ def tail_file_log(spark: SparkSession, path: str) -> DataFrame:
 def print_tail(log: DataFrame, *, checkpoint: str | None = None, drain: bool = False) -> StreamingQuery:
     """Print each micro-batch of the stream ``log``, with the value as text.
 
-    Runs until stopped, or until the source is empty with ``drain``.
+    Runs until stopped, or until the source is empty with ``drain``. Without a
+    ``checkpoint`` the progress goes to a scratch folder, and a rerun starts anew.
     """
     shown = log.withColumn("value", F.col("value").cast("string"))
-    writer = shown.writeStream.format("console").option("truncate", "false")
-    if checkpoint is not None:
-        writer = writer.option("checkpointLocation", checkpoint)
+    progress = checkpoint or folders.scratch(log.sparkSession)
+    writer = shown.writeStream.format("console").options(truncate="false", checkpointLocation=progress)
     if drain:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -45,3 +45,14 @@ offsets = st.one_of(st.integers(0, 200), st.integers(2**25 - 50, 2**25 + 50), st
 @given(st.lists(st.tuples(st.sampled_from(["t", "u"]), st.integers(0, 2), offsets), min_size=1, max_size=120))
 def test_any_log(spark, rows):
     _check(spark, rows)
+
+
+def test_the_log_is_read_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.createDataFrame([("t", p, o) for p in range(3) for o in range(0, 500, 3)], SCHEMA).write.parquet(path)
+    gaps = offset_gaps(spark.read.parquet(path))
+    assert len(gaps.collect()) == 3 * 166
+    plan = gaps._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    assert final.count("FileScan") == 1
+    assert "partial_bit_or" in final and "HashAggregate" in final

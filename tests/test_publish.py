@@ -104,7 +104,7 @@ def test_tail_shows_only_what_arrives_later(spark, root):
 
 def test_console_tail_drains(spark, root):
     append_to_log(_values(spark, range(3)), f"{root}/log", topic="t", writer="w", batch_id=0)
-    query = print_tail(tail_file_log(spark, f"{root}/log"), checkpoint=f"{root}/checkpoint", drain=True)
+    query = print_tail(tail_file_log(spark, f"{root}/log"), drain=True)
     query.awaitTermination()
     assert query.exception() is None
 

@@ -150,6 +150,19 @@ def test_silver_with_a_new_checkpoint_reads_all_again(spark, root):
     assert _titles(spark, root) == {"a": "t"}
 
 
+def test_envelope_of_a_kafka_record(spark):
+    record = spark.sql(
+        "SELECT CAST('k' AS BINARY) AS key, CAST('{\"é\":1}' AS BINARY) AS value, 't' AS topic, 3 AS partition, "
+        "9L AS offset, TIMESTAMP'2024-02-29 23:59:59' AS timestamp, 0 AS timestampType, array() AS headers"
+    )
+    rows = envelope(record)
+    assert rows.columns == BRONZE.names
+    assert [f.dataType for f in rows.schema] == [f.dataType for f in BRONZE]
+    row = rows.first()
+    assert (row.topic, row.partition, row.offset, row.raw_values) == ("t", 3, 9, '{"é":1}')
+    assert str(row.kafka_date) == "2024-02-29" and row.igs_timestamp > row.kafka_timestamp
+
+
 def test_nothing_to_read(spark, root):
     folders.make(spark, f"{root}/log")
     _bronze(spark, root)
