@@ -18,6 +18,9 @@ from strata.schemas import SILVER
 
 log = logging.getLogger(__name__)
 
+# Micro-batches after which their folders are folded while a long backlog is still drained.
+FOLD_EVERY = 64
+
 
 def newest_valid(rows: DataFrame) -> DataFrame | None:
     """The refined rows to upsert, one per key, or None when no valid row is left.
@@ -53,6 +56,16 @@ def run_silver(
     a failing compaction is only logged, as the state is complete without it.
     """
     spark = raw.sparkSession
+
+    def fold() -> None:
+        try:
+            if table_format == "delta":
+                compact_delta(spark, table)
+            else:
+                compact(spark, table, min_share=min_share)
+        except Exception:
+            log.warning("compaction of %s failed", table, exc_info=True)
+
     if table_format == "delta":
         def write(batch: DataFrame, batch_id: int) -> None:
             newest = newest_valid(batch)
@@ -63,16 +76,11 @@ def run_silver(
 
         def write(batch: DataFrame, batch_id: int) -> None:
             apply_batch(batch, table, writer=writer, batch_id=batch_id)
+            if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
+                fold()
 
     stream = flatten(raw, LINEAGE).writeStream.foreachBatch(write)
     query = stream.trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
     query.awaitTermination()
-
-    try:
-        if table_format == "delta":
-            compact_delta(spark, table)
-        else:
-            compact(spark, table, min_share=min_share)
-    except Exception:
-        log.warning("compaction of %s failed", table, exc_info=True)
+    fold()
     return query

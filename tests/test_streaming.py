@@ -92,6 +92,24 @@ def test_silver_drains_many_batches_and_compacts(spark, root, limit):
     assert len(layers.live(spark, f"{root}/silver")) < 5
 
 
+def test_long_backlog_is_folded_on_the_way(spark, root, monkeypatch):
+    for i in range(5):
+        _append(spark, root, i, [_payload("a", f"t{i}", 100 - i), _payload(f"k{i}", f"t{i}", 1)])
+        _bronze(spark, root)
+    monkeypatch.setattr(silver, "FOLD_EVERY", 2)
+    folds = []
+    real = silver.compact
+
+    def counted(spark, table, **options):
+        folds.append(len(layers.live(spark, table)))
+        return real(spark, table, **options)
+
+    monkeypatch.setattr(silver, "compact", counted)
+    _silver(spark, root, max_files=1)
+    assert len(folds) >= 3 and max(folds) <= 4
+    assert _titles(spark, root) == {"a": "t4", **{f"k{i}": f"t{i}" for i in range(5)}}
+
+
 def test_silver_columns(spark, root):
     _append(spark, root, 0, [_payload("a", "t", 1)])
     _bronze(spark, root)
