@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +41,13 @@ def _all_columns(spark: SparkSession, table: str, chosen: list[Layer]) -> T.Stru
     """The columns of all folders. One job wrote a folder, so one of its files tells them."""
     fields: dict[str, T.StructField] = {}
     for layer in reversed(chosen):
-        for field in spark.read.parquet(layer.path(table)).schema:
+        try:
+            columns = spark.read.parquet(layer.path(table)).schema
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # a batch without rows has no file
+                raise
+            continue
+        for field in columns:
             fields.setdefault(field.name, field)
     if PARTITION_DATE in fields:  # no date to tell the type by, when all are NULL
         fields[PARTITION_DATE] = T.StructField(PARTITION_DATE, T.DateType())

@@ -181,6 +181,17 @@ def test_only_rows_without_a_date(spark, table):
     assert read_current(spark, table, schema=None).schema["kafka_date"].dataType == T.DateType()
 
 
+def test_batch_without_rows(spark, table):
+    _put(spark, table, [("a", 1, D1)], 0)
+    _put(spark, table, [], 1)
+    _put(spark, table, [("b", 1, D1)], 2)
+    expected = {"a": (1, D1), "b": (1, D1)}
+    assert _state(spark, table) == expected
+    assert read_current(spark, table, schema=None).count() == 2
+    assert _fold(spark, table)
+    assert _state(spark, table) == expected
+
+
 def test_far_dates_survive(spark, table):
     far = spark.createDataFrame([("a",), ("b",)], "meta_id string").select(
         "meta_id", F.lit(1).alias("v"),
