@@ -40,10 +40,18 @@ class Layer:
     def path(self, table: str) -> str:
         return f"{table}/{COLUMN}={self.value}"
 
+    def updates(self, table: str) -> str:
+        """Where compaction notes the keys of this folder that older folders hold too."""
+        return f"{updates_root(table)}/{COLUMN}={self.value}"
+
     def stands_for(self, other: Layer) -> bool:
         return self.writer == _FOLD and self.first <= other.first and other.last <= self.last
 
 
+def updates_root(table: str) -> str:
+    return f"{table}/_updates"
+
+
 def fold_of(layers: list[Layer]) -> Layer:
     return Layer(max(x.last for x in layers), min(x.first for x in layers), 0, _FOLD)
 

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from strata import folders, layers
 from strata.layers import Layer
-from strata.operators.merged import read_layers
+from strata.operators.merged import layer_rows, read_layers
 from strata.operators.upsert import write_layer
 from strata.schemas import KEY, PARTITION_DATE
 
 
+# The keys of a smaller folder are as quickly compared as noted.
+NOTE_FROM_BYTES = 256 * 1024 * 1024
+
+
 def compact(
     spark: SparkSession,
     table: str,
@@ -26,11 +31,29 @@ def compact(
     ``min_share=0`` folds everything. Returns whether anything was folded.
     """
     chosen = _worth_folding(spark, table, layers.live(spark, table), min_share)
-    if len(chosen) < 2:
-        return False
-    rows = read_layers(spark, table, chosen, key, schema=None)
-    write_layer(rows, layers.fold_of(chosen).path(table), partition)
-    return True
+    folding = len(chosen) > 1
+    if folding:
+        rows = read_layers(spark, table, chosen, key, schema=None)
+        write_layer(rows, layers.fold_of(chosen).path(table), partition)
+    _note_updates(spark, table, key)
+    return folding
+
+
+def _note_updates(spark: SparkSession, table: str, key: str) -> None:
+    """Note which keys a large folder shares with older ones, for readers to compare.
+
+    Most keys of an event log are new, so there are few. One pass over the key column here
+    spares every reader a join with all keys of the folder.
+    """
+    live = layers.live(spark, table)
+    for at, layer in enumerate(live[:-1], 1):
+        done = folders.is_complete(spark, layer.updates(table))
+        if done or folders.size(spark, layer.path(table)) < NOTE_FROM_BYTES:
+            continue
+        rows = layer_rows(spark, table, live[at - 1:], schema=None)
+        own = F.col(layers.COLUMN) == layer.value
+        shared = rows.filter(~own).select(key).join(rows.filter(own).select(key), key, "left_semi")
+        layers.whole_folder(shared.hint("rebalance")).parquet(layer.updates(table))
 
 
 def _worth_folding(

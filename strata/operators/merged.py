@@ -7,34 +7,46 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata import layers
+from strata import folders, layers
 from strata.layers import Layer
-from strata.operators.latest import latest_per_key
 from strata.schemas import PARTITION_DATE
 
 
-def read_layers(
-    spark: SparkSession, table: str, chosen: list[Layer], key: str, schema: T.StructType | None
+def layer_rows(
+    spark: SparkSession, table: str, chosen: list[Layer], schema: T.StructType | None
 ) -> DataFrame:
-    """Newest row per key over the ``chosen`` folders, which are ordered newest first.
-
-    The oldest folder holds nearly all rows of a compacted table. It is neither sorted nor
-    deduplicated, only rid of the keys that the newer folders hold. Spark broadcasts those
-    keys when they turn out small, and the oldest folder is then read without a shuffle.
-    """
+    """All rows of the ``chosen`` folders, and which folder each is from."""
     if schema is None:
         schema = _all_columns(spark, table, chosen)
     with_layer = T.StructType([*schema.fields, T.StructField(layers.COLUMN, T.StringType())])
     reader = spark.read.schema(with_layer).option("basePath", table)
-    rows = reader.parquet(*(layer.path(table) for layer in chosen))
+    return reader.parquet(*(layer.path(table) for layer in chosen))
+
 
-    *newer, oldest = chosen
-    base = rows.filter(F.col(layers.COLUMN) == oldest.value)
+def read_layers(
+    spark: SparkSession, table: str, chosen: list[Layer], key: str, schema: T.StructType | None
+) -> DataFrame:
+    """Newest row per key over the ``chosen`` folders, which are ordered newest first.
+
+    A folder has a key once, so nothing is sorted or grouped: a row is left out when a newer
+    folder updates its key. Where compaction noted a folder's updates, only those keys are
+    compared, and not the keys it added. Spark broadcasts the keys when they turn out small;
+    no folder is shuffled then.
+    """
+    rows = layer_rows(spark, table, chosen, schema)
+    newer = chosen[:-1]
     if not newer:
-        return base.drop(layers.COLUMN)
-    recent = rows.filter(F.col(layers.COLUMN) != oldest.value)
-    newest = recent if len(newer) == 1 else latest_per_key(recent, key, [F.col(layers.COLUMN).desc()])
-    return base.join(recent.select(key), key, "left_anti").select(*rows.columns).union(newest).drop(layers.COLUMN)
+        return rows.drop(layers.COLUMN)
+
+    noted = [layer for layer in newer if folders.is_complete(spark, layer.updates(table))]
+    others = [layer.value for layer in newer if layer not in noted]
+    updates = rows.filter(F.col(layers.COLUMN).isin(others)).select(key, layers.COLUMN)
+    if noted:
+        reader = spark.read.schema(updates.schema).option("basePath", layers.updates_root(table))
+        updates = updates.union(reader.parquet(*(layer.updates(table) for layer in noted)))
+    updates = updates.toDF("updated_key", "updated_in")
+    is_updated = (F.col(key) == F.col("updated_key")) & (F.col(layers.COLUMN) < F.col("updated_in"))
+    return rows.join(updates, is_updated, "left_anti").drop(layers.COLUMN)
 
 
 def _all_columns(spark: SparkSession, table: str, chosen: list[Layer]) -> T.StructType:
