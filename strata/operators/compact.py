@@ -23,23 +23,26 @@ def compact(
     key: str = KEY,
     partition: str = PARTITION_DATE,
     min_share: float = 0.25,
+    note_from: int = NOTE_FROM_BYTES,
 ) -> bool:
     """Fold the newest folders into one; the table's rows and columns stay the same.
 
     An older folder is taken along only while the newer ones add up to ``min_share`` of its
     size. A large table is so rewritten once per large amount of changes, not on every run.
-    ``min_share=0`` folds everything. Returns whether anything was folded.
+    ``min_share=0`` folds everything. Folders of ``note_from`` bytes or more, which stay
+    beside an older one, get a note of the keys they update. Returns whether anything was
+    folded.
     """
     chosen = _worth_folding(spark, table, layers.live(spark, table), min_share)
     folding = len(chosen) > 1
     if folding:
         rows = read_layers(spark, table, chosen, key, schema=None)
         write_layer(rows, layers.fold_of(chosen).path(table), partition)
-    _note_updates(spark, table, key)
+    _note_updates(spark, table, key, note_from)
     return folding
 
 
-def _note_updates(spark: SparkSession, table: str, key: str) -> None:
+def _note_updates(spark: SparkSession, table: str, key: str, note_from: int) -> None:
     """Note which keys a large folder shares with older ones, for readers to compare.
 
     Most keys of an event log are new, so there are few. One pass over the key column here
@@ -48,7 +51,7 @@ def _note_updates(spark: SparkSession, table: str, key: str) -> None:
     live = layers.live(spark, table)
     for at, layer in enumerate(live[:-1], 1):
         done = folders.is_complete(spark, layer.updates(table))
-        if done or folders.size(spark, layer.path(table)) < NOTE_FROM_BYTES:
+        if done or folders.size(spark, layer.path(table)) < note_from:
             continue
         rows = layer_rows(spark, table, live[at - 1:], schema=None)
         own = F.col(layers.COLUMN) == layer.value

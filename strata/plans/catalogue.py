@@ -164,6 +164,15 @@ def compaction_preserves_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(read_current(spark, table), batches)
 
 
+def compaction_notes_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders too large to fold: readers compare the noted keys instead."""
+    table = folders.scratch(spark)
+    _upsert_batches(spark, sf_dir, table, THREE_BATCHES)
+    compact(spark, table, min_share=float("inf"), note_from=0)
+    batches = F.lit(len(layers.live(spark, table))).alias("n_folders")
+    return _state(read_current(spark, table), batches)
+
+
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch adds a column; keys it does not hold have none."""
     table = folders.scratch(spark)
@@ -270,6 +279,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_current": silver_current,
     "silver_empty_batch": silver_empty_batch,
     "compaction_preserves_rows": compaction_preserves_rows,
+    "compaction_notes_updates": compaction_notes_updates,
     "schema_evolution": schema_evolution,
     "sse_extract": sse_extract,
     "publish_log": publish_log,

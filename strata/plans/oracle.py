@@ -105,6 +105,7 @@ ORACLE_SQL: dict[str, str] = {
     "silver_current": _winner(_THREE, _STATE),
     "silver_empty_batch": _winner("0", _STATE + ", 1 AS n_batches"),
     "compaction_preserves_rows": _winner(_THREE, _STATE + ", 1 AS n_folders"),
+    "compaction_notes_updates": _winner(_THREE, _STATE + ", 3 AS n_folders"),
     "schema_evolution": _winner(
         _TWO, _STATE + ", CASE WHEN batch = 1 THEN CAST(length(title) AS INTEGER) END AS title_length"
     ),

@@ -1,5 +1,4 @@
 import os
-import sys
 from datetime import date
 
 import pytest
@@ -12,8 +11,6 @@ from strata import folders, layers
 from strata.operators import compact, upsert
 from strata.sources import read_current
 
-compaction = sys.modules["strata.operators.compact"]  # the package exports the function by this name
-
 SCHEMA = T.StructType([
     T.StructField("meta_id", T.StringType()),
     T.StructField("v", T.IntegerType()),
@@ -41,8 +38,8 @@ def table(spark):
     return folders.scratch(spark)
 
 
-def _fold(spark, table, min_share=0.0):
-    return compact(spark, table, min_share=min_share)
+def _fold(spark, table, min_share=0.0, note_from=0):
+    return compact(spark, table, min_share=min_share, note_from=note_from)
 
 
 def test_missing_table_is_empty(spark, table):
@@ -234,8 +231,7 @@ def test_trailing_slash(spark, table):
     assert _state(spark, f"{table}/") == _state(spark, table) == {"a": (2, D1)}
 
 
-def test_readers_compare_only_noted_updates(spark, table, monkeypatch):
-    monkeypatch.setattr(compaction, "NOTE_FROM_BYTES", 0)
+def test_readers_compare_only_noted_updates(spark, table):
     _put(spark, table, [(f"old{i}", 0, D1) for i in range(5000)], 0)
     _put(spark, table, [("old7", 1, D2), ("new1", 1, D2)], 1)
     _put(spark, table, [("old7", 2, D2), ("old8", 2, D1), ("new2", 2, D2)], 2)
@@ -256,8 +252,7 @@ def test_readers_compare_only_noted_updates(spark, table, monkeypatch):
     assert (got["new1"], got["old9"], got["old8"], len(got)) == ((3, D1), (3, D1), (2, D1), 5002)
 
 
-def test_half_written_note_is_ignored(spark, table, monkeypatch):
-    monkeypatch.setattr(compaction, "NOTE_FROM_BYTES", 0)
+def test_half_written_note_is_ignored(spark, table):
     _put(spark, table, [(f"k{i}", 0, D1) for i in range(5000)], 0)
     _put(spark, table, [("k1", 1, D1)], 1)
     _fold(spark, table, min_share=0.9)
@@ -275,15 +270,9 @@ steps = st.lists(
 )
 
 
-@pytest.fixture
-def restored(monkeypatch):
-    monkeypatch.setattr(compaction, "NOTE_FROM_BYTES", compaction.NOTE_FROM_BYTES)
-
-
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(sequence=steps, noted=st.booleans())
-def test_any_sequence_equals_a_dict(spark, restored, sequence, noted):
-    compaction.NOTE_FROM_BYTES = 0 if noted else 1 << 40
+@given(sequence=steps, note_from=st.sampled_from([0, 1 << 40]))
+def test_any_sequence_equals_a_dict(spark, sequence, note_from):
     table = folders.scratch(spark)
     expected, batch_id, last = {}, 0, None
     for step in sequence:
@@ -298,5 +287,5 @@ def test_any_sequence_equals_a_dict(spark, restored, sequence, noted):
             _put(spark, table, [("a", 99, D1)], batch_id)
             _uncommit(table, batch_id)
         elif step.startswith("fold"):
-            _fold(spark, table, 0.0 if step == "fold all" else 0.25)
+            _fold(spark, table, 0.0 if step == "fold all" else 0.25, note_from)
     assert _state(spark, table) == expected
