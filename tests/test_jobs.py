@@ -87,6 +87,16 @@ def test_scratch_uses_the_shared_folder(spark):
     assert first.startswith(shared) and first != second
 
 
+def test_a_local_folder_is_used_only_by_local_sessions():
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda _, default: default),
+                               sparkContext=SimpleNamespace(master=master))
+
+    assert "strata-" in folders.scratch(session("local[2]"))
+    with pytest.raises(ValueError):
+        folders.scratch(session("yarn"))
+
+
 def test_feed_to_state_through_the_command_line(spark):
     root = folders.scratch(spark)
     folders.make(spark, f"{root}/feed")
