@@ -12,8 +12,8 @@ from strata.operators.upsert import write_layer
 from strata.schemas import KEY, PARTITION_DATE
 
 
-# The keys of a smaller folder are as quickly compared as noted.
-NOTE_FROM_BYTES = 256 * 1024 * 1024
+# The keys of a smaller folder are few enough to be broadcast as they are.
+NOTE_FROM_BYTES = 32 * 1024 * 1024
 
 
 def compact(
