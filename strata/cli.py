@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from strata.operators import offset_gaps
 from strata.session import build_session
 from strata.sources import read_feed, read_file_log, read_kafka, read_kafka_tail, read_raw
 from strata.streaming import print_tail, run_bronze, run_publish, run_silver, tail_file_log
@@ -48,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     bronze.add_argument("--min_partitions", type=int, help="fewest read tasks, Kafka")
     bronze.add_argument("--max_records_per_task", type=int, help="most records per read task, Kafka")
     bronze.add_argument("--max_files", type=int, help="most files per micro-batch, file log")
+    bronze.add_argument("--check_gaps", action="store_true", help="fail if the raw table lacks offsets")
     bronze.add_argument("--table_format", choices=["parquet", "delta"], default="parquet")
 
     silver = job("silver", "upsert the raw table into the current state")
@@ -82,6 +84,11 @@ def _bronze(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         source = read_file_log(spark, args.log_path, max_files=args.max_files)
     run_bronze(source, args.landing_path, args.checkpoint, args.table_format)
+    if args.check_gaps:
+        landed = spark.read.format(args.table_format).load(args.landing_path)
+        gaps = offset_gaps(landed).count()
+        if gaps:
+            raise RuntimeError(f"{args.landing_path} lacks offsets in {gaps} places")
 
 
 def _silver(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 import strata
 from strata import cli, folders
 from strata.operators.delta import compact_delta, upsert_delta
-from strata.schemas import BRONZE, PAYLOAD, SILVER
+from strata.schemas import BRONZE, LOG, PAYLOAD, SILVER
 from strata.sources import read_current, read_feed, read_kafka, read_kafka_tail
 from strata.sources.log import kafka_options
 from strata.streaming import run_publish
@@ -115,6 +115,20 @@ def test_feed_to_state_through_the_command_line(spark):
     assert sorted(tuple(r) for r in state.collect()) == [("k0", "t6", 106), ("k1", "t7", 107), ("k2", "t5", 105)]
 
 
+def test_bronze_can_check_for_lost_records(spark):
+    root = folders.scratch(spark)
+
+    def job(offsets, mode):
+        rows = spark.createDataFrame([("t", 0, o, None, b"x") for o in offsets], LOG)
+        rows.write.mode(mode).parquet(f"{root}/log")
+        return cli.main(["bronze", "--log_path", f"{root}/log", "--landing_path", f"{root}/b",
+                         "--checkpoint", f"{root}/c", "--check_gaps"])
+
+    assert job([0, 1, 2], "overwrite") == 0
+    assert job([3, 5], "append") == 1
+    assert job([4], "append") == 0
+
+
 def test_failures_become_exit_codes(spark):
     root = folders.scratch(spark)
     assert cli.main(["bronze", "--EXTERNAL_IP", "h:1", "--topic", "t", "--landing_path", f"{root}/b",
