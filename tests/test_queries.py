@@ -3,6 +3,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from strata.plans.catalogue import QUERIES
 from tests.oracle_check import compare, connect
 
 SF_DIR = os.environ.get("STRATA_SF_DIR", "/root/testdata/sf0.001")
@@ -16,10 +17,11 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.queries().keys() >= QUERIES.keys()
+    assert contract.oracle_sql().keys() >= QUERIES.keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, duck, name):
     ours, theirs = compare(spark, duck, name, SF_DIR)
     assert ours == theirs
