@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import string
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,5 +35,17 @@ def small(rows: DataFrame, most: int) -> DataFrame:
     return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, unless it is installed.
+
+    On a cluster the package goes along with the job, as by ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

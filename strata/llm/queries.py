@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import licenses
+from strata import folders
+from strata.llm import licenses, mixing, warc
 from strata.llm.common import table
 from strata.llm.exact_dedup import duplicate_groups
+from strata.llm.jaccard import similar_documents
 from strata.llm.token_counts import token_counts
 
 
@@ -18,19 +21,68 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.drawn(table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.size("draws")).alias("taken")
+    return found.select("doc_id", "size", "source_size", "target", taken, "draws")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {x.__name__: x for x in (op1_exact_dedup, op3_token_counts, op8_license_scan)}
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages to a WARC file of responses, which is read, converted, written and read again."""
+    root = folders.scratch(spark)
+    warc.write_warc(warc.responses(table(spark, sf_dir, "pages")), f"{root}/responses")
+    warc.write_warc(warc.derivatives(warc.read_warc(spark, f"{root}/responses")), f"{root}/derived")
+    return warc.read_warc(spark, f"{root}/derived").select(
+        F.col("source_key").cast("long").alias("page_id"), "warc_type", "record_id", "refers_to",
+        "concurrent_to", "target_uri", "content_type", "payload_digest",
+        F.octet_length("payload").cast("long").alias("n_bytes"),
+    )
+
+
+QUERIES = {
+    x.__name__: x
+    for x in (
+        op1_exact_dedup,
+        op3_token_counts,
+        op7_mix_sources,
+        op8_license_scan,
+        op9_ngram_jaccard_join,
+        op10_warc_derivatives,
+    )
+}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL = {
+    "op10_warc_derivatives": warc.oracle_sql(),
     "op1_exact_dedup": f"""
 WITH lowered AS (SELECT doc_id, {_LOWER} AS content FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = max(doc_id) OVER same AS kept, sha256(content) AS text_sha256
 FROM lowered WINDOW same AS (PARTITION BY content)""",
     "op8_license_scan": licenses.oracle_sql(),
+    "op9_ngram_jaccard_join": f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')))
+    END AS shingles FROM split),
+grams AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM grams a JOIN grams b USING (shingle)
+  WHERE a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(x, y) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT doc_id, len(shingles)::BIGINT AS n_shingles, least AS component_id
+FROM sets JOIN (SELECT x, min(y) AS least FROM reach GROUP BY x) ON x = doc_id""",
 }
