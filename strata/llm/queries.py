@@ -10,7 +10,9 @@ from strata.llm import licenses, mixing, warc
 from strata.llm.common import table
 from strata.llm.exact_dedup import duplicate_groups
 from strata.llm.jaccard import similar_documents
+from strata.llm.packing import packed
 from strata.llm.token_counts import token_counts
+from strata.llm.token_files import read_token_files, write_token_files
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +23,21 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+        "offset",
+    )
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = folders.scratch(spark)
+    write_token_files(table(spark, sf_dir, "documents"), path)
+    return read_token_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.drawn(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.size("draws")).alias("taken")
@@ -52,6 +69,8 @@ QUERIES = {
     for x in (
         op1_exact_dedup,
         op3_token_counts,
+        op4_pack,
+        op6_token_files,
         op7_mix_sources,
         op8_license_scan,
         op9_ngram_jaccard_join,
