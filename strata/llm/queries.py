@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import folders
-from strata.llm import licenses, mixing, warc
+from strata.llm import language_id, licenses, mixing, warc
 from strata.llm.common import table
 from strata.llm.exact_dedup import duplicate_groups
 from strata.llm.jaccard import similar_documents
@@ -30,6 +30,11 @@ def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language_id.identify(documents, language_id.fit(documents))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folders.scratch(spark)
     write_token_files(table(spark, sf_dir, "documents"), path)
@@ -70,6 +75,7 @@ QUERIES = {
         op1_exact_dedup,
         op3_token_counts,
         op4_pack,
+        op5_language_id,
         op6_token_files,
         op7_mix_sources,
         op8_license_scan,
