@@ -10,6 +10,7 @@ from strata.llm import language_id, licenses, mixing, warc
 from strata.llm.common import table
 from strata.llm.exact_dedup import duplicate_groups
 from strata.llm.jaccard import similar_documents
+from strata.llm.neighbours import nearest_neighbours
 from strata.llm.packing import packed
 from strata.llm.token_counts import token_counts
 from strata.llm.token_files import read_token_files, write_token_files
@@ -19,6 +20,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ QUERIES = {
     x.__name__: x
     for x in (
         op1_exact_dedup,
+        op2_nearest_neighbours,
         op3_token_counts,
         op4_pack,
         op5_language_id,
