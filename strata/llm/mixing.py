@@ -173,7 +173,7 @@ def source_targets(sizes: DataFrame, most_repeats: int = MOST_REPEATS) -> DataFr
     return free.select("source", "rank", "source_size", F.coalesce(target, F.col("cap").cast("double")).alias("target"))
 
 
-def drawn(
+def _drawn(
     documents: DataFrame,
     *,
     id_column: str = "doc_id",
@@ -185,10 +185,7 @@ def drawn(
     most_repeats: int = MOST_REPEATS,
     seed: int = 11,
 ) -> DataFrame:
-    """The documents with ``size``, ``source_size``, ``target`` and ``draws``.
-
-    ``draws`` is an array of (``pass``, ``shard``): where the mix takes the document.
-    """
+    """``doc`` (the whole row), ``id``, ``size``, ``source_size``, ``target`` and ``draws``."""
     # A new name holds the documents' columns, so that theirs and ours cannot clash.
     rows = documents.select(
         F.struct(*[F.col(f"`{x}`") for x in documents.columns]).alias("doc"),
@@ -289,16 +286,24 @@ def drawn(
     found = found.join(small(single, 2 * MOST_SMALL), (F.col("rank") == F.col("r2")) & F.col("id").eqNullSafe(F.col("i2")), "left")
     nothing = F.array().cast(of_block.schema["draws"].dataType)
     draws = F.concat(F.coalesce("whole", nothing), F.coalesce("single", nothing))
-    ours = {"size", "source_size", "target", "draws"}
+    return found.select("doc", "id", "size", "source_size", "target", draws.alias("draws"))
+
+
+def drawn(documents: DataFrame, **options) -> DataFrame:
+    """The documents with ``size``, ``source_size``, ``target`` and ``draws``.
+
+    ``draws`` is an array of (``pass``, ``shard``): where the mix takes the document.
+    """
+    ours = ["size", "source_size", "target", "draws"]
     kept = [F.col(f"doc.`{x}`") for x in documents.columns if x not in ours]
-    return found.select(*kept, "size", "source_size", "target", draws.alias("draws"))
+    return _drawn(documents, **options).select(*kept, *ours)
 
 
-def mixed(documents: DataFrame, *, shards: int = SHARDS, seed: int = 11, **options) -> DataFrame:
-    """The mix: one row per draw, with ``pass`` and ``shard``, shuffled within each shard."""
-    taken = drawn(documents, shards=shards, seed=seed, **options)
-    each = taken.withColumn("draw", F.explode("draws")).drop("draws", "pass", "shard")
-    each = each.select("*", "draw.*").drop("draw")
-    id_column = options.get("id_column", "doc_id")
-    order = F.xxhash64(F.lit(seed), F.col("shard"), F.col("pass"), F.col(id_column))
-    return each.repartition("shard").sortWithinPartitions("shard", order)
+def mixed(documents: DataFrame, *, draw_columns: bool = True, seed: int = 11, **options) -> DataFrame:
+    """The mix: one row per draw, shuffled within its shard, with ``pass`` and ``shard`` if wanted."""
+    each = _drawn(documents, seed=seed, **options).select("doc", "id", F.explode("draws").alias("draw"))
+    each = each.select("doc", "id", "draw.*")
+    order = F.xxhash64(F.lit(seed), F.col("shard"), F.col("pass"), F.col("id"))
+    each = each.repartition("shard").sortWithinPartitions("shard", order)
+    ours = ["pass", "shard"] if draw_columns else []
+    return each.select(*[F.col(f"doc.`{x}`") for x in documents.columns if x not in ours], *ours)

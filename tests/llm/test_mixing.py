@@ -1,0 +1,101 @@
+from collections import Counter, defaultdict
+
+import pytest
+
+from strata.llm import mixing
+from tests.llm.cases import AWKWARD, blank_words, documents
+
+
+def targets(sizes, most=3):
+    """Share by weight, cap, share the excess again."""
+    names = sorted((x for x in sizes if x is not None)) + [None] * (None in sizes)
+    weight = {x: i % 3 + 1 for i, x in enumerate(names)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        free = [x for x in names if x not in capped]
+        left = total - sum(most * sizes[x] for x in capped)
+        level = left / sum(weight[x] for x in free) if free else 0
+        over = {x for x in free if level * weight[x] > most * sizes[x]}
+        if not over:
+            return {x: float(most * sizes[x]) if x in capped else level * weight[x] for x in names}
+        capped |= over
+
+
+def check(rows, found, tolerance):
+    sizes = Counter()
+    for _, text, _, source in rows:
+        sizes[source] += len(blank_words(text))
+    want, taken = targets(sizes), Counter()
+    for x in found:
+        assert x.source_size == sizes[x.source]
+        assert x.target == pytest.approx(want[x.source])
+        assert len({d["pass"] for d in x.draws}) == len(x.draws) <= 3
+        taken[x.source] += x.size * len(x.draws)
+    for source, target in want.items():
+        assert abs(taken[source] - target) <= tolerance
+
+
+def test_awkward_rows(spark):
+    found = mixing.drawn(documents(spark)).collect()
+    assert len(found) == len(AWKWARD)
+    assert Counter((x.doc_id, x.size) for x in found) == Counter((x[0], len(blank_words(x[1]))) for x in AWKWARD)
+
+
+def test_targets_are_met_and_reruns_agree(spark):
+    rows = [(i, "w " * (1 + i * 7 % 40), "en", f"s{min(i % 9, 4)}" if i % 11 else None) for i in range(600)]
+    docs = documents(spark, rows)
+    options = {"least_block_words": 50, "shards": 6}
+    first = mixing.drawn(docs, **options).collect()
+    check(rows, first, tolerance=5)
+    key = lambda x: (x.doc_id, x.draws)
+    again = mixing.drawn(docs.repartition(3), **options).collect()
+    assert sorted(map(key, first)) == sorted(map(key, again))
+
+
+def test_capped_source_is_taken_three_times(spark):
+    rows = [(i, "w " * 10, "en", "small" if i < 5 else "big") for i in range(100)]
+    found = mixing.drawn(documents(spark, rows)).collect()
+    check(rows, found, tolerance=10)
+    assert {len(x.draws) for x in found if x.source == "small"} == {3}
+
+
+def test_shards_split_the_quotas(spark):
+    root = spark.createDataFrame([([5000, 300, 0, 7],)], "quotas array<long>")
+    for shards in (1, 5, 16):
+        leaves = {x.shard: x.quotas for x in mixing.split_quotas(root, shards, seed=1).collect()}
+        assert sorted(leaves) == list(range(shards))
+        assert [sum(x) for x in zip(*leaves.values())] == [5000, 300, 0, 7]
+        assert max(map(sum, leaves.values())) - min(map(sum, leaves.values())) <= 5
+
+
+def test_hypergeometric_draws(spark):
+    from pyspark.sql import functions as F
+
+    draw = mixing._hypergeometric(F.lit(50), F.lit(20), F.lit(10), (F.col("id") + 0.5) / 4000)
+    counts = Counter(x[0] for x in spark.range(4000).select(draw).collect())
+    from math import comb
+
+    for k in range(11):
+        assert abs(counts[k] - 4000 * comb(20, k) * comb(30, 10 - k) / comb(50, 10)) <= 1.5
+
+
+def test_the_mix_is_what_was_drawn(spark):
+    rows = [(i, "w " * (1 + i % 5), "en", f"s{i % 4}") for i in range(200)]
+    docs = documents(spark, rows)
+    plan = {x.doc_id: {(d["pass"], d["shard"]) for d in x.draws} for x in mixing.drawn(docs, shards=4).collect()}
+    mix = defaultdict(set)
+    for x in mixing.mixed(docs, shards=4).collect():
+        mix[x.doc_id].add((x["pass"], x["shard"]))
+    assert mix == {i: d for i, d in plan.items() if d}
+
+
+def test_empty_tables(spark):
+    assert mixing.drawn(documents(spark, [])).count() == 0
+    assert mixing.mixed(documents(spark, [])).count() == 0
+    blank = mixing.drawn(documents(spark, [(1, None, "en", None), (2, " ", "en", "a")])).collect()
+    assert sorted((x.doc_id, x.size, x.target) for x in blank) == [(1, 0, 0.0), (2, 0, 0.0)]
+
+
+def test_plan_stays_native(spark):
+    plan = mixing.drawn(documents(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
