@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import string
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(folded)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def written(rows: DataFrame) -> DataFrame:
     """The rows as a table in the folder that the cluster shares: cuts lineage, survives executors."""
     spark = rows.sparkSession

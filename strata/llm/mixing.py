@@ -25,12 +25,10 @@ the same way; an empty table gives an empty result. Other columns are kept; ``dr
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import small, written
+from strata.llm.common import let, small, written
 
 SHARDS = 64
 MOST_BLOCKS = 16_384
@@ -45,11 +43,6 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _uniform(*of: Column) -> Column:
     """Between 0 and 1, from a hash."""
     bits = 2**52
@@ -98,7 +91,7 @@ def _hypergeometric(total: Column, marked: Column, n: Column, u: Column) -> Colu
         ))
         return F.coalesce(found["x"], g["b"])
 
-    drawn = _let(given, lambda g: _let(whole(g), lambda mass: pick(g, mass)))
+    drawn = let(given, lambda g: let(whole(g), lambda mass: pick(g, mass)))
     return F.when(most <= least, least.cast("long")).otherwise(drawn)
 
 

@@ -19,17 +19,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.common import let
+
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
 BETWEEN = f"{END}{VERSION}\r\n"
 NO_DATE = "1970-01-01T00:00:00Z"
 
-HIDDEN = [
-    r"(?s)<!--.*?-->",
-    r"(?is)<script\b[^>]*>.*?</script\s*>",
-    r"(?is)<style\b[^>]*>.*?</style\s*>",
-    r"(?is)<noscript\b[^>]*>.*?</noscript\s*>",
-]
+HIDDEN = "(?is)<!--.*?-->|" + "|".join(
+    rf"<{name}\b[^>]*>.*?</{name}\s*>" for name in ("script", "style", "noscript")
+)
 BLOCK_TAG = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|caption|dd|div|dl|dt|fieldset|figcaption|"
     r"figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|"
@@ -40,17 +39,17 @@ ENTITIES = [
     ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
     ("&amp;", "&"),
 ]
+# A single blank stays as it is, so that most words cost no replacement.
+BLANKS = r"[ \t\f\r]{2,}|[\t\f\r]"
+LINE_ENDS = r" \n[ \n]*|\n[ \n]+"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 LINK = r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']([^"'>]*)["']"""
 
 
 def _record_id(*of: Column) -> Column:
     digest = F.md5(F.concat_ws("\n", *of).cast("binary"))
-    part = lambda start, length: F.substring(digest, start, length)
-    return F.concat(
-        F.lit("urn:uuid:"), part(1, 8), F.lit("-"), part(9, 4), F.lit("-4"), part(14, 3), F.lit("-8"),
-        part(18, 3), F.lit("-"), part(21, 12),
-    )
+    form = "^(.{8})(.{4}).(.{3}).(.{3})(.{12})$"
+    return F.regexp_replace(digest, form, "urn:uuid:$1-$2-4$3-8$4-$5")
 
 
 def _sha256(text: Column) -> Column:
@@ -58,15 +57,16 @@ def _sha256(text: Column) -> Column:
 
 
 def plain_text(html: Column) -> Column:
-    text = html
-    for pattern in HIDDEN:
-        text = F.regexp_replace(text, pattern, " ")
+    def resolved(text: Column) -> Column:
+        found = text
+        for entity, sign in ENTITIES:
+            found = F.replace(found, F.lit(entity), F.lit(sign))
+        return F.when(F.contains(text, F.lit("&")), found).otherwise(text)
+
+    text = F.regexp_replace(html, HIDDEN, " ")
     text = F.regexp_replace(F.regexp_replace(text, BLOCK_TAG, "\n"), TAG, "")
-    for entity, sign in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(sign))
-    text = F.regexp_replace(text, r"[ \t\f\r]+", " ")
-    text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
-    return F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")
+    text = F.regexp_replace(let(text, resolved), BLANKS, " ")
+    return F.trim(F.regexp_replace(text, LINE_ENDS, "\n"), F.lit(" \n"))
 
 
 def responses(
@@ -188,15 +188,13 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 def oracle_sql() -> str:
     """The derivatives of ``pages`` in DuckDB's SQL."""
-    text = "payload"
-    for pattern in HIDDEN:
-        text = f"regexp_replace({text}, '{pattern}', ' ', 'g')"
+    text = f"regexp_replace(payload, '{HIDDEN}', ' ', 'g')"
     text = f"regexp_replace(regexp_replace({text}, '{BLOCK_TAG}', chr(10), 'g'), '{TAG}', '', 'g')"
     for entity, sign in ENTITIES:
         text = "replace({}, '{}', '{}')".format(text, entity, sign.replace("'", "''"))
     text = rf"regexp_replace({text}, '[ \t\f\r]+', ' ', 'g')"
     text = rf"regexp_replace({text}, ' ?\n[ \n]*', chr(10), 'g')"
-    text = rf"regexp_replace({text}, '^[ \n]+|[ \n]+$', '', 'g')"
+    text = f"trim({text}, ' ' || chr(10))"
     link = LINK.replace("'", "''")
     uuid = lambda of: (
         "(SELECT 'urn:uuid:' || h[1:8] || '-' || h[9:12] || '-4' || h[14:16] || '-8' || h[18:20] || '-' || "
