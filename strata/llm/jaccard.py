@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import written
@@ -51,6 +51,7 @@ ROUNDS = 2
 _LOW_BITS = 40  # of a hash are sent beside its range
 _MANY = 0xFFFF
 _ORDER_SEEDS = (101, 202, 303)
+_PARITY_SEED, _PARITY_WORDS = 404, 16
 
 
 def _digest(found: np.ndarray) -> tuple[int, int]:
@@ -198,7 +199,7 @@ def _count_range(key: tuple, rows: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_packed(found)])
 
 
-_SHARED = "s1 long, s2 long, n long, n_prefix int, weight double, shingles array<long>"
+_SHARED = "s1 long, s2 long, n long, n_prefix int, weight double, shingles array<long>, parity array<long>"
 
 
 def _shared_sets(percent: int):
@@ -229,17 +230,29 @@ def _shared_sets(percent: int):
             n_shared, needed = cuts[i + 1] - cuts[i], _needed(n, percent)
             if n_shared >= needed:
                 weight = float(np.log(frequency[part]).sum()) / n
-                found.append((s1, s2, n, int(n_shared - needed + 1), weight, token[part].view(np.int64)))
-        columns = list(zip(*found)) if found else [[]] * 6
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.list_(pa.int64())]
+                found.append((
+                    s1, s2, n, int(n_shared - needed + 1), weight, token[part].view(np.int64), _parity(token[part]),
+                ))
+        columns, longs = list(zip(*found)) if found else [[]] * 7, pa.list_(pa.int64())
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), longs, longs]
         return pa.Table.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds)],
-            ["s1", "s2", "n", "n_prefix", "weight", "shingles"],
+            ["s1", "s2", "n", "n_prefix", "weight", "shingles", "parity"],
         )
 
     return assemble
 
 
+def _parity(tokens: np.ndarray) -> np.ndarray:
+    """Whether each class of a hash holds an odd number of the set's elements, as bits.
+
+    Two sets differ in at least as many elements as their bits differ in.
+    """
+    classes = mix(tokens, _PARITY_SEED) % np.uint64(64 * _PARITY_WORDS)
+    odd = np.bincount(classes.astype(np.int64), minlength=64 * _PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _prefixes(shingles: np.ndarray, n_prefix: int) -> list[np.ndarray]:
     """Under the orders other than the first; shingles without a partner come before all."""
     shingles = shingles.view(np.uint64)
@@ -295,52 +308,67 @@ def shared_sets(
     packed = texts.mapInArrow(_pack(width, range_bits), _PACKED)
     counted = packed.groupBy("key").applyInArrow(_count_range, _PACKED)
     found = counted.groupBy("batch").applyInArrow(_shared_sets(percent), _SHARED)
-    found = found.select(F.struct("s1", "s2").alias("v"), "n", "n_prefix", "weight", "shingles")
+    found = found.select(F.struct("s1", "s2").alias("v"), "n", "n_prefix", "weight", "shingles", "parity")
     return written(found.dropDuplicates(["v"]))
 
 
-def _size_fits(a: str, b: str, percent: int):
-    low, high = F.least(F.col(a), F.col(b)), F.greatest(F.col(a), F.col(b))
-    return 100 * low >= percent * high
+def _may_reach(n_a: str, n_b: str, apart: Column, percent: int) -> Column:
+    """Whether sets of these sizes may be similar if ``apart`` elements, of both, have no partner."""
+    low, high, both = F.least(n_a, n_b), F.greatest(n_a, n_b), F.col(n_a) + F.col(n_b)
+    common = F.ceil(percent * both / (100 + percent) - 1e-9)
+    return (100 * low >= percent * high) & (apart + 2 * common <= both)
 
 
 def similar_components(sets: DataFrame, percent: int) -> DataFrame:
     """``vertex`` and ``root`` for the classes in ``sets`` that are linked to a smaller one."""
-    postings = sets.select("v", "n", "weight", F.explode(F.slice("shingles", 1, F.col("n_prefix"))).alias("shingle"))
+    # ``alone`` shingles of a set are no other's. They come first, so a shingle's place counts them.
+    alone = F.col("n") - F.size("shingles")
+    prefix = F.slice("shingles", F.lit(1), F.col("n_prefix"))
+    postings = sets.select(
+        "v", "n", "weight", alone.alias("alone"), F.posexplode(prefix).alias("place", "shingle")
+    ).withColumn("place", F.col("place") + F.col("alone"))
     found = None
     links = []
     for _ in range(ROUNDS):
         # The commonest set of each bucket, leaving out what the round before has settled.
         open_rows = postings.select("*", F.col("v").alias("root")) if found is None else _across(postings, found)
         lead = open_rows.groupBy("shingle").agg(
-            F.max(F.struct("weight", "v", "n", "root")).alias("lead"), F.count("*").alias("size")
+            F.max(F.struct("weight", "v", "n", "alone", "root")).alias("lead"), F.count("*").alias("size")
         ).filter("size > 1").select(
-            "shingle", F.col("lead.v").alias("a"), F.col("lead.n").alias("n_a"), F.col("lead.root").alias("root_a")
+            "shingle", F.col("lead.v").alias("a"), F.col("lead.n").alias("n_a"),
+            F.col("lead.alone").alias("alone_a"), F.col("lead.root").alias("root_a"),
         )
         pairs = open_rows.join(lead, "shingle").filter(
-            (F.col("v") != F.col("a")) & (F.col("root") != F.col("root_a")) & _size_fits("n", "n_a", percent)
+            (F.col("root") != F.col("root_a"))
+            & _may_reach("n", "n_a", F.col("alone") + F.col("alone_a"), percent)
         ).select("a", F.col("v").alias("b")).distinct()
         links.append(_verified(written(pairs), sets, percent))
         found = written(components(_all(links, found)))
-    rest = _across(postings, found).select("shingle", "v", "root")
-    # Pairs across components, each at its first common shingle under the first order, if their
-    # prefixes meet under the second one too.
+    rest = _across(postings, found).select("shingle", "place", "v", "root")
+    # Pairs across components, each at its first common shingle under the first order. What lies
+    # before it in either set has no partner, nor have shingles whose parities differ, which leaves
+    # few pairs. The prefixes under the second order must meet, too.
     second = F.slice(F.transform(F.array_sort(F.transform(
         "shingles", lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x"))
     )), lambda s: s["x"]), F.lit(1), F.col("n_prefix"))
     prefixes = sets.select(
-        "v", "n", F.slice("shingles", F.lit(1), F.col("n_prefix")).alias("first"), second.alias("second")
+        "v", "n", alone.alias("alone"), "parity", prefix.alias("first"), second.alias("second")
     )
     rest = written(rest.join(prefixes, "v"))
     l, r = rest.alias("l"), rest.alias("r")
+    differing = F.col("l.alone") + F.col("r.alone")
+    for i in range(_PARITY_WORDS):
+        word = lambda side: F.get(f"{side}.parity", F.lit(i))
+        differing = differing + F.bit_count(word("l").bitwiseXOR(word("r")))
     pairs = l.join(
         r,
         (F.col("l.shingle") == F.col("r.shingle"))
         & (F.col("l.v") < F.col("r.v"))
         & (F.col("l.root") != F.col("r.root"))
-        & _size_fits("l.n", "r.n", percent)
-        & F.arrays_overlap("l.second", "r.second")
-        & (F.array_intersect("l.first", "r.first")[0] == F.col("l.shingle")),
+        & _may_reach("l.n", "r.n", F.col("l.place") + F.col("r.place"), percent)
+        & _may_reach("l.n", "r.n", differing, percent)
+        & (F.array_intersect("l.first", "r.first")[0] == F.col("l.shingle"))
+        & F.arrays_overlap("l.second", "r.second"),
     ).select(F.col("l.v").alias("a"), F.col("r.v").alias("b"))
     links.append(_verified(written(pairs), sets, percent))
     return components(_all(links[-1:], found))
