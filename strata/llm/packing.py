@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import pretokens
+from strata.llm.batch_encoder import batch_encoder
 from strata.llm.common import written
 
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
-CACHE_SIZE = 300_000
 
 
 def encoded(
@@ -38,13 +38,13 @@ def encoded(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        cache = pretokens.cached(path, CACHE_SIZE)
-        part, at, end = TaskContext.get().partitionId(), 0, np.uint32(end_id).astype("<u4").tobytes()
+        encoder, end = batch_encoder(path), np.array([end_id], np.uint32)
+        part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             starts, counts, ids = [], [], []
-            for text in batch.column(1).to_pylist():
-                found = np.frombuffer(cache.encode(text or "") + end, "<u4")
-                narrow = found.astype("<u2") if found.max() < 1 << 16 else found
+            for found in encoder.encode([x or "" for x in batch.column(1).to_pylist()]):
+                found = np.concatenate([found, end])
+                narrow = found.astype("<u2" if found.max() < 1 << 16 else "<u4")
                 starts.append(at)
                 counts.append(len(found))
                 ids.append(narrow.tobytes())

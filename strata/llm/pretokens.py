@@ -28,6 +28,10 @@ def public(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def is_plain(text: str) -> bool:
+    return _PLAIN.fullmatch(text) is not None
+
+
 class Encoder:
     """One tokenizer file. ``byte_level`` texts keep case and blanks, others lose both."""
 
@@ -54,7 +58,7 @@ class Encoder:
 
     def pieces(self, part: str) -> list[str]:
         """The pre-tokens of a part without special strings."""
-        if _PLAIN.fullmatch(part):
+        if is_plain(part):
             if self.byte_level:
                 return _BYTE_LEVEL.findall(part)
             return _WORD_LEVEL.findall(part.lower())
@@ -90,17 +94,9 @@ class CachedIds(dict):
 
 
 _ENCODERS: dict[str, Encoder] = {}
-_CACHES: dict[tuple[str, int], CachedIds] = {}
 
 
 def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
-
-
-def cached(path: str, size: int) -> CachedIds:
-    if (path, size) not in _CACHES:
-        _CACHES.clear()
-        _CACHES[path, size] = CachedIds(encoder(path), size)
-    return _CACHES[path, size]

@@ -23,19 +23,29 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end] for each word, as a polynomial in its bytes."""
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, size: int) -> np.ndarray:
+    """Powers of a base from 0 to ``size``; kept, as most calls need as many."""
+    found = _POWERS.get(base)
+    if found is None or len(found) <= size:
+        found = np.full(max(size, _CHUNK) + 1, base, np.uint64)
+        found[0] = 1
+        np.cumprod(found, out=found)
+        if size <= 2 * _CHUNK:
+            _POWERS[base] = found
+    return found
+
+
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of data[start:end] for each span, as a polynomial in its bytes."""
     size = len(data)
-    powers = np.full(size + 1, _BASE, np.uint64)
-    powers[0] = 1
-    powers = np.cumprod(powers)
     sums = np.zeros(size + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:size], out=sums[1:])
-    found = sums[ends] - sums[starts]
-    del sums, powers
-    back = np.full(size + 1, _INVERSE, np.uint64)
-    back[0] = 1
-    found *= np.cumprod(back)[starts]
+    np.add(data, np.uint64(1), out=sums[1:], dtype=np.uint64)
+    sums[1:] *= _powers(_BASE, size)[:size]
+    np.cumsum(sums, out=sums)
+    found = (sums[ends] - sums[starts]) * _powers(_INVERSE, size)[starts]
     return mix(found + (ends - starts).astype(np.uint64) * np.uint64(_STEP))
 
 
@@ -51,7 +61,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     while at < len(starts):
         base = starts[at]
         until = max(at + 1, int(np.searchsorted(ends, base + _CHUNK, "right")))
-        found.append(_hash_words(data[base:ends[until - 1]], starts[at:until] - base, ends[at:until] - base))
+        found.append(hash_spans(data[base:ends[until - 1]], starts[at:until] - base, ends[at:until] - base))
         at = until
     return (np.concatenate(found) if found else np.zeros(0, np.uint64)), counts
 

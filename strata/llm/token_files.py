@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import context_coder, pretokens
-from strata.llm.packing import CACHE_SIZE, part_starts
+from strata.llm.batch_encoder import batch_encoder
+from strata.llm.packing import part_starts
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -46,8 +47,8 @@ def write_token_files(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        cache, end = pretokens.cached(name, CACHE_SIZE), np.uint32(end_id).astype("<u4").tobytes()
-        vocabulary = max(cache.encoder.tokenizer.get_vocab_size(), end_id + 1)
+        encoder, end = batch_encoder(name), np.array([end_id], np.uint32)
+        vocabulary = max(encoder.encoder.tokenizer.get_vocab_size(), end_id + 1)
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
         names = ["part", "block", "at", "n_documents", "n", "data"]
         block, held, n, at = 0, [], 0, 0
@@ -58,8 +59,9 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names)
 
         for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.frombuffer(cache.encode(text or "") + end, "<u4")
+            texts = encoder.encode([x or "" for x in batch.column(1).to_pylist()])
+            for i, ids in zip(batch.column(0).to_pylist(), texts):
+                ids = np.concatenate([ids, end])
                 if held and n + len(ids) > block_ids:
                     yield closed()
                     block, held, n, at = block + 1, [], 0, at + n

@@ -1,16 +1,19 @@
+import random
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strata.llm import context_coder, pretokens
+from strata.llm import batch_encoder, context_coder, pretokens
+from strata.llm.batch_encoder import BatchEncoder
 from strata.llm.packing import packed
 from strata.llm.token_counts import token_counts
 from strata.llm.token_files import read_token_files, write_token_files
-from tests.llm.cases import AWKWARD, documents
+from tests.llm.cases import AWKWARD, LONG, documents
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 
@@ -25,9 +28,25 @@ def encode(name, text):
     st.sampled_from(list(" \n\t'sStTrRdDabcéÉßñ019.,!-<|>İΣ  \x1c")), st.characters(exclude_categories=["Cs"]),
 )))
 def test_pieces_give_the_ids_of_the_library(name, text):
-    cache = pretokens.cached(pretokens.public(name), 50)
-    for whole in (text, f"{text}<|endoftext|>{text}"):
-        assert np.frombuffer(cache.encode(whole), "<u4").tolist() == encode(name, whole)
+    single = pretokens.CachedIds(pretokens.encoder(pretokens.public(name)), 50)
+    texts = [text, f"{text}<|endoftext|>{text}"]
+    for whole in texts:
+        assert np.frombuffer(single.encode(whole), "<u4").tolist() == encode(name, whole)
+    assert [x.tolist() for x in batched(name).encode(texts)] == [encode(name, x) for x in texts]
+
+
+@cache
+def batched(name):
+    return BatchEncoder(pretokens.public(name), table_bits=4)
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_batches_of_plain_texts(name, monkeypatch):
+    monkeypatch.setattr(batch_encoder, "CHUNK_BYTES", 200)
+    rng = random.Random(2)
+    signs = "abcsStTrReEvVlLmMdD'''   \n\n\t09.,!éÉßÿÀ"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(30))) for _ in range(5000)] + [LONG]
+    assert [x.tolist() for x in batched(name).encode(texts)] == [encode(name, x) for x in texts]
 
 
 def test_token_counts(spark):
