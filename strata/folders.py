@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -45,11 +44,7 @@ def remove(spark: SparkSession, path: str) -> None:
 def scratch(spark: SparkSession) -> str:
     """A new folder for intermediate tables, under the cluster's ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only where that is unset and Spark itself is local.
+    Where that is unset, it is under the warehouse, which the executors share as well.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.gettempdir()
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/strata-{uuid.uuid4().hex}"

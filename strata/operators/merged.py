@@ -17,7 +17,7 @@ def layer_rows(
 ) -> DataFrame:
     """All rows of the ``chosen`` folders, and which folder each is from."""
     if schema is None:
-        schema = _all_columns(spark, table, chosen)
+        schema = columns_of(spark, table, chosen)
     with_layer = T.StructType([*schema.fields, T.StructField(layers.COLUMN, T.StringType())])
     reader = spark.read.schema(with_layer).option("basePath", table)
     return reader.parquet(*(layer.path(table) for layer in chosen))
@@ -49,18 +49,17 @@ def read_layers(
     return rows.join(updates, is_updated, "left_anti").drop(layers.COLUMN)
 
 
-def _all_columns(spark: SparkSession, table: str, chosen: list[Layer]) -> T.StructType:
-    """The columns of all folders. One job wrote a folder, so one of its files tells them."""
-    fields: dict[str, T.StructField] = {}
-    for layer in reversed(chosen):
+def columns_of(spark: SparkSession, table: str, newest_first: list[Layer]) -> T.StructType:
+    """The columns of the table, as its newest folder tells: every folder has those before it."""
+    for layer in newest_first:
         try:
-            columns = spark.read.parquet(layer.path(table)).schema
+            found = spark.read.parquet(layer.path(table)).schema
         except AnalysisException as error:
             if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # a batch without rows has no file
                 raise
             continue
-        for field in columns:
-            fields.setdefault(field.name, field)
-    if PARTITION_DATE in fields:  # no date to tell the type by, when all are NULL
-        fields[PARTITION_DATE] = T.StructField(PARTITION_DATE, T.DateType())
-    return T.StructType(list(fields.values()))
+        # No date tells the partition's type, when all are NULL.
+        return T.StructType([
+            T.StructField(f.name, T.DateType()) if f.name == PARTITION_DATE else f for f in found
+        ])
+    return T.StructType()

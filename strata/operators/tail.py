@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 
 TOPIC_PARTITION = ["topic", "partition"]
 
-# Marks up to this many topic partitions become a literal filter, more are joined.
-MAX_LITERAL_MARKS = 256
-
 
 def end_offsets(log: DataFrame) -> DataFrame:
     """The last offset of every topic partition, as ``mark``."""
@@ -22,20 +19,28 @@ def end_offsets(log: DataFrame) -> DataFrame:
 def tail_after(log: DataFrame, marks: DataFrame) -> DataFrame:
     """Records of ``log`` past ``marks``; a topic partition without a mark is read whole.
 
-    There is one mark per topic partition, so normally a handful. Those are turned into
-    an offset filter that reaches the file scan, where it skips the row groups before the
-    marks. Beyond ``MAX_LITERAL_MARKS`` they are joined instead.
+    Each topic's smallest mark becomes an offset filter that reaches the file scan, where it
+    skips the row groups before the marks, however many topic partitions there are. The exact
+    marks are joined to what is left. One row per topic is looked at to build the filter.
     """
-    head = marks.limit(MAX_LITERAL_MARKS + 1).collect()
-    if len(head) > MAX_LITERAL_MARKS:
-        return (
-            log.join(marks, TOPIC_PARTITION, "left")
-            .filter(F.col("mark").isNull() | (F.col("offset") > F.col("mark")))
-            .select(*log.columns)
-        )
-    if not head:
+    bounds = marks.groupBy("topic").agg(
+        F.min("mark").alias("mark"), F.max("partition").alias("last"),
+        F.count_distinct("partition").alias("n"), F.min("partition").alias("first"),
+    ).collect()
+    if not bounds:
         return log
 
-    at = [(F.col("topic") == row.topic) & (F.col("partition") == row.partition) for row in head]
-    past = [here & (F.col("offset") > row.mark) for here, row in zip(at, head, strict=True)]
-    return log.filter(reduce(or_, past, ~reduce(or_, at)))
+    def may_be_past(bound):
+        past = F.col("offset") > bound.mark
+        beyond = (F.col("partition") > bound.last) | (F.col("partition") < bound.first)
+        # A partition in between that has no mark may hold any offset.
+        whole = bound.last - bound.first + 1 == bound.n
+        return (F.col("topic") == bound.topic) & ((past | beyond) if whole else F.lit(True))
+
+    known = F.col("topic").isin([bound.topic for bound in bounds])
+    near = log.filter(reduce(or_, map(may_be_past, bounds), ~known))
+    return (
+        near.join(marks, TOPIC_PARTITION, "left")
+        .filter(F.col("mark").isNull() | (F.col("offset") > F.col("mark")))
+        .select(*log.columns)
+    )

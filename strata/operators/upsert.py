@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strata import layers
-from strata.schemas import PARTITION_DATE
+from strata.operators.merged import columns_of, read_layers
+from strata.schemas import KEY, PARTITION_DATE
 
 
 def upsert(
-    batch: DataFrame, table: str, *, writer: str, batch_id: int, partition: str = PARTITION_DATE
+    batch: DataFrame,
+    table: str,
+    *,
+    writer: str,
+    batch_id: int,
+    key: str = KEY,
+    partition: str = PARTITION_DATE,
 ) -> bool:
-    """Insert or replace the rows of ``batch``, which has one row per key.
+    """Insert or update the rows of ``batch``, which has one row per key.
 
-    The table is created by its first batch. A later batch replaces whole rows, whatever
-    their event time. Delivering a batch again changes nothing, and returns False.
+    The table is created by its first batch. A later batch replaces the columns it has,
+    whatever their event time; columns that only the table has keep their values, and columns
+    that only the batch has are added. Delivering a batch again changes nothing, and returns
+    False.
 
     ``rebalance`` gathers each date into few files of even size, and splits a date that
     holds a large share of the rows over several tasks.
@@ -22,9 +32,22 @@ def upsert(
     target = layers.next_layer(batch.sparkSession, table, writer, batch_id)
     if target is None:
         return False
-    write_layer(batch, target.path(table), partition)
+    write_layer(_with_all_columns(batch, table, key), target.path(table), partition)
     return True
 
 
+def _with_all_columns(batch: DataFrame, table: str, key: str) -> DataFrame:
+    """The batch with the columns that it lacks, from the table; most batches lack none."""
+    spark = batch.sparkSession
+    live = layers.live(spark, table)
+    known = columns_of(spark, table, live)
+    lacking = [field for field in known if field.name not in batch.columns]
+    if not lacking:
+        return batch
+    current = read_layers(spark, table, live, key, known)
+    kept = current.select(F.col(key).alias("kept_key"), *[field.name for field in lacking])
+    return batch.join(kept, F.col(key) == F.col("kept_key"), "left").drop("kept_key")
+
+
 def write_layer(rows: DataFrame, path: str, partition: str) -> None:
     layers.whole_folder(rows.hint("rebalance", partition)).partitionBy(partition).parquet(path)

@@ -28,13 +28,12 @@ from strata.operators import (
 )
 from strata.operators.latest import LINEAGE
 from strata.plans import fixture
-from strata.schemas import LOG, SILVER, SILVER_FROM_PAYLOAD
+from strata.schemas import PARTITION_DATE, PAYLOAD_FILE, SILVER, SILVER_FROM_PAYLOAD
 from strata.sources import read_current, read_feed, read_file_log, read_raw
 from strata.streaming import (
-    append_to_log,
     apply_batch,
-    read_log,
     run_bronze,
+    run_capture,
     run_publish,
     run_silver,
     tail_file_log,
@@ -44,6 +43,10 @@ from strata.streaming import (
 TWO_BATCHES = [(0, 2), (1, 3)]
 THREE_BATCHES = [(2, 3), (0,), (1,)]
 
+# Micro-batches of a backlog, by offset, and after how many of them its folders are folded.
+BACKLOG_BATCHES = 12
+BACKLOG_FOLD_EVERY = 4
+
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture.log_records(fixture.read_events(spark, sf_dir))
@@ -75,25 +78,59 @@ def _upsert_batches(
         apply_batch(flatten(arrived, LINEAGE), table, writer="pinned", batch_id=batch_id)
 
 
-def _drain_bronze(spark: SparkSession, sf_dir: str, root: str) -> str:
+def _drain_bronze(spark: SparkSession, sf_dir: str, root: str, **options) -> str:
     log = fixture.log_records(fixture.stream_events(spark, sf_dir))
-    run_bronze(log, f"{root}/bronze", f"{root}/bronze_checkpoint")
+    run_bronze(log, f"{root}/bronze", f"{root}/bronze_checkpoint", **options)
     return f"{root}/bronze"
 
 
+def _days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list]:
+    """The events with their ``day``, and the two newest days, the older first."""
+    events = fixture.read_events(spark, sf_dir).withColumn("day", F.to_date("ts"))
+    newest = events.select("day").distinct().orderBy(F.desc("day")).limit(2).collect()
+    return events, [row.day for row in reversed(newest)]
+
+
+def _capture(arrived: DataFrame, root: str) -> str:
+    """Let events arrive at a log that is kept as files; returns its path."""
+    spark = arrived.sparkSession
+    events = arrived.drop("day")
+    events.write.mode("append").parquet(f"{root}/arrived")
+    stream = spark.readStream.schema(events.schema).parquet(f"{root}/arrived")
+    run_capture(fixture.log_records(stream), f"{root}/log", f"{root}/log_checkpoint")
+    return f"{root}/log"
+
+
+def _stamped(rows: DataFrame) -> DataFrame:
+    """With whether the ingest time is set; the time itself differs from run to run."""
+    return rows.withColumn("is_stamped", F.col("igs_timestamp").isNotNull())
+
+
 def bronze_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw_columns(_bronze(spark, sf_dir))
 
 
 def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw_columns(spark.read.parquet(_drain_bronze(spark, sf_dir, folders.scratch(spark))))
+    landed = spark.read.parquet(_drain_bronze(spark, sf_dir, folders.scratch(spark)))
+    return _stamped(landed).select(*_raw_columns(landed).columns, "is_stamped")
 
 
 def bronze_rerun_no_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs with more records arriving in between, and a third without."""
     root = folders.scratch(spark)
-    for _ in range(2):
-        landed = _drain_bronze(spark, sf_dir, root)
-    return spark.read.parquet(landed).groupBy("partition").agg(F.count("*").alias("n"))
+    events, (_, newest) = _days(spark, sf_dir)
+    for arrived in (F.col("day") < newest, F.col("day") == newest, F.lit(False)):
+        log = _capture(events.filter(arrived), root)
+        run_bronze(read_file_log(spark, log), f"{root}/bronze", f"{root}/bronze_checkpoint")
+    landed = spark.read.parquet(f"{root}/bronze")
+    return landed.groupBy("partition").agg(F.count("*").alias("n"))
+
+
+def bronze_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One date of a table that is partitioned by date."""
+    _, (_, newest) = _days(spark, sf_dir)
+    landed = _drain_bronze(spark, sf_dir, folders.scratch(spark), gather_dates=True)
+    return _raw_columns(spark.read.parquet(landed).filter(F.col(PARTITION_DATE) == newest))
 
 
 def offset_gaps_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +160,7 @@ def latest_per_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = folders.scratch(spark)
     apply_batch(_flat(spark, sf_dir), table, writer="pinned", batch_id=0)
-    return _state(read_current(spark, table))
+    return _state(_stamped(read_current(spark, table)), "is_stamped")
 
 
 def merge_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,16 +210,47 @@ def compaction_notes_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(read_current(spark, table), batches)
 
 
-def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second batch adds a column; keys it does not hold have none."""
-    table = folders.scratch(spark)
+def _upsert_evolving(spark: SparkSession, sf_dir: str, table: str, longer: int) -> None:
+    """Two batches, of which the one numbered ``longer`` has a column more."""
     for batch_id, partitions in enumerate(TWO_BATCHES):
         arrived = _bronze(spark, sf_dir).filter(F.col("partition").isin(*partitions))
         rows = latest_per_key(valid(flatten(arrived, LINEAGE))).select(*SILVER.names)
-        if batch_id == 1:
+        if batch_id == longer:
             rows = rows.withColumn("title_length", F.length("title"))
         upsert(rows, table, writer="pinned", batch_id=batch_id)
-    return _state(read_current(spark, table, schema=None), "title_length")
+
+
+def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch adds a column; keys it does not hold have none."""
+    table = folders.scratch(spark)
+    _upsert_evolving(spark, sf_dir, table, longer=1)
+    return _state(read_current(spark, table), "title_length")
+
+
+def schema_evolution_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch lacks a column that the first one added; keys keep what they had."""
+    table = folders.scratch(spark)
+    _upsert_evolving(spark, sf_dir, table, longer=0)
+    return _state(read_current(spark, table), "title_length")
+
+
+def schema_evolution_back_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after compaction."""
+    table = folders.scratch(spark)
+    _upsert_evolving(spark, sf_dir, table, longer=0)
+    compact(spark, table, min_share=0)
+    return _state(read_current(spark, table), "title_length")
+
+
+def silver_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many micro-batches, with the compaction that a job runs by default."""
+    table = folders.scratch(spark)
+    for batch_id in range(BACKLOG_BATCHES):
+        arrived = _bronze(spark, sf_dir).filter(F.col("offset") % BACKLOG_BATCHES == batch_id)
+        apply_batch(flatten(arrived, LINEAGE), table, writer="pinned", batch_id=batch_id)
+        if batch_id % BACKLOG_FOLD_EVERY == BACKLOG_FOLD_EVERY - 1:
+            compact(spark, table)
+    return _state(read_current(spark, table))
 
 
 def sse_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,44 +258,44 @@ def sse_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sse_payloads(lines).select("event_id", "value", "is_json")
 
 
-def _feed_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed's lines, sorted while they are still events."""
-    events = fixture.read_events(spark, sf_dir)
-    return fixture.feed_lines(events.repartitionByRange("event_id").sortWithinPartitions("event_id"))
+def _feed_files(lines: DataFrame, root: str) -> str:
+    lines.select("value").write.mode("append").text(f"{root}/feed")
+    return f"{root}/feed"
 
 
-def _log_columns(spark: SparkSession, path: str) -> DataFrame:
-    text = F.col("value").cast("string").alias("value")
-    return read_log(spark, path).select("topic", "partition", "offset", text)
+def _published(spark: SparkSession, root: str) -> DataFrame:
+    feed = read_feed(spark, f"{root}/feed")
+    run_publish(feed, f"{root}/feed_checkpoint", path=f"{root}/published")
+    return spark.read.schema(PAYLOAD_FILE).parquet(f"{root}/published").select("value")
 
 
-def _publish_captured(spark: SparkSession, sf_dir: str, root: str) -> str:
-    _feed_in_order(spark, sf_dir).select("value").write.text(f"{root}/feed")
-    run_publish(
-        read_feed(spark, f"{root}/feed"), f"{root}/feed_checkpoint",
-        topic=fixture.TOPIC, path=f"{root}/log", partitions=fixture.PARTITIONS,
-    )
-    return f"{root}/log"
+def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads of captured feed files."""
+    root = folders.scratch(spark)
+    _feed_files(fixture.feed_lines(fixture.read_events(spark, sf_dir)), root)
+    return _published(spark, root)
 
 
-def publish_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = folders.scratch(spark)
-    good = sse_payloads(_feed_in_order(spark, sf_dir)).filter("is_json")
-    append_to_log(
-        good, path, topic=fixture.TOPIC, writer="pinned", batch_id=0, partitions=fixture.PARTITIONS
-    )
-    return _log_columns(spark, path)
+def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in two runs, with feed files added in between."""
+    root = folders.scratch(spark)
+    lines = fixture.feed_lines(fixture.read_events(spark, sf_dir))
+    for half in (0, 1):
+        _feed_files(lines.filter(F.col("event_id") % 2 == half), root)
+        found = _published(spark, root)
+    return found
 
 
-def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Captured feed files -> log, in a stream."""
-    return _log_columns(spark, _publish_captured(spark, sf_dir, folders.scratch(spark)))
+def publish_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads that are handed to the topic's sink."""
+    lines = fixture.feed_lines(fixture.read_events(spark, sf_dir))
+    return sse_payloads(lines).filter("is_json").select("value")
 
 
 def feed_to_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All jobs in a row: captured feed files -> log -> raw table -> current state."""
+    """All jobs in a row: captured log -> raw table -> current state."""
     root = folders.scratch(spark)
-    log = read_file_log(spark, _publish_captured(spark, sf_dir, root))
+    log = read_file_log(spark, _capture(fixture.read_events(spark, sf_dir), root))
     run_bronze(log, f"{root}/bronze", f"{root}/bronze_checkpoint")
     run_silver(read_raw(spark, f"{root}/bronze"), f"{root}/silver", f"{root}/silver_checkpoint")
     return _state(read_current(spark, f"{root}/silver"))
@@ -241,33 +309,42 @@ def tail_after_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tail_after(bronze, end_offsets(seen))
 
 
+def _delivered(spark: SparkSession, root: str) -> DataFrame:
+    """What a tail has delivered once it is drained; a rerun goes on where it stopped."""
+    tail = tail_file_log(spark, f"{root}/log", f"{root}/tail_checkpoint")
+    run_capture(tail, f"{root}/tail", f"{root}/tail_checkpoint")
+    text = F.col("value").cast("string").alias("value")
+    found = read_file_log(spark, f"{root}/tail", stream=False)
+    return found.select("topic", "partition", "offset", text)
+
+
 def tail_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same in a stream that starts at the end of a published log."""
+    """The same in a stream that starts at the end of a log kept as files."""
     root = folders.scratch(spark)
-    events = fixture.read_events(spark, sf_dir)
-    day = F.to_date("ts")
-    newest_day = events.agg(F.max(day)).scalar()
-
-    def publish(batch_id: int, arrived: DataFrame) -> None:
-        in_order = arrived.repartitionByRange("event_id").sortWithinPartitions("event_id")
-        append_to_log(
-            fixture.log_records(in_order).select("value"), f"{root}/log", topic=fixture.TOPIC,
-            writer="pinned", batch_id=batch_id, partitions=fixture.PARTITIONS,
-        )
-
-    publish(0, events.filter(day < newest_day))
-    tail = tail_file_log(spark, f"{root}/log")
-    publish(1, events.filter(day == newest_day))
-    sink = tail.select(*LOG.names).writeStream.trigger(availableNow=True).format("parquet")
-    sink.options(path=f"{root}/tail", checkpointLocation=f"{root}/checkpoint").start().awaitTermination()
-    text = F.col("value").cast("string").alias("value")
-    return spark.read.schema(LOG).parquet(f"{root}/tail").select("topic", "partition", "offset", text)
+    events, (_, newest) = _days(spark, sf_dir)
+    log = _capture(events.filter(F.col("day") < newest), root)
+    tail_file_log(spark, log, f"{root}/tail_checkpoint")
+    _capture(events.filter(F.col("day") == newest), root)
+    return _delivered(spark, root)
+
+
+def tail_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tail that is stopped while records arrive, and goes on with the same checkpoint."""
+    root = folders.scratch(spark)
+    events, (older, newest) = _days(spark, sf_dir)
+    _capture(events.filter(F.col("day") < older), root)
+    for day in (None, older, newest):
+        if day is not None:
+            _capture(events.filter(F.col("day") == day), root)
+        found = _delivered(spark, root)
+    return found
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_envelope": bronze_envelope,
     "bronze_stream": bronze_stream,
     "bronze_rerun_no_dup": bronze_rerun_no_dup,
+    "bronze_pruned": bronze_pruned,
     "offset_gaps": offset_gaps_query,
     "rows_per_kafka_date": rows_per_kafka_date,
     "silver_flatten": silver_flatten,
@@ -281,10 +358,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "compaction_preserves_rows": compaction_preserves_rows,
     "compaction_notes_updates": compaction_notes_updates,
     "schema_evolution": schema_evolution,
+    "schema_evolution_back": schema_evolution_back,
+    "schema_evolution_back_folded": schema_evolution_back_folded,
+    "silver_backlog": silver_backlog,
     "sse_extract": sse_extract,
+    "feed_stream": feed_stream,
     "publish_log": publish_log,
     "publish_stream": publish_stream,
     "feed_to_state": feed_to_state,
     "tail_after_mark": tail_after_mark,
     "tail_stream": tail_stream,
+    "tail_resumed": tail_resumed,
 }

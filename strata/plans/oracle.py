@@ -77,14 +77,35 @@ _THREE = 'CASE WHEN "partition" IN (2, 3) THEN 0 WHEN "partition" = 0 THEN 1 ELS
 _RAW = _LOG + ' SELECT topic, "partition", "offset", kafka_date, raw_values FROM log'
 _ONE_BATCH = _winner("0", _STATE)
 
-_PUBLISHED = _LOG + """, numbered AS (
-  SELECT topic, raw_values AS value, row_number() OVER (ORDER BY event_id) - 1 AS place
-  FROM log WHERE json_valid(raw_values)
-) SELECT topic, CAST(place % 4 AS INTEGER) AS "partition", place // 4 AS "offset", value FROM numbered"""
+_PUBLISHED = _LOG + " SELECT raw_values AS value FROM log WHERE json_valid(raw_values)"
+
+
+def _tail(days: int) -> str:
+    """What lies past the marks of the log without its last ``days`` days, and in those days."""
+    return _LOG + f""", days AS (
+      SELECT kafka_date FROM log GROUP BY kafka_date ORDER BY kafka_date DESC LIMIT {days}
+    ), marks AS (
+      SELECT topic, "partition", max("offset") AS mark FROM log
+      WHERE kafka_date < (SELECT min(kafka_date) FROM days) GROUP BY topic, "partition"
+    ) SELECT log.topic, log."partition", log."offset", raw_values AS value
+    FROM log LEFT JOIN marks ON log.topic = marks.topic AND log."partition" = marks."partition"
+    WHERE kafka_date IN (SELECT kafka_date FROM days) AND (mark IS NULL OR log."offset" > mark)"""
+
+
+_KEPT = _FLAT + f""", ranked AS (
+  SELECT *, {_TWO} AS batch, row_number() OVER (PARTITION BY meta_id, {_TWO} ORDER BY {_NEWEST}) AS rn
+  FROM valid
+), newest AS (SELECT * FROM ranked WHERE rn = 1), added AS (
+  SELECT meta_id, CAST(length(title) AS INTEGER) AS title_length FROM newest WHERE batch = 0
+) SELECT newest.meta_id, id, type, event_second, title_length
+  FROM newest LEFT JOIN added ON newest.meta_id = added.meta_id
+  WHERE batch = (SELECT max(batch) FROM newest AS n WHERE n.meta_id = newest.meta_id)"""
 
 ORACLE_SQL: dict[str, str] = {
     "bronze_envelope": _RAW,
-    "bronze_stream": _RAW,
+    "bronze_stream": _LOG
+    + ' SELECT topic, "partition", "offset", kafka_date, raw_values, true AS is_stamped FROM log',
+    "bronze_pruned": _RAW + " WHERE kafka_date = (SELECT max(kafka_date) FROM log)",
     "bronze_rerun_no_dup": _LOG + ' SELECT "partition", count(*) AS n FROM log GROUP BY "partition"',
     "offset_gaps": _LOG + """, spaced AS (
       SELECT topic, "partition", "offset" + "offset" // 50 AS "offset" FROM log
@@ -99,7 +120,7 @@ ORACLE_SQL: dict[str, str] = {
       SELECT CASE WHEN corrupt_json IS NOT NULL THEN 'corrupt' WHEN meta_id IS NULL THEN 'keyless'
         ELSE 'valid' END AS class, count(*) AS n FROM texts GROUP BY 1""",
     "latest_per_key": _ONE_BATCH,
-    "silver_first_load": _ONE_BATCH,
+    "silver_first_load": _winner("0", _STATE + ", true AS is_stamped"),
     "merge_two_batches": _winner(_TWO, _STATE),
     "silver_stream": _ONE_BATCH,
     "silver_current": _winner(_THREE, _STATE),
@@ -109,18 +130,18 @@ ORACLE_SQL: dict[str, str] = {
     "schema_evolution": _winner(
         _TWO, _STATE + ", CASE WHEN batch = 1 THEN CAST(length(title) AS INTEGER) END AS title_length"
     ),
+    "schema_evolution_back": _KEPT,
+    "schema_evolution_back_folded": _KEPT,
+    "silver_backlog": _winner('"offset" % 12', _STATE),
+    "feed_stream": _PUBLISHED,
     "sse_extract": _LOG + """
       SELECT event_id, raw_values AS value, json_valid(raw_values) AS is_json
       FROM log WHERE raw_values IS NOT NULL""",
     "publish_log": _PUBLISHED,
     "publish_stream": _PUBLISHED,
     "feed_to_state": _ONE_BATCH,
-    "tail_stream": _LOG + """, days AS (
-      SELECT *, kafka_date = (SELECT max(kafka_date) FROM log) AS is_newest FROM log
-    ), placed AS (
-      SELECT *, row_number() OVER (ORDER BY is_newest, event_id) - 1 AS place FROM days
-    ) SELECT topic, CAST(place % 4 AS INTEGER) AS "partition", place // 4 AS "offset", raw_values AS value
-    FROM placed WHERE is_newest""",
+    "tail_stream": _tail(1),
+    "tail_resumed": _tail(2),
     "tail_after_mark": _LOG + """, marks AS (
       SELECT topic, "partition", max("offset") AS mark FROM log
       WHERE kafka_date < (SELECT max(kafka_date) FROM log) GROUP BY topic, "partition"

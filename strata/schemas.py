@@ -54,6 +54,13 @@ SILVER_FROM_PAYLOAD = {
 
 # End of the fixed values.
 
+# A published payload and where in the captured feed it is from.
+PAYLOAD_FILE = T.StructType([
+    T.StructField("value", T.StringType()),
+    T.StructField("file", T.StringType()),
+    T.StructField("block", T.LongType()),
+])
+
 # JSON text takes half the space of Spark's default codec, at no cost in time.
 COMPRESSION = {"compression": "zstd"}
 

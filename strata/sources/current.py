@@ -6,17 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from strata import layers
-from strata.operators.merged import read_layers
+from strata.operators.merged import columns_of, read_layers
 from strata.schemas import KEY, SILVER
 
 
 def read_current(
     spark: SparkSession, table: str, key: str = KEY, schema: T.StructType | None = SILVER
 ) -> DataFrame:
-    """The table as of now. ``schema=None`` merges the columns of all batches instead."""
+    """The table as of now: the declared columns of ``schema``, then others that it has.
+
+    ``schema=None`` declares none; the table must exist then.
+    """
     chosen = layers.live(spark, table)
-    if chosen:
-        return read_layers(spark, table, chosen, key, schema)
-    if schema is None:
+    if not chosen and schema is None:
         raise FileNotFoundError(f"no batch was written to {table}")
-    return spark.createDataFrame([], schema)
+    declared = schema or T.StructType()
+    others = [f for f in columns_of(spark, table, chosen) if f.name not in declared.names]
+    columns = T.StructType([*declared.fields, *others])
+    if not chosen:
+        return spark.createDataFrame([], columns)
+    return read_layers(spark, table, chosen, key, columns).select(*columns.names)

@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Sorts blocks of lines as the feed sent them, given capture files named in feed order. One
-# task reads a block, line by line.
-FEED_ORDER = ("file", "block")
-
 
 def read_feed(
     spark: SparkSession, path: str, *, stream: bool = True, max_files: int | None = None

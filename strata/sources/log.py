@@ -61,10 +61,14 @@ def read_file_log(
     max_files: int | None = None,
     max_bytes: int | None = None,
 ) -> DataFrame:
-    """A log kept as parquet files. ``max_files`` or ``max_bytes`` bound one micro-batch."""
+    """A log kept as parquet files by ``run_capture`` or another of Spark's file sinks.
+
+    Only what the sink committed is read, and only the log's columns. ``max_files`` or
+    ``max_bytes`` bound one micro-batch.
+    """
     reader = (spark.readStream if stream else spark.read).schema(LOG)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*LOG.names)

@@ -1,11 +1,13 @@
 """Jobs that drain their source and stop."""
 
 from strata.streaming.bronze import run_bronze
-from strata.streaming.publish import append_to_log, read_log, run_publish
+from strata.streaming.capture import run_capture
+from strata.streaming.loss import lost_since_last_check
+from strata.streaming.publish import run_publish
 from strata.streaming.silver import apply_batch, run_silver
-from strata.streaming.tail import print_tail, tail_file_log
+from strata.streaming.tail import preview_tail, tail_file_log
 
 __all__ = [
-    "append_to_log", "apply_batch", "print_tail", "read_log", "run_bronze", "run_publish",
-    "run_silver", "tail_file_log",
+    "apply_batch", "lost_since_last_check", "preview_tail", "run_bronze", "run_capture", "run_publish", "run_silver",
+    "tail_file_log",
 ]

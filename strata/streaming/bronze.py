@@ -10,13 +10,24 @@ from strata.schemas import COMPRESSION, PARTITION_DATE
 
 
 def run_bronze(
-    log: DataFrame, landing_path: str, checkpoint: str, table_format: str = "parquet"
+    log: DataFrame,
+    landing_path: str,
+    checkpoint: str,
+    table_format: str = "parquet",
+    *,
+    gather_dates: bool = False,
 ) -> StreamingQuery:
     """Append what the log holds beyond the checkpoint, partitioned by date, and stop.
 
-    Map-only: each task writes the dates of its own slice of the log. Failures are raised.
+    Map-only by default: each task writes the dates of its own slice of the log, which are one
+    or two where a log is read soon after it is written. A backlog of many dates would make one
+    file per task and date; ``gather_dates`` rebalances the records first, so that each date
+    becomes few files of even size. Failures are raised.
     """
-    sink = envelope(log).writeStream.partitionBy(PARTITION_DATE)
+    rows = envelope(log)
+    if gather_dates:
+        rows = rows.hint("rebalance", PARTITION_DATE)
+    sink = rows.writeStream.partitionBy(PARTITION_DATE)
     if table_format == "parquet":
         sink = sink.options(**COMPRESSION)
     query = (

@@ -1,140 +1,42 @@
-"""Feed lines -> log."""
+"""Feed lines -> Kafka topic, or files of payloads."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata import folders, layers
 from strata.operators.sse import sse_payloads
-from strata.schemas import LOG
-from strata.sources.feed import FEED_ORDER
-
-# monotonically_increasing_id() counts a task's rows in its lower 33 bits.
-_ROW_BITS = (1 << 33) - 1
-
-# There is one piece per task or file block; this many are a few megabytes.
-MAX_BROADCAST_PIECES = 50_000
-
-
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log's complete batches, with the columns of the Kafka source."""
-    complete = layers.live(spark, path)
-    if not complete:
-        return spark.createDataFrame([], LOG)
-    return spark.read.schema(LOG).parquet(*(layer.path(path) for layer in complete))
-
-
-def append_to_log(
-    records: DataFrame,
-    path: str,
-    *,
-    topic: str,
-    writer: str,
-    batch_id: int,
-    partitions: int = 4,
-    pieces: Sequence[str] = (),
-) -> None:
-    """Append the ``value`` texts of one batch, dealt out to the topic's partitions in turn.
-
-    Offsets continue where the log ends, without gaps. Records have no key. ``partitions``
-    belongs to the topic and must stay the same. Delivering a batch again changes nothing.
-
-    Records are numbered in the order they lie in: task by task, and by row in a task. Tasks
-    that read files are in no order, so ``pieces`` may name columns to go by instead of the
-    task, such as a file and its block; all rows of a piece must lie in one task.
-
-    Rows are numbered as tasks write them to a staging folder, because a row's number must
-    not change when a lost executor makes Spark compute it again.
-    """
-    spark = records.sparkSession
-    target = layers.next_layer(spark, path, writer, batch_id)
-    if target is None:
-        return
-    staging = f"{path}/_staging/{target.value}"
-    piece = F.struct(*pieces) if pieces else F.struct(F.spark_partition_id().alias("task"))
-    numbered = records.select(
-        F.col("value").cast("binary").alias("value"),
-        piece.alias("piece"),
-        F.monotonically_increasing_id().bitwiseAND(_ROW_BITS).alias("row"),
-    )
-    layers.whole_folder(numbered).parquet(staging)
-    staged = spark.read.schema(numbered.schema).parquet(staging)
-
-    # One row per piece, with the number its first row gets.
-    counted = staged.groupBy("piece").agg(F.count("*").alias("n"), F.min("row").alias("first"))
-    earlier = Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    begin = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")
-    begins = counted.select("piece", begin.alias("begin"))
-    if counted.count() <= MAX_BROADCAST_PIECES:
-        begins = F.broadcast(begins)
-
-    place = F.lit(_length(spark, path, partitions)) + F.col("begin") + F.col("row")
-    placed = (
-        staged.join(begins, "piece")
-        .select("value", place.alias("place"))
-        .select(
-            F.lit(topic).alias("topic"),
-            (F.col("place") % partitions).cast("int").alias("partition"),
-            F.expr(f"place div {partitions}").alias("offset"),
-            F.current_timestamp().alias("timestamp"),
-            "value",
-        )
-        .select(*LOG.names)
-    )
-    layers.whole_folder(placed).parquet(target.path(path))
-    folders.remove(spark, staging)
-
-
-def _length(spark: SparkSession, path: str, partitions: int) -> int:
-    """How many records the log holds; its last batch that has any tells."""
-    place = F.col("offset") * partitions + F.col("partition")
-    for layer in layers.live(spark, path):
-        last = spark.read.schema(LOG).parquet(layer.path(path)).agg(F.max(place)).first()[0]
-        if last is not None:
-            return last + 1
-    return 0
+from strata.schemas import COMPRESSION, PAYLOAD_FILE
 
 
 def run_publish(
     feed: DataFrame,
     checkpoint: str,
     *,
-    topic: str,
-    path: str | None = None,
+    topic: str | None = None,
     servers: str | None = None,
-    partitions: int = 4,
+    path: str | None = None,
 ) -> StreamingQuery:
-    """Publish the JSON payloads of a feed to a file log (``path``) or to Kafka (``servers``).
+    """Publish the JSON payloads of a feed to Kafka (``servers``, ``topic``) or to files (``path``).
 
-    Lines that are not JSON are dropped; the query's progress counts them as
-    ``observedMetrics["feed"]``.
+    Map-only either way. Files hold each payload with the file and block of the feed it is
+    from; positions in a topic are Kafka's to give. Lines that are not JSON are dropped; the
+    query's progress counts them as ``observedMetrics["feed"]``.
     """
-    if (path is None) == (servers is None):
-        raise ValueError("give either path or servers")
+    if (path is None) == (servers is None) or (servers is not None and topic is None):
+        raise ValueError("give either path, or servers and topic")
     counted = sse_payloads(feed).observe(
         "feed",
         F.count("*").alias("n_payloads"),
         F.count_if(~F.col("is_json")).alias("n_not_json"),
     )
-    good = counted.filter("is_json").drop("is_json")
-
+    good = counted.filter("is_json")
     if servers is not None:
         options = {"kafka.bootstrap.servers": servers, "topic": topic}
         sink = good.select("value").writeStream.format("kafka").options(**options)
     else:
-        writer = layers.writer_of(feed.sparkSession, checkpoint)
-
-        def write(batch: DataFrame, batch_id: int) -> None:
-            append_to_log(
-                batch, path, topic=topic, writer=writer, batch_id=batch_id,
-                partitions=partitions, pieces=FEED_ORDER,
-            )
-
-        sink = good.writeStream.foreachBatch(write)
+        sink = good.select(*PAYLOAD_FILE.names).writeStream.format("parquet").options(path=path, **COMPRESSION)
     query = sink.trigger(availableNow=True).option("checkpointLocation", checkpoint).start()
     query.awaitTermination()
     return query

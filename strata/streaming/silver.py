@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata import layers
-from strata.operators.compact import compact
+from strata.operators.compact import MIN_SHARE, NOTE_FROM_BYTES, compact
 from strata.operators.delta import compact_delta, upsert_delta
 from strata.operators.latest import LINEAGE, latest_per_key
 from strata.operators.refine import flatten, valid
@@ -47,10 +47,15 @@ def run_silver(
     checkpoint: str,
     *,
     table_format: str = "parquet",
-    min_share: float = 0.25,
+    min_share: float = MIN_SHARE,
+    note_from: int = NOTE_FROM_BYTES,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Upsert what the raw table gained since the checkpoint, stop, then compact.
 
+    ``min_share`` and ``note_from`` are those of ``compact``, which also runs after every
+    ``fold_every`` micro-batches of a long backlog.
+
     Only the payload text and the log position are read from the raw table. The payload is
     parsed once, in the stream's own plan. A failing batch ends the stream with an error;
     a failing compaction is only logged, as the state is complete without it.
@@ -62,7 +67,7 @@ def run_silver(
             if table_format == "delta":
                 compact_delta(spark, table)
             else:
-                compact(spark, table, min_share=min_share)
+                compact(spark, table, min_share=min_share, note_from=note_from)
         except Exception:
             log.warning("compaction of %s failed", table, exc_info=True)
 
@@ -76,7 +81,7 @@ def run_silver(
 
         def write(batch: DataFrame, batch_id: int) -> None:
             apply_batch(batch, table, writer=writer, batch_id=batch_id)
-            if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
+            if batch_id % fold_every == fold_every - 1:
                 fold()
 
     stream = flatten(raw, LINEAGE).writeStream.foreachBatch(write)

@@ -6,26 +6,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata import folders
+from strata import folders, layers
 from strata.operators.tail import end_offsets, tail_after
 from strata.sources.log import read_file_log
-from strata.streaming.publish import read_log
 
+_MARKS = "topic string, partition int, mark long"
 
-def tail_file_log(spark: SparkSession, path: str) -> DataFrame:
-    """Stream of the records beyond the end that a file log has now."""
-    return tail_after(read_file_log(spark, path), end_offsets(read_log(spark, path)))
 
+def tail_file_log(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
+    """Stream of the records beyond the end that a file log has when ``checkpoint`` is first used.
 
-def print_tail(log: DataFrame, *, checkpoint: str | None = None, drain: bool = False) -> StreamingQuery:
-    """Print each micro-batch of the stream ``log``, with the value as text.
-
-    Runs until stopped, or until the source is empty with ``drain``. Without a
-    ``checkpoint`` the progress goes to a scratch folder, and a rerun starts anew.
+    That end is kept beside the checkpoint, so that a tail that was stopped goes on where it
+    was: what arrived meanwhile is delivered, too.
+    """
+    kept = f"{checkpoint}/start_marks"
+    if not folders.is_complete(spark, kept):
+        ends = end_offsets(read_file_log(spark, path, stream=False))
+        layers.whole_folder(ends.coalesce(1)).parquet(kept)
+    return tail_after(read_file_log(spark, path), spark.read.schema(_MARKS).parquet(kept))
+
+
+def preview_tail(
+    log: DataFrame, *, rows: int = 20, checkpoint: str | None = None, drain: bool = False
+) -> StreamingQuery:
+    """Print the first ``rows`` records of each micro-batch, with the value as text.
+
+    A look at a log, not a delivery of it: what a micro-batch holds beyond ``rows`` is not
+    printed, and Spark says so. ``run_capture`` delivers every record. Runs until stopped, or
+    until the source is empty with ``drain``. Without a ``checkpoint`` the progress goes to a
+    scratch folder, and a rerun starts anew.
     """
     shown = log.withColumn("value", F.col("value").cast("string"))
     progress = checkpoint or folders.scratch(log.sparkSession)
-    writer = shown.writeStream.format("console").options(truncate="false", checkpointLocation=progress)
+    writer = shown.writeStream.format("console").options(
+        truncate="false", numRows=rows, checkpointLocation=progress
+    )
     if drain:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -2,6 +2,7 @@ import json
 import pkgutil
 import subprocess
 import sys
+import time
 from types import SimpleNamespace
 from unittest.mock import MagicMock
 
@@ -13,9 +14,9 @@ import strata
 from strata import cli, folders
 from strata.operators.delta import compact_delta, upsert_delta
 from strata.schemas import BRONZE, LOG, PAYLOAD, SILVER
-from strata.sources import read_current, read_feed, read_kafka, read_kafka_tail
+from strata.sources import read_current, read_feed, read_file_log, read_kafka, read_kafka_tail
 from strata.sources.log import kafka_options
-from strata.streaming import run_publish
+from strata.streaming import lost_since_last_check, run_bronze, run_publish
 
 
 def test_declared_columns():
@@ -87,14 +88,10 @@ def test_scratch_uses_the_shared_folder(spark):
     assert first.startswith(shared) and first != second
 
 
-def test_a_local_folder_is_used_only_by_local_sessions():
-    def session(master):
-        return SimpleNamespace(conf=SimpleNamespace(get=lambda _, default: default),
-                               sparkContext=SimpleNamespace(master=master))
-
-    assert "strata-" in folders.scratch(session("local[2]"))
-    with pytest.raises(ValueError):
-        folders.scratch(session("yarn"))
+def test_scratch_is_under_the_warehouse_where_no_folder_is_named():
+    known = {"spark.sql.warehouse.dir": "hdfs:/warehouse"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: known.get(name, default)))
+    assert folders.scratch(session).startswith("hdfs:/warehouse/strata-")
 
 
 def test_feed_to_state_through_the_command_line(spark):
@@ -104,8 +101,16 @@ def test_feed_to_state_through_the_command_line(spark):
         for i in range(8):
             payload = {"meta": {"id": f"k{i % 3}"}, "title": f"t{i}", "timestamp": 100 + i}
             file.write(f"event: message\ndata: {json.dumps(payload)}\n\n")
-    assert cli.main(["publish", "--feed_path", f"{root}/feed", "--topic", "t", "--log_path", f"{root}/log",
-                     "--checkpoint", f"{root}/c0"]) == 0
+    assert cli.main(["publish", "--feed_path", f"{root}/feed", "--output_path", f"{root}/payloads",
+                     "--max_files", "1", "--checkpoint", f"{root}/c0"]) == 0
+    # A broker would number the records; here they are numbered in the order of the feed.
+    payloads = sorted(spark.read.parquet(f"{root}/payloads").collect(), key=lambda r: json.loads(r.value)["timestamp"])
+    records = [("t", 0, n, None, r.value.encode()) for n, r in enumerate(payloads)]
+    spark.createDataFrame(records, LOG).write.parquet(f"{root}/arrived")
+    assert cli.main(["capture", "--log_path", f"{root}/arrived", "--output_path", f"{root}/log",
+                     "--checkpoint", f"{root}/c00"]) == 0
+    assert cli.main(["tail", "--log_path", f"{root}/log", "--output_path", f"{root}/tail", "--checkpoint",
+                     f"{root}/c3", "--drain"]) == 0
     assert cli.main(["bronze", "--log_path", f"{root}/log", "--landing_path", f"{root}/bronze",
                      "--checkpoint", f"{root}/c1"]) == 0
     assert cli.main(["silver", "--bronze_path", f"{root}/bronze", "--silver_landing_layer", f"{root}/silver",
@@ -121,12 +126,38 @@ def test_bronze_can_check_for_lost_records(spark):
     def job(offsets, mode):
         rows = spark.createDataFrame([("t", 0, o, None, b"x") for o in offsets], LOG)
         rows.write.mode(mode).parquet(f"{root}/log")
+        time.sleep(0.02)  # files are told apart by their time
         return cli.main(["bronze", "--log_path", f"{root}/log", "--landing_path", f"{root}/b",
                          "--checkpoint", f"{root}/c", "--check_gaps"])
 
     assert job([0, 1, 2], "overwrite") == 0
     assert job([3, 5], "append") == 1
     assert job([4], "append") == 0
+    assert job([6, 7], "append") == 0
+    assert job([9], "append") == 1
+
+
+def test_the_loss_check_opens_only_new_files(spark):
+    root = folders.scratch(spark)
+    log = spark.createDataFrame([("t", 0, o, None, b"x") for o in range(50)], LOG)
+    log.write.parquet(f"{root}/log")
+    for run in range(2):
+        run_bronze(read_file_log(spark, f"{root}/log"), f"{root}/b", f"{root}/c")
+        if run:
+            ends = spark.read.parquet(f"{root}/c/checked/1")
+            since = ends.first().until
+            landed = spark.read.parquet(f"{root}/b")
+            new = landed.filter(F.col("_metadata.file_modification_time") > F.lit(since))
+            scans = new.select("offset")
+            scans.collect()
+            metrics = scans._jdf.queryExecution().executedPlan().collectLeaves().head().metrics()
+            assert metrics.apply("numFiles").value() == 1 < len(landed.inputFiles())
+        assert lost_since_last_check(spark, f"{root}/b", f"{root}/c") == 0
+        log.withColumn("offset", F.col("offset") + 50).coalesce(1).write.mode("append").parquet(f"{root}/log")
+        time.sleep(0.02)
+    with pytest.raises(SystemExit):
+        cli.main(["bronze", "--EXTERNAL_IP", "h:1", "--topic", "t", "--landing_path", "b", "--checkpoint", "c",
+                  "--check_gaps"])
 
 
 def test_failures_become_exit_codes(spark):

@@ -1,12 +1,15 @@
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from strata import folders
-from strata.operators import offset_gaps, sse_payloads
-from strata.sources import read_feed
-from strata.streaming import append_to_log, print_tail, publish, read_log, run_publish, tail_file_log
+from strata.operators import sse_payloads
+from strata.schemas import LOG
+from strata.sources import read_feed, read_file_log
+from strata.streaming import preview_tail, run_bronze, run_capture, run_publish, tail_file_log
 
 
 @pytest.fixture
@@ -14,19 +17,6 @@ def root(spark):
     return folders.scratch(spark)
 
 
-def _values(spark, numbers):
-    return spark.createDataFrame([(n, str(n)) for n in numbers], "n int, value string")
-
-
-def _sorted(spark, numbers):
-    return _values(spark, numbers).repartition(3).repartitionByRange(3, "n").sortWithinPartitions("n")
-
-
-def _rows(spark, path):
-    got = read_log(spark, path).select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
-    return sorted(tuple(r) for r in got.collect())
-
-
 def test_sse_lines(spark):
     lines = ["", ":ok", "event: message", "id: 7", 'data: {"a":1}', 'data:{"a":2}', "data: {bad", "data: ",
              " data: {}", 'data: {"b":"data: x"}']
@@ -36,94 +26,124 @@ def test_sse_lines(spark):
     ]
 
 
-def test_records_are_dealt_out_in_order_across_batches(spark, root):
-    def put(numbers, batch_id):
-        append_to_log(_sorted(spark, numbers), root, topic="t", writer="w", batch_id=batch_id, partitions=4)
-
-    put(range(10), 0)
-    put([], 1)
-    put(range(10, 17), 2)
-    put(range(10, 17), 2)
-    assert _rows(spark, root) == sorted(("t", n % 4, n // 4, str(n)) for n in range(17))
-
-
-def test_unordered_records_get_every_offset_once(spark, root):
-    for batch_id in range(2):
-        append_to_log(_values(spark, range(101)).repartition(5), root, topic="t", writer="w", batch_id=batch_id,
-                      partitions=3)
-    rows = _rows(spark, root)
-    assert sorted((o * 3 + p) for _, p, o, _ in rows) == list(range(202))
-    assert sorted(int(v) for *_, v in rows) == sorted(list(range(101)) * 2)
-    assert offset_gaps(read_log(spark, root)).isEmpty()
-    assert folders.names(spark, f"{root}/_staging") == []
-
-
-def _capture(spark, root, name, numbers):
+def _lines(root, name, numbers):
+    folder = f"{root}/feed"
+    os.makedirs(folder, exist_ok=True)
     lines = []
     for n in numbers:
         lines += ["event: message", "data: " + json.dumps({"n": n}), ""]
-    folder = f"{root}/feed"
-    folders.make(spark, folder)
     with open(f"{folder}/{name}.txt", "w") as file:
         file.write("\n".join([*lines, "data: {cut", ""]))
 
 
-def test_feed_is_published_in_order_and_only_once(spark, root):
+def test_feed_is_published_once(spark, root):
     def publish():
-        return run_publish(read_feed(spark, f"{root}/feed"), f"{root}/checkpoint", topic="t", path=f"{root}/log")
+        return run_publish(read_feed(spark, f"{root}/feed"), f"{root}/checkpoint", path=f"{root}/out")
 
-    _capture(spark, root, "1", range(5))
-    _capture(spark, root, "2", range(5, 9))
+    _lines(root, "1", range(5))
+    _lines(root, "2", range(5, 9))
     query = publish()
     counts = [p.observedMetrics["feed"] for p in query.recentProgress if "feed" in p.observedMetrics]
     assert [(c.n_payloads, c.n_not_json) for c in counts] == [(11, 2)]
     publish()
-    _capture(spark, root, "3", range(9, 12))
+    _lines(root, "3", range(9, 12))
     publish()
-    expected = sorted(("t", n % 4, n // 4, json.dumps({"n": n})) for n in range(12))
-    assert _rows(spark, f"{root}/log") == expected
+    rows = spark.read.parquet(f"{root}/out")
+    assert rows.columns == ["value", "file", "block"]
+    assert sorted(json.loads(r.value)["n"] for r in rows.collect()) == list(range(12))
+    places = {os.path.basename(r.file) for r in rows.collect()}
+    assert places == {"1.txt", "2.txt", "3.txt"}
 
 
-def test_publish_needs_one_place(spark, root):
-    with pytest.raises(ValueError):
-        run_publish(None, root, topic="t")
-
-
-def test_tail_shows_only_what_arrives_later(spark, root):
-    append_to_log(_sorted(spark, range(6)), f"{root}/log", topic="t", writer="w", batch_id=0)
-    tail = tail_file_log(spark, f"{root}/log")
-    append_to_log(_sorted(spark, range(6, 9)), f"{root}/log", topic="t", writer="w", batch_id=1)
-    seen = []
-    query = (
-        tail.writeStream.foreachBatch(lambda batch, _: seen.extend(batch.collect()))
-        .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    assert sorted(bytes(r.value).decode() for r in seen) == ["6", "7", "8"]
+def test_publishing_is_map_only(spark, root):
+    os.makedirs(f"{root}/feed")
+    plan = sse_payloads(read_feed(spark, f"{root}/feed", stream=False))._jdf.queryExecution().toString()
+    assert "Exchange" not in plan
 
 
-def test_console_tail_drains(spark, root):
-    append_to_log(_values(spark, range(3)), f"{root}/log", topic="t", writer="w", batch_id=0)
-    query = print_tail(tail_file_log(spark, f"{root}/log"), drain=True)
+def test_publish_needs_one_place(spark, root):
+    for places in ({"topic": "t"}, {"servers": "h:1"}, {"servers": "h:1", "topic": "t", "path": root}):
+        with pytest.raises(ValueError):
+            run_publish(None, root, **places)
+
+
+def _arrive(spark, root, numbers):
+    """Records with these offsets get to the file log, in two partitions."""
+    rows = [("t", n % 2, n // 2, None, str(n).encode()) for n in numbers]
+    spark.createDataFrame(rows, LOG).write.mode("append").parquet(f"{root}/arrived")
+    run_capture(read_file_log(spark, f"{root}/arrived"), f"{root}/log", f"{root}/log_checkpoint")
+
+
+def _tail(spark, root):
+    tail = tail_file_log(spark, f"{root}/log", f"{root}/checkpoint")
+    run_capture(tail, f"{root}/tail", f"{root}/checkpoint")
+    rows = read_file_log(spark, f"{root}/tail", stream=False).collect()
+    return sorted(int(bytes(r.value)) for r in rows)
+
+
+def test_a_tail_delivers_all_that_arrives_later(spark, root):
+    _arrive(spark, root, range(6))
+    assert _tail(spark, root) == []
+    _arrive(spark, root, range(6, 9))
+    assert _tail(spark, root) == [6, 7, 8]
+    # Stopped; more arrives, twice, before it is resumed.
+    _arrive(spark, root, range(9, 40))
+    _arrive(spark, root, range(40, 50))
+    assert _tail(spark, root) == list(range(6, 50))
+    assert _tail(spark, root) == list(range(6, 50))
+
+
+def test_a_preview_says_how_much_it_prints(spark, root, capfd):
+    _arrive(spark, root, range(4))
+    tail = tail_file_log(spark, f"{root}/log", f"{root}/checkpoint")
+    _arrive(spark, root, range(4, 104))
+    query = preview_tail(tail, rows=7, checkpoint=f"{root}/preview", drain=True)
     query.awaitTermination()
-    assert query.exception() is None
-
-
-def test_pieces_need_not_be_broadcast(spark, root, monkeypatch):
-    monkeypatch.setattr(publish, "MAX_BROADCAST_PIECES", 0)
-    append_to_log(_sorted(spark, range(50)), root, topic="t", writer="w", batch_id=0)
-    assert _rows(spark, root) == sorted(("t", n % 4, n // 4, str(n)) for n in range(50))
-
-
-def test_blocks_of_one_file_keep_the_feed_order(spark, root):
-    _capture(spark, root, "1", range(400))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    printed = ""
+    for _ in range(100):  # the console is the JVM's
+        printed += capfd.readouterr().out
+        if "only showing" in printed:
+            break
+        time.sleep(0.1)
+    assert printed.count("|t ") == 7 and "only showing top 7 rows" in printed
+
+
+def test_a_file_log_is_read_as_far_as_it_is_committed(spark, root):
+    _arrive(spark, root, range(10))
+    # An attempt that wrote its files and failed before it committed them.
+    half = spark.createDataFrame([("t", n % 2, n // 2, None, b"lost") for n in range(10, 20)], LOG)
+    half.write.mode("append").parquet(f"{root}/log")
+    _arrive(spark, root, range(10, 20))
+    log = read_file_log(spark, f"{root}/log")
+    assert log.columns == LOG.names
+    run_bronze(log, f"{root}/raw", f"{root}/raw_checkpoint")
+    raw = spark.read.parquet(f"{root}/raw")
+    assert sorted(int(r.raw_values) for r in raw.collect()) == list(range(20))
+    assert raw.select("partition", "offset").distinct().count() == 20
+
+
+def test_dates_of_a_backlog_are_gathered(spark, root):
+    days = F.expr("timestamp_seconds(1700000000 + 86400 * (id % 30))")
+    rows = spark.range(0, 2400, 1, 24).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+        days.alias("timestamp"), F.encode(F.col("id").cast("string"), "utf-8").alias("value"),
+    )
+    rows.write.parquet(f"{root}/log")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # a task per file
     try:
-        feed = read_feed(spark, f"{root}/feed", stream=False)
-        assert feed.select("block").distinct().count() > 5
-        run_publish(read_feed(spark, f"{root}/feed"), f"{root}/checkpoint", topic="t", path=f"{root}/log")
+        for name, gather in (("spread", False), ("gathered", True)):
+            log = read_file_log(spark, f"{root}/log")
+            run_bronze(log, f"{root}/{name}", f"{root}/{name}_checkpoint", gather_dates=gather)
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert _rows(spark, f"{root}/log") == sorted(("t", n % 4, n // 4, json.dumps({"n": n})) for n in range(400))
+    files = {}
+    for name in ("spread", "gathered"):
+        landed = spark.read.parquet(f"{root}/{name}")
+        assert landed.count() == 2400
+        files[name] = len(landed.inputFiles())
+    assert files["spread"] > 10 * files["gathered"] and files["gathered"] <= 45
+    one = spark.read.parquet(f"{root}/gathered").filter("kafka_date = '2023-11-20'")
+    assert one.count() == 80
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("PartitionFilters"):]
+    assert "kafka_date" in scan[:scan.index("]")]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from strata import folders
 from strata.operators import upsert
 from strata.sources import read_current
-from strata.streaming import append_to_log, read_log
 from tests.test_upsert import SCHEMA
 
 
@@ -50,11 +49,13 @@ def test_upsert_survives_lost_tasks(spark, failing_once):
     assert got == list(range(400))
 
 
-def test_publishing_survives_lost_tasks(spark, failing_once):
-    path = folders.scratch(spark)
-    rows = _rows(spark, failing_once, 8).select(F.col("id").cast("string").alias("value"))
-    append_to_log(rows, path, topic="t", writer="w", batch_id=0, partitions=3)
-    text = F.col("value").cast("string").alias("value")
-    rows = read_log(spark, path).select("partition", "offset", text).collect()
-    got = {(r.partition, r.offset): int(r.value) for r in rows}
-    assert got == {(n % 3, n // 3): n for n in range(400)}
+def test_keeping_columns_survives_lost_tasks(spark, failing_once):
+    table = folders.scratch(spark)
+    day = F.lit(date(2024, 1, 1)).alias("kafka_date")
+    key = F.col("id").cast("string").alias("meta_id")
+    first = spark.range(400).select(key, day, F.col("id").cast("int").alias("v"), F.lit("x").alias("extra"))
+    upsert(first, table, writer="w", batch_id=0)
+    rows = _rows(spark, failing_once, 8).select(key, day, (F.col("id") + 1000).cast("int").alias("v"))
+    upsert(rows, table, writer="w", batch_id=1)
+    got = read_current(spark, table, schema=None).collect()
+    assert sorted(r.v for r in got) == list(range(1000, 1400)) and {r.extra for r in got} == {"x"}

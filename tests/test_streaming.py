@@ -96,7 +96,6 @@ def test_long_backlog_is_folded_on_the_way(spark, root, monkeypatch):
     for i in range(5):
         _append(spark, root, i, [_payload("a", f"t{i}", 100 - i), _payload(f"k{i}", f"t{i}", 1)])
         _bronze(spark, root)
-    monkeypatch.setattr(silver, "FOLD_EVERY", 2)
     folds = []
     real = silver.compact
 
@@ -105,7 +104,9 @@ def test_long_backlog_is_folded_on_the_way(spark, root, monkeypatch):
         return real(spark, table, **options)
 
     monkeypatch.setattr(silver, "compact", counted)
-    _silver(spark, root, max_files=1)
+    run_silver(
+        read_raw(spark, f"{root}/bronze", max_files=1), f"{root}/silver", f"{root}/silver_checkpoint", fold_every=2
+    )
     assert len(folds) >= 3 and max(folds) <= 4
     assert _titles(spark, root) == {"a": "t4", **{f"k{i}": f"t{i}" for i in range(5)}}
 

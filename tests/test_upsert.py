@@ -173,6 +173,48 @@ def test_added_column(spark, table):
     assert rows() == {"a": (2, D1, "x"), "b": (1, D1, None)}
 
 
+def test_column_that_a_batch_lacks_keeps_its_values(spark, table):
+    first = _batch(spark, [("a", 1, D1), ("b", 1, D1)]).withColumn("extra", F.col("meta_id"))
+    upsert(first, table, writer="w", batch_id=0)
+    _put(spark, table, [("a", 2, D2), ("c", 2, D1)], 1)
+    _put(spark, table, [("a", 2, D2), ("c", 2, D1)], 1)  # delivered again
+
+    def rows():
+        got = read_current(spark, table, schema=SCHEMA)
+        assert got.columns == [*SCHEMA.names, "extra"]
+        return {r.meta_id: (r.v, r.kafka_date, r.extra) for r in got.collect()}
+
+    expected = {"a": (2, D2, "a"), "b": (1, D1, "b"), "c": (2, D1, None)}
+    assert rows() == expected
+    _put(spark, table, [("b", 3, D1)], 2)
+    expected["b"] = (3, D1, "b")
+    assert rows() == expected
+    assert _fold(spark, table)
+    assert rows() == expected
+    upsert(_batch(spark, [("c", 4, D1)]).withColumn("extra", F.lit("y")), table, writer="w", batch_id=3)
+    _put(spark, table, [("c", 5, D1)], 4)
+    assert rows() == expected | {"c": (5, D1, "y")}
+
+
+def test_wide_updates_are_folded_and_not_noted(spark, table):
+    limit = 100_000
+    keys = F.col("id").cast("string").alias("meta_id")
+    for batch_id, share in enumerate((1_200_000, 1_000_000, 10)):
+        rows = spark.range(share).select(keys, F.lit(batch_id).alias("v"), F.lit(D1).alias("kafka_date"))
+        upsert(rows, table, writer="w", batch_id=batch_id)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(limit))
+    try:
+        assert compact(spark, table, min_share=float("inf"), note_from=0)
+        assert len(layers.live(spark, table)) == 2
+        read = read_current(spark, table, schema=SCHEMA)
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+        got = {r.v: r["count"] for r in read.groupBy("v").count().collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {2: 10, 1: 1_000_000 - 10, 0: 200_000}
+
+
 def test_only_rows_without_a_date(spark, table):
     _put(spark, table, [("a", 1, None)], 0)
     _put(spark, table, [("b", 2, None)], 1)
