@@ -1,6 +1,7 @@
 import json
 import os
-import time
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,18 +94,14 @@ def test_a_tail_delivers_all_that_arrives_later(spark, root):
     assert _tail(spark, root) == list(range(6, 50))
 
 
-def test_a_preview_says_how_much_it_prints(spark, root, capfd):
+def test_a_preview_says_how_much_it_prints(spark, root):
     _arrive(spark, root, range(4))
-    tail = tail_file_log(spark, f"{root}/log", f"{root}/checkpoint")
+    tail_file_log(spark, f"{root}/log", f"{root}/checkpoint")
     _arrive(spark, root, range(4, 104))
-    query = preview_tail(tail, rows=7, checkpoint=f"{root}/preview", drain=True)
-    query.awaitTermination()
-    printed = ""
-    for _ in range(100):  # the console is the JVM's
-        printed += capfd.readouterr().out
-        if "only showing" in printed:
-            break
-        time.sleep(0.1)
+    job = [sys.executable, "-m", "strata.cli", "tail", "--log_path", f"{root}/log", "--checkpoint",
+           f"{root}/checkpoint", "--preview_rows", "7", "--drain"]
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--conf spark.ui.enabled=false pyspark-shell"}
+    printed = subprocess.run(job, env=env, capture_output=True, text=True, check=True).stdout
     assert printed.count("|t ") == 7 and "only showing top 7 rows" in printed
 
 
