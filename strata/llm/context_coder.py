@@ -23,6 +23,7 @@ MOST_LANES = 4096
 LANE_LENGTH = 256
 
 _U = np.uint64
+_ZERO = _U(0)
 _TOP, _BOTTOM, _SHIFT, _HEAD = _U(1 << 48), _U(1 << 40), _U(16), _U(48)
 _SCALE = 1024  # sum of the three weights
 _STEP = 32  # what one occurrence adds to an order-0 count
@@ -80,20 +81,28 @@ class _Mixer:
         size = self.w0 * self.counts[ids] + self.mass1 * (self.a1 == ids) + self.mass2 * (self.a2 == ids)
         return start, size
 
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """The ids whose intervals hold the values."""
-        start1, size1 = self.interval(self.a1)
-        start2, size2 = self.interval(self.a2)
-        end1, end2 = start1 + size1, start2 + size2
-        is1 = (value >= start1) & (value < end1)
+    def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids whose intervals hold the values, and the intervals."""
+        below1, below2 = self.w0 * self.below[self.a1], self.w0 * self.below[self.a2]
+        start1 = below1 + np.where(self.a2 < self.a1, self.mass2, _ZERO)
+        start2 = below2 + np.where(self.a1 < self.a2, self.mass1, _ZERO)
+        size1 = self.w0 * self.counts[self.a1] + self.mass1 + np.where(self.same, self.mass2, _ZERO)
+        size2 = self.w0 * self.counts[self.a2] + self.mass2 + np.where(self.same, self.mass1, _ZERO)
+        # Before the start, a difference wraps around and is beyond any size.
+        is1 = value - start1 < size1
+        is2 = value - start2 < size2
         found = np.where(is1, self.a1, self.a2)
-        rest = np.flatnonzero(~is1 & ~((value >= start2) & (value < end2)))
-        left = value[rest]
-        passed = self.mass1[rest] * (left >= end1[rest]) + self.mass2[rest] * (left >= end2[rest])
-        left = (left - passed) // self.w0[rest]
+        start, size = np.where(is1, start1, start2), np.where(is1, size1, size2)
+        rest = np.flatnonzero(~(is1 | is2))
+        left, weight = value[rest], self.w0[rest]
+        passed = np.where(left >= start1[rest], self.mass1[rest], _ZERO)
+        passed += np.where(left >= start2[rest], self.mass2[rest], _ZERO)
+        left = (left - passed) // weight
         order = np.argsort(left)
-        found[rest[order]] = np.searchsorted(self.below, left[order], "right") - 1
-        return found
+        ids = np.empty(len(rest), np.int64)
+        ids[order] = np.searchsorted(self.below, left[order], "right") - 1
+        found[rest], start[rest], size[rest] = ids, weight * self.below[ids] + passed, weight * self.counts[ids]
+        return found, start, size
 
     def learn(self, ids: np.ndarray) -> None:
         right2, right1 = self.a2 == ids, self.a1 == ids
@@ -181,8 +190,7 @@ def decode(data: bytes) -> np.ndarray:
     for row in found:
         mixer.predict()
         unit = width // mixer.total
-        row[:] = mixer.find(np.minimum((code - low) // unit, mixer.total - _U(1)))
-        start, size = mixer.interval(row)
+        row[:], start, size = mixer.find(np.minimum((code - low) // unit, mixer.total - _U(1)))
         low += unit * start
         width = unit * size
         for move, _ in _moves(low, width):
