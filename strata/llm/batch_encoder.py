@@ -15,6 +15,7 @@ from itertools import chain
 import numpy as np
 
 from strata.llm import pretokens
+from strata.llm.hash_index import HashIndex, checks_of
 from strata.llm.shingles import hash_spans
 
 CHUNK_BYTES = 1 << 20
@@ -36,53 +37,22 @@ _SIGNS[sorted({*range(256)} - _PRINTABLE)] = 256 + np.arange(256 - len(_PRINTABL
 _LEAD = 0xC3  # first byte of all accented letters of plain texts
 
 
-class _Table:
-    """Ids of pre-tokens, by hash; open addressing, filled to a half at most."""
+class _Table(HashIndex):
+    """Ids of pre-tokens."""
 
     def __init__(self, bits: int):
-        self.mask = (1 << bits) - 1
-        self.keys = np.zeros(1 << bits, np.uint64)
-        self.checks = np.zeros(1 << bits, np.int64)
-        self.entry = np.full(1 << bits, -1, np.int32)
-        self.room = 1 << (bits - 1)
-        self.clear()
-
-    def clear(self) -> None:
-        self.entry[:] = -1
+        super().__init__(bits)
         self.ids = np.zeros(self.room, np.uint32)
         self.first = np.zeros(self.room + 1, np.int64)
-        self.size = 0
-
-    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
-        """The entries, or -1."""
-        found = np.full(len(keys), -1, np.int32)
-        left, slot = np.arange(len(keys)), (keys & np.uint64(self.mask)).astype(np.int64)
-        while len(left):
-            entry = self.entry[slot]
-            same = (entry >= 0) & (self.keys[slot] == keys[left]) & (self.checks[slot] == checks[left])
-            found[left[same]] = entry[same]
-            on = np.flatnonzero(~same & (entry >= 0))
-            left, slot = left[on], (slot[on] + 1) & self.mask
-        return found
 
-    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
-        """New and distinct entries."""
-        until = self.size + len(keys)
-        at, end = self.first[self.size], self.first[self.size] + len(ids)
+    def add_ids(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        at = self.first[self.size]
+        end = at + len(ids)
         if end > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(end, len(self.ids)), np.uint32)])
         self.ids[at:end] = ids
-        self.first[self.size + 1:until + 1] = at + np.cumsum(counts)
-        left, slot = np.arange(len(keys)), (keys & np.uint64(self.mask)).astype(np.int64)
-        while len(left):
-            free = np.flatnonzero(self.entry[slot] < 0)
-            _, first = np.unique(slot[free], return_index=True)
-            won = free[first]
-            self.keys[slot[won]], self.checks[slot[won]] = keys[left[won]], checks[left[won]]
-            self.entry[slot[won]] = self.size + left[won]
-            on = np.delete(np.arange(len(left)), won)
-            left, slot = left[on], (slot[on] + 1) & self.mask
-        self.size = until
+        self.first[self.size + 1:self.size + 1 + len(keys)] = at + np.cumsum(counts)
+        self.add(keys, checks)
 
 
 class BatchEncoder:
@@ -168,8 +138,7 @@ class BatchEncoder:
 
     def _entries(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         keys = hash_spans(data, starts, ends)
-        # A second key beside the hash: length, first and last byte.
-        checks = ((ends - starts) << 16) | (data[starts].astype(np.int64) << 8) | data[ends - 1]
+        checks = checks_of(data, starts, ends)
         entries = self.table.find(keys, checks)
         missing = np.flatnonzero(entries < 0)
         if self.table.size + len(missing) > self.table.room:
@@ -189,7 +158,7 @@ class BatchEncoder:
         signs, merge = _SIGNS[data].tobytes().decode("utf-16-le"), self.encoder.tokenizer.model.tokenize
         made = [[x.id for x in merge(signs[a:b])] for a, b in zip(starts.tolist(), ends.tolist())]
         counts = np.array([len(x) for x in made], np.int64)
-        self.table.add(keys, checks, np.fromiter(chain.from_iterable(made), np.uint32), counts)
+        self.table.add_ids(keys, checks, np.fromiter(chain.from_iterable(made), np.uint32), counts)
 
 
 _ENCODERS: dict[str, BatchEncoder] = {}

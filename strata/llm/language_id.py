@@ -27,7 +27,7 @@ ROWS_PER_LANGUAGE = 400
 SPAN_CHARACTERS = 3_000
 FOLDS = 5
 UNKNOWN = "und"
-CHUNK_WORDS = 1 << 17
+CHUNK_CHARACTERS = 1 << 20
 
 
 def is_held_out(of: Column) -> Column:
@@ -48,30 +48,36 @@ def fit(
     rows = documents.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")
     ).filter(F.col("lang").isNotNull() & ~is_held_out(F.col("id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    drawn = rows.select("id", "lang").withColumn("place", F.row_number().over(order))
+    # A language may hold most of the corpus: its share of a hash leaves about three times as many
+    # rows as are wanted, and only those are put in order.
+    n_rows = rows.groupBy("lang").agg(F.count("*").alias("n_rows"))
+    place = F.xxhash64("id", F.lit(1))
+    near = (F.pmod(place, F.lit(1 << 40)) / F.lit(1 << 40)) * F.col("n_rows") < 3 * rows_per_language
+    order = Window.partitionBy("lang").orderBy(place, "id")
+    drawn = rows.select("id", "lang").join(n_rows, "lang").filter(near)
+    drawn = drawn.withColumn("place", F.row_number().over(order))
     drawn = drawn.filter(F.col("place") <= rows_per_language).select("id").distinct()
     room = F.greatest(F.length("text") - span_characters, F.lit(1))
     begin = F.pmod(F.xxhash64("id", F.lit(3)), room).cast("int") + 1
     sample = rows.join(F.broadcast(drawn), "id", "left_semi").select(
         "id", "lang", F.col("text").substr(begin, F.lit(span_characters)).alias("text")
     )
-    spans: dict[str, list] = {}
+    spans: dict[str, list[str]] = {}
     for row in sorted(sample.collect(), key=lambda x: (str(x.lang), str(x.id), x.text or "")):
-        spans.setdefault(row.lang, []).append(word_crf.words_of(row.text))
+        spans.setdefault(row.lang, []).append(row.text)
     return word_crf.fit(spans)
 
 
-def _parts(texts: list) -> Iterator[list[list[str]]]:
-    """The words of the texts, in runs of bounded numbers of words; a long text is one of its own."""
-    held, n = [], 0
+def _parts(texts: list) -> Iterator[list]:
+    """Runs of texts of bounded size together; a long text is one of its own."""
+    held, size = [], 0
     for text in texts:
-        words = word_crf.words_of(text)
-        if held and n + len(words) > CHUNK_WORDS:
+        length = len(text or "")
+        if held and size + length > CHUNK_CHARACTERS:
             yield held
-            held, n = [], 0
-        held.append(words)
-        n += len(words)
+            held, size = [], 0
+        held.append(text)
+        size += length
     if held:
         yield held
 
@@ -93,7 +99,7 @@ def identify(
         for batch in batches:
             at = 0
             for part in _parts(batch.column(1).to_pylist()):
-                found = known.label(part) if names else [np.zeros((0, 0))] * len(part)
+                found = known.label(word_crf.words_of(part))
                 shares = [x.mean(0) if len(x) else None for x in found]
                 best = [None if x is None else int(np.argmax(x)) for x in shares]
                 columns = [

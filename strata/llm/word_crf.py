@@ -8,34 +8,100 @@ neighbouring words are learned, too. Marginals come from the forward-backward al
 from __future__ import annotations
 
 import re
-import zlib
-from collections import Counter
-from dataclasses import dataclass, field
-from itertools import chain
+from dataclasses import dataclass
 
 import numpy as np
 
-BUCKETS = 1 << 15
+from strata.llm import pretokens
+from strata.llm.hash_index import HashIndex, checks_of
+from strata.llm.shingles import hash_spans, mix
+
+BUCKETS = 1 << 16
 LEXICON_FROM = 3  # occurrences in the training words
-MOST_CACHED = 200_000
+TABLE_BITS = 20  # of the table of scores that a worker keeps
 SEGMENT = 64
+NGRAMS = (2, 3, 4)  # bytes
+AFFIXES = (1, 2, 3, 4)
 
 _WORD = re.compile(r"[^\W\d_]+")
+_IN_WORD = np.zeros(256, bool)
+_IN_WORD[97:123] = _IN_WORD[128:] = True
+
+
+@dataclass
+class Words:
+    """The words of some texts, as spans of lower-case bytes, and how many each text has."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    counts: np.ndarray
+
+
+def words_of(texts: list[str | None]) -> Words:
+    """Words are runs of letters. In plain texts all bytes beyond ASCII belong to letters; of other
+    texts only the words are kept."""
+    parts = []
+    for text in texts:
+        text = text or ""
+        plain = pretokens.is_plain(text)
+        text = text.lower()
+        if not plain:
+            text = " ".join(_WORD.findall(text))
+        parts.append(text.encode("utf-8", "surrogatepass"))
+    data = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], _IN_WORD[data])).view(np.int8)))
+    starts, ends = edge[0::2], edge[1::2]
+    cuts = np.concatenate(([0], np.cumsum([len(x) + 1 for x in parts])))
+    return Words(data, starts, ends, np.diff(np.searchsorted(starts, cuts)))
+
 
+def features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lexicon: np.ndarray):
+    """Hashed features of words: their buckets, word after word, and how many each word has."""
+    lengths = ends - starts
+    # The words with a mark on either side.
+    cuts = np.cumsum(lengths + 2) - (lengths + 2)
+    marked = np.full(int((lengths + 2).sum()), ord(">"), np.uint64)
+    marked[cuts] = ord("<")
+    place = np.repeat(cuts + 1 - starts, lengths) + _ranges(starts, lengths)
+    marked[place] = data[_ranges(starts, lengths)]
+    found, owner = [], []
 
-def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    def add(kind: int, of: np.ndarray, value: np.ndarray) -> None:
+        found.append((mix(value * np.uint64(8) + np.uint64(kind), 21) % np.uint64(BUCKETS)).astype(np.int32))
+        owner.append(of)
 
+    padded = np.concatenate([marked, np.zeros(4, np.uint64)])
+    word = np.repeat(np.arange(len(starts)), lengths + 2)
+    room = np.repeat(cuts + lengths + 2, lengths + 2) - np.arange(len(marked))
+    gram = marked.copy()
+    for n in range(2, max(NGRAMS) + 1):
+        gram = gram * np.uint64(256) + padded[n - 1:n - 1 + len(marked)]
+        if n in NGRAMS:
+            inside = room >= n
+            add(0, word[inside], gram[inside] * np.uint64(8) + np.uint64(n))
+    for n in AFFIXES:
+        long = np.flatnonzero(lengths >= n)
+        prefix = suffix = np.zeros(len(long), np.uint64)
+        for i in range(n):
+            prefix = prefix * np.uint64(256) + data[starts[long] + i]
+            suffix = suffix * np.uint64(256) + data[ends[long] - n + i]
+        add(1, long, prefix * np.uint64(8) + np.uint64(n))
+        add(2, long, suffix * np.uint64(8) + np.uint64(n))
+    keys = hash_spans(data, starts, ends)
+    if len(lexicon):
+        at = np.minimum(np.searchsorted(lexicon, keys), len(lexicon) - 1)
+        known = np.flatnonzero(lexicon[at] == keys)
+        add(3, known, keys[known])
+    owner = np.concatenate(owner)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(found)[order], np.bincount(owner, minlength=len(starts))
 
-def features(word: str, lexicon: frozenset[str]) -> list[int]:
-    """Hashed features of a word."""
-    found = [f"p{word[:i]}" for i in (1, 2, 3)] + [f"s{word[-i:]}" for i in (1, 2, 3)]
-    # A word of many letters has many n-grams; its first and last ones tell enough.
-    marked = f"<{word}>" if len(word) <= 40 else f"<{word[:20]}{word[-20:]}>"
-    found += [f"n{marked[i:i + n]}" for n in (2, 3) for i in range(len(marked) - n + 1)]
-    if word in lexicon:
-        found.append(f"w{word}")
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in found]
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each span, one after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))
 
 
 def marginals(emission: np.ndarray, starts: np.ndarray, transition: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -115,90 +181,96 @@ def marginals(emission: np.ndarray, starts: np.ndarray, transition: np.ndarray,
     return forward
 
 
-@dataclass
 class Model:
-    languages: list[str]
-    weights: np.ndarray  # of hashed features, by language
-    transition: np.ndarray
-    start: np.ndarray
-    lexicon: frozenset[str]
-    known: dict = field(default_factory=dict, repr=False)  # word -> row of ``scores``
-    scores: np.ndarray | None = field(default=None, repr=False)
+    """What was learned, and the scores of words seen before, in a bounded table."""
+
+    def __init__(self, languages: list[str], weights, transition, start, lexicon, table_bits: int = TABLE_BITS):
+        self.languages = languages
+        self.weights = weights  # of hashed features, by language
+        self.transition, self.start, self.lexicon = transition, start, lexicon
+        self.table_bits, self.index, self.scores = table_bits, None, None
 
     def __getstate__(self):
-        return self.__dict__ | {"known": {}, "scores": None}
-
-    def emissions(self, words: list[str]) -> np.ndarray:
-        """Scores of the words, kept for words seen before, up to ``MOST_CACHED`` of them."""
-        rows = list(map(self.known.get, words))
-        missing = [w for w, row in zip(words, rows) if row is None]
-        if missing:
-            new = list(dict.fromkeys(missing))
-            if self.scores is None or len(self.known) + len(new) > len(self.scores):
-                self.known.clear()
-                new = list(dict.fromkeys(words))
-                self.scores = np.empty((max(MOST_CACHED, len(new)), len(self.languages)))
-            lists = [features(w, self.lexicon) for w in new]
-            cuts = np.cumsum([0] + [len(x) for x in lists[:-1]])
-            flat = np.fromiter(chain.from_iterable(lists), np.int64)
-            at = len(self.known)
-            self.scores[at:at + len(new)] = np.add.reduceat(self.weights[flat], cuts)
-            self.known.update(zip(new, range(at, at + len(new))))
-            rows = list(map(self.known.__getitem__, words))
-        return self.scores[rows]
-
-    def label(self, texts: list[list[str]]) -> list[np.ndarray]:
+        return self.__dict__ | {"index": None, "scores": None}
+
+    def emissions(self, words: Words) -> np.ndarray:
+        keys = hash_spans(words.data, words.starts, words.ends)
+        checks = checks_of(words.data, words.starts, words.ends)
+        if self.index is None:
+            self.index = HashIndex(self.table_bits)
+            self.scores = np.empty((self.index.room, len(self.languages)))
+        entries = self.index.find(keys, checks)
+        missing = np.flatnonzero(entries < 0)
+        if self.index.size + len(missing) > self.index.room:
+            self.index.clear()
+            if len(keys) > self.index.room:
+                self.index = HashIndex(len(keys).bit_length() + 1)
+                self.scores = np.empty((self.index.room, len(self.languages)))
+            missing = np.arange(len(keys))
+        while len(missing):  # more than once only where two words share a hash
+            _, first = np.unique(keys[missing], return_index=True)
+            new = missing[first]
+            flat, counts = features(words.data, words.starts[new], words.ends[new], self.lexicon)
+            at = self.index.size
+            self.scores[at:at + len(new)] = np.add.reduceat(self.weights[flat], np.cumsum(counts) - counts)
+            self.index.add(keys[new], checks[new])
+            entries = self.index.find(keys, checks)
+            missing = np.flatnonzero(entries < 0)
+        return self.scores[entries]
+
+    def label(self, words: Words) -> list[np.ndarray]:
         """Label probabilities of the words of each text."""
-        lengths = np.array([len(x) for x in texts], np.int64)
-        full = lengths[lengths > 0]
-        if not len(full):
-            return [np.zeros((0, len(self.languages)))] * len(texts)
-        found = marginals(
-            self.emissions(list(chain.from_iterable(texts))), np.cumsum(full) - full,
-            self.transition, self.start,
-        )
-        return np.split(found, np.cumsum(lengths)[:-1])
-
-
-def _chains(spans: dict[str, list[list[str]]], n: int, length: int, rng) -> tuple[list, np.ndarray]:
+        full = words.counts[words.counts > 0]
+        if not len(full) or not self.languages:
+            return [np.zeros((0, len(self.languages)))] * len(words.counts)
+        found = marginals(self.emissions(words), np.cumsum(full) - full, self.transition, self.start)
+        return np.split(found, np.cumsum(words.counts)[:-1])
+
+
+def _chains(texts: list[np.ndarray], language: np.ndarray, n: int, length: int, rng):
     """Training chains of equal length: pieces of texts, now and then switching the language."""
-    languages, words, labels = list(spans), [], np.empty((n, length), np.int64)
-    for row in labels:
-        words_of_row, at = [], 0
+    k = int(language.max()) + 1
+    of_language = [np.flatnonzero(language == i) for i in range(k)]
+    index, labels = np.empty((n, length), np.int64), np.empty((n, length), np.int64)
+    for row, label in zip(index, labels):
+        at = 0
         while at < length:
-            of = rng.integers(len(languages))
-            text = spans[languages[of]][rng.integers(len(spans[languages[of]]))]
+            of = rng.integers(k)
+            text = texts[rng.choice(of_language[of])]
             size = int(min(length - at, rng.integers(4, 40), len(text)))
             begin = rng.integers(len(text) - size + 1)
-            words_of_row += text[begin:begin + size]
-            row[at:at + size] = of
+            row[at:at + size], label[at:at + size] = text[begin:begin + size], of
             at += size
-        words.append(words_of_row)
-    return words, labels
+    return index, labels
 
 
 def fit(
-    spans: dict[str, list[list[str]]], *, n_chains: int = 3000, length: int = 48, epochs: int = 3,
+    spans: dict[str, list[str]], *, n_chains: int = 3000, length: int = 48, epochs: int = 3,
     rate: float = 0.05, decay: float = 1e-4, seed: int = 5,
 ) -> Model:
-    """Learn from word lists of each language by stochastic gradients of the chains' likelihood."""
-    spans = {k: [x for x in spans[k] if x] for k in sorted(spans)}
-    spans = {k: v for k, v in spans.items() if v}
-    k = len(spans)
+    """Learn from texts of each language by stochastic gradients of the chains' likelihood."""
+    names = sorted(spans)
+    words = words_of([text for name in names for text in spans[name]])
+    language = np.repeat(np.arange(len(names)), [len(spans[name]) for name in names])
+    keys = hash_spans(words.data, words.starts, words.ends)
+    distinct, first, known, times = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+    texts = np.split(known.ravel(), np.cumsum(words.counts)[:-1])
+    full = np.flatnonzero(words.counts > 0)
+    used_languages, language = np.unique(language[full], return_inverse=True)
+    texts, names = [texts[i] for i in full], [names[i] for i in used_languages]
+    lexicon, k = distinct[times >= LEXICON_FROM], len(names)
     rng = np.random.default_rng(seed)
-    counts = Counter(w for texts in spans.values() for text in texts for w in text)
-    lexicon = frozenset(w for w, n in counts.items() if n >= LEXICON_FROM)
-    # Bucket 0 of an extra row pads the features of short words and stays 0.
+    # One more row pads the features of short words and stays 0.
     weights, transition, start = np.zeros((BUCKETS + 1, k)), np.zeros((k, k)), np.zeros(k)
-    model = Model(list(spans), weights[:BUCKETS], transition, start, lexicon)
+    model = Model(names, weights[:BUCKETS], transition, start, lexicon)
     if not k:
         return model
-    words, labels = _chains(spans, n_chains, length, rng)
-    known = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(words)))}
-    lists = [features(w, lexicon) for w in known]
-    widest = max(map(len, lists))
-    table = np.array([x + [BUCKETS] * (widest - len(x)) for x in lists])
-    index = np.array([[known[w] for w in row] for row in words])
+    index, labels = _chains(texts, language, n_chains, length, rng)
+    chosen, index = np.unique(index, return_inverse=True)
+    index = index.reshape(labels.shape)
+    flat, counts = features(words.data, words.starts[first[chosen]], words.ends[first[chosen]], lexicon)
+    table = np.full((len(chosen), int(counts.max())), BUCKETS)
+    table[np.repeat(np.arange(len(chosen)), counts), _ranges(np.zeros_like(counts), counts)] = flat
     squares = [np.full_like(x, 1e-6) for x in (weights, transition, start)]
     size = 64
     for _ in range(epochs):

@@ -1,4 +1,5 @@
 import itertools
+import re
 import zlib
 
 import numpy as np
@@ -32,6 +33,23 @@ def test_marginals_equal_all_paths(monkeypatch):
     assert np.allclose(word_crf._pair_marginals(emission[3:8], want[2], transition, 1, 5), pairs[2], atol=1e-6)
 
 
+def test_words_and_features():
+    texts = ["Ab c'd 12 e_f", None, "É日本 \u0663x", "", "İß—Ω", "a" * 3000]
+    words = word_crf.words_of(texts)
+    found = [words.data[a:b].tobytes().decode() for a, b in zip(words.starts, words.ends)]
+    want = [re.findall(r"[^\W\d_]+", (t or "").lower()) for t in texts]
+    assert found == [w for t in want for w in t] and words.counts.tolist() == list(map(len, want))
+    lexicon = np.sort(word_crf.hash_spans(words.data, words.starts[:1], words.ends[:1]))
+    flat, counts = word_crf.features(words.data, words.starts, words.ends, lexicon)
+    for i, word in enumerate(found):
+        n = len(word.encode())
+        grams = sum(max(0, n + 3 - g) for g in word_crf.NGRAMS)
+        affixes = 2 * sum(n >= a for a in word_crf.AFFIXES)
+        assert counts[i] == grams + affixes + (word == "ab")
+        alone = word_crf.features(words.data, words.starts[i:i + 1], words.ends[i:i + 1], lexicon)[0]
+        assert sorted(alone) == sorted(flat[counts[:i].sum():counts[:i + 1].sum()])
+
+
 def corpus(n=240):
     words = {"en": "the of and to in is that with", "de": "der und das ist nicht ein mit von", "fr": "le de un et est pour dans que"}
     rng = np.random.default_rng(1)
@@ -74,9 +92,9 @@ def test_code_switched_words(spark):
     assert [(x.lang, x.first, x.n) for x in row.spans] == [("en", 0, 12), ("de", 12, 12)]
 
 
-def test_awkward_rows(spark, monkeypatch):
-    monkeypatch.setattr(word_crf, "MOST_CACHED", 5)
+def test_awkward_rows(spark):
     model = language_id.fit(documents(spark, corpus()))
+    model.table_bits = 3
     found = language_id.identify(documents(spark), model, spans=True).collect()
     assert len(found) == len(AWKWARD)
     blank = [x for x in found if x.lang_pred == "und"]
