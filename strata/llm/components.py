@@ -17,12 +17,14 @@ from strata.llm.common import written
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    larger = both.filter("b > a").join(least, "a")
+    return larger.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    moved = edges.join(least, "a").filter("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    moved = edges.join(least, "a").filter("b <> least")
+    moved = moved.select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
 
 

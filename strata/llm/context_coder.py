@@ -101,7 +101,8 @@ class _Mixer:
         order = np.argsort(left)
         ids = np.empty(len(rest), np.int64)
         ids[order] = np.searchsorted(self.below, left[order], "right") - 1
-        found[rest], start[rest], size[rest] = ids, weight * self.below[ids] + passed, weight * self.counts[ids]
+        found[rest] = ids
+        start[rest], size[rest] = weight * self.below[ids] + passed, weight * self.counts[ids]
         return found, start, size
 
     def learn(self, ids: np.ndarray) -> None:

@@ -82,7 +82,8 @@ def deduplicated(
 ) -> DataFrame:
     """The rows that stay, with all their columns."""
     groups = duplicate_groups(documents, id_column=id_column, text_column=text_column)
-    stay = written(groups.filter("kept").select(F.col(id_column).alias("__id"), F.col("text_sha256").alias("__digest")))
+    id_and_digest = F.col(id_column).alias("__id"), F.col("text_sha256").alias("__digest")
+    stay = written(groups.filter("kept").select(*id_and_digest))
     # A row is found again by id and text. The ids alone do where each stays once.
     once = stay.groupBy("__id").agg(F.count("*").alias("n"))
     same_id = documents[id_column].eqNullSafe(F.col("__id"))

@@ -231,7 +231,8 @@ def _shared_sets(percent: int):
             if n_shared >= needed:
                 weight = float(np.log(frequency[part]).sum()) / n
                 found.append((
-                    s1, s2, n, int(n_shared - needed + 1), weight, token[part].view(np.int64), _parity(token[part]),
+                    s1, s2, n, int(n_shared - needed + 1), weight, token[part].view(np.int64),
+                    _parity(token[part]),
                 ))
         columns, longs = list(zip(*found)) if found else [[]] * 7, pa.list_(pa.int64())
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), longs, longs]
@@ -331,7 +332,10 @@ def similar_components(sets: DataFrame, percent: int) -> DataFrame:
     links = []
     for _ in range(ROUNDS):
         # The commonest set of each bucket, leaving out what the round before has settled.
-        open_rows = postings.select("*", F.col("v").alias("root")) if found is None else _across(postings, found)
+        if found is None:
+            open_rows = postings.withColumn("root", F.col("v"))
+        else:
+            open_rows = _across(postings, found)
         lead = open_rows.groupBy("shingle").agg(
             F.max(F.struct("weight", "v", "n", "alone", "root")).alias("lead"), F.count("*").alias("size")
         ).filter("size > 1").select(

@@ -163,7 +163,106 @@ def source_targets(sizes: DataFrame, most_repeats: int = MOST_REPEATS) -> DataFr
     )).over(everything)
     free = level.withColumn("free", first_free["level"])
     target = F.least(F.col("cap").cast("double"), F.col("free") * F.col("weight"))
-    return free.select("source", "rank", "source_size", F.coalesce(target, F.col("cap").cast("double")).alias("target"))
+    target = F.coalesce(target, F.col("cap").cast("double"))
+    return free.select("source", "rank", "source_size", target.alias("target"))
+
+
+def _order(seed: int, *more: str) -> list[Column]:
+    """A permutation of the blocks of a source, which differs from pass to pass."""
+    return [*map(F.col, more), _uniform(F.lit(seed), F.col("pass"), F.col("rank"), F.col("block")), F.col("block")]
+
+
+def _blocks(placed: DataFrame, most_repeats: int, seed: int) -> DataFrame:
+    """The blocks of each source, with its whole ``passes`` and whether the last pass takes them.
+
+    ``cut`` tells the blocks that the last pass would have to take in part.
+    """
+    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
+    blocks = placed.groupBy("rank", "block").agg(
+        F.sum("size").alias("words"), F.first("target").alias("target"),
+        F.first("source_size").alias("source_size"),
+    ).withColumn("passes", F.coalesce(passes, F.lit(0)).cast("long"))
+    running = Window.partitionBy("rank").orderBy(*_order(seed))
+    until = F.sum("words").over(running.rowsBetween(Window.unboundedPreceding, 0))
+    budget = F.col("target") - F.col("passes") * F.col("source_size")
+    blocks = blocks.withColumn("pass", F.col("passes")).withColumns({"until": until, "budget": budget})
+    open_pass = F.col("passes") < most_repeats
+    taken = F.col("until") <= F.col("budget")
+    reached = F.col("until") - F.col("words") <= F.col("budget")
+    return blocks.drop("pass").withColumns({
+        "in_last": open_pass & taken,
+        "cut": open_pass & ~taken & reached & (F.col("words") > 0),
+    })
+
+
+def _fillers(placed: DataFrame, blocks: DataFrame, seed: int) -> DataFrame:
+    """``rank`` and ``id`` of documents that fill what the blocks leave of each source's target.
+
+    First documents of the block at the cut, while they fit; then the one document, of those that
+    the last pass does not take, whose size comes nearest to the rest.
+    """
+    edge = blocks.filter("cut").groupBy("rank").agg(
+        F.min(F.struct("until", "block", "words", "budget")).alias("e")
+    )
+    missing = F.col("e.budget") - F.col("e.until") + F.col("e.words")
+    edge = written(edge.select("rank", F.col("e.block").alias("edge_block"), missing.alias("missing")))
+    beside = placed.select("rank", "block", "id", "size").filter("size > 0")
+    beside = beside.join(small(edge, MOST_SMALL), "rank")
+
+    by_hash = Window.partitionBy("rank").orderBy(F.xxhash64(F.lit(seed + 1), F.col("id")), "id")
+    running = F.sum("size").over(by_hash.rowsBetween(Window.unboundedPreceding, 0))
+    fits = beside.filter(F.col("block") == F.col("edge_block")).withColumn("running", running)
+    fits = fits.filter(F.col("running") <= F.col("missing"))
+    fits = written(fits.select("rank", "id", "running"))
+
+    filled = fits.groupBy("rank").agg(F.max("running").alias("filled"))
+    gap = F.col("missing") - F.coalesce("filled", F.lit(0))
+    gaps = edge.join(filled, "rank", "left").select("rank", gap.alias("gap"))
+    in_last = blocks.filter("in_last").select("rank", "block")
+    spare = beside.drop("missing", "edge_block").join(
+        small(in_last, 2 * MOST_SMALL), ["rank", "block"], "left_anti"
+    ).join(fits.select("rank", "id"), ["rank", "id"], "left_anti")
+    off = F.abs(F.col("size") - F.col("gap"))
+    nearest = spare.join(small(gaps, MOST_SMALL), "rank").groupBy("rank", "gap").agg(
+        F.min(F.struct(off.alias("off"), "id")).alias("best")
+    ).filter(F.col("best.off") < F.abs("gap")).select("rank", F.col("best.id").alias("id"))
+    return fits.select("rank", "id").unionByName(nearest).distinct()
+
+
+def _placements(
+    sources: DataFrame, blocks: DataFrame, filler: DataFrame, shards: int, most_repeats: int, seed: int
+) -> DataFrame:
+    """``draws`` of each block; block -1 of a source stands for its fillers.
+
+    Every draw has a place in its source: pass after pass, each in an order of its own, the fillers
+    last. Shard after shard takes as many places as its quota says.
+    """
+    every = blocks.select(
+        "rank", "block", "passes", "in_last", F.explode(F.sequence(F.lit(0), "passes")).alias("pass")
+    ).filter((F.col("pass") < F.col("passes")) | F.col("in_last"))
+    order = Window.partitionBy("rank").orderBy(*_order(seed, "pass"))
+    every = every.select("rank", "block", "pass", (F.row_number().over(order) - 1).alias("place"))
+    filled = filler.select("rank").distinct()
+    one = filled.select("rank", F.lit(1).cast("long").alias("n"))
+    count = every.groupBy("rank").agg(F.count("*").alias("n")).unionByName(one)
+    count = count.groupBy("rank").agg(F.sum("n").alias("n"))
+    last = filled.join(count, "rank").select(
+        "rank", F.lit(-1).cast("long").alias("block"), F.lit(most_repeats).alias("pass"),
+        (F.col("n") - 1).cast("int").alias("place"),
+    )
+    every = written(every.unionByName(last))
+
+    quotas = sources.select("rank").join(count, "rank", "left")
+    quotas = quotas.select("rank", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    in_order = F.array_sort(F.collect_list(F.struct("rank", "n")))
+    root = quotas.agg(F.transform(in_order, lambda x: x["n"]).alias("quotas"))
+    leaves = written(split_quotas(root.filter(F.size("quotas") > 0), shards, seed))
+    upto = F.sum("n").over(Window.partitionBy("rank").orderBy("shard"))
+    places = F.explode(F.sequence(F.col("upto") - F.col("n"), F.col("upto") - 1))
+    parts = leaves.select("shard", F.posexplode("quotas").alias("rank", "n")).withColumn("upto", upto)
+    parts = parts.filter("n > 0").select("rank", "shard", places.alias("place"))
+    draws = F.array_sort(F.collect_list(F.struct("pass", "shard")))
+    return every.join(parts, ["rank", "place"]).groupBy("rank", "block").agg(draws.alias("draws"))
 
 
 def _drawn(
@@ -190,96 +289,27 @@ def _drawn(
     total = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     block_words = max(least_block_words, -(-total // most_blocks))
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("source_size") / block_words)).cast("long")
-    sources = sources.withColumn("n_blocks", n_blocks)
-
-    def of_source(frame: DataFrame) -> DataFrame:
-        known = sources.withColumnRenamed("source", "of")
-        found = frame.join(small(known, MOST_SMALL), F.col("source").eqNullSafe(F.col("of")))
-        return found.withColumn(
-            "block", F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.col("n_blocks"))
-        ).drop("of")
-
-    # Blocks in the order of the last, partial pass.
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    blocks = of_source(narrow).groupBy("rank", "block").agg(
-        F.sum("size").alias("words"), F.first("n_blocks").alias("n_blocks"),
-        F.first("target").alias("target"), F.first("source_size").alias("source_size"),
-    ).withColumn("passes", passes.cast("long"))
-    last_order = Window.partitionBy("rank").orderBy(_uniform(F.lit(seed), F.col("passes"), F.col("rank"), F.col("block")), "block")
-    until = F.sum("words").over(last_order.rowsBetween(Window.unboundedPreceding, 0))
-    budget = F.col("target") - F.col("passes") * F.col("source_size")
-    blocks = blocks.withColumn("until", until).withColumn("budget", budget)
-    taken = F.col("until") <= F.col("budget")
-    blocks = blocks.withColumn("in_last", taken & (F.col("passes") < most_repeats))
-    cut = (~F.col("in_last")) & (F.col("until") - F.col("words") <= F.col("budget")) & (F.col("words") > 0)
-    blocks = written(blocks.withColumn("cut", cut & (F.col("passes") < most_repeats)))
-
-    # What is missing of a target: documents of the block at the cut that still fit, then the one
-    # document that comes nearest.
-    edge = blocks.filter("cut").groupBy("rank").agg(F.min(F.struct("until", "block", "words", "budget")).alias("e"))
-    edge = written(edge.select("rank", F.col("e.block").alias("edge_block"),
-                               (F.col("e.budget") - F.col("e.until") + F.col("e.words")).alias("missing")))
-    last = blocks.select("rank", "block", "in_last")
-    beside = of_source(narrow).select("rank", "block", "id", "size").filter("size > 0")
-    beside = beside.join(small(edge, MOST_SMALL), "rank")
-    at_edge = beside.filter(F.col("block") == F.col("edge_block"))
-    by_hash = Window.partitionBy("rank").orderBy(F.xxhash64(F.lit(seed + 1), F.col("id")), "id")
-    running = F.sum("size").over(by_hash.rowsBetween(Window.unboundedPreceding, 0))
-    fits = at_edge.withColumn("running", running).filter(F.col("running") <= F.col("missing"))
-    fits = written(fits.select("rank", "id", "size", "running", "missing"))
-    gaps = edge.join(fits.groupBy("rank").agg(F.max("running").alias("filled")), "rank", "left")
-    gaps = gaps.select("rank", "edge_block", (F.col("missing") - F.coalesce("filled", F.lit(0))).alias("gap"))
-    spare = beside.select("rank", "block", "id", "size").join(
-        small(last.filter("in_last").select("rank", "block"), 2 * MOST_SMALL), ["rank", "block"], "left_anti"
-    ).join(fits.select("rank", "id"), ["rank", "id"], "left_anti")
-    nearest = spare.join(small(gaps, MOST_SMALL), "rank").groupBy("rank", "gap").agg(
-        F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "id", "size")).alias("best")
-    ).filter(F.col("best.off") < F.abs("gap"))
-    filler = written(
-        fits.select("rank", "id").unionByName(nearest.select("rank", F.col("best.id").alias("id"))).distinct()
-    )
-
-    # Every draw has a position in its source: pass after pass, each in an order of its own.
-    every = blocks.select(
-        "rank", "block", "passes", F.explode(F.sequence(F.lit(0), "passes")).alias("pass"), "in_last"
-    ).filter((F.col("pass") < F.col("passes")) | F.col("in_last"))
-    order = Window.partitionBy("rank").orderBy(
-        "pass", _uniform(F.lit(seed), F.col("pass"), F.col("rank"), F.col("block")), "block"
-    )
-    every = every.select("rank", "block", "pass", (F.row_number().over(order) - 1).alias("place"))
-    count = every.groupBy("rank").agg(F.count("*").alias("n")).unionByName(
-        filler.select("rank", F.lit(1).cast("long").alias("n")).distinct()
-    ).groupBy("rank").agg(F.sum("n").alias("n"))
-    extra = filler.select("rank").distinct().join(count, "rank").select(
-        "rank", F.lit(-1).cast("long").alias("block"), F.lit(most_repeats).alias("pass"),
-        (F.col("n") - 1).cast("int").alias("place"),
-    )
-    every = written(every.unionByName(extra))
-
-    quotas = sources.select("rank").join(count, "rank", "left").select("rank", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
-    in_order = F.array_sort(F.collect_list(F.struct("rank", "n")))
-    root = quotas.agg(F.transform(in_order, lambda x: x["n"]).alias("quotas")).filter(F.size("quotas") > 0)
-    leaves = written(split_quotas(root, shards, seed))
-    parts = leaves.select("shard", F.posexplode("quotas").alias("rank", "n"))
-    upto = F.sum("n").over(Window.partitionBy("rank").orderBy("shard"))
-    parts = parts.withColumn("upto", upto).filter("n > 0").select(
-        "rank", "shard", F.explode(F.sequence(F.col("upto") - F.col("n"), F.col("upto") - 1)).alias("place")
-    )
-    placed = every.join(parts, ["rank", "place"])
-    draw = F.struct("pass", "shard")
-    of_block = written(placed.groupBy("rank", "block").agg(F.array_sort(F.collect_list(draw)).alias("draws")))
-    whole = of_block.filter("block >= 0").select(
-        F.col("rank").alias("r"), F.col("block").alias("b"), F.col("draws").alias("whole")
-    )
-    single = filler.join(of_block.filter("block < 0").select("rank", F.col("draws").alias("single")), "rank")
-    single = written(single.select(F.col("rank").alias("r2"), F.col("id").alias("i2"), "single"))
-
-    found = of_source(rows)
-    found = found.join(small(whole, 2 * MOST_SMALL), (F.col("rank") == F.col("r")) & (F.col("block") == F.col("b")), "left")
-    found = found.join(small(single, 2 * MOST_SMALL), (F.col("rank") == F.col("r2")) & F.col("id").eqNullSafe(F.col("i2")), "left")
-    nothing = F.array().cast(of_block.schema["draws"].dataType)
-    draws = F.concat(F.coalesce("whole", nothing), F.coalesce("single", nothing))
-    return found.select("doc", "id", "size", "source_size", "target", draws.alias("draws"))
+    known = small(sources.withColumn("n_blocks", n_blocks).withColumnRenamed("source", "of"), MOST_SMALL)
+
+    def placed(frame: DataFrame) -> DataFrame:
+        block = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.col("n_blocks"))
+        found = frame.join(known, F.col("source").eqNullSafe(F.col("of")))
+        return found.withColumn("block", block).drop("of", "n_blocks")
+
+    blocks = written(_blocks(placed(narrow), most_repeats, seed))
+    filler = written(_fillers(placed(narrow), blocks, seed))
+    draws = written(_placements(sources, blocks, filler, shards, most_repeats, seed))
+
+    whole = draws.filter("block >= 0").toDF("of_rank", "of_block", "whole")
+    single = filler.join(draws.filter("block < 0"), "rank")
+    single = written(single.select("rank", "id", "draws").toDF("single_rank", "single_id", "single"))
+    in_block = (F.col("rank") == F.col("of_rank")) & (F.col("block") == F.col("of_block"))
+    is_single = (F.col("rank") == F.col("single_rank")) & F.col("id").eqNullSafe(F.col("single_id"))
+    found = placed(rows).join(small(whole, 2 * MOST_SMALL), in_block, "left")
+    found = found.join(small(single, 2 * MOST_SMALL), is_single, "left")
+    nothing = F.array().cast(draws.schema["draws"].dataType)
+    both = F.concat(F.coalesce("whole", nothing), F.coalesce("single", nothing))
+    return found.select("doc", "id", "size", "source_size", "target", both.alias("draws"))
 
 
 def drawn(documents: DataFrame, **options) -> DataFrame:

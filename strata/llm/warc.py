@@ -167,13 +167,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     given = lambda value: F.when(value != "", value)
     # Only the last record of a file has its end still on it.
     extra = F.octet_length("block") - named("Content-Length").cast("long")
-    block = F.when(extra == len(END), F.expr(f"substring(block, 1, length(block) - {len(END)})")).otherwise(F.col("block"))
-    rows = rows.withColumn("block", block)
+    whole = F.expr(f"substring(block, 1, length(block) - {len(END)})")
+    rows = rows.withColumn("block", F.when(extra == len(END), whole).otherwise(F.col("block")))
     is_response = named("WARC-Type") == "response"
     at = F.instr("block", END)
     http = F.substring("block", F.lit(1), at - 1)
     body = F.col("block").substr(at + len(END), F.length("block"))
-    body = F.when(http.contains("Content-Transfer-Encoding: base64"), F.unbase64(body).cast("string")).otherwise(body)
+    encoded = http.contains("Content-Transfer-Encoding: base64")
+    body = F.when(encoded, F.unbase64(body).cast("string")).otherwise(body)
     kind = F.regexp_extract(http, r"(?mi)^Content-Type: ([^\r\n]*)", 1)
     return rows.select(
         linked("WARC-Record-ID").alias("record_id"), named("WARC-Type").alias("warc_type"),
