@@ -23,11 +23,11 @@ MOST_LANES = 4096
 LANE_LENGTH = 256
 
 _U = np.uint64
-_ZERO = _U(0)
 _TOP, _BOTTOM, _SHIFT, _HEAD = _U(1 << 48), _U(1 << 40), _U(16), _U(48)
 _SCALE = 1024  # sum of the three weights
-_STEP = 32  # what one occurrence adds to an order-0 count
-_MOST_COUNT = 1 << 25
+_MOST_COUNT = 1 << 22  # of ids seen; beyond it, older ones count less
+_SLOTS = 1 << 17
+_MOST_UNITS = 64
 _CONTEXT_BITS = 18
 _CONFIDENT = 7
 _REFRESH = 8
@@ -37,30 +37,44 @@ class _Mixer:
     """The three models and their weights.
 
     The guesses of orders 1 and 2 are learned at every step. The counts of order 0 and the weights
-    take effect every ``_REFRESH`` steps, as their sums cost as much as several steps.
+    take effect every ``_REFRESH`` steps. Order 0 is kept as a row of about ``_SLOTS`` slots, of which
+    each id seen so far has its share, so the id at a place is looked up and not searched. Behind
+    them, in what is left for ids not seen yet, each id has one unit.
     """
 
     def __init__(self, vocabulary: int, lanes: int):
-        self.seen = np.ones(vocabulary, np.int64)
+        self.seen = np.zeros(vocabulary, np.int64)
         self.guess1, self.sure1 = np.zeros(vocabulary, np.int32), np.zeros(vocabulary, np.int8)
         size = 1 << _CONTEXT_BITS
         self.guess2, self.sure2 = np.zeros(size, np.int32), np.zeros(size, np.int8)
         self.hits = np.ones((2 * (_CONFIDENT + 1) ** 2, 3), np.int64)
         self.last1 = self.last2 = np.zeros(lanes, np.int64)
-        self.below = np.zeros(vocabulary + 1, np.uint64)
-        self.age = 0
+        self.ids = np.arange(vocabulary, dtype=np.int64)
+        self.age, self.before = 0, (0, 0)  # ids seen and known at the last refresh
 
     def _refresh(self) -> None:
-        if self.seen.sum() > _MOST_COUNT:
+        n, known = int(self.seen.sum()), self.seen > 0
+        n_known = int(known.sum())
+        recent, new = n - self.before[0] + 2, n_known - self.before[1] + 1
+        if n > _MOST_COUNT:
             self.seen = (self.seen + 1) // 2
+            n = int(self.seen.sum())
+        self.before = (n, n_known)
         full = self.hits.sum(1) > 1 << 16
         self.hits[full] = (self.hits[full] + 1) // 2
-        self.counts = self.seen.astype(np.uint64)
-        np.cumsum(self.counts, out=self.below[1:])
-        self.whole = self.below[-1]
-        self.total = _U(_SCALE) * self.whole
-        shares = 1 + self.hits[:, :2] * (_SCALE - 4) // self.hits.sum(1, keepdims=True)
-        self.shares = np.ascontiguousarray(shares.T.astype(np.uint64))
+        shares = np.where(known, np.maximum(self.seen * _SLOTS // max(1, n), 1), 0)
+        self.slots = np.append(np.repeat(self.ids, shares), 0)
+        # Units of a slot: the more, the fewer ids of late were new.
+        unit = len(self.ids) * (recent - new) // (new * len(self.slots))
+        self.unit = max(1, min(_MOST_UNITS, unit))
+        self.head = self.unit * (len(self.slots) - 1)
+        self.end = self.head + len(self.ids)
+        self.first = np.where(known, self.unit * (np.cumsum(shares) - shares), self.head + self.ids)
+        self.first = self.first.astype(np.uint64)
+        self.width = np.where(known, self.unit * shares, 1).astype(np.uint64)
+        self.total = _U(_SCALE * self.end)
+        share = 1 + self.hits[:, :2] * (_SCALE - 4) // self.hits.sum(1, keepdims=True)
+        self.weights = np.ascontiguousarray(share.T.astype(np.uint64))
 
     def predict(self) -> None:
         if self.age % _REFRESH == 0:
@@ -68,42 +82,36 @@ class _Mixer:
         self.age += 1
         mask = (1 << _CONTEXT_BITS) - 1
         self.context = ((self.last2 * 0x2545F491 + self.last1 * 0x9E3779B1) >> 7) & mask
-        self.a1, self.k1 = self.guess1[self.last1], self.sure1[self.last1]
-        self.a2, self.k2 = self.guess2[self.context], self.sure2[self.context]
+        self.a1, self.k1 = self.guess1.take(self.last1), self.sure1.take(self.last1)
+        self.a2, self.k2 = self.guess2.take(self.context), self.sure2.take(self.context)
         self.same = self.a1 == self.a2
         self.state = (self.k2.astype(np.int64) * (_CONFIDENT + 1) + self.k1) * 2 + self.same
-        w2, w1 = self.shares[0][self.state], self.shares[1][self.state]
+        w2, w1 = self.weights[0].take(self.state), self.weights[1].take(self.state)
         self.w0 = _U(_SCALE) - w2 - w1
-        self.mass1, self.mass2 = w1 * self.whole, w2 * self.whole
+        self.mass1, self.mass2 = w1 * _U(self.end), w2 * _U(self.end)
+        self.first1, self.first2 = self.first.take(self.a1), self.first.take(self.a2)
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start = self.w0 * self.below[ids] + self.mass1 * (self.a1 < ids) + self.mass2 * (self.a2 < ids)
-        size = self.w0 * self.counts[ids] + self.mass1 * (self.a1 == ids) + self.mass2 * (self.a2 == ids)
+        first = self.first.take(ids)
+        start = self.w0 * first + self.mass1 * (self.first1 < first) + self.mass2 * (self.first2 < first)
+        size = self.w0 * self.width.take(ids) + self.mass1 * (self.a1 == ids) + self.mass2 * (self.a2 == ids)
         return start, size
 
-    def find(self, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids whose intervals hold the values, and the intervals."""
-        below1, below2 = self.w0 * self.below[self.a1], self.w0 * self.below[self.a2]
-        start1 = below1 + np.where(self.a2 < self.a1, self.mass2, _ZERO)
-        start2 = below2 + np.where(self.a1 < self.a2, self.mass1, _ZERO)
-        size1 = self.w0 * self.counts[self.a1] + self.mass1 + np.where(self.same, self.mass2, _ZERO)
-        size2 = self.w0 * self.counts[self.a2] + self.mass2 + np.where(self.same, self.mass1, _ZERO)
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The ids whose intervals hold the values."""
+        start1 = self.w0 * self.first1 + self.mass2 * (self.first2 < self.first1)
+        start2 = self.w0 * self.first2 + self.mass1 * (self.first1 < self.first2)
+        size1 = self.w0 * self.width.take(self.a1) + self.mass1 + self.mass2 * self.same
+        size2 = self.w0 * self.width.take(self.a2) + self.mass2 + self.mass1 * self.same
         # Before the start, a difference wraps around and is beyond any size.
-        is1 = value - start1 < size1
-        is2 = value - start2 < size2
-        found = np.where(is1, self.a1, self.a2)
-        start, size = np.where(is1, start1, start2), np.where(is1, size1, size2)
-        rest = np.flatnonzero(~(is1 | is2))
-        left, weight = value[rest], self.w0[rest]
-        passed = np.where(left >= start1[rest], self.mass1[rest], _ZERO)
-        passed += np.where(left >= start2[rest], self.mass2[rest], _ZERO)
-        left = (left - passed) // weight
-        order = np.argsort(left)
-        ids = np.empty(len(rest), np.int64)
-        ids[order] = np.searchsorted(self.below, left[order], "right") - 1
-        found[rest] = ids
-        start[rest], size[rest] = weight * self.below[ids] + passed, weight * self.counts[ids]
-        return found, start, size
+        is1, is2 = value - start1 < size1, value - start2 < size2
+        # Neither guess: without their masses, the place in order 0. Of guesses it is not used.
+        place = value - self.mass1 * (value >= start1) - self.mass2 * (value >= start2)
+        place = np.minimum(place // self.w0, _U(self.end - 1)).astype(np.int64)
+        slot = np.minimum(place // self.unit, len(self.slots) - 1)
+        found = np.where(place < self.head, self.slots.take(slot), place - self.head)
+        found = np.where(is2, self.a2, found)
+        return np.where(is1, self.a1, np.maximum(found, 0))
 
     def learn(self, ids: np.ndarray) -> None:
         right2, right1 = self.a2 == ids, self.a1 == ids
@@ -115,7 +123,7 @@ class _Mixer:
         ):
             guess[at] = np.where(right | (k > 0), a, ids)
             sure[at] = np.where(right, np.minimum(k + 1, _CONFIDENT), k >> 1)
-        np.add.at(self.seen, ids, _STEP)
+        np.add.at(self.seen, ids, 1)
         self.last2, self.last1 = self.last1, ids
 
 
@@ -191,7 +199,8 @@ def decode(data: bytes) -> np.ndarray:
     for row in found:
         mixer.predict()
         unit = width // mixer.total
-        row[:], start, size = mixer.find(np.minimum((code - low) // unit, mixer.total - _U(1)))
+        row[:] = mixer.find(np.minimum((code - low) // unit, mixer.total - _U(1)))
+        start, size = mixer.interval(row)
         low += unit * start
         width = unit * size
         for move, _ in _moves(low, width):
