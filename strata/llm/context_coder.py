@@ -19,7 +19,7 @@ import zlib
 import numpy as np
 
 MAGIC = b"SCM1"
-MOST_LANES = 4096
+MOST_LANES = 8192
 LANE_LENGTH = 256
 
 _U = np.uint64
@@ -29,24 +29,24 @@ _MOST_COUNT = 1 << 22  # of ids seen; beyond it, older ones count less
 _SLOTS = 1 << 17
 _MOST_UNITS = 64
 _CONTEXT_BITS = 18
-_CONFIDENT = 7
-_REFRESH = 8
+_SURE_BITS, _CONFIDENT = 3, 7
+_REFRESH = 16
+_SAMPLED = 4  # one step in so many teaches the weights
 
 
 class _Mixer:
     """The three models and their weights.
 
     The guesses of orders 1 and 2 are learned at every step. The counts of order 0 and the weights
-    take effect every ``_REFRESH`` steps. Order 0 is kept as a row of about ``_SLOTS`` slots, of which
+    take effect every ``_REFRESH`` steps, and sooner in the first ones. Order 0 is kept as a row of about ``_SLOTS`` slots, of which
     each id seen so far has its share, so the id at a place is looked up and not searched. Behind
     them, in what is left for ids not seen yet, each id has one unit.
     """
 
     def __init__(self, vocabulary: int, lanes: int):
         self.seen = np.zeros(vocabulary, np.int64)
-        self.guess1, self.sure1 = np.zeros(vocabulary, np.int32), np.zeros(vocabulary, np.int8)
-        size = 1 << _CONTEXT_BITS
-        self.guess2, self.sure2 = np.zeros(size, np.int32), np.zeros(size, np.int8)
+        # Guesses, each with its confidence in the lowest bits.
+        self.guess1, self.guess2 = np.zeros(vocabulary, np.int32), np.zeros(1 << _CONTEXT_BITS, np.int32)
         self.hits = np.ones((2 * (_CONFIDENT + 1) ** 2, 3), np.int64)
         self.last1 = self.last2 = np.zeros(lanes, np.int64)
         self.ids = np.arange(vocabulary, dtype=np.int64)
@@ -77,15 +77,16 @@ class _Mixer:
         self.weights = np.ascontiguousarray(share.T.astype(np.uint64))
 
     def predict(self) -> None:
-        if self.age % _REFRESH == 0:
+        if self.age % _REFRESH == 0 or self.age in (1, 2, 4, 8):
             self._refresh()
         self.age += 1
         mask = (1 << _CONTEXT_BITS) - 1
         self.context = ((self.last2 * 0x2545F491 + self.last1 * 0x9E3779B1) >> 7) & mask
-        self.a1, self.k1 = self.guess1.take(self.last1), self.sure1.take(self.last1)
-        self.a2, self.k2 = self.guess2.take(self.context), self.sure2.take(self.context)
+        self.g1 = self.guess1.take(self.last1).astype(np.int64)
+        self.g2 = self.guess2.take(self.context).astype(np.int64)
+        self.a1, self.a2 = self.g1 >> _SURE_BITS, self.g2 >> _SURE_BITS
         self.same = self.a1 == self.a2
-        self.state = (self.k2.astype(np.int64) * (_CONFIDENT + 1) + self.k1) * 2 + self.same
+        self.state = (((self.g2 & _CONFIDENT) << _SURE_BITS) + (self.g1 & _CONFIDENT)) * 2 + self.same
         w2, w1 = self.weights[0].take(self.state), self.weights[1].take(self.state)
         self.w0 = _U(_SCALE) - w2 - w1
         self.mass1, self.mass2 = w1 * _U(self.end), w2 * _U(self.end)
@@ -115,14 +116,16 @@ class _Mixer:
 
     def learn(self, ids: np.ndarray) -> None:
         right2, right1 = self.a2 == ids, self.a1 == ids
-        slot = self.state * 3 + 2 - 2 * right2 - (right1 & ~right2)
-        self.hits += np.bincount(slot, minlength=self.hits.size).reshape(self.hits.shape)
-        for guess, sure, at, a, k, right in (
-            (self.guess1, self.sure1, self.last1, self.a1, self.k1, right1),
-            (self.guess2, self.sure2, self.context, self.a2, self.k2, right2),
+        if self.age % _SAMPLED == 0:
+            slot = self.state * 3 + np.where(right2, 0, np.where(right1, 1, 2))
+            self.hits += np.bincount(slot, minlength=self.hits.size).reshape(self.hits.shape)
+        fresh = ids << _SURE_BITS
+        for guess, at, old, right in (
+            (self.guess1, self.last1, self.g1, right1), (self.guess2, self.context, self.g2, right2),
         ):
-            guess[at] = np.where(right | (k > 0), a, ids)
-            sure[at] = np.where(right, np.minimum(k + 1, _CONFIDENT), k >> 1)
+            sure = old & _CONFIDENT
+            wrong = np.where(sure > 0, old - ((sure + 1) >> 1), fresh)
+            guess[at] = np.where(right, old + (sure < _CONFIDENT), wrong)
         np.add.at(self.seen, ids, 1)
         self.last2, self.last1 = self.last1, ids
 

@@ -26,7 +26,7 @@ from strata.llm.packing import part_starts
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 21
 
 _BLOCK = "part int, block int, at long, n_documents int, n long, data binary"
 

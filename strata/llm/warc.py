@@ -26,9 +26,9 @@ END = "\r\n\r\n"
 BETWEEN = f"{END}{VERSION}\r\n"
 NO_DATE = "1970-01-01T00:00:00Z"
 
-HIDDEN = "(?is)<!--.*?-->|" + "|".join(
-    rf"<{name}\b[^>]*>.*?</{name}\s*>" for name in ("script", "style", "noscript")
-)
+HIDDEN = "(?is)<(?:!--.*?-->|" + "|".join(
+    rf"{name}\b[^>]*>.*?</{name}\s*>" for name in ("script", "style", "noscript")
+) + ")"
 BLOCK_TAG = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|caption|dd|div|dl|dt|fieldset|figcaption|"
     r"figure|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|"
@@ -41,7 +41,7 @@ ENTITIES = [
 ]
 # A single blank stays as it is, so that most words cost no replacement.
 BLANKS = r"[ \t\f\r]{2,}|[\t\f\r]"
-LINE_ENDS = r" \n[ \n]*|\n[ \n]+"
+LINE_ENDS = r"\n[ \n]+"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 LINK = r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']([^"'>]*)["']"""
 
@@ -66,6 +66,7 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(html, HIDDEN, " ")
     text = F.regexp_replace(F.regexp_replace(text, BLOCK_TAG, "\n"), TAG, "")
     text = F.regexp_replace(let(text, resolved), BLANKS, " ")
+    text = F.replace(text, F.lit(" \n"), F.lit("\n"))
     return F.trim(F.regexp_replace(text, LINE_ENDS, "\n"), F.lit(" \n"))
 
 
