@@ -150,8 +150,8 @@ class BatchEncoder:
             _, first = np.unique(keys[missing], return_index=True)
             new = missing[first]
             self._learn(data, keys[new], checks[new], starts[new], ends[new])
-            entries = self.table.find(keys, checks)
-            missing = np.flatnonzero(entries < 0)
+            entries[missing] = self.table.find(keys[missing], checks[missing])
+            missing = missing[entries[missing] < 0]
         return entries
 
     def _learn(self, data, keys, checks, starts, ends) -> None:

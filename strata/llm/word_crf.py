@@ -214,8 +214,8 @@ class Model:
             at = self.index.size
             self.scores[at:at + len(new)] = np.add.reduceat(self.weights[flat], np.cumsum(counts) - counts)
             self.index.add(keys[new], checks[new])
-            entries = self.index.find(keys, checks)
-            missing = np.flatnonzero(entries < 0)
+            entries[missing] = self.index.find(keys[missing], checks[missing])
+            missing = missing[entries[missing] < 0]
         return self.scores[entries]
 
     def label(self, words: Words) -> list[np.ndarray]:
