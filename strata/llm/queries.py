@@ -63,11 +63,13 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derivatives of all pages, written as WARC files and read again."""
-    path = folders.scratch(spark)
-    warc.write_warc(warc.derivatives(warc.responses(table(spark, sf_dir, "pages"))), path)
-    return warc.read_warc(spark, path).select(
-        F.col("source_key").cast("long").alias("page_id"), "warc_type", "record_id", "refers_to",
+    """Pages to WARC files of responses, which are read, converted, written and read again."""
+    root = folders.scratch(spark)
+    warc.write_warc(warc.responses(table(spark, sf_dir, "pages")), f"{root}/responses", **warc.FAST_GZIP)
+    found = warc.derivatives(warc.read_warc(spark, f"{root}/responses"))
+    warc.write_warc(found, f"{root}/derived", **warc.FAST_GZIP)
+    return warc.read_warc(spark, f"{root}/derived").select(
+        F.nullif("source_key", F.lit("")).cast("long").alias("page_id"), "warc_type", "record_id", "refers_to",
         "concurrent_to", "target_uri", "content_type", "payload_digest",
         F.octet_length("payload").cast("long").alias("n_bytes"),
     )

@@ -6,7 +6,8 @@ response by ``WARC-Refers-To`` and keep its target URI and date; ``WARC-Concurre
 two. Record ids are made from the record's kind and its source, so reruns give the same ids.
 
 A WARC file is a text file whose records end with two line ends, so Spark's text source writes and
-reads it, in splits. A body that holds a record's end and start itself is written in base64.
+reads it, in splits; compressed files are read whole, one for each task that wrote. A body that would
+show a record's end and start between its neighbours is written in base64.
 
 Defined cases: a null page is an empty one, a null address is empty; a page without text gives an
 empty conversion record; equal rows give equal records; an empty table gives none; other columns of
@@ -25,6 +26,8 @@ VERSION = "WARC/1.1"
 END = "\r\n\r\n"
 BETWEEN = f"{END}{VERSION}\r\n"
 NO_DATE = "1970-01-01T00:00:00Z"
+FAST_GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+_ALL = (1 << 31) - 1  # characters: as far as the end
 
 HIDDEN = "(?is)<(?:!--.*?-->|" + "|".join(
     rf"{name}\b[^>]*>.*?</{name}\s*>" for name in ("script", "style", "noscript")
@@ -125,7 +128,9 @@ def derivatives(records: DataFrame) -> DataFrame:
 def write_warc(records: DataFrame, path: str, **options) -> None:
     """One WARC file per task. ``options`` go to Spark's text writer, such as ``compression``."""
     body = F.col("payload")
-    encoded = F.contains(body, F.lit(BETWEEN))
+    # Also at its edges, where the ends of the head and of the record meet it.
+    framed = F.concat(F.lit(END), body, F.lit(END))
+    encoded = F.contains(body, F.lit(VERSION)) & F.contains(framed, F.lit(BETWEEN))
     body = F.when(encoded, F.base64(body.cast("binary"))).otherwise(body)
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: "), F.col("content_type"),
@@ -156,12 +161,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The records of WARC files that :func:`write_warc` or a similar writer made."""
     rows = spark.read.option("lineSep", BETWEEN).text(path)
     # The first piece of a file still starts with its version, the last one ends with the end.
-    value = F.regexp_replace("value", rf"^{VERSION}\r\n", "")
-    rows = rows.select(value.alias("value")).filter(F.length("value") > 0)
+    first = f"{VERSION}\r\n"
+    value = F.when(
+        F.startswith("value", F.lit(first)), F.col("value").substr(F.lit(len(first) + 1), F.lit(_ALL))
+    ).otherwise(F.col("value"))
+    rows = rows.select(value.alias("value")).filter("value <> ''")
     cut = F.instr("value", END)
     rows = rows.select(
         F.substring("value", F.lit(1), cut - 1).alias("head"),
-        F.col("value").substr(cut + len(END), F.length("value")).alias("block"),
+        F.col("value").substr(cut + len(END), F.lit(_ALL)).alias("block"),
     )
     named = lambda name: F.regexp_extract("head", rf"(?m)^{name}: ([^\r\n]*)", 1)
     linked = lambda name: F.regexp_extract("head", rf"(?m)^{name}: <([^>\r\n]*)>", 1)
@@ -173,7 +181,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     is_response = named("WARC-Type") == "response"
     at = F.instr("block", END)
     http = F.substring("block", F.lit(1), at - 1)
-    body = F.col("block").substr(at + len(END), F.length("block"))
+    body = F.col("block").substr(at + len(END), F.lit(_ALL))
     encoded = http.contains("Content-Transfer-Encoding: base64")
     body = F.when(encoded, F.unbase64(body).cast("string")).otherwise(body)
     kind = F.regexp_extract(http, r"(?mi)^Content-Type: ([^\r\n]*)", 1)

@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from strata.llm import warc
+from strata.llm import queries, warc
 
 PAGES = [
     (1, "http://a.example/x", "<html><head><title> A &amp; B\n</title><style>p{}</style></head><body><!-- no --><p>One<br>two "
@@ -78,3 +78,21 @@ def test_no_pages(spark, tmp_path):
     assert warc.derivatives(warc.responses(pages(spark, []))).count() == 0
     warc.write_warc(warc.responses(pages(spark, [])), str(tmp_path / "w"))
     assert warc.read_warc(spark, str(tmp_path / "w")).count() == 0
+
+
+def test_query_reads_response_files(spark, tmp_path, monkeypatch):
+    pages(spark).write.parquet(str(tmp_path / "sf" / "pages.parquet"))
+    written = []
+    write = warc.write_warc
+    monkeypatch.setattr(warc, "write_warc", lambda rows, path, **o: (written.append(path), write(rows, path, **o)))
+    found = queries.op10_warc_derivatives(spark, str(tmp_path / "sf")).collect()
+    ids = {x.record_id for path in written for x in warc.read_warc(spark, path).collect() if x.warc_type == "response"}
+    assert len(found) == 2 * len(PAGES) and {x.refers_to for x in found} == ids
+
+
+def test_bodies_like_record_edges(spark, tmp_path):
+    edges = ["WARC/1.1", "WARC/1.1\r\nx", "x\r\n\r\nWARC/1.1", "x\r\n\r\n", "\r\n\r\n"]
+    records = warc.responses(pages(spark, [(i, None, x) for i, x in enumerate(edges)]))
+    warc.write_warc(records.coalesce(1), str(tmp_path / "w"))
+    back = warc.read_warc(spark, str(tmp_path / "w")).collect()
+    assert [x.payload for x in sorted(back, key=lambda x: x.source_key)] == edges
