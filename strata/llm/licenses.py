@@ -4,8 +4,9 @@ All rolling pairs of words of a text are joined to the pairs of the templates by
 compared word for word where the hashes meet. A pair at word ``p`` of the text and word ``t`` of
 a template votes for the diagonal ``p - t``. A phrase that stands in the text word for word gives
 all votes of a template to one diagonal. A longer notice that was edited splits into neighbouring
-diagonals; these are merged, and the span is accepted when enough of the template's pairs are in
-it and it is not much longer than the template.
+diagonals; these are merged into spans. A notice is accepted when enough of the template's pairs are
+in any run of a span's diagonals that is not much longer than the template, so common pairs beside
+it do not void it. The score is the coverage of the best span, however long that is.
 
 Base phrases are found exactly, at every place. Defined cases: a null text counts as empty, has
 no words and no label; rows are told apart by id and text, and equal rows each give one row; an
@@ -56,6 +57,7 @@ MOST_TEMPLATES = 10_000
 GAP = 3  # words between diagonals that belong together
 COVERAGE = 0.7
 STRETCH = 1.5
+_FRAME = 1 << 16  # units in which a window of diagonals is measured
 
 
 def words(text: Column) -> Column:
@@ -139,16 +141,21 @@ def license_scan(
         "part", F.when(F.col("is_base"), F.row_number().over(before))
         .otherwise(F.sum(F.when(apart, 1).otherwise(0)).over(before))
     )
+    # The run from each diagonal as far as the stretch. Frames are of one width, so a template's
+    # diagonals are scaled to it: ``reach`` of them fit into a frame and one more does not.
+    reach = F.floor((STRETCH - 1) * F.col("n_pairs"))
+    unit = F.when(reach > 0, F.floor(_FRAME / reach)).otherwise(_FRAME + 1)
+    run = Window.partitionBy(*doc, "template", "part").orderBy("scaled").rangeBetween(0, _FRAME)
+    runs = grouped.withColumn("scaled", F.col("diagonal") * unit).withColumn(
+        "run_votes", F.bit_or("votes").over(run)
+    )
     share = F.bit_count(F.bit_or("votes")) / F.first("n_pairs")
-    spans = grouped.groupBy(*doc, *template, "part").agg(
+    spans = runs.groupBy(*doc, *template, "part").agg(
         F.max("rows").alias("rows"), F.min("diagonal").alias("start"), share.alias("covered"),
-        (F.max("diagonal") - F.min("diagonal") + F.first("n_pairs")).alias("length"),
+        (F.max(F.bit_count("run_votes")) / F.first("n_pairs")).alias("run_covered"),
     )
     is_base = F.col("is_base") & (F.col("covered") == 1.0)
-    is_notice = (
-        ~F.col("is_base") & (F.col("covered") >= coverage)
-        & (F.col("length") <= STRETCH * F.col("n_pairs"))
-    )
+    is_notice = ~F.col("is_base") & (F.col("run_covered") >= coverage)
     joined = lambda test: F.array_join(F.array_sort(F.collect_set(F.when(test, F.col("label")))), ",")
     found = spans.groupBy(*doc).agg(
         F.max(F.when(F.col("template").isNull(), F.col("rows"))).alias("copies"),

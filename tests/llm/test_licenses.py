@@ -43,6 +43,43 @@ def test_edited_notices(spark):
     assert all(x.base_labels == "" and x.n_base == 0 for x in found.values())
 
 
+def runs_brute_force(text):
+    """Labels of notices, by trying each run of each span's diagonals."""
+    words, labels = WORD.findall(ascii_lower(text)), set()
+    for phrase, label in licenses.NOTICES.items():
+        known, votes = phrase.split(), {}
+        for p in range(len(words) - 1):
+            for t in range(len(known) - 1):
+                if words[p:p + 2] == known[t:t + 2]:
+                    votes.setdefault(p - t, set()).add(t)
+        n, order = len(known) - 1, sorted(votes)
+        for i in range(len(order)):
+            held = set()
+            for j in range(i, len(order)):
+                if j > i and order[j] - order[j - 1] > licenses.GAP:
+                    break
+                if order[j] - order[i] + n <= licenses.STRETCH * n:
+                    held |= votes[order[j]]
+            if len(held) >= licenses.COVERAGE * n:
+                labels.add(label)
+    return ",".join(sorted(labels))
+
+
+def test_common_pairs_beside_a_notice(spark):
+    notices = list(licenses.NOTICES)
+    texts = [
+        "released under the terms of the license of the project",
+        "this work is licensed under the license of the owner and under the law",
+        *[f"{x} of the under the license of the terms of the license of the software" for x in notices],
+        *[f"of the under the license of the {x}" for x in notices],
+        "under the terms of the license of the terms of the", "of the license " * 40, "this work is",
+    ]
+    rows = [(i, x, "en", "a") for i, x in enumerate(texts)]
+    found = {x.doc_id: x for x in licenses.license_scan(documents(spark, rows), base={"no such phrase": "x"}).collect()}
+    assert [found[0].labels, found[1].labels] == ["license-grant", "license-grant"]
+    assert {i: x.labels for i, x in found.items()} == {i: runs_brute_force(t) for i, t in enumerate(texts)}
+
+
 def test_empty_table(spark):
     assert licenses.license_scan(documents(spark, [])).count() == 0
 
