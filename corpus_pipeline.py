@@ -3,6 +3,9 @@
 Each stage takes what the one before kept, as a table of documents, and returns what it keeps, with
 the columns of ``documents``; the last one returns the pieces of packed sequences. A document that
 the mix takes more than once is there once per draw from then on.
+
+Rows are told apart by id and text, as in exact deduplication: a null id or an id that other rows
+share is no reason to drop a row or to keep it.
 """
 
 from __future__ import annotations
@@ -21,11 +24,14 @@ LEAST_SCORE = 0.5
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; those without letters, or undecided, go."""
+    """Documents whose language is told; those without letters, or undecided, go.
+
+    The language is that of a text, so equal rows go or stay alike.
+    """
     importable(spark)
-    found = language_id.identify(docs, language_id.fit(docs))
+    found = language_id.identify(_keyed(docs), language_id.fit(docs), id_column="__row")
     told = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return _without(docs, found.filter(~told).select("doc_id"))
+    return _without(docs, written(found.filter(~told).select("__row").distinct()))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +40,25 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of similar ones."""
+    """One row of each group of similar documents, that with the smallest id.
+
+    Null ids come last; of texts with the same id, the one with the smallest digest stays, and of
+    rows with the same id and text any one. Texts without words are like no other and all stay.
+    """
     importable(spark)
-    found = similar_documents(docs)
-    return _without(docs, found.filter(F.col("doc_id") > F.col("component_id")).select("doc_id"))
+    found = similar_documents(_keyed(docs), id_column="__row")
+    keys = found.groupBy("__row").agg(
+        F.first(F.col("__row") != F.col("component_id")).alias("gone"),
+        F.first("n_shingles").alias("n_shingles"), F.count("*").alias("n_rows"),
+    )
+    marked = written(keys.filter("gone OR (n_rows > 1 AND n_shingles > 0)"))
+    repeated = marked.filter("NOT gone").select("__row")
+    kept = _without(docs, marked.select("__row"))
+    if repeated.isEmpty():
+        return kept
+    names = [F.col(f"`{x}`") for x in docs.columns]
+    once = _keyed(docs).join(repeated, "__row", "left_semi").dropDuplicates(["__row"])
+    return kept.unionByName(once.select(*names))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +75,16 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     )
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents whose id is not among those dropped; Spark broadcasts these while they are few."""
-    gone = written(dropped.distinct()).withColumnRenamed("doc_id", "__gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__gone")), "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with ``__row``, which tells them apart and orders them: id, null last, and text."""
+    digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), digest.alias("digest"))
+    return docs.withColumn("__row", key)
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose key is not among those gone; Spark broadcasts these while they are few."""
+    return _keyed(docs).join(gone, "__row", "left_anti").select(*[F.col(f"`{x}`") for x in docs.columns])
 
 
 STAGES = [

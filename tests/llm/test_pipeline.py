@@ -44,3 +44,32 @@ def test_awkward_tables_pass_each_stage(spark, rows):
     for name, stage in corpus_pipeline.STAGES:
         found = written(stage(spark, docs, ""))
         assert name == "pack" or found.columns == docs.columns
+
+
+def test_language_is_decided_row_by_row(spark):
+    rows = corpus(60)
+    clean = [x[1] for x in rows[:4]]
+    added = [(None, clean[0], "en", "a"), (None, None, "en", "a"), (None, "123", "en", "a"), (9_000, clean[1], "en", "a"),
+             (9_000, "123 456", "en", "a"), (9_000, None, "en", "a"), (9_001, clean[2], "en", "a"), (9_001, clean[2], "en", "a")]
+    kept = corpus_pipeline.keep_known_languages(spark, written(documents(spark, rows + added)), "")
+    found = [(x.doc_id, x.text) for x in kept.collect() if x.doc_id is None or x.doc_id >= 9_000]
+    want = [(None, clean[0]), (9_000, clean[1]), (9_001, clean[2]), (9_001, clean[2])]
+    assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_one_row_of_each_group_of_near_copies(spark):
+    text = lambda name, end="": " ".join(f"{name}{i}" for i in range(100)) + f" {end}"
+    rows = [
+        (None, text("a", "x"), "en", "a"), (None, text("a", "y"), "en", "a"),  # only null ids
+        (None, text("b", "x"), "en", "a"), (7, text("b", "y"), "en", "a"), (8, text("b", "z"), "en", "a"),
+        (3, text("c", "x"), "en", "a"), (3, text("c", "y"), "en", "a"), (4, text("c", "z"), "en", "a"),
+        (5, text("d"), "en", "a"), (5, text("d"), "en", "a"), (6, text("d", "x"), "en", "a"),
+        (5, text("e"), "en", "a"), (None, text("f"), "en", "a"), (None, text("f"), "en", "b"),
+        (1, None, "en", "a"), (1, "", "en", "a"), (None, None, "en", "a"), (None, None, "en", "a"),
+    ]
+    docs = written(documents(spark, rows))
+    kept = corpus_pipeline.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = [(x.doc_id, (x.text or "")[:1]) for x in kept.collect()]
+    want = [(None, "a"), (7, "b"), (3, "c"), (5, "d"), (5, "e"), (None, "f"), (1, ""), (1, ""), (None, ""), (None, "")]
+    assert sorted(found, key=str) == sorted(want, key=str)
