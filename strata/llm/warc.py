@@ -5,9 +5,15 @@ response it came from) and one ``conversion`` record (the text of the page). Bot
 response by ``WARC-Refers-To`` and keep its target URI and date; ``WARC-Concurrent-To`` links the
 two. Record ids are made from the record's kind and its source, so reruns give the same ids.
 
+``http_head`` is a response's status line and HTTP headers as they were read. It is null for a head
+that says ``200 OK`` and the content type and no more, which is what a null one is written as.
+``more_headers`` are the lines of a record's WARC header that have no column, null if there are none.
+Both go through reading and writing unchanged; the metadata record lists them line by line as
+``source-http`` and ``source-warc``.
+
 A WARC file is a text file whose records end with two line ends, so Spark's text source writes and
 reads it, in splits; compressed files are read whole, one for each task that wrote. A body that would
-show a record's end and start between its neighbours is written in base64.
+show a record's end and start between its neighbours is written in base64, which a WARC header says.
 
 Defined cases: a null page is an empty one, a null address is empty; a page without text gives an
 empty conversion record; equal rows give equal records; an empty table gives none; other columns of
@@ -46,7 +52,17 @@ ENTITIES = [
 BLANKS = r"[ \t\f\r]{2,}|[\t\f\r]"
 LINE_ENDS = r"\n[ \n]+"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-LINK = r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']([^"'>]*)["']"""
+# With its quotes, or as far as the next blank where it has none.
+LINK = r"""(?is)<a\s[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
+# The SQL takes quoted values only, without quotes in them.
+SQL_LINK = r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']([^"'>]*)["']"""
+ENCODED = "X-Payload-Encoding: base64"
+CONCURRENT = r"(?i)^WARC-Concurrent-To:"
+# WARC headers that have a column or are made by the writer.
+KNOWN = (
+    r"(?i)^(?:WARC-(?:Type|Record-ID|Refers-To|Concurrent-To|Target-URI|Date|Payload-Digest)|"
+    r"X-Source-Key|X-Payload-Encoding|Content-Type|Content-Length):"
+)
 
 
 def _record_id(*of: Column) -> Column:
@@ -89,7 +105,8 @@ def responses(
         F.lit("response").alias("warc_type"), F.lit(None).cast("string").alias("refers_to"),
         F.lit(None).cast("string").alias("concurrent_to"), "target_uri", F.lit(date).alias("date"),
         F.lit("text/html; charset=UTF-8").alias("content_type"), digest.alias("payload_digest"),
-        "source_key", "payload",
+        "source_key", "payload", F.lit(None).cast("string").alias("http_head"),
+        F.lit(None).cast("string").alias("more_headers"),
     )
 
 
@@ -98,18 +115,22 @@ def derivatives(records: DataFrame) -> DataFrame:
     source = records.filter("warc_type = 'response'")
     title = F.regexp_replace(F.regexp_extract("payload", TITLE, 1), r"\s+", " ")
     links = F.regexp_extract_all("payload", F.lit(LINK), F.lit(1))
-    links = F.transform(links, lambda x: F.regexp_replace(x, r"\s", ""))
+    quoted = lambda x: F.substring(x, 1, 1).isin('"', "'")
+    unquoted = lambda x: F.when(quoted(x), F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x)
+    links = F.transform(links, lambda x: F.regexp_replace(unquoted(x), r"\s", ""))
     source = source.select(
         "record_id", "target_uri", "date", "content_type", "payload_digest", "source_key",
         F.octet_length("payload").cast("string").alias("length"), title.alias("title"), links.alias("links"),
-        plain_text(F.col("payload")).alias("text"),
+        plain_text(F.col("payload")).alias("text"), "http_head", "more_headers",
     )
     meta_id = _record_id(F.lit("metadata"), F.col("record_id"))
     text_id = _record_id(F.lit("conversion"), F.col("record_id"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value)
+    lines = lambda name, of: F.transform(F.split(of, "\r\n"), lambda x: line(name, x))
     fields = F.concat_ws(
         "\r\n", line("title", F.col("title")), line("source-content-type", F.col("content_type")),
         line("source-content-length", F.col("length")), line("source-payload-digest", F.col("payload_digest")),
+        lines("source-http", F.col("http_head")), lines("source-warc", F.col("more_headers")),
         F.transform("links", lambda x: F.concat(F.lit("outlink: "), x)),
     )
     derived = lambda kind, own, other, content, payload: F.struct(
@@ -117,6 +138,7 @@ def derivatives(records: DataFrame) -> DataFrame:
         other.alias("concurrent_to"), F.col("target_uri").alias("target_uri"), F.col("date").alias("date"),
         F.lit(content).alias("content_type"), _sha256(payload).alias("payload_digest"),
         F.col("source_key").alias("source_key"), payload.alias("payload"),
+        F.lit(None).cast("string").alias("http_head"), F.lit(None).cast("string").alias("more_headers"),
     )
     both = source.withColumn("fields", fields).select(F.explode(F.array(
         derived("metadata", meta_id, text_id, "application/warc-fields", F.col("fields")),
@@ -125,6 +147,11 @@ def derivatives(records: DataFrame) -> DataFrame:
     return both.select("r.*")
 
 
+def _plain_head(content_type: Column) -> Column:
+    """The HTTP head that a null one stands for."""
+    return F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: "), content_type)
+
+
 def write_warc(records: DataFrame, path: str, **options) -> None:
     """One WARC file per task. ``options`` go to Spark's text writer, such as ``compression``."""
     body = F.col("payload")
@@ -132,12 +159,9 @@ def write_warc(records: DataFrame, path: str, **options) -> None:
     framed = F.concat(F.lit(END), body, F.lit(END))
     encoded = F.contains(body, F.lit(VERSION)) & F.contains(framed, F.lit(BETWEEN))
     body = F.when(encoded, F.base64(body.cast("binary"))).otherwise(body)
-    http = F.concat(
-        F.lit("HTTP/1.1 200 OK\r\nContent-Type: "), F.col("content_type"),
-        F.when(encoded, F.lit("\r\nContent-Transfer-Encoding: base64")).otherwise(F.lit("")), F.lit(END),
-    )
+    http = F.coalesce(F.col("http_head"), _plain_head(F.col("content_type")))
     is_response = F.col("warc_type") == "response"
-    block = F.when(is_response, F.concat(http, body)).otherwise(F.col("payload"))
+    block = F.when(is_response, F.concat(http, F.lit(END), body)).otherwise(body)
     rows = records.withColumn("block", block)
     header = lambda name, value: F.concat(F.lit(f"{name}: "), value)
     head = F.concat_ws(
@@ -147,7 +171,8 @@ def write_warc(records: DataFrame, path: str, **options) -> None:
         F.concat(F.lit("WARC-Concurrent-To: <"), F.col("concurrent_to"), F.lit(">")),
         header("WARC-Target-URI", F.col("target_uri")), header("WARC-Date", F.col("date")),
         header("WARC-Payload-Digest", F.col("payload_digest")),
-        header("X-Source-Key", F.col("source_key")),
+        header("X-Source-Key", F.col("source_key")), F.col("more_headers"),
+        F.when(encoded, F.lit(ENCODED)),
         F.when(is_response, F.lit("Content-Type: application/http; msgtype=response"))
         .otherwise(header("Content-Type", F.col("content_type"))),
         header("Content-Length", F.octet_length("block").cast("string")),
@@ -171,8 +196,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         F.substring("value", F.lit(1), cut - 1).alias("head"),
         F.col("value").substr(cut + len(END), F.lit(_ALL)).alias("block"),
     )
-    named = lambda name: F.regexp_extract("head", rf"(?m)^{name}: ([^\r\n]*)", 1)
-    linked = lambda name: F.regexp_extract("head", rf"(?m)^{name}: <([^>\r\n]*)>", 1)
+    named = lambda name: F.regexp_extract("head", rf"(?mi)^{name}:[ \t]*([^\r\n]*)", 1)
+    linked = lambda name: F.regexp_extract("head", rf"(?mi)^{name}:[ \t]*<([^>\r\n]*)>", 1)
     given = lambda value: F.when(value != "", value)
     # Only the last record of a file has its end still on it.
     extra = F.octet_length("block") - named("Content-Length").cast("long")
@@ -180,11 +205,18 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     rows = rows.withColumn("block", F.when(extra == len(END), whole).otherwise(F.col("block")))
     is_response = named("WARC-Type") == "response"
     at = F.instr("block", END)
-    http = F.substring("block", F.lit(1), at - 1)
-    body = F.col("block").substr(at + len(END), F.lit(_ALL))
-    encoded = http.contains("Content-Transfer-Encoding: base64")
-    body = F.when(encoded, F.unbase64(body).cast("string")).otherwise(body)
-    kind = F.regexp_extract(http, r"(?mi)^Content-Type: ([^\r\n]*)", 1)
+    # A block without an empty line is all head.
+    http = F.when(at > 0, F.substring("block", F.lit(1), at - 1)).otherwise(F.col("block"))
+    body = F.when(at > 0, F.col("block").substr(at + len(END), F.lit(_ALL))).otherwise(F.lit(""))
+    body = F.when(is_response, body).otherwise(F.col("block"))
+    body = F.when(F.contains("head", F.lit(f"\r\n{ENCODED}")), F.unbase64(body).cast("string")).otherwise(body)
+    kind = F.regexp_extract(http, r"(?mi)^Content-Type:[ \t]*([^\r\n]*)", 1)
+    http_head = F.when(is_response & (http != _plain_head(kind)), http)
+    # A header goes on in lines that start with a blank. Only the first concurrent record has a column.
+    lines = F.split("head", "\r\n(?![ \t])")
+    concurrent = F.filter(lines, lambda x: x.rlike(CONCURRENT))
+    more = F.concat(F.filter(lines, lambda x: ~x.rlike(KNOWN)), F.slice(concurrent, F.lit(2), F.size(lines)))
+    more_headers = given(F.array_join(more, "\r\n"))
     return rows.select(
         linked("WARC-Record-ID").alias("record_id"), named("WARC-Type").alias("warc_type"),
         given(linked("WARC-Refers-To")).alias("refers_to"),
@@ -192,7 +224,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         named("WARC-Target-URI").alias("target_uri"), named("WARC-Date").alias("date"),
         F.when(is_response, kind).otherwise(named("Content-Type")).alias("content_type"),
         named("WARC-Payload-Digest").alias("payload_digest"), named("X-Source-Key").alias("source_key"),
-        F.when(is_response, body).otherwise(F.col("block")).alias("payload"),
+        body.alias("payload"), http_head.alias("http_head"), more_headers.alias("more_headers"),
     )
 
 
@@ -205,7 +237,7 @@ def oracle_sql() -> str:
     text = rf"regexp_replace({text}, '[ \t\f\r]+', ' ', 'g')"
     text = rf"regexp_replace({text}, ' ?\n[ \n]*', chr(10), 'g')"
     text = f"trim({text}, ' ' || chr(10))"
-    link = LINK.replace("'", "''")
+    link = SQL_LINK.replace("'", "''")
     uuid = lambda of: (
         "(SELECT 'urn:uuid:' || h[1:8] || '-' || h[9:12] || '-4' || h[14:16] || '-8' || h[18:20] || '-' || "
         f"h[21:32] FROM (SELECT md5({of}) AS h))"

@@ -96,3 +96,33 @@ def test_bodies_like_record_edges(spark, tmp_path):
     warc.write_warc(records.coalesce(1), str(tmp_path / "w"))
     back = warc.read_warc(spark, str(tmp_path / "w")).collect()
     assert [x.payload for x in sorted(back, key=lambda x: x.source_key)] == edges
+
+
+HEAD = (
+    "HTTP/1.1 404 Not Found\r\nserver: x/1\r\ncontent-type: text/html\r\nLast-Modified: Mon, 01 Jan 2024 00:00:00 GMT\r\n"
+    "Content-Language: fr\r\nLocation: /else\r\nContent-Transfer-Encoding: base64"
+)
+MORE = "WARC-IP-Address: 192.0.2.1\r\nWARC-Block-Digest: sha1:ABC\r\nWARC-Concurrent-To: <urn:x:2>"
+BODY = "<a href=/plain>a</a><a class=b href='say\"so\"'>b</a><a href=\"it's\" id=c>c</a><a href=x/y id=d>d</a>"
+
+
+def test_source_headers_are_kept(spark, tmp_path):
+    block = f"{HEAD}\r\n\r\n{BODY}".encode()
+    head = (
+        "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:1>\r\nwarc-target-uri: http://a.example/\r\n"
+        "WARC-Concurrent-To: <urn:x:0>\r\nWARC-Date: 2024-01-01T00:00:00Z\r\n" + MORE +
+        f"\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: {len(block)}\r\n\r\n"
+    )
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.warc").write_bytes(2 * (head.encode() + block + b"\r\n\r\n"))
+    records = warc.read_warc(spark, str(tmp_path / "w"))
+    warc.write_warc(records, str(tmp_path / "again"))
+    again = warc.read_warc(spark, str(tmp_path / "again"))
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, records.collect()))
+    first, _ = again.collect()
+    assert (first.http_head, first.more_headers, first.payload) == (HEAD, MORE, BODY)
+    assert (first.content_type, first.target_uri, first.concurrent_to) == ("text/html", "http://a.example/", "urn:x:0")
+    fields = next(x.payload for x in warc.derivatives(again).collect() if x.warc_type == "metadata").split("\r\n")
+    for name, value in (("http", HEAD), ("warc", MORE)):
+        assert [x.partition(": ")[2] for x in fields if x.startswith(f"source-{name}: ")] == value.split("\r\n")
+    assert [x[9:] for x in fields if x.startswith("outlink: ")] == ["/plain", 'say"so"', "it's", "x/y"]
