@@ -42,6 +42,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of similar documents, that with the smallest id.
 
+    Similar is what ``op9_ngram_jaccard_join`` calls so, of which this is the stage: sets of four
+    words, 85 per cent. With five words and 80 per cent some other pairs would be near copies.
+
     Null ids come last; of texts with the same id, the one with the smallest digest stays, and of
     rows with the same id and text any one. Texts without words are like no other and all stay.
     """
