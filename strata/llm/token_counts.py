@@ -5,11 +5,13 @@ merges within each of them, so a text has as many tokens as its pre-tokens have
 
 - Tier 1 is one table for all workers: the token counts of the most frequent pre-tokens of the
   corpus, at most ``TABLE_SIZE`` of them, sent to the executors as one packed string and one
-  array of counts. The frequencies are those of a random sample of about ``SAMPLE_ROWS`` rows.
-  They decide how fast a pre-token is found, never a count.
+  array of counts. The frequencies are those of a random sample of about ``SAMPLE_ROWS`` rows, or
+  of all rows up to that number. They decide how fast a pre-token is found, never a count.
 - Tier 2 is a cache in each worker. It encodes what tier 1 lacks, and starts over when full.
 
-No pre-token of the corpus is shuffled. Defined cases: a null text counts as empty and has no
+The distinct pre-tokens of each batch of the sample are shuffled to add up their frequencies; those
+of other rows are not. On a skewed corpus the sample may miss frequent ones, which then cost a
+lookup in tier 2. Defined cases: a null text counts as empty and has no
 tokens; texts are taken whole; a null id stays null; repeated rows are counted each.
 """
 
