@@ -19,7 +19,7 @@ import zlib
 import numpy as np
 
 MAGIC = b"SCM1"
-MOST_LANES = 8192
+MOST_LANES = 4096
 LANE_LENGTH = 256
 
 _U = np.uint64
@@ -30,17 +30,16 @@ _SLOTS = 1 << 17
 _MOST_UNITS = 64
 _CONTEXT_BITS = 18
 _SURE_BITS, _CONFIDENT = 3, 7
-_REFRESH = 16
-_SAMPLED = 4  # one step in so many teaches the weights
+_REFRESH = 8
 
 
 class _Mixer:
     """The three models and their weights.
 
-    The guesses of orders 1 and 2 are learned at every step. The counts of order 0 and the weights
-    take effect every ``_REFRESH`` steps, and sooner in the first ones. Order 0 is kept as a row of about ``_SLOTS`` slots, of which
-    each id seen so far has its share, so the id at a place is looked up and not searched. Behind
-    them, in what is left for ids not seen yet, each id has one unit.
+    All are learned at every step. The counts of order 0 and the weights take effect every
+    ``_REFRESH`` steps, and sooner in the first ones. Order 0 is kept as a row of about ``_SLOTS``
+    slots, of which each id seen so far has its share, so the id at a place is looked up and not
+    searched. Behind them, in what is left for ids not seen yet, each id has one unit.
     """
 
     def __init__(self, vocabulary: int, lanes: int):
@@ -116,9 +115,8 @@ class _Mixer:
 
     def learn(self, ids: np.ndarray) -> None:
         right2, right1 = self.a2 == ids, self.a1 == ids
-        if self.age % _SAMPLED == 0:
-            slot = self.state * 3 + np.where(right2, 0, np.where(right1, 1, 2))
-            self.hits += np.bincount(slot, minlength=self.hits.size).reshape(self.hits.shape)
+        slot = self.state * 3 + np.where(right2, 0, np.where(right1, 1, 2))
+        self.hits += np.bincount(slot, minlength=self.hits.size).reshape(self.hits.shape)
         fresh = ids << _SURE_BITS
         for guess, at, old, right in (
             (self.guess1, self.last1, self.g1, right1), (self.guess2, self.context, self.g2, right2),

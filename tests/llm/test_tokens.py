@@ -121,3 +121,12 @@ def test_blocks_are_independent_and_checked():
         with pytest.raises(ValueError):
             context_coder.unpack_block(bytes(damaged))
     assert zlib.crc32(block[:-4]) == int.from_bytes(block[-4:], "little")
+
+
+def test_weights_learn_from_every_step():
+    mixer = context_coder._Mixer(50, 5)
+    before = mixer.hits.sum()
+    for step in range(6):
+        mixer.predict()
+        mixer.learn(np.arange(5) + step)
+        assert mixer.hits.sum() - before == 5 * (step + 1)
