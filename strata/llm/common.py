@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,3 +55,15 @@ def importable(spark: SparkSession) -> None:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def chunks(texts: list[str | None], characters: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Begin and end of runs of texts of bounded size together; a long text is one of its own."""
+    begin = size = 0
+    for i, text in enumerate(texts):
+        if i > begin and size + len(text or "") > characters:
+            yield begin, i
+            begin, size = i, 0
+        size += len(text or "")
+    if begin < len(texts):
+        yield begin, len(texts)

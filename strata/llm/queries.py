@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import folders
-from strata.llm import language_id, licenses, mixing, warc
-from strata.llm.common import table
+from strata.llm import alignment, fertility, language_id, licenses, mixing, warc
+from strata.llm.common import table, written
 from strata.llm.exact_dedup import duplicate_groups
+from strata.llm.fill_in_middle import fill_in_middle, restored
 from strata.llm.jaccard import similar_documents
 from strata.llm.neighbours import nearest_neighbours
 from strata.llm.packing import packed
@@ -75,6 +76,28 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.scored(written(alignment.aligned(table(spark, sf_dir, "documents"))))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = restored(fill_in_middle(table(spark, sf_dir, "documents")))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "script", *fertility.SPREADS, "failed",
+    )
+
+
 QUERIES = {
     x.__name__: x
     for x in (
@@ -88,12 +111,35 @@ QUERIES = {
         op8_license_scan,
         op9_ngram_jaccard_join,
         op10_warc_derivatives,
+        op11_align_tokens,
+        op12_fill_in_middle,
+        op13_fertility_rules,
     )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL = {
+    "op12_fill_in_middle": """
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS p1, ('0x' || h[9:16])::BIGINT % (n + 1) AS p2,
+    ('0x' || h[17:24])::BIGINT % 100 AS h3, ('0x' || h[25:32])::BIGINT % 100 AS h4 FROM cut),
+formed AS (
+  SELECT *, least(p1, p2) AS a, greatest(p1, p2) AS b,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+      WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix
+  FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts""",
     "op10_warc_derivatives": warc.oracle_sql(),
     "op1_exact_dedup": f"""
 WITH lowered AS (SELECT doc_id, {_LOWER} AS content FROM documents)

@@ -1,0 +1,142 @@
+import hashlib
+from collections import Counter
+from functools import cache
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from strata.llm import alignment, pretokens
+from strata.llm.common import written
+from strata.llm.piece_encoder import PieceEncoder
+from tests.llm.cases import AWKWARD, documents
+
+A, B = (pretokens.public(x) for x in (alignment.A_TOKENIZER, alignment.B_TOKENIZER))
+
+
+@cache
+def tools():
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=B), PieceEncoder(B, table_bits=6)
+
+
+@cache
+def a_signs():
+    """How a byte-level vocabulary writes each byte."""
+    return {sign_of(i): bytes([i]) for i in range(256)}
+
+
+def sign_of(byte):
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [x for x in range(256) if x not in printable]
+    return chr(byte) if byte in printable else chr(256 + rest.index(byte))
+
+
+def tokens(text):
+    """The ids and bytes of both sides, or none, by the libraries alone."""
+    if not text:
+        return [], []
+    a, b, _ = tools()
+    ids = a.encode(" " + text, add_special_tokens=False).ids
+    of_a = [(i, b"".join(a_signs()[c] for c in a.id_to_token(i))) for i in ids]
+    of_b = []
+    for i in b.encode(text):
+        piece = b.id_to_piece(i)
+        of_b.append((i, bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()))
+    whole = (" " + text).encode()
+    if b"".join(x for _, x in of_a) != whole or b"".join(x for _, x in of_b) != whole:
+        return [], []
+    return of_a, of_b
+
+
+def groups_of(text):
+    of_a, of_b = tokens(text)
+    found, i, j = [], 0, 0
+    while i < len(of_a):
+        first, second, x, y = [], [], 0, 0
+        while not first or x != y:
+            if x <= y:
+                first.append(of_a[i][0])
+                x += len(of_a[i][1])
+                i += 1
+            else:
+                second.append(of_b[j][0])
+                y += len(of_b[j][1])
+                j += 1
+        found.append((first, second))
+    return found
+
+
+def brute_force(rows):
+    groups = [(i, groups_of(t)) for i, t, *_ in rows]
+    counts = Counter((a[-1], b[-1]) for _, g in groups for a, b in g)
+    best = {}
+    for (_, b), n in counts.items():
+        best[b] = max(n, best.get(b, 0))
+    found = []
+    for i, g in groups:
+        text = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in g)
+        links = [(a[-1], b[-1]) for a, b in g]
+        found.append((
+            i, sum(len(a) for a, _ in g), sum(len(b) for _, b in g), len(g), len(g),
+            sum(counts[x] == best[x[1]] for x in links), sum(counts[x] for x in links),
+            hashlib.sha256(text.encode()).hexdigest() if text else "",
+        ))
+    return Counter(found)
+
+
+COLUMNS = ["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+ODD = [
+    (20, "a▁b in a text", "en", "a"), (21, "<s>x</s> <0x41> <unk>\n\n  y", "en", "a"), (22, " ", "en", "a"),
+    (23, "\n", "en", "a"), (24, "x\x00y 😀 é", "en", "a"), (25, "   lead and trail   ", "en", "a"),
+]
+
+
+@pytest.mark.parametrize("piece, most_pairs", [(1, 40), (7, 2_000_000), (1 << 16, 300)])
+def test_against_brute_force(spark, piece, most_pairs):
+    rows = AWKWARD + ODD
+    found = alignment.scored(written(alignment.aligned(documents(spark, rows), piece=piece)), most_pairs=most_pairs)
+    assert Counter(map(tuple, found.select(*COLUMNS).collect())) == brute_force(rows)
+
+
+def test_empty_tables(spark):
+    for rows in ([], [(1, None, "en", "a"), (2, "", "en", "a")]):
+        found = alignment.scored(written(alignment.aligned(documents(spark, rows)))).select(*COLUMNS)
+        assert Counter(map(tuple, found.collect())) == brute_force(rows)
+
+
+ENDS = st.lists(st.integers(1, 4), max_size=40).map(lambda x: np.cumsum(np.array(x, np.int64)))
+
+
+@settings(max_examples=300, deadline=None)
+@given(a=ENDS, b=ENDS, piece=st.integers(1, 9))
+def test_pieces_join_to_the_whole_merge(a, b, piece):
+    want = [int(x in a) + 2 * int(x in b) for x in sorted({*a.tolist(), *b.tolist()})]
+    assert alignment.merged(a, b, piece).tolist() == want
+    diagonals = np.append(np.arange(0, len(a) + len(b), piece), len(a) + len(b))
+    order = sorted([(x, 0) for x in a.tolist()] + [(x, 1) for x in b.tolist()])
+    assert alignment.crossings(a, b, diagonals).tolist() == [sum(side == 0 for _, side in order[:d]) for d in diagonals]
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(alphabet=st.one_of(
+    st.sampled_from(list(" \n\t\r'abcdeéßİΣ▁<0x4A>  😀́")), st.characters(exclude_categories=["Cs"]),
+)))
+def test_pieces_give_the_ids_of_the_library(text):
+    _, library, ours = tools()
+    texts = [text, f"{text}\n{text}", f" {text}  <s> {text}"]
+    assert [x.tolist() for x in ours.encode(texts)] == [library.encode(x) for x in texts]
+
+
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    from strata.llm import piece_encoder
+
+    monkeypatch.setattr(piece_encoder, "CHUNK_BYTES", 50)
+    _, library, ours = tools()
+    texts = [AWKWARD[8][1][:5000], "no_blank" * 100, "\n" * 300, " " * 300, "a\n b\n" * 100]
+    assert [x.tolist() for x in ours.encode(texts)] == [library.encode(x) for x in texts]

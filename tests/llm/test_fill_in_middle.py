@@ -1,0 +1,86 @@
+import hashlib
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from strata.llm import fill_in_middle as fim
+from tests.llm.cases import AWKWARD, documents
+
+ODD = [
+    (30 + i, text, "en", "a")
+    for i, text in enumerate(["has <P> in it", "<S>", "a<M", "<P<S<M", "é", "日本", "😀" * 50, "<<<<", "P>S>M>"])
+]
+
+
+def brute_force(rows, seed=1):
+    found = []
+    for i, text, *_ in rows:
+        text = text or ""
+        digest = hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()
+        h1, h2, h3, h4 = (int(digest[k:k + 8], 16) for k in (0, 8, 16, 24))
+        n = len(text)
+        if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+            found.append((i, n, "plain", None, None, text, text))
+            continue
+        begin, end = sorted((h1 % (n + 1), h2 % (n + 1)))
+        prefix, middle, suffix = text[:begin], text[begin:end], text[end:]
+        form = "spm" if h4 % 100 < 20 else "psm"
+        output = f"<S>{suffix}<P>{prefix}<M>{middle}" if form == "spm" else f"<P>{prefix}<S>{suffix}<M>{middle}"
+        found.append((i, n, form, begin, end - begin, output, text))
+    return Counter(found)
+
+
+def test_against_brute_force(spark):
+    rows = AWKWARD + ODD + [(100 + i, f"text {i} of ßome length é", "en", "a") for i in range(300)]
+    made = fim.fill_in_middle(documents(spark, rows))
+    assert made.columns == ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output"]
+    found = Counter(map(tuple, fim.restored(made).collect()))
+    assert found == brute_force(rows)
+    assert {x[2] for x in found} == {"plain", "psm", "spm"}
+
+
+def test_empty_table(spark):
+    assert fim.restored(fim.fill_in_middle(documents(spark, []))).count() == 0
+
+
+def test_options(spark):
+    rows = [(i, f"text <P> {i}", "en", "a") for i in range(40)]
+    marks = ("[pre]", "[suf]", "[mid]")
+    made = fim.fill_in_middle(documents(spark, rows), seed=5, percent=100, spm_percent=100, sentinels=marks)
+    found = fim.restored(made, sentinels=marks).collect()
+    assert {(x.doc_id, x.restored) for x in found} == {x[:2] for x in rows}
+    assert all(x.form == "spm" and x.output.startswith("[suf]") for x in found)
+    assert fim.fill_in_middle(documents(spark, rows), percent=0).filter("form <> 'plain'").count() == 0
+
+
+@pytest.mark.parametrize("marks", [("<P>", "<P>", "<M>"), ("", "a", "b"), ("ab", "b", "c"), ("aba", "x", "y")])
+def test_sentinels_that_cannot_be_told_apart_are_refused(spark, marks):
+    with pytest.raises(ValueError):
+        fim.fill_in_middle(documents(spark, []), sentinels=marks)
+
+
+@settings(max_examples=300, deadline=None)
+@given(data=st.binary(max_size=60), cuts=st.tuples(st.integers(0, 60), st.integers(0, 60), st.integers(0, 60)))
+def test_rotation(data, cuts):
+    a, b, c = sorted(min(x, len(data)) for x in cuts)
+    buffer = bytearray(data)
+    fim.exchange(buffer, a, b, c)
+    assert bytes(buffer) == data[:a] + data[b:c] + data[a:b] + data[c:]
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(alphabet=st.sampled_from(list("<PSM>aé日😀 ")), min_size=1, max_size=30),
+       cuts=st.tuples(st.integers(0, 30), st.integers(0, 30)), form=st.sampled_from(["psm", "spm"]))
+def test_round_trip(text, cuts, form):
+    if any(x in text for x in fim.SENTINELS):
+        return
+    marks = tuple(x.encode() for x in fim.SENTINELS)
+    data = text.encode()
+    begin, end = sorted(min(x, len(text)) for x in cuts)
+    output = fim.rearranged(data, form, *fim._byte_of(data, [begin, end]), marks)
+    prefix, middle, suffix = text[:begin], text[begin:end], text[end:]
+    want = f"<S>{suffix}<P>{prefix}<M>{middle}" if form == "spm" else f"<P>{prefix}<S>{suffix}<M>{middle}"
+    assert output.decode() == want
+    assert fim.put_back(output, form, marks) == data
