@@ -44,6 +44,7 @@ from strata.llm.piece_encoder import piece_encoder
 A_TOKENIZER = "byte_bpe_50k.json"
 B_TOKENIZER = "piece_bpe_32k.model"
 PIECE = 1 << 16  # steps of a piece
+MOST_TOKENS = 1 << 20  # of rows that are counted together
 MOST_PAIRS = 2_000_000
 HELD_PAIRS = 1 << 19  # distinct pairs that a task adds up before it hands them on
 
@@ -167,22 +168,20 @@ def align_texts(texts: list[str | None], a_side: _Side, b_side: _Side, piece: in
     """(ids of A, ids of B, steps) of each text."""
     nothing = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8))
     found: list[tuple] = [nothing] * len(texts)
-    for begin, end in chunks(texts):
-        known = [i for i in range(begin, end) if texts[i]]
-        plain = [texts[i] for i in known]
-        held = []
-        for i, a, b in zip(known, a_side.encode(plain), b_side.encode(plain)):
-            data = b" " + texts[i].encode("utf-8", "surrogatepass")
-            if a_side.gives_back(a, data) and b_side.gives_back(b, data):
-                held.append((i, a.astype(np.int64), b.astype(np.int64)))
-        a_ends, b_ends = _ends([x[1] for x in held], a_side), _ends([x[2] for x in held], b_side)
-        steps = merged(a_ends, b_ends, piece)
-        # Each text ends with a step in which both end.
-        of_a = np.cumsum([len(x[1]) for x in held])
-        n_a = np.cumsum(steps & A_ENDS)
-        cuts = np.searchsorted(n_a, of_a[:-1]) + 1 if held else []
-        for (i, a, b), part in zip(held, np.split(steps, cuts)):
-            found[i] = a, b, part
+    known = [i for i, text in enumerate(texts) if text]
+    plain = [texts[i] for i in known]
+    held = []
+    for i, a, b in zip(known, a_side.encode(plain), b_side.encode(plain)):
+        data = b" " + texts[i].encode("utf-8", "surrogatepass")
+        if a_side.gives_back(a, data) and b_side.gives_back(b, data):
+            held.append((i, a, b))
+    a_ends, b_ends = _ends([x[1] for x in held], a_side), _ends([x[2] for x in held], b_side)
+    steps = merged(a_ends, b_ends, piece)
+    # Each text ends with a step in which both end.
+    of_a = np.cumsum([len(x[1]) for x in held], dtype=np.int64)
+    cuts = np.searchsorted(np.cumsum(steps & A_ENDS, dtype=np.int64), of_a[:-1]) + 1
+    for (i, a, b), part in zip(held, np.split(steps, cuts)):
+        found[i] = a, b, part
     return found
 
 
@@ -206,21 +205,35 @@ def aligned(
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a_side, b_side = _side(a_path), _side(b_path)
         for batch in batches:
-            found = align_texts(batch.column(1).to_pylist(), a_side, b_side, piece)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0),
-                pa.array([len(a) for a, _, _ in found], pa.int64()),
-                pa.array([len(b) for _, b, _ in found], pa.int64()),
-                pa.array([_narrow(a) for a, _, _ in found], pa.binary()),
-                pa.array([_narrow(b) for _, b, _ in found], pa.binary()),
-                pa.array([steps.tobytes() for _, _, steps in found], pa.binary()),
-            ], ["id", "n_a", "n_b", "a_ids", "b_ids", "steps"])
+            texts = batch.column(1).to_pylist()
+            for begin, end in chunks(texts):
+                found = align_texts(texts[begin:end], a_side, b_side, piece)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(begin, end - begin),
+                    pa.array([len(a) for a, _, _ in found], pa.int64()),
+                    pa.array([len(b) for _, b, _ in found], pa.int64()),
+                    pa.array([_narrow(a) for a, _, _ in found], pa.binary()),
+                    pa.array([_narrow(b) for _, b, _ in found], pa.binary()),
+                    pa.array([steps.tobytes() for _, _, steps in found], pa.binary()),
+                ], ["id", "n_a", "n_b", "a_ids", "b_ids", "steps"])
 
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(align, f"id {kind}, n_a long, n_b long, a_ids binary, b_ids binary, steps binary")
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a bounded number of tokens together; one of more tokens stands alone."""
+    for batch in batches:
+        upto = np.cumsum(batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy())
+        begin = 0
+        while begin < batch.num_rows:
+            before = upto[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(upto, before + MOST_TOKENS, "right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 class _Batch:
     """Rows of an aligned table, their tokens one behind the other."""
 
@@ -282,7 +295,7 @@ def pair_counts(alignments: DataFrame) -> DataFrame:
             arrays = [held & np.uint64(0xFFFFFFFF), held >> np.uint64(32), sums]
             return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in arrays], ["a", "b", "n"])
 
-        for batch in batches:
+        for batch in _pieces(batches):
             a, b = _Batch(batch).links()
             keys = np.concatenate([held, _keys(a, b)])
             weights = np.concatenate([sums, np.ones(len(a), np.int64)])
@@ -332,7 +345,7 @@ def _add(rows: DataFrame, slice_of_pairs: tuple | None, first: int, last: int, f
     names = [*kept, "n_best", "count_sum", *(["n_groups", "groups_sha256"] if final else [])]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             of = _Batch(batch)
             a, b = of.links()
             counts, bests = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
