@@ -74,6 +74,8 @@ def _parser() -> argparse.ArgumentParser:
     silver.add_argument("--table_format", choices=["parquet", "delta"], default="parquet")
     silver.add_argument("--min_share", type=float, default=MIN_SHARE, help="when to fold older folders")
     silver.add_argument("--note_from", type=int, default=NOTE_FROM_BYTES, help="size of folders to note, bytes")
+    silver.add_argument("--by_event_time", action="store_true", help="the newer event wins, not the later batch")
+    silver.add_argument("--rejects_path", help="where to keep the records that are dropped otherwise")
     silver.add_argument("--fold_every", type=int, default=FOLD_EVERY, help="micro-batches between folds")
 
     publish = job("publish", "publish the payloads of captured feed lines")
@@ -128,6 +130,7 @@ def _silver(spark: SparkSession, args: argparse.Namespace) -> None:
     run_silver(
         raw, args.silver_landing_layer, args.checkpoint, table_format=args.table_format,
         min_share=args.min_share, note_from=args.note_from, fold_every=args.fold_every,
+        by_event_time=args.by_event_time, rejects=args.rejects_path,
     )
 
 

@@ -49,7 +49,7 @@ class Layer:
 
 
 def updates_root(table: str) -> str:
-    return f"{table}/_updates"
+    return f"{table}/_updates_by_date"
 
 
 def fold_of(layers: list[Layer]) -> Layer:

@@ -41,7 +41,7 @@ def compact(
     folding = len(chosen) > 1
     if folding:
         _fold(spark, table, chosen, key, partition)
-    while (wide := _note_updates(spark, table, key, note_from, limit)) is not None:
+    while (wide := _note_updates(spark, table, key, partition, note_from, limit)) is not None:
         _fold(spark, table, wide, key, partition)
         folding = True
     return folding
@@ -49,7 +49,7 @@ def compact(
 
 def _fold(spark: SparkSession, table: str, chosen: list[Layer], key: str, partition: str) -> None:
     rows = read_layers(spark, table, chosen, key, schema=None)
-    write_layer(rows, layers.fold_of(chosen).path(table), partition)
+    write_layer(rows, layers.fold_of(chosen).path(table), partition, key)
 
 
 def _broadcast_limit(spark: SparkSession) -> int:
@@ -58,13 +58,14 @@ def _broadcast_limit(spark: SparkSession) -> int:
 
 
 def _note_updates(
-    spark: SparkSession, table: str, key: str, note_from: int, limit: int
+    spark: SparkSession, table: str, key: str, partition: str, note_from: int, limit: int
 ) -> list[Layer] | None:
     """Note which keys a large folder shares with older ones, for readers to compare.
 
-    Most keys of an event log are new, so there are few. One pass over the key column here
-    spares every reader a join with all keys of the folder. Stops at the oldest folder whose
-    note is beyond ``limit``, and returns it with the next older one, to be folded.
+    Most keys of an event log are new, so there are few. One pass over the key and the date here
+    spares every reader a join with all keys of the folder. A note is kept by the date of the row
+    that is replaced, so that a reader of one date reads the notes of that date. Stops at the oldest
+    folder whose note is beyond ``limit``, and returns it with the next older one, to be folded.
     """
     live = layers.live(spark, table)
     for at, layer in reversed(list(enumerate(live[:-1], 1))):
@@ -74,8 +75,9 @@ def _note_updates(
                 continue
             rows = layer_rows(spark, table, live[at - 1:], schema=None)
             own = F.col(layers.COLUMN) == layer.value
-            shared = rows.filter(~own).select(key).join(rows.filter(own).select(key), key, "left_semi")
-            layers.whole_folder(shared.hint("rebalance")).parquet(layer.updates(table))
+            replaced, own_keys = rows.filter(~own).select(key, partition), rows.filter(own).select(key)
+            shared = replaced.join(own_keys, key, "left_semi").hint("rebalance", partition)
+            layers.whole_folder(shared).partitionBy(partition).parquet(layer.updates(table))
         if 0 <= limit < folders.size(spark, layer.updates(table)):
             return live[at - 1:at + 1]
     return None

@@ -32,6 +32,7 @@ from strata.schemas import PARTITION_DATE, PAYLOAD_FILE, SILVER, SILVER_FROM_PAY
 from strata.sources import read_current, read_feed, read_file_log, read_raw
 from strata.streaming import (
     apply_batch,
+    read_rejects,
     run_bronze,
     run_capture,
     run_publish,
@@ -43,6 +44,9 @@ from strata.streaming import (
 TWO_BATCHES = [(0, 2), (1, 3)]
 THREE_BATCHES = [(2, 3), (0,), (1,)]
 
+# No int holds a number of characters times this.
+WIDE = 1 << 40
+
 # Micro-batches of a backlog, by offset, and after how many of them its folders are folded.
 BACKLOG_BATCHES = 12
 BACKLOG_FOLD_EVERY = 4
@@ -71,11 +75,12 @@ def _raw_columns(bronze: DataFrame) -> DataFrame:
 
 
 def _upsert_batches(
-    spark: SparkSession, sf_dir: str, table: str, batches: list[tuple[int, ...]]
+    spark: SparkSession, sf_dir: str, table: str, batches: list[tuple[int, ...]], **options: bool
 ) -> None:
     for batch_id, partitions in enumerate(batches):
         arrived = _bronze(spark, sf_dir).filter(F.col("partition").isin(*partitions))
-        apply_batch(flatten(arrived, LINEAGE), table, writer="pinned", batch_id=batch_id)
+        rows = flatten(arrived, LINEAGE)
+        apply_batch(rows, table, writer="pinned", batch_id=batch_id, **options)
 
 
 def _drain_bronze(spark: SparkSession, sf_dir: str, root: str, **options) -> str:
@@ -169,6 +174,16 @@ def merge_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(read_current(spark, table))
 
 
+def merge_by_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newer event wins, whichever batch is processed first."""
+    found = []
+    for first, batches in enumerate((TWO_BATCHES, TWO_BATCHES[::-1])):
+        table = folders.scratch(spark)
+        _upsert_batches(spark, sf_dir, table, batches, by_event_time=True)
+        found.append(_state(read_current(spark, table), F.lit(first).alias("first_batch")))
+    return found[0].unionByName(found[1])
+
+
 def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = folders.scratch(spark)
     landed = _drain_bronze(spark, sf_dir, root)
@@ -176,6 +191,17 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(read_current(spark, f"{root}/silver"))
 
 
+def rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the current state does not take, kept by the job that writes the state."""
+    root = folders.scratch(spark)
+    landed = _drain_bronze(spark, sf_dir, root)
+    rejects = f"{root}/rejects"
+    run_silver(
+        read_raw(spark, landed), f"{root}/silver", f"{root}/silver_checkpoint", rejects=rejects
+    )
+    return read_rejects(spark, rejects).select("class", "topic", "partition", "offset", "raw_values")
+
+
 def silver_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = folders.scratch(spark)
     _upsert_batches(spark, sf_dir, table, THREE_BATCHES)
@@ -210,6 +236,15 @@ def compaction_notes_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(read_current(spark, table), batches)
 
 
+def current_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One date of an updated table, whose updates are noted by date."""
+    table = folders.scratch(spark)
+    _upsert_batches(spark, sf_dir, table, THREE_BATCHES)
+    compact(spark, table, min_share=float("inf"), note_from=0)
+    _, (_, newest) = _days(spark, sf_dir)
+    return _state(read_current(spark, table).filter(F.col(PARTITION_DATE) == newest), PARTITION_DATE)
+
+
 def _upsert_evolving(spark: SparkSession, sf_dir: str, table: str, longer: int) -> None:
     """Two batches, of which the one numbered ``longer`` has a column more."""
     for batch_id, partitions in enumerate(TWO_BATCHES):
@@ -242,6 +277,19 @@ def schema_evolution_back_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(read_current(spark, table), "title_length")
 
 
+def schema_evolution_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches that have a column as int, bigint and int."""
+    table = folders.scratch(spark)
+    length = F.length("title")
+    sizes = (length, length.cast("bigint") * WIDE, length)
+    for batch_id, (partitions, size) in enumerate(zip(THREE_BATCHES, sizes)):
+        arrived = _bronze(spark, sf_dir).filter(F.col("partition").isin(*partitions))
+        rows = latest_per_key(valid(flatten(arrived, LINEAGE))).select(*SILVER.names)
+        rows = rows.withColumn("title_size", size)
+        upsert(rows, table, writer="pinned", batch_id=batch_id)
+    return _state(read_current(spark, table), "title_size")
+
+
 def silver_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many micro-batches, with the compaction that a job runs by default."""
     table = folders.scratch(spark)
@@ -352,14 +400,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_key": latest_per_key_query,
     "silver_first_load": silver_first_load,
     "merge_two_batches": merge_two_batches,
+    "merge_by_event_time": merge_by_event_time,
     "silver_stream": silver_stream,
+    "rejected_records": rejected_records,
     "silver_current": silver_current,
+    "current_pruned": current_pruned,
     "silver_empty_batch": silver_empty_batch,
     "compaction_preserves_rows": compaction_preserves_rows,
     "compaction_notes_updates": compaction_notes_updates,
     "schema_evolution": schema_evolution,
     "schema_evolution_back": schema_evolution_back,
     "schema_evolution_back_folded": schema_evolution_back_folded,
+    "schema_evolution_widened": schema_evolution_widened,
     "silver_backlog": silver_backlog,
     "sse_extract": sse_extract,
     "feed_stream": feed_stream,

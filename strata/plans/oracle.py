@@ -122,14 +122,26 @@ ORACLE_SQL: dict[str, str] = {
     "latest_per_key": _ONE_BATCH,
     "silver_first_load": _winner("0", _STATE + ", true AS is_stamped"),
     "merge_two_batches": _winner(_TWO, _STATE),
+    "merge_by_event_time": _winner("0", _STATE + ", unnest([0, 1]) AS first_batch"),
     "silver_stream": _ONE_BATCH,
+    "rejected_records": _FLAT + """
+      SELECT CASE WHEN corrupt_json IS NOT NULL THEN 'corrupt' ELSE 'keyless' END AS class,
+        log.topic, log."partition", log."offset", raw_values
+      FROM texts JOIN log ON texts."partition" = log."partition" AND texts."offset" = log."offset"
+      WHERE corrupt_json IS NOT NULL OR meta_id IS NULL""",
     "silver_current": _winner(_THREE, _STATE),
+    "current_pruned": "SELECT * FROM (" + _winner(
+        _THREE, _STATE + ", CAST(to_timestamp(event_second) AT TIME ZONE 'UTC' AS DATE) AS kafka_date"
+    ) + ") WHERE kafka_date = (SELECT max(CAST(ts AS DATE)) FROM events)",
     "silver_empty_batch": _winner("0", _STATE + ", 1 AS n_batches"),
     "compaction_preserves_rows": _winner(_THREE, _STATE + ", 1 AS n_folders"),
     "compaction_notes_updates": _winner(_THREE, _STATE + ", 3 AS n_folders"),
     "schema_evolution": _winner(
         _TWO, _STATE + ", CASE WHEN batch = 1 THEN CAST(length(title) AS INTEGER) END AS title_length"
     ),
+    "schema_evolution_widened": _winner(
+        _THREE, _STATE + ", CAST(length(title) AS BIGINT) * CASE WHEN batch = 1 THEN 1099511627776 ELSE 1 END AS title_size"
+    ),
     "schema_evolution_back": _KEPT,
     "schema_evolution_back_folded": _KEPT,
     "silver_backlog": _winner('"offset" % 12', _STATE),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from strata import layers
+from strata.operators.evolve import as_declared
 from strata.operators.merged import columns_of, read_layers
 from strata.schemas import KEY, SILVER
 
@@ -15,14 +16,13 @@ def read_current(
 ) -> DataFrame:
     """The table as of now: the declared columns of ``schema``, then others that it has.
 
-    ``schema=None`` declares none; the table must exist then.
+    A column that the table holds as a wider type than declared is read as that. ``schema=None``
+    declares none; the table must exist then.
     """
     chosen = layers.live(spark, table)
     if not chosen and schema is None:
         raise FileNotFoundError(f"no batch was written to {table}")
-    declared = schema or T.StructType()
-    others = [f for f in columns_of(spark, table, chosen) if f.name not in declared.names]
-    columns = T.StructType([*declared.fields, *others])
+    columns = as_declared(schema or T.StructType(), columns_of(spark, table, chosen))
     if not chosen:
         return spark.createDataFrame([], columns)
     return read_layers(spark, table, chosen, key, columns).select(*columns.names)
