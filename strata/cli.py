@@ -23,7 +23,6 @@ from strata.operators.compact import MIN_SHARE, NOTE_FROM_BYTES
 from strata.session import build_session
 from strata.sources import read_feed, read_file_log, read_kafka, read_kafka_tail, read_raw
 from strata.streaming import (
-    lost_since_last_check,
     preview_tail,
     run_bronze,
     run_capture,
@@ -61,7 +60,11 @@ def _parser() -> argparse.ArgumentParser:
     bronze.add_argument("--max_files", type=int, help="most files per micro-batch, file log")
     bronze.add_argument("--max_bytes", type=int, help="most bytes per micro-batch, file log")
     bronze.add_argument("--gather_dates", action="store_true", help="few files per date, for a backlog")
-    bronze.add_argument("--check_gaps", action="store_true", help="fail if the run left out offsets, file log")
+    gaps = bronze.add_mutually_exclusive_group()
+    gaps.add_argument("--check_gaps", dest="gaps", action="store_const", const="fail",
+                      help="fail before a micro-batch that leaves out offsets, file log")
+    gaps.add_argument("--accept_gaps", dest="gaps", action="store_const", const="accept",
+                      help="take a micro-batch that --check_gaps failed for")
     bronze.add_argument("--table_format", choices=["parquet", "delta"], default="parquet")
 
     silver = job("silver", "upsert the raw table into the current state")
@@ -114,12 +117,9 @@ def _bronze(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         source = read_file_log(spark, args.log_path, max_files=args.max_files, max_bytes=args.max_bytes)
     run_bronze(
-        source, args.landing_path, args.checkpoint, args.table_format, gather_dates=args.gather_dates
+        source, args.landing_path, args.checkpoint, args.table_format,
+        gather_dates=args.gather_dates, gaps=args.gaps,
     )
-    if args.check_gaps:
-        gaps = lost_since_last_check(spark, args.landing_path, args.checkpoint)
-        if gaps:
-            raise RuntimeError(f"{args.landing_path} lacks offsets in {gaps} places")
 
 
 def _silver(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -174,8 +174,8 @@ def main(argv: Sequence[str] | None = None) -> int:
     args = parser.parse_args(argv)
     if getattr(args, "EXTERNAL_IP", None) and not args.topic:
         parser.error("--EXTERNAL_IP needs --topic")
-    if getattr(args, "check_gaps", False) and (args.EXTERNAL_IP or args.table_format != "parquet"):
-        parser.error("--check_gaps is for file logs and parquet tables; Kafka's source tells lost data itself")
+    if getattr(args, "gaps", None) and args.EXTERNAL_IP:
+        parser.error("--check_gaps is for file logs; Kafka's source tells lost data itself")
     try:
         spark = build_session(
             f"strata-{args.job}",

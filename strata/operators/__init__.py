@@ -2,7 +2,7 @@
 
 from strata.operators.compact import compact
 from strata.operators.envelope import envelope
-from strata.operators.gaps import gaps_since, offset_gaps
+from strata.operators.gaps import offset_gaps
 from strata.operators.latest import latest_per_key
 from strata.operators.refine import flatten, record_class, valid
 from strata.operators.sse import sse_payloads
@@ -10,6 +10,5 @@ from strata.operators.tail import end_offsets, tail_after
 from strata.operators.upsert import upsert
 
 __all__ = [
-    "compact", "end_offsets", "envelope", "flatten", "gaps_since", "latest_per_key",
-    "offset_gaps", "record_class", "sse_payloads", "tail_after", "upsert", "valid",
+    "compact", "end_offsets", "envelope", "flatten", "latest_per_key", "offset_gaps", "record_class", "sse_payloads", "tail_after", "upsert", "valid",
 ]

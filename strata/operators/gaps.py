@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -70,16 +69,3 @@ def offset_gaps(log: DataFrame) -> DataFrame:
             F.min("lo").alias("lo"), F.max("hi").alias("hi")
         )
     return reduce(DataFrame.unionByName, found)
-
-
-def gaps_since(landed: DataFrame, ends: DataFrame, since: datetime | None) -> DataFrame:
-    """Gaps among what a raw table gained after ``since``, and between that and ``ends``.
-
-    ``ends`` holds the last ``offset`` known of every topic partition. Files that were written
-    before are left out by their modification time and not opened.
-    """
-    found = landed
-    if since is not None:
-        found = found.filter(F.col("_metadata.file_modification_time") > F.lit(since))
-    columns = [*TOPIC_PARTITION, "offset"]
-    return offset_gaps(found.select(*columns).unionByName(ends.select(*columns)))

@@ -105,6 +105,7 @@ ORACLE_SQL: dict[str, str] = {
     "bronze_envelope": _RAW,
     "bronze_stream": _LOG
     + ' SELECT topic, "partition", "offset", kafka_date, raw_values, true AS is_stamped FROM log',
+    "bronze_checked": _RAW,
     "bronze_pruned": _RAW + " WHERE kafka_date = (SELECT max(kafka_date) FROM log)",
     "bronze_rerun_no_dup": _LOG + ' SELECT "partition", count(*) AS n FROM log GROUP BY "partition"',
     "offset_gaps": _LOG + """, spaced AS (

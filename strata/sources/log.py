@@ -72,3 +72,12 @@ def read_file_log(
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(path).select(*LOG.names)
+
+
+def statistics_session(spark: SparkSession) -> SparkSession:
+    """A session whose reads answer smallest, greatest and count from the statistics of files."""
+    found = spark.newSession()
+    sources = [x for x in found.conf.get("spark.sql.sources.useV1SourceList").split(",") if x != "parquet"]
+    found.conf.set("spark.sql.sources.useV1SourceList", ",".join(sources))
+    found.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return found

@@ -8,11 +8,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata import folders, layers
 from strata.operators.tail import end_offsets, tail_after
-from strata.sources.log import read_file_log
+from strata.sources.log import read_file_log, statistics_session
 
 _MARKS = "topic string, partition int, mark long"
 
 
+def last_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """The last offset of every topic partition of a file log, as ``mark``.
+
+    A log kept by topic and partition tells it by the statistics in the footers of its files; no
+    record is read. Another one is aggregated.
+    """
+    return end_offsets(read_file_log(statistics_session(spark), path, stream=False))
+
+
 def tail_file_log(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
     """Stream of the records beyond the end that a file log has when ``checkpoint`` is first used.
 
@@ -21,8 +30,7 @@ def tail_file_log(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
     """
     kept = f"{checkpoint}/start_marks"
     if not folders.is_complete(spark, kept):
-        ends = end_offsets(read_file_log(spark, path, stream=False))
-        layers.whole_folder(ends.coalesce(1)).parquet(kept)
+        layers.whole_folder(last_offsets(spark, path).coalesce(1)).parquet(kept)
     return tail_after(read_file_log(spark, path), spark.read.schema(_MARKS).parquet(kept))
 
 

@@ -16,7 +16,7 @@ from strata.operators.delta import compact_delta, upsert_delta
 from strata.schemas import BRONZE, LOG, PAYLOAD, SILVER
 from strata.sources import read_current, read_feed, read_file_log, read_kafka, read_kafka_tail
 from strata.sources.log import kafka_options
-from strata.streaming import lost_since_last_check, run_bronze, run_publish
+from strata.streaming import run_bronze, run_publish
 
 
 def test_declared_columns():
@@ -120,41 +120,22 @@ def test_feed_to_state_through_the_command_line(spark):
     assert sorted(tuple(r) for r in state.collect()) == [("k0", "t6", 106), ("k1", "t7", 107), ("k2", "t5", 105)]
 
 
-def test_bronze_can_check_for_lost_records(spark):
+def test_bronze_fails_before_a_batch_with_a_gap(spark):
     root = folders.scratch(spark)
 
-    def job(offsets, mode):
+    def job(offsets, flag="--check_gaps"):
         rows = spark.createDataFrame([("t", 0, o, None, b"x") for o in offsets], LOG)
-        rows.write.mode(mode).parquet(f"{root}/log")
-        time.sleep(0.02)  # files are told apart by their time
-        return cli.main(["bronze", "--log_path", f"{root}/log", "--landing_path", f"{root}/b",
-                         "--checkpoint", f"{root}/c", "--check_gaps"])
-
-    assert job([0, 1, 2], "overwrite") == 0
-    assert job([3, 5], "append") == 1
-    assert job([4], "append") == 0
-    assert job([6, 7], "append") == 0
-    assert job([9], "append") == 1
-
-
-def test_the_loss_check_opens_only_new_files(spark):
-    root = folders.scratch(spark)
-    log = spark.createDataFrame([("t", 0, o, None, b"x") for o in range(50)], LOG)
-    log.write.parquet(f"{root}/log")
-    for run in range(2):
-        run_bronze(read_file_log(spark, f"{root}/log"), f"{root}/b", f"{root}/c")
-        if run:
-            ends = spark.read.parquet(f"{root}/c/checked/1")
-            since = ends.first().until
-            landed = spark.read.parquet(f"{root}/b")
-            new = landed.filter(F.col("_metadata.file_modification_time") > F.lit(since))
-            scans = new.select("offset")
-            scans.collect()
-            metrics = scans._jdf.queryExecution().executedPlan().collectLeaves().head().metrics()
-            assert metrics.apply("numFiles").value() == 1 < len(landed.inputFiles())
-        assert lost_since_last_check(spark, f"{root}/b", f"{root}/c") == 0
-        log.withColumn("offset", F.col("offset") + 50).coalesce(1).write.mode("append").parquet(f"{root}/log")
-        time.sleep(0.02)
+        rows.write.mode("append").parquet(f"{root}/log")
+        code = cli.main(["bronze", "--log_path", f"{root}/log", "--landing_path", f"{root}/b",
+                         "--checkpoint", f"{root}/c", flag])
+        return code, sorted(r.offset for r in spark.read.parquet(f"{root}/b").collect())
+
+    assert job([0, 1, 2]) == (0, [0, 1, 2])
+    assert job([3, 5]) == (1, [0, 1, 2])
+    assert job([6]) == (1, [0, 1, 2])  # the batch is done again first
+    assert job([], "--accept_gaps") == (0, [0, 1, 2, 3, 5, 6])
+    assert job([4, 7, 7, 8]) == (0, [0, 1, 2, 3, 4, 5, 6, 7, 7, 8])  # late and repeated ones
+    assert job([10])[0] == 1
     with pytest.raises(SystemExit):
         cli.main(["bronze", "--EXTERNAL_IP", "h:1", "--topic", "t", "--landing_path", "b", "--checkpoint", "c",
                   "--check_gaps"])

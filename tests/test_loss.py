@@ -1,0 +1,99 @@
+"""Lost offsets must be found before a micro-batch is committed."""
+
+import pandas as pd
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from strata import folders
+from strata.schemas import LOG
+from strata.sources import read_file_log
+from strata.streaming import run_bronze
+from strata.streaming.loss import _follow, _runs
+
+
+def arrive(spark, root, records, files=1):
+    rows = spark.createDataFrame([(t, p, o, None, b"x") for t, p, o in records], LOG)
+    rows.repartition(files).write.mode("append").parquet(f"{root}/log")
+
+
+def landed(spark, root):
+    found = spark.read.parquet(f"{root}/b").select("topic", "partition", "offset").collect()
+    return sorted(tuple(x) for x in found)
+
+
+def run(spark, root, **options):
+    run_bronze(read_file_log(spark, f"{root}/log"), f"{root}/b", f"{root}/c", **options)
+
+
+def test_a_gap_in_one_topic_partition_stops_the_whole_batch(spark):
+    root = folders.scratch(spark)
+    first = [(t, p, o) for t in "tu" for p in range(3) for o in range(5, 40)]
+    arrive(spark, root, first, files=7)
+    run(spark, root, gaps="fail")
+    assert landed(spark, root) == sorted(first)
+    second = [(t, p, o) for t in "tu" for p in range(3) for o in range(40, 60) if (t, p, o) != ("u", 1, 40)]
+    arrive(spark, root, second, files=5)
+    for _ in range(2):  # and again when the batch is done again
+        with pytest.raises(Exception, match="u, partition 1: nothing between the offsets 39 and 41"):
+            run(spark, root, gaps="fail")
+        assert landed(spark, root) == sorted(first)
+    run(spark, root, gaps="accept")
+    assert landed(spark, root) == sorted(first + second)
+    arrive(spark, root, [("u", 1, 60), ("new", 0, 7)])
+    run(spark, root, gaps="fail")
+    assert landed(spark, root)[0] == ("new", 0, 7)
+
+
+def test_many_dates_and_small_batches(spark):
+    root = folders.scratch(spark)
+    for o in range(0, 40, 10):
+        arrive(spark, root, [("t", p, o + i) for p in range(2) for i in range(10)])
+    log = read_file_log(spark, f"{root}/log", max_files=1)
+    query = run_bronze(log, f"{root}/b", f"{root}/c", gaps="fail", gather_dates=True)
+    assert len(query.recentProgress) >= 4
+    assert len(landed(spark, root)) == 80
+
+
+def test_other_words_for_gaps_are_refused(spark):
+    with pytest.raises(ValueError):
+        run_bronze(None, "b", "c", gaps="ignore")
+
+
+def test_the_check_reads_no_payload_and_sends_runs(spark):
+    root = folders.scratch(spark)
+    arrive(spark, root, [("t", 0, o) for o in range(5000)])
+    query = run_bronze(read_file_log(spark, f"{root}/log"), f"{root}/b", f"{root}/c", gaps="fail")
+    plan = query._jsq.explainInternal(False)
+    scans = [x for x in plan.splitlines() if "FileScan" in x]
+    assert any("value" not in x.split("ReadSchema")[-1] for x in scans)
+    state = query.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] == 1
+
+
+RECORDS = st.lists(st.tuples(st.sampled_from(["t", "u"]), st.integers(0, 1), st.integers(0, 30)), max_size=60)
+
+
+@settings(max_examples=200, deadline=None)
+@given(records=RECORDS, size=st.integers(1, 9), last=st.one_of(st.none(), st.integers(0, 30)))
+def test_runs_tell_the_gaps(records, size, last):
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [pa.array([x[i] for x in records[at:at + size]], k) for i, k in enumerate((pa.string(), pa.int32(), pa.int64()))],
+            ["topic", "partition", "offset"],
+        )
+        for at in range(0, len(records), size)
+    ]
+    runs = pd.concat([x.to_pandas() for x in _runs(iter(batches))])
+    for key, own in runs.groupby(["topic", "partition"]):
+        offsets = {o for t, p, o in records if (t, p) == key}
+        assert {o for a, b in zip(own["low"], own["high"]) for o in range(a, b + 1)} == offsets
+        end, gap = _follow(last, iter([own]))
+        seen = sorted(offsets | ({last} if last is not None else set()))
+        if last is not None:
+            seen = [x for x in seen if x >= last]
+        want = [(a, b) for a, b in zip(seen, seen[1:]) if b - a > 1]
+        assert end == seen[-1]
+        assert gap == (want[0] if want else None)
+    assert set(map(tuple, runs[["topic", "partition"]].itertuples(index=False))) == {x[:2] for x in records}

@@ -1,0 +1,72 @@
+"""Logs kept by topic and partition, and their last offsets from the statistics of files."""
+
+import pytest
+
+from strata import folders
+from strata.schemas import LOG
+from strata.sources import read_file_log
+from strata.streaming import run_capture
+from strata.streaming.tail import last_offsets, tail_file_log
+
+
+def arrive(spark, root, records, **options):
+    rows = spark.createDataFrame([(t, p, o, None, b"x") for t, p, o in records], LOG)
+    rows.write.mode("append").parquet(f"{root}/arrived")
+    source = spark.readStream.schema(LOG).parquet(f"{root}/arrived")
+    run_capture(source, f"{root}/log", f"{root}/c", **options)
+
+
+def marks(found):
+    return {(r.topic, r.partition): r.mark for r in found.collect()}
+
+
+RECORDS = [(t, p, o) for t in ("t", "a b/c=d") for p in range(3) for o in range(p, 50 + p)]
+WANT = {(t, p): 49 + p for t in ("t", "a b/c=d") for p in range(3)}
+
+
+def test_marks_come_from_statistics(spark):
+    root = folders.scratch(spark)
+    arrive(spark, root, RECORDS)
+    found = last_offsets(spark, f"{root}/log")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(offset)]" in plan and "PushedGroupBy: [topic, partition]" in plan
+    assert marks(found) == WANT
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    log = read_file_log(spark, f"{root}/log", stream=False)
+    assert log.columns == LOG.names and log.schema["partition"].dataType == LOG["partition"].dataType
+    assert sorted((r.topic, r.partition, r.offset) for r in log.collect()) == sorted(RECORDS)
+    one = log.filter("topic = 't' AND partition = 2").select("offset")
+    assert len(one.collect()) == 50
+    assert one._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numFiles").value() == 1
+
+
+def test_marks_of_a_log_begun_otherwise(spark):
+    root = folders.scratch(spark)
+    arrive(spark, root, RECORDS, by_partition=False)
+    arrive(spark, root, [("t", 0, 70)])  # goes on as it is
+    assert not [x for x in folders.names(spark, f"{root}/log") if x.startswith("topic=")]
+    found = last_offsets(spark, f"{root}/log")
+    assert "PushedAggregation: [MAX" not in found._jdf.queryExecution().executedPlan().toString()
+    assert marks(found) == WANT | {("t", 0): 70}
+    with pytest.raises(ValueError):
+        arrive(spark, root, [], by_partition=True)
+
+
+def test_half_written_files_do_not_count(spark):
+    root = folders.scratch(spark)
+    arrive(spark, root, RECORDS)
+    spark.createDataFrame([("t", 0, 999, None, b"x")], LOG).write.mode("append").partitionBy("topic", "partition").parquet(
+        f"{root}/log"
+    )
+    assert marks(last_offsets(spark, f"{root}/log")) == WANT
+
+
+def test_a_tail_starts_at_the_marks(spark):
+    root = folders.scratch(spark)
+    arrive(spark, root, RECORDS)
+    tail_file_log(spark, f"{root}/log", f"{root}/tail_c")
+    more = [("t", 0, 50), ("t", 3, 0), ("new", 0, 0)]
+    arrive(spark, root, more)
+    run_capture(tail_file_log(spark, f"{root}/log", f"{root}/tail_c"), f"{root}/tail", f"{root}/tail_c")
+    found = read_file_log(spark, f"{root}/tail", stream=False).collect()
+    assert sorted((r.topic, r.partition, r.offset) for r in found) == sorted(more)

@@ -1,0 +1,122 @@
+"""Records that the refined layer does not take, and batches in any order."""
+
+import importlib
+import json
+import os
+from datetime import date, datetime, timezone
+from itertools import permutations
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata import cli, folders
+from strata.schemas import BRONZE
+from strata.sources import read_current, read_raw
+from strata.streaming import read_rejects, run_silver
+
+silver = importlib.import_module("strata.streaming.silver")
+NOW = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def payload(key, title="t", at=100):
+    return json.dumps({"meta": {"id": key}, "title": title, "timestamp": at})
+
+
+def land(spark, root, texts, first=0):
+    rows = [("t", 0, first + i, NOW, text, NOW, date(2024, 1, 1)) for i, text in enumerate(texts)]
+    spark.createDataFrame(rows, BRONZE).coalesce(1).write.mode("append").partitionBy("kafka_date").parquet(f"{root}/bronze")
+
+
+def job(spark, root, **options):
+    run_silver(read_raw(spark, f"{root}/bronze"), f"{root}/silver", f"{root}/c", **options)
+
+
+def rejected(spark, root):
+    found = read_rejects(spark, f"{root}/rejects").collect()
+    return sorted(((r["class"], r.topic, r.offset, r.raw_values) for r in found), key=lambda x: x[2])
+
+
+TEXTS = [payload("a"), "{broken", json.dumps({"title": "x"}), None, payload("b"), ""]
+WANT = [("corrupt", "t", 1, "{broken"), ("keyless", "t", 2, TEXTS[2]), ("keyless", "t", 3, None), ("keyless", "t", 5, "")]
+
+
+def test_every_dropped_record_is_kept_once(spark):
+    root = folders.scratch(spark)
+    assert rejected(spark, root) == []
+    land(spark, root, TEXTS)
+    job(spark, root, rejects=f"{root}/rejects")
+    job(spark, root, rejects=f"{root}/rejects")
+    assert rejected(spark, root) == WANT
+    assert {r.meta_id for r in read_current(spark, f"{root}/silver").collect()} == {"a", "b"}
+    land(spark, root, [payload("a", "new", 200), "{again"], first=6)
+    assert cli.main(["silver", "--bronze_path", f"{root}/bronze", "--silver_landing_layer", f"{root}/silver",
+                     "--checkpoint", f"{root}/c", "--rejects_path", f"{root}/rejects"]) == 0
+    assert [x for x in rejected(spark, root) if x not in WANT] == [("corrupt", "t", 7, "{again")]
+
+
+def test_a_redelivered_batch_replaces_its_rejects(spark, monkeypatch):
+    root = folders.scratch(spark)
+    land(spark, root, TEXTS)
+    apply = silver.apply_batch
+
+    def lost(*args, **options):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(silver, "apply_batch", lost)
+    with pytest.raises(Exception, match="lost"):
+        job(spark, root, rejects=f"{root}/rejects")
+    assert rejected(spark, root) == WANT
+    monkeypatch.setattr(silver, "apply_batch", apply)
+    job(spark, root, rejects=f"{root}/rejects")
+    assert rejected(spark, root) == WANT
+    assert len(os.listdir(f"{root}/rejects")) == 1
+
+
+def test_half_written_rejects_are_not_read(spark):
+    root = folders.scratch(spark)
+    land(spark, root, TEXTS)
+    job(spark, root, rejects=f"{root}/rejects")
+    (folder,) = os.listdir(f"{root}/rejects")
+    os.unlink(f"{root}/rejects/{folder}/_SUCCESS")
+    assert rejected(spark, root) == []
+
+
+def test_payloads_are_parsed_once(spark, monkeypatch):
+    root = folders.scratch(spark)
+    land(spark, root, TEXTS)
+    plans = []
+    writes = importlib.import_module("strata.layers")
+    whole_folder = writes.whole_folder
+
+    def seen(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return whole_folder(rows)
+
+    monkeypatch.setattr(writes, "whole_folder", seen)
+    job(spark, root, rejects=f"{root}/rejects")
+    assert len(plans) == 2 and all("InMemoryTableScan" in x for x in plans)
+
+
+def test_delta_tables_take_neither_option(spark):
+    for options in ({"rejects": "r"}, {"by_event_time": True}):
+        with pytest.raises(ValueError):
+            run_silver(spark.range(1), "t", "c", table_format="delta", **options)
+
+
+def test_the_newer_event_wins_in_any_order_of_batches(spark):
+    arrivals = [
+        [payload("a", "old", 100), payload("b", "b new", 900)],
+        [payload("a", "new", 300), payload("b", "b old", 800), payload("c", "no time", "abc")],
+        [payload("a", "middle", 200), payload("c", "time", 1)],
+    ]
+    for n, order in enumerate(permutations(range(3))):
+        root = folders.scratch(spark)
+        for i in order:
+            land(spark, root, arrivals[i], first=10 * i)
+            if n % 2:
+                job(spark, root, by_event_time=True)
+            else:
+                assert cli.main(["silver", "--bronze_path", f"{root}/bronze", "--silver_landing_layer", f"{root}/silver",
+                                 "--checkpoint", f"{root}/c", "--by_event_time", "--min_share", "0"]) == 0
+        found = read_current(spark, f"{root}/silver").select("meta_id", "title", F.col("offset"))
+        assert sorted(map(tuple, found.collect())) == [("a", "new", 10), ("b", "b new", 1), ("c", "time", 21)]
