@@ -5,7 +5,8 @@ the columns of ``documents``; the last one returns the pieces of packed sequence
 the mix takes more than once is there once per draw from then on.
 
 Rows are told apart by id and text, as in exact deduplication: a null id or an id that other rows
-share is no reason to drop a row or to keep it.
+share is no reason to drop a row or to keep it. An empty table passes all stages, with no piece at the
+end; other columns go along, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import language_id
-from strata.llm.common import importable, table, written
+from strata.llm.common import free_name, importable, table, written
 from strata.llm.exact_dedup import deduplicated
 from strata.llm.jaccard import similar_documents
 from strata.llm.mixing import mixed
@@ -29,9 +30,10 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     The language is that of a text, so equal rows go or stay alike.
     """
     importable(spark)
-    found = language_id.identify(_keyed(docs), language_id.fit(docs), id_column="__row")
+    keyed, key = _keyed(docs)
+    found = language_id.identify(keyed, language_id.fit(docs), id_column=key)
     told = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return _without(docs, written(found.filter(~told).select("__row").distinct()))
+    return _without(docs, written(found.filter(~told).select(F.col(key).alias("gone")).distinct()))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,18 +51,19 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows with the same id and text any one. Texts without words are like no other and all stay.
     """
     importable(spark)
-    found = similar_documents(_keyed(docs), id_column="__row")
-    keys = found.groupBy("__row").agg(
-        F.first(F.col("__row") != F.col("component_id")).alias("gone"),
+    keyed, key = _keyed(docs)
+    found = similar_documents(keyed, id_column=key).withColumnRenamed(key, "row")
+    keys = found.groupBy("row").agg(
+        F.first(F.col("row") != F.col("component_id")).alias("goes"),
         F.first("n_shingles").alias("n_shingles"), F.count("*").alias("n_rows"),
     )
-    marked = written(keys.filter("gone OR (n_rows > 1 AND n_shingles > 0)"))
-    repeated = marked.filter("NOT gone").select("__row")
-    kept = _without(docs, marked.select("__row"))
+    marked = written(keys.filter("goes OR (n_rows > 1 AND n_shingles > 0)"))
+    repeated = marked.filter("NOT goes").select(F.col("row").alias(key))
+    kept = _without(docs, marked.select(F.col("row").alias("gone")))
     if repeated.isEmpty():
         return kept
     names = [F.col(f"`{x}`") for x in docs.columns]
-    once = _keyed(docs).join(repeated, "__row", "left_semi").dropDuplicates(["__row"])
+    once = keyed.join(repeated, key, "left_semi").dropDuplicates([key])
     return kept.unionByName(once.select(*names))
 
 
@@ -78,16 +81,19 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     )
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The documents with ``__row``, which tells them apart and orders them: id, null last, and text."""
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a column more, which tells them apart and orders them: id, null last, and text."""
     digest = F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), digest.alias("digest"))
-    return docs.withColumn("__row", key)
+    name = free_name(docs.columns, "row_key")
+    return docs.withColumn(name, key), name
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents whose key is not among those gone; Spark broadcasts these while they are few."""
-    return _keyed(docs).join(gone, "__row", "left_anti").select(*[F.col(f"`{x}`") for x in docs.columns])
+    """The documents whose key is not among those ``gone``; Spark broadcasts these while they are few."""
+    keyed, key = _keyed(docs)
+    kept = keyed.join(gone.withColumnRenamed("gone", key), key, "left_anti")
+    return kept.select(*[F.col(f"`{x}`") for x in docs.columns])
 
 
 STAGES = [

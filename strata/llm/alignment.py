@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import pretokens
 from strata.llm.batch_encoder import _SIGNS, BatchEncoder
-from strata.llm.common import chunks, written
+from strata.llm.common import chunks, lean, written
 from strata.llm.piece_encoder import piece_encoder
 
 A_TOKENIZER = "byte_bpe_50k.json"
@@ -219,7 +219,7 @@ def aligned(
 
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(align, f"id {kind}, n_a long, n_b long, a_ids binary, b_ids binary, steps binary")
+    return rows.mapInArrow(lean(align), f"id {kind}, n_a long, n_b long, a_ids binary, b_ids binary, steps binary")
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +308,7 @@ def pair_counts(alignments: DataFrame) -> DataFrame:
         yield made()
 
     columns = alignments.select("n_a", "n_b", "a_ids", "b_ids", "steps")
-    return columns.mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return columns.mapInArrow(lean(count), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def _slices(pairs: DataFrame, most: int) -> list[tuple[int, int]]:
@@ -366,7 +366,7 @@ def _add(rows: DataFrame, slice_of_pairs: tuple | None, first: int, last: int, f
 
     kinds = {x.name: x.dataType.simpleString() for x in rows.schema}
     kinds |= {"n_groups": "long", "groups_sha256": "string"}
-    return rows.mapInArrow(add, ", ".join(f"{x} {kinds[x]}" for x in names))
+    return rows.mapInArrow(lean(add), ", ".join(f"{x} {kinds[x]}" for x in names))
 
 
 def scored(alignments: DataFrame, *, most_pairs: int = MOST_PAIRS) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import string
 from collections.abc import Callable, Iterator
@@ -52,6 +53,50 @@ def importable(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
 
 
+def free_name(columns: list[str], wish: str) -> str:
+    """A name that none of the columns has, in any case."""
+    taken = {x.lower() for x in columns}
+    while wish.lower() in taken:
+        wish = f"_{wish}"
+    return wish
+
+
+def lean(function: Callable) -> Callable:
+    """A function over Arrow batches that gives freed memory back to the system after each of them.
+
+    A Python worker outlives its task and waits for others. What its allocators keep meanwhile would
+    stand beside what the executor needs for stages without Python.
+    """
+
+    def each(batches: Iterator) -> Iterator:
+        for batch in batches:
+            yield batch
+            del batch
+            give_back()
+
+    def run(batches: Iterator) -> Iterator:
+        yield from function(each(batches))
+        give_back()
+
+    return run
+
+
+def give_back() -> None:
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(_libc(), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
+def _libc() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL(None)
+    except (OSError, TypeError):
+        return None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -14,8 +14,9 @@ The decision then goes back to the rows by their digest. A text whose digest is
 joined by the text itself.
 
 Defined cases: a null text counts as empty; a null id is smaller than any other; rows that share
-both id and text are marked alike, and :func:`deduplicated` returns one of them; an empty table
-gives an empty result. Other columns are never read, whatever their names.
+both id and text are marked alike, and :func:`deduplicated` returns one of them; very long texts are
+compared as a whole; an empty table gives an empty result. Other columns are kept by
+:func:`deduplicated` and never read, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ascii_lower, written
+from strata.llm.common import ascii_lower, free_name, written
 
 SALTS = 32
 
@@ -80,20 +81,29 @@ def duplicate_groups(
 def deduplicated(
     documents: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The rows that stay, with all their columns."""
+    """The rows that stay, with all their columns.
+
+    The rows that go are the smaller part, and only they are looked up: by their ids where no id is
+    shared, else by id and text.
+    """
     groups = duplicate_groups(documents, id_column=id_column, text_column=text_column)
-    id_and_digest = F.col(id_column).alias("__id"), F.col("text_sha256").alias("__digest")
-    stay = written(groups.filter("kept").select(*id_and_digest))
-    # A row is found again by id and text. The ids alone do where each stays once.
-    once = stay.groupBy("__id").agg(F.count("*").alias("n"))
-    same_id = documents[id_column].eqNullSafe(F.col("__id"))
-    if once.filter("n > 1").isEmpty():
-        dropped = written(groups.filter(~F.col("kept")).select(F.col(id_column).alias("__id")))
-        if dropped.join(stay, dropped["__id"].eqNullSafe(stay["__id"]), "left_semi").isEmpty():
-            return documents.join(stay, same_id, "left_semi")
-    names = documents.columns
-    digest = sha256(ascii_lower(documents[text_column]))
-    found = documents.withColumn("__of_row", digest).join(
-        stay.distinct(), same_id & (F.col("__of_row") == F.col("__digest")), "left_semi"
-    )
-    return found.dropDuplicates([id_column, "__of_row"]).select(*[F.col(f"`{x}`") for x in names])
+    marks = written(groups.select(F.col(id_column).alias("id"), F.col("text_sha256").alias("digest"), "kept"))
+    names = [F.col(f"`{x}`") for x in documents.columns]
+    own, other = free_name(documents.columns, "id_of_row"), free_name(documents.columns, "id_that_goes")
+    if marks.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+        gone = marks.filter("NOT kept").select(F.col("id").alias(other))
+        rows = documents.withColumn(own, F.col(f"`{id_column}`"))
+        return rows.join(gone, F.col(own).eqNullSafe(F.col(other)), "left_anti").select(*names)
+
+    def key(digest: Column, of: Column) -> Column:
+        return F.struct(of.isNull().alias("no_id"), of.alias("id"), digest.alias("digest"))
+
+    keys = marks.select(key(F.col("digest"), F.col("id")).alias(other), "kept")
+    found = keys.groupBy(other).agg(F.first("kept").alias("kept"), F.count("*").alias("n"))
+    found = written(found.filter("NOT kept OR n > 1"))
+    digest = sha256(ascii_lower(F.col(f"`{text_column}`")))
+    rows = documents.withColumn(own, key(digest, F.col(f"`{id_column}`")))
+    stay = rows.join(found.select(other), F.col(own) == F.col(other), "left_anti").select(*names)
+    repeated = found.filter("kept").select(other)
+    once = rows.join(repeated, F.col(own) == F.col(other), "left_semi").dropDuplicates([own])
+    return stay.unionByName(once.select(*names))

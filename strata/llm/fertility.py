@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import pretokens
 from strata.llm.alignment import plain_encoder
-from strata.llm.common import chunks, small, written
+from strata.llm.common import chunks, lean, small, written
 from strata.llm.piece_encoder import piece_encoder
 
 A_TOKENIZER = "byte_bpe_50k.json"
@@ -194,7 +194,7 @@ def measured(
     lang = F.lit(None).cast("string") if lang_column is None else F.col(lang_column).cast("string")
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), lang.alias("lang"))
     kinds = [rows.schema[0].dataType.simpleString(), "string", "string", *["long"] * 5, *["double"] * 4]
-    made = rows.mapInArrow(measure, ", ".join(map(" ".join, zip(names, kinds))))
+    made = rows.mapInArrow(lean(measure), ", ".join(map(" ".join, zip(names, kinds))))
     return made.withColumnRenamed("id", id_column)
 
 

@@ -15,15 +15,15 @@ shingles first, and two random orders. Only then are sets compared.
    bucket all are first compared with one of them, the one with the commonest shingles. What this
    links into one component is settled; the rest of a bucket is compared across components, each
    pair once, at its first common shingle, if it passes the other orders.
-4. *Verification* is exact, on sorted arrays. Links join components, and each document gets the
+4. *Verification* is exact on the shingles' hashes, on sorted arrays. Links join components, and each document gets the
    smallest id in its component.
 
 Nothing is capped: the buckets that are left after step 3 are compared in full.
 
 Defined cases: texts without words (null, empty, blank) have an empty set and their own id as
 component; fewer words than a shingle form one shingle; repeated rows and equal ids keep a row
-each; a null id is ignored in the smallest id; an empty table gives an empty result; other columns
-are never read.
+each; a null id is ignored in the smallest id; very long texts are taken whole; an empty table gives an empty
+result; other columns are never read.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import written
+from strata.llm.common import give_back, lean, written
 from strata.llm.components import components
 from strata.llm.shingles import mix, shingle_sets
 
@@ -81,7 +81,7 @@ def shingle_digests(documents: DataFrame, id_column: str, text_column: str, widt
 
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema[0].dataType.simpleString()
-    found = rows.mapInArrow(digest, f"id {kind}, n long, s1 long, s2 long")
+    found = rows.mapInArrow(lean(digest), f"id {kind}, n long, s1 long, s2 long")
     return found.select("id", "n", F.when(F.col("n") > 0, F.struct("s1", "s2")).alias("v"))
 
 
@@ -196,6 +196,7 @@ def _count_range(key: tuple, rows: pa.Table) -> pa.Table:
         if len(shared):
             found.append((number, batch, 2, token[shared].tobytes(), of[shared].tobytes(),
                           frequency[shared].tobytes()))
+    give_back()
     return pa.Table.from_batches([_packed(found)])
 
 
@@ -296,7 +297,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("v").alias("b"), side("r"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "l", "r")
     v = "struct<s1:bigint,s2:bigint>"
-    return written(both.mapInArrow(_verifier(percent), f"a {v}, b {v}"))
+    return written(both.mapInArrow(lean(_verifier(percent)), f"a {v}, b {v}"))
 
 
 def shared_sets(
@@ -306,7 +307,7 @@ def shared_sets(
     ranges = max(LEAST_RANGES, total // RANGE_SHINGLES)
     range_bits = min(64 - _LOW_BITS, (ranges - 1).bit_length())
     texts = documents.select(F.col(text_column).alias("text"))
-    packed = texts.mapInArrow(_pack(width, range_bits), _PACKED)
+    packed = texts.mapInArrow(lean(_pack(width, range_bits)), _PACKED)
     counted = packed.groupBy("key").applyInArrow(_count_range, _PACKED)
     found = counted.groupBy("batch").applyInArrow(_shared_sets(percent), _SHARED)
     found = found.select(F.struct("s1", "s2").alias("v"), "n", "n_prefix", "weight", "shingles", "parity")

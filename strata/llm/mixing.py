@@ -18,7 +18,7 @@ are all that is ever gathered, and those of documents are never sorted or groupe
 Everything random is a hash of ids, so reruns agree.
 
 Defined cases: a null text has no words; documents without words are drawn like others and take
-none; null sources are one source; a source without words has target 0; rows with equal ids go
+none; null sources are one source; the words of very long texts are counted as a whole; a source without words has target 0; rows with equal ids go
 the same way; an empty table gives an empty result. Other columns are kept; ``draws``, ``shard``,
 ``pass`` and the columns of :func:`drawn` replace columns of these names.
 """
@@ -34,6 +34,7 @@ SHARDS = 64
 MOST_BLOCKS = 16_384
 LEAST_BLOCK_WORDS = 1_024
 MOST_REPEATS = 3
+PART_WORDS = 4_000_000  # of a shard, sorted together
 MOST_SMALL = 100_000
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -276,8 +277,8 @@ def _drawn(
     least_block_words: int = LEAST_BLOCK_WORDS,
     most_repeats: int = MOST_REPEATS,
     seed: int = 11,
-) -> DataFrame:
-    """``doc`` (the whole row), ``id``, ``size``, ``source_size``, ``target`` and ``draws``."""
+) -> tuple[DataFrame, int]:
+    """``doc`` (the whole row), ``id``, ``size``, ``source_size``, ``target`` and ``draws``; all words."""
     # A new name holds the documents' columns, so that theirs and ours cannot clash.
     rows = documents.select(
         F.struct(*[F.col(f"`{x}`") for x in documents.columns]).alias("doc"),
@@ -309,7 +310,7 @@ def _drawn(
     found = found.join(small(single, 2 * MOST_SMALL), is_single, "left")
     nothing = F.array().cast(draws.schema["draws"].dataType)
     both = F.concat(F.coalesce("whole", nothing), F.coalesce("single", nothing))
-    return found.select("doc", "id", "size", "source_size", "target", both.alias("draws"))
+    return found.select("doc", "id", "size", "source_size", "target", both.alias("draws")), total
 
 
 def drawn(documents: DataFrame, **options) -> DataFrame:
@@ -319,14 +320,20 @@ def drawn(documents: DataFrame, **options) -> DataFrame:
     """
     ours = ["size", "source_size", "target", "draws"]
     kept = [F.col(f"doc.`{x}`") for x in documents.columns if x not in ours]
-    return _drawn(documents, **options).select(*kept, *ours)
+    return _drawn(documents, **options)[0].select(*kept, *ours)
 
 
 def mixed(documents: DataFrame, *, draw_columns: bool = True, seed: int = 11, **options) -> DataFrame:
-    """The mix: one row per draw, shuffled within its shard, with ``pass`` and ``shard`` if wanted."""
-    each = _drawn(documents, seed=seed, **options).select("doc", "id", F.explode("draws").alias("draw"))
-    each = each.select("doc", "id", "draw.*")
+    """The mix: one row per draw, shuffled within its shard, with ``pass`` and ``shard`` if wanted.
+
+    A shard is as large as its share of the corpus. It is put together from parts of about
+    ``PART_WORDS`` words, which its random order tells and which are sorted on their own.
+    """
+    found, total = _drawn(documents, seed=seed, **options)
+    each = found.select("doc", "id", F.explode("draws").alias("draw")).select("doc", "id", "draw.*")
+    parts = max(1, -(-total // (options.get("shards", SHARDS) * PART_WORDS)))
     order = F.xxhash64(F.lit(seed), F.col("shard"), F.col("pass"), F.col("id"))
-    each = each.repartition("shard").sortWithinPartitions("shard", order)
+    each = each.withColumn("order", order).withColumn("part", F.pmod("order", F.lit(parts)))
+    each = each.repartition("shard", "part").sortWithinPartitions("shard", "part", "order")
     ours = ["pass", "shard"] if draw_columns else []
     return each.select(*[F.col(f"doc.`{x}`") for x in documents.columns if x not in ours], *ours)

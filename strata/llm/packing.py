@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import pretokens
 from strata.llm.batch_encoder import batch_encoder
-from strata.llm.common import written
+from strata.llm.common import lean, written
 
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
@@ -56,7 +56,7 @@ def encoded(
 
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema[0].dataType.simpleString()
-    return rows.mapInArrow(encode, f"part int, at long, id {kind}, n long, ids binary")
+    return rows.mapInArrow(lean(encode), f"part int, at long, id {kind}, n long, ids binary")
 
 
 def part_starts(totals: DataFrame) -> dict[int, int]:
@@ -109,6 +109,6 @@ def packed(
 
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(
-        cut, f"`{id_column}` {kind}, start long, length long, doc_tokens long, sequence_id long, "
+        lean(cut), f"`{id_column}` {kind}, start long, length long, doc_tokens long, sequence_id long, "
         "offset long, ids binary",
     )

@@ -20,6 +20,7 @@ BUCKETS = 1 << 16
 LEXICON_FROM = 3  # occurrences in the training words
 TABLE_BITS = 20  # of the table of scores that a worker keeps
 SEGMENT = 64
+NEW_WORDS = 1 << 14  # scored at once
 NGRAMS = (2, 3, 4)  # bytes
 AFFIXES = (1, 2, 3, 4)
 
@@ -210,10 +211,11 @@ class Model:
         while len(missing):  # more than once only where two words share a hash
             _, first = np.unique(keys[missing], return_index=True)
             new = missing[first]
-            flat, counts = features(words.data, words.starts[new], words.ends[new], self.lexicon)
-            at = self.index.size
-            self.scores[at:at + len(new)] = np.add.reduceat(self.weights[flat], np.cumsum(counts) - counts)
-            self.index.add(keys[new], checks[new])
+            for part in np.split(new, range(NEW_WORDS, len(new), NEW_WORDS)):
+                flat, counts = features(words.data, words.starts[part], words.ends[part], self.lexicon)
+                at = self.index.size
+                self.scores[at:at + len(part)] = np.add.reduceat(self.weights[flat], np.cumsum(counts) - counts)
+                self.index.add(keys[part], checks[part])
             entries[missing] = self.index.find(keys[missing], checks[missing])
             missing = missing[entries[missing] < 0]
         return self.scores[entries]

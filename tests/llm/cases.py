@@ -26,7 +26,9 @@ AWKWARD = [
 # Names that operators use themselves.
 CLASHING = (
     "id content digest key words n v root size draws pass shard rank block place score spans lang_pred "
-    "part at ids start length keep_id group_size target source_size vec query of"
+    "part at ids start length keep_id group_size target source_size vec query of order row doc gone "
+    "script form output restored steps n_a a_ids row_key id_of_row id_that_goes "
+    "__id __row __of_row __digest"
 ).split()
 
 _SCHEMA = "doc_id long, text string, lang string, source string, n_chars int"

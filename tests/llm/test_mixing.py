@@ -1,3 +1,4 @@
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -99,3 +100,14 @@ def test_empty_tables(spark):
 def test_plan_stays_native(spark):
     plan = mixing.drawn(documents(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_large_shards_are_put_together_from_parts(spark, monkeypatch):
+    docs = documents(spark, [(i, "w " * (1 + i % 9), "en", "ab"[i % 2]) for i in range(200)])
+    whole = [tuple(x) for x in mixing.mixed(docs, shards=4).select("doc_id", "pass", "shard").collect()]
+    monkeypatch.setattr(mixing, "PART_WORDS", 20)
+    rows = mixing.mixed(docs, shards=4)
+    parts = [tuple(x) for x in rows.select("doc_id", "pass", "shard").collect()]
+    assert sorted(parts) == sorted(whole) and parts != sorted(parts)
+    plan = re.sub(r"#\d+L?", "", rows._jdf.queryExecution().executedPlan().toString())
+    assert "hashpartitioning(shard, part," in plan
