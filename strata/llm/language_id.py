@@ -1,15 +1,16 @@
 """Language identification by a conditional random field over the words of a text.
 
-The model is fitted on a bounded sample of labelled rows (``ROWS_PER_LANGUAGE`` rows of each
-language, ``SPAN_CHARACTERS`` characters from a random place of each), none of which is held out.
+The model is fitted on a bounded sample of labelled rows: ``ROWS_PER_LANGUAGE`` rows of each of the
+``MOST_LANGUAGES`` languages that have most rows, ``SPAN_CHARACTERS`` characters from a random place
+of each; none of them is held out. Rows are drawn, not ids, so repeated ids count as often as they occur.
 Predictions read every text as a whole and nothing but the text: each word is labelled, and the
 language of the text is the one with the largest share of its words, by their marginals.
 
 Held out are rows whose ``crc32`` of the id, as text, is divisible by 5. Defined cases: a text that
 is null or has no letter is ``und`` with score 0, as is every text when there is nothing to learn
 from; equal shares go to the first language in alphabetical order; null labels teach nothing; a
-null id counts as an empty text and is held out; rows are kept one for one; other columns are
-never read.
+null id counts as an empty text and is held out; very long texts are read as a whole; rows are kept one
+for one; an empty table gives an empty result; other columns are never read, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import word_crf
+from strata.llm.common import lean
 
 ROWS_PER_LANGUAGE = 400
 SPAN_CHARACTERS = 3_000
+MOST_LANGUAGES = 200
 FOLDS = 5
 UNKNOWN = "und"
 CHUNK_CHARACTERS = 1 << 20
@@ -43,27 +46,25 @@ def fit(
     lang_column: str = "lang",
     rows_per_language: int = ROWS_PER_LANGUAGE,
     span_characters: int = SPAN_CHARACTERS,
+    most_languages: int = MOST_LANGUAGES,
 ) -> word_crf.Model:
-    """The model, learned from a sample that is drawn by a hash of the ids."""
+    """The model, learned from a sample whose size does not grow with the corpus."""
     rows = documents.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang")
-    ).filter(F.col("lang").isNotNull() & ~is_held_out(F.col("id")))
-    # A language may hold most of the corpus: its share of a hash leaves about three times as many
-    # rows as are wanted, and only those are put in order.
+    ).filter(F.col("lang").isNotNull() & ~is_held_out(F.col("id"))).drop("id")
     n_rows = rows.groupBy("lang").agg(F.count("*").alias("n_rows"))
-    place = F.xxhash64("id", F.lit(1))
-    near = (F.pmod(place, F.lit(1 << 40)) / F.lit(1 << 40)) * F.col("n_rows") < 3 * rows_per_language
-    order = Window.partitionBy("lang").orderBy(place, "id")
-    drawn = rows.select("id", "lang").join(n_rows, "lang").filter(near)
-    drawn = drawn.withColumn("place", F.row_number().over(order))
-    drawn = drawn.filter(F.col("place") <= rows_per_language).select("id").distinct()
+    n_rows = n_rows.orderBy(F.desc("n_rows"), "lang").limit(most_languages)
+    # Each task cuts the spans out of about three times as many rows as are wanted of each language;
+    # only those are put in order. A language may hold most of the corpus.
     room = F.greatest(F.length("text") - span_characters, F.lit(1))
-    begin = F.pmod(F.xxhash64("id", F.lit(3)), room).cast("int") + 1
-    sample = rows.join(F.broadcast(drawn), "id", "left_semi").select(
-        "id", "lang", F.col("text").substr(begin, F.lit(span_characters)).alias("text")
-    )
+    span = F.col("text").substr((F.rand(3) * room).cast("int") + 1, F.lit(span_characters))
+    near = rows.select("lang", "text", F.rand(1).alias("place")).join(F.broadcast(n_rows), "lang").filter(
+        F.col("place") * F.col("n_rows") < 3 * rows_per_language
+    ).select("lang", "place", span.alias("text"))
+    order = Window.partitionBy("lang").orderBy("place", "text")
+    drawn = near.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows_per_language)
     spans: dict[str, list[str]] = {}
-    for row in sorted(sample.collect(), key=lambda x: (str(x.lang), str(x.id), x.text or "")):
+    for row in sorted(drawn.collect(), key=lambda x: (x.lang, x.nth)):
         spans.setdefault(row.lang, []).append(row.text)
     return word_crf.fit(spans)
 
@@ -117,7 +118,7 @@ def identify(
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema[0].dataType.simpleString()
     schema = f"id {kind}, lang_pred string, score double" + (f", spans {kind_of_spans}" if spans else "")
-    found = rows.mapInArrow(predict, schema)
+    found = rows.mapInArrow(lean(predict), schema)
     more = ["spans"] if spans else []
     return found.select(
         F.col("id").alias(id_column), is_held_out(F.col("id")).alias("held_out"), "lang_pred", "score", *more

@@ -106,3 +106,41 @@ def test_nothing_to_learn_from(spark, rows):
     docs = documents(spark, rows)
     found = language_id.identify(docs, language_id.fit(docs)).collect()
     assert [x.lang_pred for x in found] == ["und"] * len(rows)
+
+
+def drawn_spans(docs, monkeypatch, **options):
+    kept = {}
+    monkeypatch.setattr(word_crf, "fit", lambda spans: kept.update(spans))
+    language_id.fit(docs, **options)
+    return kept
+
+
+def test_rows_are_drawn_and_not_ids(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(400))
+    rows = [(3, text, "en", "a")] * 5000 + [(i, "der und das", "de", "a") for i in range(900, 960)]
+    assert zlib.crc32(b"3") % 5
+    spans = drawn_spans(documents(spark, rows).repartition(8), monkeypatch, rows_per_language=40, span_characters=100)
+    held = sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(900, 960))
+    assert len(spans["en"]) == 40 and len(spans["de"]) == min(40, 60 - held)
+    assert all(len(x) == 100 and x in text for x in spans["en"]) and len(set(spans["en"])) > 20
+
+
+def test_the_commonest_languages_are_learned(spark, monkeypatch):
+    rows = [(i, "some text", lang, "a") for i, lang in enumerate(["a"] * 30 + ["b"] * 20 + ["c"] * 25)]
+    assert set(drawn_spans(documents(spark, rows), monkeypatch, most_languages=2)) == {"a", "c"}
+
+
+def test_one_pass_sends_spans_and_no_documents(spark, monkeypatch):
+    plans, kind = [], type(documents(spark))
+    collect = kind.collect
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return collect(df)
+
+    monkeypatch.setattr(kind, "collect", seen)
+    language_id.fit(documents(spark, corpus(30)))
+    (plan,) = plans
+    # Rows reach the exchange by language with their spans, at most so many of each task and language.
+    before = plan[plan.index("hashpartitioning(lang"):]
+    assert "substr" in before and "WindowGroupLimit" in before
