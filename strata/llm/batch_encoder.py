@@ -10,6 +10,7 @@ very long ones are encoded one by one.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -61,35 +62,50 @@ class BatchEncoder:
         self.single = pretokens.CachedIds(self.encoder, 10_000)
         self.table = _Table(table_bits)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        found: list = [None] * len(texts)
+    def chunks(self, texts: list[str], other: Callable[[int, str], None]) -> Iterator[list[tuple[int, bytes]]]:
+        """Positions and bytes of texts, some together; texts not of common signs go to ``other``."""
         held, size = [], 0
         for i, text in enumerate(texts):
             data = text.encode("utf-8", "surrogatepass")
             if len(data) > LONGEST_BYTES or "<|" in text or not pretokens.is_plain(text):
-                found[i] = np.frombuffer(self.single.encode(text), "<u4")
+                other(i, text)
                 continue
             if held and size + len(data) > CHUNK_BYTES:
-                self._encode_chunk(held, found)
+                yield held
                 held, size = [], 0
             held.append((i, data))
             size += len(data)
-        self._encode_chunk(held, found)
-        return found
+        yield held
 
-    def _encode_chunk(self, held: list[tuple[int, bytes]], found: list) -> None:
+    def spans(self, held: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of a chunk, where its texts are cut, and where pre-tokens start and end."""
         cuts = np.cumsum([0] + [len(x) for _, x in held])
         data = np.frombuffer(b"".join(x for _, x in held), np.uint8)
         if not len(data):
-            for i, _ in held:
-                found[i] = np.zeros(0, np.uint32)
-            return
+            return data, cuts, cuts[:0], cuts[:0]
         if not self.encoder.byte_level:
             upper = (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[:-1] == _LEAD)
             data = _LOWER[data]
             data[1:][upper] += 0x20
-        starts, ends = self._pieces(data, cuts)
+        return data, cuts, *self._pieces(data, cuts)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        found: list = [None] * len(texts)
+
+        def other(i: int, text: str) -> None:
+            found[i] = np.frombuffer(self.single.encode(text), "<u4")
+
+        for held in self.chunks(texts, other):
+            self._encode_chunk(held, found)
+        return found
+
+    def _encode_chunk(self, held: list[tuple[int, bytes]], found: list) -> None:
+        data, cuts, starts, ends = self.spans(held)
+        if not len(data):
+            for i, _ in held:
+                found[i] = np.zeros(0, np.uint32)
+            return
         entries = self._entries(data, starts, ends)
         first, last = self.table.first[entries], self.table.first[entries + 1]
         counts = last - first
@@ -155,11 +171,15 @@ class BatchEncoder:
         return entries
 
     def _learn(self, data, keys, checks, starts, ends) -> None:
-        signs, merge = _SIGNS[data].tobytes().decode("utf-16-le"), self.encoder.tokenizer.model.tokenize
-        made = [[x.id for x in merge(signs[a:b])] for a, b in zip(starts.tolist(), ends.tolist())]
+        made = [[x.id for x in found] for found in self.merged(data, starts, ends)]
         counts = np.array([len(x) for x in made], np.int64)
         self.table.add_ids(keys, checks, np.fromiter(chain.from_iterable(made), np.uint32), counts)
 
+    def merged(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[list]:
+        """The library's tokens of each pre-token."""
+        signs, merge = _SIGNS[data].tobytes().decode("utf-16-le"), self.encoder.tokenizer.model.tokenize
+        return (merge(signs[a:b]) for a, b in zip(starts.tolist(), ends.tolist()))
+
 
 _ENCODERS: dict[str, BatchEncoder] = {}
 

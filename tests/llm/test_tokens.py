@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from strata.llm import batch_encoder, context_coder, pretokens
+from strata.llm import token_counts as token_counts_module
 from strata.llm.batch_encoder import BatchEncoder
 from strata.llm.packing import packed
 from strata.llm.token_counts import token_counts
@@ -61,6 +62,45 @@ def test_token_counts(spark):
     assert token_counts(documents(spark, [])).count() == 0
 
 
+def test_frequencies_are_those_of_all_rows(spark):
+    texts = [" ".join(f"w{i % k}" for i in range(300)) + " é日 <|endoftext|>x" for k in range(1, 30)]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]).repartition(13)
+    path = pretokens.public(FILES[0])
+    want = Counter()
+    for text in texts:
+        encoder = pretokens.encoder(path)
+        want.update(x.encode() for part in encoder.parts(text) for x in encoder.pieces(part))
+    most = sorted(want.items(), key=lambda x: (-x[1], x[0]))
+    for fan in (2, 64):
+        found = token_counts_module.frequent_pretokens(docs, path, text_column="text", table_size=12, fan=fan)
+        assert found == [x for x, _ in most[:12]]
+    # A table that is full drops the rarest.
+    few = token_counts_module.frequent_pretokens(docs.coalesce(1), path, text_column="text", table_size=1, held=4, summary=3)
+    assert few == [most[0][0]]
+
+
+def test_pretokens_are_never_shuffled(spark, monkeypatch):
+    plans = []
+    keep = token_counts_module.written
+
+    def seen(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return keep(rows)
+
+    monkeypatch.setattr(token_counts_module, "written", seen)
+    found = token_counts(documents(spark))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) == 2 and not any("Exchange" in x for x in plans)
+
+
+def test_a_full_table_of_frequencies_keeps_the_frequent():
+    seen = token_counts_module.Frequencies(8)
+    for i in range(500):
+        data = f"often{i:04d}often".encode()
+        seen.add(np.frombuffer(data, np.uint8), np.array([0, 5, 9]), np.array([5, 9, 14]))
+    assert seen.top(1) == {b"often": 1000} and len(seen.pieces) <= seen.index.room
+
+
 @pytest.mark.parametrize("window", [7, 4096])
 def test_packing(spark, window):
     pieces = packed(documents(spark), window=window).toPandas()
