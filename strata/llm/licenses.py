@@ -9,7 +9,7 @@ in any run of a span's diagonals that is not much longer than the template, so c
 it do not void it. The score is the coverage of the best span, however long that is.
 
 Base phrases are found exactly, at every place. Defined cases: a null text counts as empty, has
-no words and no label; rows are told apart by id and text, and equal rows each give one row; an
+no words and no label; very long texts are scanned whole; of runs that cover as much any one counts; rows are told apart by id and text, and equal rows each give one row; an
 empty table gives an empty result; other columns are never read.
 """
 
@@ -203,13 +203,18 @@ steps AS (
 parts AS (
   SELECT *, CASE WHEN is_base THEN place ELSE sum(apart) OVER
     (PARTITION BY doc_id, template ORDER BY diagonal) END AS part FROM steps),
+runs AS (
+  SELECT *, bit_count(bit_or(votes) OVER (
+      PARTITION BY doc_id, template, part ORDER BY diagonal RANGE BETWEEN CURRENT ROW AND reach FOLLOWING
+    )) AS run_pairs
+  FROM (SELECT *, floor({STRETCH - 1} * n_pairs)::BIGINT AS reach FROM parts)),
 spans AS (
   SELECT doc_id, label, is_base, min(diagonal) AS start, bit_count(bit_or(votes)) / n_pairs AS covered,
-    max(diagonal) - min(diagonal) + n_pairs AS length, n_pairs
-  FROM parts GROUP BY doc_id, template, label, is_base, n_pairs, part),
+    max(run_pairs) / n_pairs AS run_covered
+  FROM runs GROUP BY doc_id, template, label, is_base, n_pairs, part),
 judged AS (
-  SELECT *, is_base AND covered = 1 AS base_hit,
-    NOT is_base AND covered >= {COVERAGE} AND length <= {STRETCH} * n_pairs AS notice_hit FROM spans),
+  SELECT *, is_base AND covered = 1 AS base_hit, NOT is_base AND run_covered >= {COVERAGE} AS notice_hit
+  FROM spans),
 found AS (
   SELECT doc_id, count(*) FILTER (base_hit) AS n_base, min(start) FILTER (base_hit) AS first_word,
     max(start) FILTER (base_hit) AS last_word,

@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+import duckdb
+
 from strata.llm import licenses
 from tests.llm.cases import AWKWARD, ascii_lower, documents
 
@@ -80,6 +82,22 @@ def test_common_pairs_beside_a_notice(spark):
     assert {i: x.labels for i, x in found.items()} == {i: runs_brute_force(t) for i, t in enumerate(texts)}
 
 
+def test_sql_finds_a_notice_beside_common_pairs(spark, tmp_path):
+    texts = [
+        "released under the terms of the license of the project",  # judged as one span, it is too long
+        "this work is licensed under the license of the owner and under the law", "of the license " * 40, "MIT license", "", None,
+        *[f"{x} of the under the license of the terms of the" for x in licenses.NOTICES],
+    ]
+    docs = documents(spark, [(i, x, "en", "a") for i, x in enumerate(texts)])
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    result = con.execute(licenses.oracle_sql())
+    names = [x[0] for x in result.description]
+    assert Counter(result.fetchall()) == Counter(map(tuple, licenses.license_scan(docs).select(*names).collect()))
+    assert "license-grant" in {x.labels for x in licenses.license_scan(docs).collect()}
+
+
 def test_empty_table(spark):
     assert licenses.license_scan(documents(spark, [])).count() == 0
 
