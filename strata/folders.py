@@ -41,10 +41,34 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder for intermediate tables, under the cluster's ``spark.checkpoint.dir``.
 
-    Where that is unset, it is under the warehouse, which the executors share as well.
+    Where that is unset, it is under the warehouse. A warehouse on the machines' own disks, which
+    it is by default, is refused on a cluster, where executors would not find each other's files.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir")
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        usual = hadoop.FileSystem.getDefaultUri(spark.sparkContext._jsc.hadoopConfiguration()).getScheme()
+        scheme = hadoop.Path(shared).toUri().getScheme() or usual
+        if scheme == "file" and not spark.sparkContext._jsc.sc().isLocal():
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{shared.rstrip('/')}/strata-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders that this application made so far; returns how many.
+
+    Results that were not written elsewhere still read from these folders.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/strata-{uuid.uuid4().hex}"
+    made = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in made:
+        remove(spark, path)
+    return len(made)
