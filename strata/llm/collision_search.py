@@ -5,6 +5,9 @@ window around its own projected value in every array; a vector collides once for
 holds it. If too few vectors have enough collisions, all windows grow (virtual rehashing: the arrays
 stay, only the windows change, and what they held before is not read again). Vectors that reach the
 threshold are verified by their distance.
+
+Where a chunk has no more vectors than are to be verified at least (``least`` and ``share``), all of
+them are verified, without any window.
 """
 
 from __future__ import annotations
@@ -18,9 +21,10 @@ import numpy as np
 class Settings:
     projections: int = 96
     threshold: float = 0.62  # of the projections
-    growth: float = 1.25  # of the windows from one level to the next
+    growth: float = 1.1  # of the windows from one level to the next
+    skip: int = 3  # levels at a time until the first vector reaches the threshold
     least: int = 250  # vectors of a chunk to be verified, at least
-    share: float = 0.05  # and this share of the chunk
+    share: float = 0.1  # and this share of the chunk
     seed: int = 3
 
 
@@ -46,24 +50,29 @@ class Chunk:
             return np.arange(n)
         enough = int(np.ceil(s.threshold * s.projections))
         center = self.directions @ query
+        reach = max(np.abs(self.sorted[:, [0, -1]] - center[:, None]).max(), self.first_width)
+        n_levels = 2 + int(np.log(reach / self.first_width) / np.log(s.growth))
+        widths = self.first_width * s.growth ** np.arange(n_levels)
+        # Where each window begins and ends at each level: one search per array.
+        lows = [np.searchsorted(a, c - widths).tolist() for a, c in zip(self.sorted, center)]
+        highs = [np.searchsorted(a, c + widths, "right").tolist() for a, c in zip(self.sorted, center)]
         counts = np.zeros(n, np.int16)
-        low = np.array([np.searchsorted(a, c) for a, c in zip(self.sorted, center)])
-        high = low.copy()
-        width = self.first_width
-        while True:
-            for j in range(s.projections):
-                a = np.searchsorted(self.sorted[j], center[j] - width)
-                b = np.searchsorted(self.sorted[j], center[j] + width, "right")
+        low = [int(np.searchsorted(a, c)) for a, c in zip(self.sorted, center)]
+        high, level, found = low.copy(), -1, ()
+        while level < n_levels - 1:
+            level = min(n_levels - 1, level + (1 if len(found) else s.skip))
+            for j, order in enumerate(self.order):
+                a, b = lows[j][level], highs[j][level]
                 if a < low[j]:
-                    counts[self.order[j, a:low[j]]] += 1
+                    counts[order[a:low[j]]] += 1
                     low[j] = a
                 if b > high[j]:
-                    counts[self.order[j, high[j]:b]] += 1
+                    counts[order[high[j]:b]] += 1
                     high[j] = b
             found = np.flatnonzero(counts >= enough)
             if len(found) >= wanted:
                 return found
-            width *= s.growth
+        return np.arange(n)
 
     def nearest(self, query_id, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and distances of the ``k`` nearest candidates; ties go to the smaller id."""

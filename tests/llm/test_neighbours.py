@@ -60,3 +60,33 @@ def test_recall_against_brute_force(spark, query_block):
         hits += len(want.keys() & mine.keys())
         assert all(abs(mine[i] - want[i]) < 1e-12 for i in want.keys() & mine.keys())
     assert hits >= 0.9 * 100
+
+
+def test_a_full_chunk_with_the_registered_settings():
+    from strata.llm.collision_search import Chunk, Settings
+    from strata.llm.neighbours import CHUNK_VECTORS
+
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(200, 64))[rng.integers(200, size=CHUNK_VECTORS)] + 0.7 * rng.normal(size=(CHUNK_VECTORS, 64))
+    ids = np.arange(CHUNK_VECTORS)
+    chunk, hits, verified = Chunk(ids, vectors, Settings()), 0, 0
+    for query in range(0, CHUNK_VECTORS, 400):
+        distance = np.sqrt(((vectors - vectors[query]) ** 2).sum(1))
+        distance[query] = np.inf
+        near, score = chunk.nearest(query, vectors[query], 10)
+        hits += len({*near} & {*np.argsort(distance)[:10]})
+        verified += len(chunk.candidates(vectors[query]))
+        assert np.allclose(score, distance[near])
+    n = len(range(0, CHUNK_VECTORS, 400))
+    assert hits >= 0.9 * 10 * n
+    assert verified <= 0.35 * n * CHUNK_VECTORS
+
+
+def test_a_query_far_from_all_vectors():
+    from strata.llm.collision_search import Chunk, Settings
+
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(3000, 8))
+    near, score = Chunk(np.arange(3000), vectors, Settings()).nearest(-1, np.full(8, 1e6), 5)
+    distance = np.sqrt(((vectors - 1e6) ** 2).sum(1))
+    assert len(near) == 5 and np.allclose(score, distance[near])
