@@ -14,23 +14,30 @@ Both go through reading and writing unchanged; the metadata record lists them li
 A WARC file is a text file whose records end with two line ends, so Spark's text source writes and
 reads it, in splits; compressed files are read whole, one for each task that wrote. A body that would
 show a record's end and start between its neighbours is written in base64, which a WARC header says.
+Files of other writers may be of any version 1.x. Their records are framed by ``Content-Length``: a
+record that is shorter than it says, as its body holds what looks like the start of another, fails the
+read, unless ``by_length`` asks for the way that puts such records together again. Bodies that are no
+UTF-8 keep their bytes in ``payload_bytes``, and have no ``payload``.
 
-Defined cases: a null page is an empty one, a null address is empty; a page without text gives an
-empty conversion record; equal rows give equal records; an empty table gives none; other columns of
-the pages are not read. Text extraction works on tags as far as the next ``>``; comments, scripts and
-styles are left out, block tags end a line, the common named entities are resolved.
+Defined cases: a null page is an empty one, a null address is empty; a page without text, or of bytes
+that are none, gives an empty conversion record; very long pages are taken whole; equal rows give equal
+records; an empty table gives none; other columns of the pages are not read. Text extraction works on
+tags as far as the next ``>``; comments, scripts and styles are left out, block tags end a line, the
+common named entities are resolved.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import let
+from strata.llm.common import importable, let, written
 
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
-BETWEEN = f"{END}{VERSION}\r\n"
+ANY_VERSION = "WARC/1."
+BETWEEN = f"{END}{ANY_VERSION}"
 NO_DATE = "1970-01-01T00:00:00Z"
 FAST_GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 _ALL = (1 << 31) - 1  # characters: as far as the end
@@ -48,8 +55,7 @@ ENTITIES = [
     ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
     ("&amp;", "&"),
 ]
-# A single blank stays as it is, so that most words cost no replacement.
-BLANKS = r"[ \t\f\r]{2,}|[\t\f\r]"
+BLANKS = "\t\f\r"  # become spaces
 LINE_ENDS = r"\n[ \n]+"
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 # With its quotes, or as far as the next blank where it has none.
@@ -84,7 +90,10 @@ def plain_text(html: Column) -> Column:
 
     text = F.regexp_replace(html, HIDDEN, " ")
     text = F.regexp_replace(F.regexp_replace(text, BLOCK_TAG, "\n"), TAG, "")
-    text = F.regexp_replace(let(text, resolved), BLANKS, " ")
+    text = let(text, resolved)
+    for blank in BLANKS:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    text = F.regexp_replace(text, "  +", " ")
     text = F.replace(text, F.lit(" \n"), F.lit("\n"))
     return F.trim(F.regexp_replace(text, LINE_ENDS, "\n"), F.lit(" \n"))
 
@@ -106,13 +115,16 @@ def responses(
         F.lit(None).cast("string").alias("concurrent_to"), "target_uri", F.lit(date).alias("date"),
         F.lit("text/html; charset=UTF-8").alias("content_type"), digest.alias("payload_digest"),
         "source_key", "payload", F.lit(None).cast("string").alias("http_head"),
-        F.lit(None).cast("string").alias("more_headers"),
+        F.lit(None).cast("string").alias("more_headers"), F.lit(None).cast("binary").alias("payload_bytes"),
     )
 
 
 def derivatives(records: DataFrame) -> DataFrame:
     """Metadata and conversion records of the responses among the records."""
-    source = records.filter("warc_type = 'response'")
+    source = records.filter("warc_type = 'response'").withColumns({
+        "length": F.octet_length(F.coalesce("payload_bytes", F.col("payload").cast("binary"))).cast("string"),
+        "payload": F.coalesce("payload", F.lit("")),
+    })
     title = F.regexp_replace(F.regexp_extract("payload", TITLE, 1), r"\s+", " ")
     links = F.regexp_extract_all("payload", F.lit(LINK), F.lit(1))
     quoted = lambda x: F.substring(x, 1, 1).isin('"', "'")
@@ -120,7 +132,7 @@ def derivatives(records: DataFrame) -> DataFrame:
     links = F.transform(links, lambda x: F.regexp_replace(unquoted(x), r"\s", ""))
     source = source.select(
         "record_id", "target_uri", "date", "content_type", "payload_digest", "source_key",
-        F.octet_length("payload").cast("string").alias("length"), title.alias("title"), links.alias("links"),
+        "length", title.alias("title"), links.alias("links"),
         plain_text(F.col("payload")).alias("text"), "http_head", "more_headers",
     )
     meta_id = _record_id(F.lit("metadata"), F.col("record_id"))
@@ -139,6 +151,7 @@ def derivatives(records: DataFrame) -> DataFrame:
         F.lit(content).alias("content_type"), _sha256(payload).alias("payload_digest"),
         F.col("source_key").alias("source_key"), payload.alias("payload"),
         F.lit(None).cast("string").alias("http_head"), F.lit(None).cast("string").alias("more_headers"),
+        F.lit(None).cast("binary").alias("payload_bytes"),
     )
     both = source.withColumn("fields", fields).select(F.explode(F.array(
         derived("metadata", meta_id, text_id, "application/warc-fields", F.col("fields")),
@@ -154,10 +167,10 @@ def _plain_head(content_type: Column) -> Column:
 
 def write_warc(records: DataFrame, path: str, **options) -> None:
     """One WARC file per task. ``options`` go to Spark's text writer, such as ``compression``."""
-    body = F.col("payload")
+    body = F.coalesce("payload", F.col("payload_bytes").cast("string"), F.lit(""))
     # Also at its edges, where the ends of the head and of the record meet it.
     framed = F.concat(F.lit(END), body, F.lit(END))
-    encoded = F.contains(body, F.lit(VERSION)) & F.contains(framed, F.lit(BETWEEN))
+    encoded = F.contains(body, F.lit(ANY_VERSION)) & F.contains(framed, F.lit(BETWEEN))
     body = F.when(encoded, F.base64(body.cast("binary"))).otherwise(body)
     http = F.coalesce(F.col("http_head"), _plain_head(F.col("content_type")))
     is_response = F.col("warc_type") == "response"
@@ -182,27 +195,26 @@ def write_warc(records: DataFrame, path: str, **options) -> None:
     ).text(path)
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The records of WARC files that :func:`write_warc` or a similar writer made."""
+def read_warc(spark: SparkSession, path: str, *, by_length: bool = False) -> DataFrame:
+    """The records of WARC files that :func:`write_warc` or another writer made.
+
+    ``by_length`` also reads records whose body holds what looks like the start of a record. Without it
+    any column of such a record fails; a mere count of rows looks at none.
+    """
     rows = spark.read.option("lineSep", BETWEEN).text(path)
-    # The first piece of a file still starts with its version, the last one ends with the end.
-    first = f"{VERSION}\r\n"
-    value = F.when(
-        F.startswith("value", F.lit(first)), F.col("value").substr(F.lit(len(first) + 1), F.lit(_ALL))
-    ).otherwise(F.col("value"))
-    rows = rows.select(value.alias("value")).filter("value <> ''")
-    cut = F.instr("value", END)
-    rows = rows.select(
-        F.substring("value", F.lit(1), cut - 1).alias("head"),
-        F.col("value").substr(cut + len(END), F.lit(_ALL)).alias("block"),
-    )
+    rows = _joined(rows) if by_length else rows.select(_piece(F.col("value")).alias("value"))
+    rows = _split(rows.filter("value <> ''"))
     named = lambda name: F.regexp_extract("head", rf"(?mi)^{name}:[ \t]*([^\r\n]*)", 1)
     linked = lambda name: F.regexp_extract("head", rf"(?mi)^{name}:[ \t]*<([^>\r\n]*)>", 1)
     given = lambda value: F.when(value != "", value)
-    # Only the last record of a file has its end still on it.
-    extra = F.octet_length("block") - named("Content-Length").cast("long")
-    whole = F.expr(f"substring(block, 1, length(block) - {len(END)})")
-    rows = rows.withColumn("block", F.when(extra == len(END), whole).otherwise(F.col("block")))
+    # What is left behind a record is its end, and blank lines of other writers.
+    said = "a WARC record is shorter than its Content-Length; by_length reads bodies that hold the start of a record"
+    torn = F.raise_error(F.lit(said)).cast("string")
+    whole = F.substring(F.col("block").cast("binary"), F.lit(1), F.col("length")).cast("string")
+    rows = rows.select(
+        F.when(F.col("extra") < 0, torn).otherwise(F.col("head")).alias("head"),
+        F.when(F.col("extra") > 0, whole).otherwise(F.col("block")).alias("block"),
+    )
     is_response = named("WARC-Type") == "response"
     at = F.instr("block", END)
     # A block without an empty line is all head.
@@ -214,6 +226,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     http_head = F.when(is_response & (http != _plain_head(kind)), http)
     # A header goes on in lines that start with a blank. Only the first concurrent record has a column.
     lines = F.split("head", "\r\n(?![ \t])")
+    lines = F.slice(lines, F.lit(2), F.size(lines))  # behind the rest of the version
     concurrent = F.filter(lines, lambda x: x.rlike(CONCURRENT))
     more = F.concat(F.filter(lines, lambda x: ~x.rlike(KNOWN)), F.slice(concurrent, F.lit(2), F.size(lines)))
     more_headers = given(F.array_join(more, "\r\n"))
@@ -224,8 +237,84 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         named("WARC-Target-URI").alias("target_uri"), named("WARC-Date").alias("date"),
         F.when(is_response, kind).otherwise(named("Content-Type")).alias("content_type"),
         named("WARC-Payload-Digest").alias("payload_digest"), named("X-Source-Key").alias("source_key"),
-        body.alias("payload"), http_head.alias("http_head"), more_headers.alias("more_headers"),
+        body.alias("body"), http_head.alias("http_head"), more_headers.alias("more_headers"),
+    ).select(
+        "record_id", "warc_type", "refers_to", "concurrent_to", "target_uri", "date", "content_type", "payload_digest",
+        "source_key", F.when(F.is_valid_utf8("body"), F.col("body")).alias("payload"), "http_head", "more_headers",
+        F.when(~F.is_valid_utf8("body"), F.col("body").cast("binary")).alias("payload_bytes"),
+    )
+
+
+def _piece(value: Column) -> Column:
+    """What stands between two starts; the first piece of a file still has its own start."""
+    first = F.startswith(value, F.lit(ANY_VERSION))
+    return F.when(first, value.substr(F.lit(len(ANY_VERSION) + 1), F.lit(_ALL))).otherwise(value)
+
+
+def _split(rows: DataFrame) -> DataFrame:
+    """``head`` and ``block`` of each piece, the ``length`` its head says, and the bytes ``extra`` to it."""
+    cut = F.instr("value", END)
+    rows = rows.withColumns({
+        "head": F.substring("value", F.lit(1), cut - 1),
+        "block": F.col("value").substr(cut + len(END), F.lit(_ALL)),
+    })
+    length = F.regexp_extract("head", r"(?mi)^Content-Length:[ \t]*([0-9]+)", 1)
+    rows = rows.withColumn("length", F.when(length != "", length.cast("long")))
+    return rows.withColumn("extra", F.coalesce(F.octet_length("block") - F.col("length"), F.lit(0)))
+
+
+def _joined(rows: DataFrame) -> DataFrame:
+    """The records, ``value``, put together from pieces as their lengths tell.
+
+    The pieces of a file claim stretches of it. Where a claim reaches beyond the next piece, pieces
+    whose claims overlap form an island, whose first piece starts a record; only within islands is
+    each next start looked up. Windows see the pieces' numbers, and no text.
+    """
+    importable(rows.sparkSession)
+    place = ["file", "block", "n"]
+    rows = written(rows.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("n"), _piece(F.col("value")).cast("binary").alias("bytes"),
+        F.octet_length("value").cast("long").alias("size"),
+    ))
+    numbers = rows.select("*", F.col("bytes").cast("string").alias("value")).drop("bytes").withColumnRenamed("block", "of")
+    numbers = _split(numbers).withColumnRenamed("block", "text").withColumnRenamed("of", "block")
+    claimed = F.col("size") - F.octet_length("text") + F.coalesce("length", F.octet_length("text").cast("long"))
+    in_file = Window.partitionBy("file").orderBy("block", "n")
+    start = F.sum(F.col("size") + len(BETWEEN)).over(in_file) - F.col("size") - len(BETWEEN)
+    numbers = numbers.select(*place, start.alias("start"), claimed.alias("claimed"))
+    numbers = numbers.withColumn("end", F.col("start") + F.greatest("claimed", F.lit(0)))
+    reached = F.max("end").over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.coalesce(F.col("start") - len(BETWEEN) >= reached, F.lit(True))
+    numbers = numbers.withColumn("begins", begins.cast("long"))
+    numbers = written(numbers.withColumn("island", F.sum("begins").over(in_file)).drop("begins", "claimed"))
+    several = numbers.groupBy("file", "island").count().filter("count > 1").select("file", "island")
+    torn = numbers.join(several, ["file", "island"], "left_semi")
+    found = written(torn.groupBy("file", "island").applyInArrow(
+        _records, "file string, block long, n long, start long, record long"
+    ))
+    alone = rows.join(found.select(*place), place, "left_anti").select(F.col("bytes").cast("string").alias("value"))
+    parts = rows.join(found, place).groupBy("file", "record").agg(
+        F.array_sort(F.collect_list(F.struct("start", "bytes"))).alias("parts")
+    )
+    joined = F.aggregate(
+        F.slice("parts", F.lit(2), F.size("parts")), F.col("parts")[0]["bytes"],
+        lambda found, x: F.concat(found, F.lit(BETWEEN).cast("binary"), x["bytes"]),
     )
+    # Written, so that what is checked of records is not checked of their pieces.
+    return written(alone.unionByName(parts.select(joined.cast("string").alias("value"))))
+
+
+def _records(rows: pa.Table) -> pa.Table:
+    """Which record each piece of an island belongs to: that of the last true start."""
+    rows = rows.sort_by("start")
+    record, end, found = None, -1, []
+    for start, own_end in zip(rows.column("start").to_pylist(), rows.column("end").to_pylist()):
+        if record is None or start - len(BETWEEN) >= end:
+            record, end = start, own_end
+        found.append(record)
+    kept = rows.select(["file", "block", "n", "start"])
+    return kept.append_column("record", pa.array(found, pa.int64()))
 
 
 def oracle_sql() -> str:

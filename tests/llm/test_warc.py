@@ -126,3 +126,81 @@ def test_source_headers_are_kept(spark, tmp_path):
     for name, value in (("http", HEAD), ("warc", MORE)):
         assert [x.partition(": ")[2] for x in fields if x.startswith(f"source-{name}: ")] == value.split("\r\n")
     assert [x[9:] for x in fields if x.startswith("outlink: ")] == ["/plain", 'say"so"', "it's", "x/y"]
+
+
+def file_of(tmp_path, bodies, version="1.1", name="a.warc", gap=b""):
+    data = b""
+    for i, (kind, body) in enumerate(bodies):
+        block = f"HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\n\r\n".encode() + body
+        data += (
+            f"WARC/{version}\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x:{i}>\r\nWARC-Target-URI: http://a/{i}\r\n"
+            f"Content-Type: application/http; msgtype=response\r\nContent-Length: {len(block)}\r\n\r\n"
+        ).encode() + block + b"\r\n\r\n" + gap
+    (tmp_path / "w").mkdir(exist_ok=True)
+    (tmp_path / "w" / name).write_bytes(data)
+    return str(tmp_path / "w")
+
+
+def bodies_of(spark, path, **options):
+    found = warc.read_warc(spark, path, **options).collect()
+    return {x.record_id: x.payload.encode() if x.payload is not None else bytes(x.payload_bytes) for x in found}
+
+
+@pytest.mark.parametrize("gap", [b"", b"\r\n\r\n\r\n"])
+@pytest.mark.parametrize("version", ["1.0", "1.1"])
+@pytest.mark.parametrize("by_length", [False, True])
+def test_versions_and_blank_lines(spark, tmp_path, version, gap, by_length):
+    bodies = [("text/html", f"<p>{i}</p>".encode()) for i in range(3)]
+    path = file_of(tmp_path, bodies, version, gap=gap)
+    assert bodies_of(spark, path, by_length=by_length) == {f"urn:x:{i}": b for i, (_, b) in enumerate(bodies)}
+
+
+def test_bytes_that_are_no_text_are_kept(spark, tmp_path):
+    image = bytes(range(128, 256)) + b"\r\n\r\n\x00WARC" + bytes(range(256))
+    path = file_of(tmp_path, [("image/png", image), ("text/html", "<p>é".encode()), ("image/gif", b"")])
+    want = {"urn:x:0": image, "urn:x:1": "<p>é".encode(), "urn:x:2": b""}
+    assert bodies_of(spark, path) == bodies_of(spark, path, by_length=True) == want
+    records = warc.read_warc(spark, path)
+    warc.write_warc(records, str(tmp_path / "again"))
+    assert bodies_of(spark, str(tmp_path / "again")) == want
+    derived = warc.derivatives(records).collect()
+    assert sorted(x.payload for x in derived if x.warc_type == "conversion") == ["", "", "é"]
+    assert f"source-content-length: {len(image)}" in next(
+        x.payload for x in derived if x.refers_to == "urn:x:0" and x.warc_type == "metadata"
+    )
+
+
+FAKE = (
+    b"x\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:fake>\r\nContent-Length: %d\r\n\r\n"
+    b"HTTP/1.1 200 OK\r\n\r\nfake\r\n\r\nWARC/1.0\r\nmore\r\n\r\nWARC/1.1 and so on"
+)
+
+
+@pytest.mark.parametrize("compressed", [False, True])
+@pytest.mark.parametrize("claims", [3, 10_000])
+def test_a_body_that_holds_a_record(spark, tmp_path, claims, compressed):
+    bodies = [("text/html", b"one"), ("text/html", FAKE % claims), ("text/html", b"three"), ("text/plain", FAKE % 0), ("text/html", b"")]
+    path = file_of(tmp_path, bodies)
+    file_of(tmp_path, bodies[:1], name="b.warc")
+    if compressed:
+        import gzip
+
+        (tmp_path / "w" / "a.warc.gz").write_bytes(gzip.compress((tmp_path / "w" / "a.warc").read_bytes()))
+        (tmp_path / "w" / "a.warc").unlink()
+    with pytest.raises(Exception, match="by_length"):
+        warc.read_warc(spark, path).collect()
+    want = {f"urn:x:{i}": b for i, (_, b) in enumerate(bodies)}
+    assert bodies_of(spark, path, by_length=True) == want
+    assert warc.read_warc(spark, path, by_length=True).count() == len(bodies) + 1
+    warc.write_warc(warc.read_warc(spark, path, by_length=True), str(tmp_path / "again"))
+    assert bodies_of(spark, str(tmp_path / "again")) == want
+
+
+def test_torn_records_across_splits(spark, tmp_path):
+    bodies = [("text/html", b"%d " % i * 300 + (FAKE % 50 if i % 7 == 0 else b"")) for i in range(60)]
+    path = file_of(tmp_path, bodies)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        assert bodies_of(spark, path, by_length=True) == {f"urn:x:{i}": b for i, (_, b) in enumerate(bodies)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
