@@ -8,6 +8,12 @@ diagonals; these are merged into spans. A notice is accepted when enough of the
 in any run of a span's diagonals that is not much longer than the template, so common pairs beside
 it do not void it. The score is the coverage of the best span, however long that is.
 
+Templates may be of any length, such as whole licences. A pair of a template counts once in a run. To
+count all runs of a span in one pass, each vote is turned into the stretch of starts for which it is the
+first of its pair in the run: from behind the vote before it for the same pair, or from where the run
+just reaches it, to its own diagonal. The number of stretches over a start, a running sum of their
+begins and ends, is what the run from there covers.
+
 Base phrases are found exactly, at every place. Defined cases: a null text counts as empty, has
 no words and no label; very long texts are scanned whole; of runs that cover as much any one counts; rows are told apart by id and text, and equal rows each give one row; an
 empty table gives an empty result; other columns are never read.
@@ -52,12 +58,11 @@ NOTICES = {
 }
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-MOST_WORDS = 64  # of a template: its votes are bits of one long
 MOST_TEMPLATES = 10_000
+MOST_PAIRS = 1_000_000  # of all templates, which are broadcast
 GAP = 3  # words between diagonals that belong together
 COVERAGE = 0.7
 STRETCH = 1.5
-_FRAME = 1 << 16  # units in which a window of diagonals is measured
 
 
 def words(text: Column) -> Column:
@@ -79,8 +84,10 @@ def templates(spark: SparkSession, base: dict[str, str], notices: dict[str, str]
     if len(known) > MOST_TEMPLATES:
         raise ValueError(f"more than {MOST_TEMPLATES} templates")
     for phrase, _, _ in known:
-        if not 2 <= len(phrase.split()) <= MOST_WORDS:
-            raise ValueError(f"a template has 2 to {MOST_WORDS} words: {phrase}")
+        if len(phrase.split()) < 2:
+            raise ValueError(f"a template has 2 words or more: {phrase}")
+    if sum(len(phrase.split()) for phrase, _, _ in known) > MOST_PAIRS:
+        raise ValueError(f"templates of more than {MOST_PAIRS} words together")
     each = F.explode(F.array(*[
         F.struct(F.lit(i).alias("template"), F.lit(x).alias("phrase"), F.lit(label).alias("label"),
                  F.lit(is_base).alias("is_base"))
@@ -92,8 +99,7 @@ def templates(spark: SparkSession, base: dict[str, str], notices: dict[str, str]
         "template", "label", "is_base", (F.size(of) - 1).alias("n_pairs"),
         F.posexplode(F.slice(pairs(of), F.lit(1), F.size(of) - 1)).alias("at", "pair"),
     )
-    vote = F.expr("shiftleft(1L, at)").alias("vote")
-    return rows.select("template", "label", "is_base", "n_pairs", "at", vote, "pair.*")
+    return rows.select("template", "label", "is_base", "n_pairs", "at", "pair.*")
 
 
 def license_scan(
@@ -131,28 +137,31 @@ def license_scan(
 
     doc = ["id", "key", "n_words"]
     template = ["template", "label", "is_base", "n_pairs"]
-    voted = hits.groupBy(*doc, *template, (F.col("place") - 1 - F.col("at")).alias("diagonal")).agg(
-        F.count("*").alias("rows"),
-        F.bit_or("vote").alias("votes"),
-    )
-    before = Window.partitionBy(*doc, "template").orderBy("diagonal")
-    apart = F.col("diagonal") - F.lag("diagonal").over(before) > GAP
-    grouped = voted.withColumn(
-        "part", F.when(F.col("is_base"), F.row_number().over(before))
-        .otherwise(F.sum(F.when(apart, 1).otherwise(0)).over(before))
+    diagonal = (F.col("place") - 1 - F.col("at")).alias("diagonal")
+    votes = hits.groupBy(*doc, *template, diagonal, "at").agg(F.count("*").alias("rows"))
+    before = Window.partitionBy(*doc, "template").orderBy("diagonal", "at")
+    upto = Window.partitionBy(*doc, "template").orderBy("diagonal")
+    apart = F.when(F.col("diagonal") - F.lag("diagonal").over(before) > GAP, 1).otherwise(0)
+    # Of a base phrase, each diagonal stands alone.
+    votes = votes.withColumn("apart", apart).withColumn(
+        "part", F.when(F.col("is_base"), F.col("diagonal")).otherwise(F.sum("apart").over(upto))
     )
-    # The run from each diagonal as far as the stretch. Frames are of one width, so a template's
-    # diagonals are scaled to it: ``reach`` of them fit into a frame and one more does not.
+    same_pair = Window.partitionBy(*doc, "template", "part", "at").orderBy("diagonal")
     reach = F.floor((STRETCH - 1) * F.col("n_pairs"))
-    unit = F.when(reach > 0, F.floor(_FRAME / reach)).otherwise(_FRAME + 1)
-    run = Window.partitionBy(*doc, "template", "part").orderBy("scaled").rangeBetween(0, _FRAME)
-    runs = grouped.withColumn("scaled", F.col("diagonal") * unit).withColumn(
-        "run_votes", F.bit_or("votes").over(run)
-    )
-    share = F.bit_count(F.bit_or("votes")) / F.first("n_pairs")
+    begin = F.greatest(F.col("diagonal") - reach, F.col("last") + 1)
+    votes = votes.withColumn("last", F.lag("diagonal").over(same_pair))
+    event = lambda start, change: F.struct(start.cast("long").alias("start"), F.lit(change).alias("change"))
+    stretches = votes.withColumn("event", F.explode(
+        F.when(F.col("is_base"), F.array(event(F.col("diagonal"), 1)))
+        .when(F.col("template").isNull(), F.array(event(F.lit(None), 0)))
+        .otherwise(F.array(event(begin, 1), event(F.col("diagonal") + 1, -1)))
+    ))
+    run = Window.partitionBy(*doc, "template", "part").orderBy("event.start")
+    runs = stretches.withColumn("run_pairs", F.sum("event.change").over(run))
+    distinct = F.count(F.when(F.col("last").isNull() & (F.col("event.change") > 0), 1))
     spans = runs.groupBy(*doc, *template, "part").agg(
-        F.max("rows").alias("rows"), F.min("diagonal").alias("start"), share.alias("covered"),
-        (F.max(F.bit_count("run_votes")) / F.first("n_pairs")).alias("run_covered"),
+        F.max("rows").alias("rows"), F.min("diagonal").alias("start"), (distinct / F.first("n_pairs")).alias("covered"),
+        (F.max("run_pairs") / F.first("n_pairs")).alias("run_covered"),
     )
     is_base = F.col("is_base") & (F.col("covered") == 1.0)
     is_notice = ~F.col("is_base") & (F.col("run_covered") >= coverage)

@@ -1,7 +1,9 @@
+import random
 import re
 from collections import Counter
 
 import duckdb
+import pytest
 
 from strata.llm import licenses
 from tests.llm.cases import AWKWARD, ascii_lower, documents
@@ -45,10 +47,10 @@ def test_edited_notices(spark):
     assert all(x.base_labels == "" and x.n_base == 0 for x in found.values())
 
 
-def runs_brute_force(text):
+def runs_brute_force(text, notices=licenses.NOTICES):
     """Labels of notices, by trying each run of each span's diagonals."""
     words, labels = WORD.findall(ascii_lower(text)), set()
-    for phrase, label in licenses.NOTICES.items():
+    for phrase, label in notices.items():
         known, votes = phrase.split(), {}
         for p in range(len(words) - 1):
             for t in range(len(known) - 1):
@@ -98,6 +100,30 @@ def test_sql_finds_a_notice_beside_common_pairs(spark, tmp_path):
     assert "license-grant" in {x.labels for x in licenses.license_scan(docs).collect()}
 
 
+def test_templates_of_any_length(spark):
+    rng = random.Random(3)
+    whole = [rng.choice(["of", "the", "license", "software", "shall", "you", "may", "not"]) if i % 3 else f"term{i}" for i in range(900)]
+    short = " ".join(whole[:30])
+    edited = list(whole)
+    for i in range(0, 900, 40):
+        edited[i] = "other"
+    del edited[500:520]
+    edited[200:200] = ["inserted"] * 15
+    texts = [
+        " ".join(["before"] * 500 + whole + ["after"] * 500), " ".join(edited), " ".join(whole[:600]), " ".join(whole[:700]),
+        " ".join(sorted(whole)), "of the license " * 300, " ".join(whole + whole), short, None, " ".join(whole[450:] + whole[:450]),
+    ]
+    notices = {" ".join(whole): "whole", short: "short"}
+    rows = [(i, x, "en", "a") for i, x in enumerate(texts)]
+    found = licenses.license_scan(documents(spark, rows), base={"the license": "x"}, notices=notices).collect()
+    got = {x.doc_id: {y for y in x.labels.split(",") if y and y != "x"} for x in found}
+    assert got == {i: {x for x in runs_brute_force(t, notices).split(",") if x} for i, t in enumerate(texts)}
+    assert got[0] >= {"whole"} and got[1] >= {"whole"} and "whole" not in got[2] and "whole" in got[3]
+    assert {x.doc_id: x.score for x in found}[0] == 1
+    with pytest.raises(ValueError):
+        licenses.templates(spark, {"word": "x"}, {})
+
+
 def test_empty_table(spark):
     assert licenses.license_scan(documents(spark, [])).count() == 0
 
