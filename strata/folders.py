@@ -41,7 +41,7 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
-_SCRATCH: dict[str, list[str]] = {}
+_SCRATCH: list[str] = []  # of this process, which has one Spark application at a time
 
 
 def scratch(spark: SparkSession) -> str:
@@ -53,13 +53,10 @@ def scratch(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         shared = spark.conf.get("spark.sql.warehouse.dir")
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        usual = hadoop.FileSystem.getDefaultUri(spark.sparkContext._jsc.hadoopConfiguration()).getScheme()
-        scheme = hadoop.Path(shared).toUri().getScheme() or usual
-        if scheme == "file" and not spark.sparkContext._jsc.sc().isLocal():
+        if shared.startswith("file:") and not spark.sparkContext._jsc.sc().isLocal():
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{shared.rstrip('/')}/strata-{uuid.uuid4().hex}"
-    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _SCRATCH.append(path)
     return path
 
 
@@ -68,7 +65,14 @@ def remove_scratch(spark: SparkSession) -> int:
 
     Results that were not written elsewhere still read from these folders.
     """
-    made = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    made = [path for path in _SCRATCH if _is_reachable(spark, path)]
     for path in made:
         remove(spark, path)
+        _SCRATCH.remove(path)
     return len(made)
+
+
+def _is_reachable(spark: SparkSession, path: str) -> bool:
+    """Whether the path lies where this session's scratch does; an earlier one may have had another."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return path.startswith(shared.rstrip("/"))

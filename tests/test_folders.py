@@ -22,21 +22,15 @@ def test_scratch_is_removed_when_asked(spark):
 class Cluster:
     """A session that says it runs on a cluster."""
 
-    def __init__(self, spark, **settings):
-        self._jvm = spark._jvm
+    def __init__(self, **settings):
         self.conf = SimpleNamespace(get=lambda name, *default: settings.get(name, *default))
-        self.sparkContext = SimpleNamespace(
-            _jsc=SimpleNamespace(
-                hadoopConfiguration=spark.sparkContext._jsc.hadoopConfiguration,
-                sc=lambda: SimpleNamespace(isLocal=lambda: False),
-            ),
-            applicationId="cluster",
-        )
+        local = SimpleNamespace(isLocal=lambda: False)
+        self.sparkContext = SimpleNamespace(_jsc=SimpleNamespace(sc=lambda: local))
 
 
-def test_the_machines_own_disks_are_refused_on_a_cluster(spark):
+def test_the_machines_own_disks_are_refused_on_a_cluster():
     own = {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        folders.scratch(Cluster(spark, **own))
-    assert folders.scratch(Cluster(spark, **own, **{"spark.checkpoint.dir": "file:/shared/"})).startswith("file:/shared/strata-")
-    assert folders.scratch(Cluster(spark, **{"spark.sql.warehouse.dir": "viewfs://store/w"})).startswith("viewfs://store/w/")
+        folders.scratch(Cluster(**own))
+    assert folders.scratch(Cluster(**own, **{"spark.checkpoint.dir": "file:/shared/"})).startswith("file:/shared/strata-")
+    assert folders.scratch(Cluster(**{"spark.sql.warehouse.dir": "viewfs://store/w"})).startswith("viewfs://store/w/")
