@@ -16,8 +16,8 @@ def run_capture(
     """Append the records of a log to files, with their own positions.
 
     Files are kept by topic and partition, so that readers of some of them open no others and the
-    last offsets are known from the files' statistics. A log that was begun without that, or with
-    ``by_partition=False``, goes on as it is.
+    last offsets are known from the files' statistics. A log goes on as it was begun; ``by_partition``
+    tells how a new one is.
 
     Spark's file sink lists what it committed, and its readers go by that list: they never see
     the output of an attempt that failed half-way. Drains the source and stops; without
@@ -27,10 +27,11 @@ def run_capture(
         path=path, checkpointLocation=checkpoint, **COMPRESSION
     )
     names = folders.names(log.sparkSession, path)
-    begun = any(name.endswith(".parquet") for name in names)
+    parted = any(name.startswith(f"{TOPIC_PARTITION[0]}=") for name in names)
+    begun = not parted and any(name.endswith(".parquet") for name in names)
     if by_partition and begun:
         raise ValueError(f"{path} was begun without folders by topic and partition")
-    if by_partition is not False and not begun:
+    if parted or (by_partition is not False and not begun):
         sink = sink.partitionBy(*TOPIC_PARTITION)
     if not drain:
         return sink.start()
