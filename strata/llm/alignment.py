@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import pretokens
 from strata.llm.batch_encoder import _SIGNS, BatchEncoder
-from strata.llm.common import chunks, lean, written
+from strata.llm.common import lean, text_chunks, written
 from strata.llm.piece_encoder import piece_encoder
 
 A_TOKENIZER = "byte_bpe_50k.json"
@@ -205,11 +205,10 @@ def aligned(
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a_side, b_side = _side(a_path), _side(b_path)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for begin, end in chunks(texts):
-                found = align_texts(texts[begin:end], a_side, b_side, piece)
+            for begin, texts in text_chunks(batch.column(1)):
+                found = align_texts(texts, a_side, b_side, piece)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(begin, end - begin),
+                    batch.column(0).slice(begin, len(texts)),
                     pa.array([len(a) for a, _, _ in found], pa.int64()),
                     pa.array([len(b) for _, b, _ in found], pa.int64()),
                     pa.array([_narrow(a) for a, _, _ in found], pa.binary()),

@@ -102,13 +102,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def chunks(texts: list[str | None], characters: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Begin and end of runs of texts of bounded size together; a long text is one of its own."""
-    begin = size = 0
-    for i, text in enumerate(texts):
-        if i > begin and size + len(text or "") > characters:
-            yield begin, i
-            begin, size = i, 0
-        size += len(text or "")
-    if begin < len(texts):
-        yield begin, len(texts)
+def text_chunks(column, size: int = 1 << 20) -> Iterator[tuple[int, list[str | None]]]:
+    """Parts of an Arrow column of texts, with where they begin; a long text is one of its own.
+
+    Only a part's texts become Python's at a time.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    upto = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < len(upto):
+        before = upto[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, before + size, "right")))
+        yield begin, column.slice(begin, end - begin).to_pylist()
+        begin = end

@@ -13,8 +13,8 @@ largest id stays. The rows are combined in three stages, each of which compares
 The decision then goes back to the rows by their digest. A text whose digest is not its own is
 joined by the text itself.
 
-Defined cases: a null text counts as empty; a null id is smaller than any other; rows that share
-both id and text are marked alike, and :func:`deduplicated` returns one of them; very long texts are
+Defined cases: a null text counts as empty; a null id is smaller than any other; repeated rows,
+which share both id and text, are marked alike, and :func:`deduplicated` returns one of them; very long texts are
 compared as a whole; an empty table gives an empty result. Other columns are kept by
 :func:`deduplicated` and never read, whatever their names.
 """

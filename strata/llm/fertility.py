@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import pretokens
 from strata.llm.alignment import plain_encoder
-from strata.llm.common import chunks, lean, small, written
+from strata.llm.common import lean, small, text_chunks, written
 from strata.llm.piece_encoder import piece_encoder
 
 A_TOKENIZER = "byte_bpe_50k.json"
@@ -176,20 +176,20 @@ def measured(
         is_byte = by_pieces.is_byte.copy()
         is_byte[blanks] = False
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            scripts, found = [], [base_counts(x) for x in texts]
-            measures: list[tuple] = [(None,) * len(SPREADS)] * len(texts)
-            for begin, end in chunks(texts):
-                scripts += map(script_of, texts[begin:end])
-                passed = [i for i in range(begin, end) if not fails_base(found[i][0], found[i][4])]
+            for begin, texts in text_chunks(batch.column(1)):
+                texts = [x or "" for x in texts]
+                found = [base_counts(x) for x in texts]
+                measures: list[tuple] = [(None,) * len(SPREADS)] * len(texts)
+                passed = [i for i, x in enumerate(found) if not fails_base(x[0], x[4])]
                 plain = [texts[i] for i in passed]
                 for i, a, b in zip(passed, by_bytes.encode(plain), by_pieces.encode(plain)):
                     n = len(texts[i])
                     measures[i] = n / len(a), n / len(b), float(is_byte[b].mean()), entropy(b)
-            arrays = [batch.column(0), batch.column(2), pa.array(scripts, pa.string())]
-            arrays += [pa.array([x[k] for x in found], pa.int64()) for k in range(len(counts))]
-            arrays += [pa.array([x[k] for x in measures], pa.float64()) for k in range(len(SPREADS))]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+                arrays = [batch.column(i).slice(begin, len(texts)) for i in (0, 2)]
+                arrays.append(pa.array([script_of(x) for x in texts], pa.string()))
+                arrays += [pa.array([x[k] for x in found], pa.int64()) for k in range(len(counts))]
+                arrays += [pa.array([x[k] for x in measures], pa.float64()) for k in range(len(SPREADS))]
+                yield pa.RecordBatch.from_arrays(arrays, names)
 
     lang = F.lit(None).cast("string") if lang_column is None else F.col(lang_column).cast("string")
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), lang.alias("lang"))

@@ -10,7 +10,7 @@ Held out are rows whose ``crc32`` of the id, as text, is divisible by 5. Defined
 is null or has no letter is ``und`` with score 0, as is every text when there is nothing to learn
 from; equal shares go to the first language in alphabetical order; null labels teach nothing; a
 null id counts as an empty text and is held out; very long texts are read as a whole; rows are kept one
-for one; an empty table gives an empty result; other columns are never read, whatever their names.
+for one, repeated ones, too; an empty table gives an empty result; other columns are never read, whatever their names.
 """
 
 from __future__ import annotations

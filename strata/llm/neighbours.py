@@ -1,14 +1,16 @@
 """Approximate nearest neighbours of a stated query set, over all rows of a table of vectors.
 
 Queries go to the executors in blocks of at most ``QUERY_BLOCK``, whatever their number. For each
-block, every task searches all of its vectors, chunk by chunk (see ``collision_search``), and keeps the
-``k`` nearest of each chunk; these are merged per query. No row is left out of the search, and no
+block, every task searches all of its vectors, chunk by chunk (see ``collision_search``; a chunk's sorted
+arrays are built again for each block, which takes a small part of the time of its search), and keeps
+the ``k`` nearest of each chunk; these are merged per query. No row is left out of the search, and no
 pairs are formed beyond a query's own candidates.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no part;
 a query is compared with vectors of its own length; rows with the query's own id are not its
-neighbours; a query with fewer than ``k`` candidates gets all of them; queries that repeat an id are
-answered each; an empty table gives an empty result; other columns are never read.
+neighbours; ties go to the smaller id; a query with fewer than ``k`` candidates gets all of them; repeated
+rows are candidates each, and queries that repeat an id are answered each; vectors may be of any length,
+long texts there are none; an empty table gives an empty result; other columns are never read.
 """
 
 from __future__ import annotations

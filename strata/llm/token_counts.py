@@ -14,7 +14,8 @@ one packed row. The rows are merged ``FAN`` at a time until the driver takes at
 Frequencies decide how fast a pre-token is found, never a count.
 
 Both passes find and look up the pre-tokens of many texts at once. Defined cases: a null text counts
-as empty and has no tokens; texts are taken whole; a null id stays null; repeated rows are counted each;
+as empty and has no tokens; texts are taken whole, also very long ones; of equally frequent pre-tokens
+the first in byte order are broadcast, and the counts are the same either way; a null id stays null; repeated rows are counted each;
 an empty table gives an empty result; columns other than id and text are never read, whatever their names.
 """
 

@@ -7,7 +7,8 @@ its partition, its place in it and its bytes. Each block is coded, checked and r
 lost executor costs the blocks of its tasks.
 
 Defined cases: a null text counts as empty, which is the end id alone; null ids come first; equal
-ids are kept each, ordered by their text's hash; an empty table makes no block; other columns are
+ids and repeated rows are kept each, ordered by their text's hash; very long texts are taken whole, as a
+block each; an empty table makes no block; other columns are
 never read.
 """
 
