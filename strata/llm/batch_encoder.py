@@ -107,10 +107,12 @@ class BatchEncoder:
                 found[i] = np.zeros(0, np.uint32)
             return
         entries = self._entries(data, starts, ends)
-        first, last = self.table.first[entries], self.table.first[entries + 1]
-        counts = last - first
+        first = self.table.first.take(entries)
+        counts = self.table.first.take(entries + 1) - first
         upto = np.concatenate(([0], np.cumsum(counts)))
-        ids = self.table.ids[np.repeat(first - upto[:-1], counts) + np.arange(upto[-1])]
+        place = np.repeat(first - upto[:-1], counts)
+        place += np.arange(upto[-1])
+        ids = self.table.ids.take(place)
         for (i, _), part in zip(held, np.split(ids, upto[np.searchsorted(starts, cuts[1:-1])])):
             found[i] = part
 

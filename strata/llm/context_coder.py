@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -24,6 +25,7 @@ LANE_LENGTH = 256
 
 _U = np.uint64
 _TOP, _BOTTOM, _SHIFT, _HEAD = _U(1 << 48), _U(1 << 40), _U(16), _U(48)
+_HALF, _WIDTH = _U(32), _U((1 << 32) - 1)
 _SCALE = 1024  # sum of the three weights
 _MOST_COUNT = 1 << 22  # of ids seen; beyond it, older ones count less
 _SLOTS = 1 << 17
@@ -31,6 +33,7 @@ _MOST_UNITS = 64
 _CONTEXT_BITS = 18
 _SURE_BITS, _CONFIDENT = 3, 7
 _REFRESH = 8
+_STEPS = 16  # laid out by step at once: a cache line of each lane
 
 
 class _Mixer:
@@ -42,90 +45,134 @@ class _Mixer:
     searched. Behind them, in what is left for ids not seen yet, each id has one unit.
     """
 
-    def __init__(self, vocabulary: int, lanes: int):
-        self.seen = np.zeros(vocabulary, np.int64)
-        # Guesses, each with its confidence in the lowest bits.
-        self.guess1, self.guess2 = np.zeros(vocabulary, np.int32), np.zeros(1 << _CONTEXT_BITS, np.int32)
-        self.hits = np.ones((2 * (_CONFIDENT + 1) ** 2, 3), np.int64)
-        self.last1 = self.last2 = np.zeros(lanes, np.int64)
-        self.ids = np.arange(vocabulary, dtype=np.int64)
+    def __init__(self, vocabulary: int, lanes: int, reading: bool = False):
+        self.reading = reading
+        self.seen = np.zeros(vocabulary, np.int32)
+        # Guesses of order 1, by the last id, and behind them of order 2, by context; each has its
+        # confidence in the lowest bits. Arrays with two rows have one for each of these orders.
+        self.guess = np.zeros(vocabulary + (1 << _CONTEXT_BITS), np.int32)
+        self.at = np.zeros((2, lanes), np.int64)  # where the guesses are; the last id in the first row
+        # Of each state, how often order 2 was right, else order 1, and neither; the fourth is unused.
+        self.outcomes = np.ones(2 * (_CONFIDENT + 1) ** 2 * 4, np.int64)
+        self.hits = self.outcomes.reshape(-1, 4)[:, :3]
+        self.last1 = self.last2 = np.zeros(lanes, np.uint32)
+        self.vocabulary = vocabulary
+        self.unseen = (np.arange(vocabulary, dtype=np.uint64) << _HALF) + _U(1)
         self.age, self.before = 0, (0, 0)  # ids seen and known at the last refresh
 
     def _refresh(self) -> None:
-        n, known = int(self.seen.sum()), self.seen > 0
-        n_known = int(known.sum())
+        known = np.flatnonzero(self.seen > 0)
+        seen = self.seen.take(known).astype(np.int64)
+        n, n_known = int(seen.sum()), len(known)
         recent, new = n - self.before[0] + 2, n_known - self.before[1] + 1
         if n > _MOST_COUNT:
-            self.seen = (self.seen + 1) // 2
-            n = int(self.seen.sum())
+            seen = (seen + 1) // 2
+            self.seen[known] = seen
+            n = int(seen.sum())
         self.before = (n, n_known)
         full = self.hits.sum(1) > 1 << 16
         self.hits[full] = (self.hits[full] + 1) // 2
-        shares = np.where(known, np.maximum(self.seen * _SLOTS // max(1, n), 1), 0)
-        self.slots = np.append(np.repeat(self.ids, shares), 0)
+        # Quotients of integers below 2**53 by ones below 2**24: rounding never reaches the next integer.
+        shares = np.maximum((seen * _SLOTS / max(1, n)).astype(np.int64), 1)
+        upto = np.cumsum(shares)
+        n_slots = int(upto[-1]) if n_known else 0
+        if self.reading:
+            self.slots = np.append(np.repeat(known.astype(np.int32), shares), np.int32(0))
         # Units of a slot: the more, the fewer ids of late were new.
-        unit = len(self.ids) * (recent - new) // (new * len(self.slots))
+        unit = self.vocabulary * (recent - new) // (new * (n_slots + 1))
         self.unit = max(1, min(_MOST_UNITS, unit))
-        self.head = self.unit * (len(self.slots) - 1)
-        self.end = self.head + len(self.ids)
-        self.first = np.where(known, self.unit * (np.cumsum(shares) - shares), self.head + self.ids)
-        self.first = self.first.astype(np.uint64)
-        self.width = np.where(known, self.unit * shares, 1).astype(np.uint64)
+        self.head = self.unit * n_slots
+        self.end = self.head + self.vocabulary
+        # Where each id's share starts, and in the lower 32 bits how wide it is: one look-up for both.
+        self.spans = self.unseen + _U(self.head << 32)
+        self.spans[known] = self.unit * (((upto - shares) << 32) + shares)
         self.total = _U(_SCALE * self.end)
         share = 1 + self.hits[:, :2] * (_SCALE - 4) // self.hits.sum(1, keepdims=True)
-        self.weights = np.ascontiguousarray(share.T.astype(np.uint64))
+        weights = share[:, ::-1].T.astype(np.uint64)
+        self.rests, self.shares = _U(_SCALE) - weights.sum(0), weights * _U(self.end)
 
     def predict(self) -> None:
         if self.age % _REFRESH == 0 or self.age in (1, 2, 4, 8):
             self._refresh()
         self.age += 1
-        mask = (1 << _CONTEXT_BITS) - 1
-        self.context = ((self.last2 * 0x2545F491 + self.last1 * 0x9E3779B1) >> 7) & mask
-        self.g1 = self.guess1.take(self.last1).astype(np.int64)
-        self.g2 = self.guess2.take(self.context).astype(np.int64)
-        self.a1, self.a2 = self.g1 >> _SURE_BITS, self.g2 >> _SURE_BITS
-        self.same = self.a1 == self.a2
-        self.state = (((self.g2 & _CONFIDENT) << _SURE_BITS) + (self.g1 & _CONFIDENT)) * 2 + self.same
-        w2, w1 = self.weights[0].take(self.state), self.weights[1].take(self.state)
-        self.w0 = _U(_SCALE) - w2 - w1
-        self.mass1, self.mass2 = w1 * _U(self.end), w2 * _U(self.end)
-        self.first1, self.first2 = self.first.take(self.a1), self.first.take(self.a2)
+        # The bits that are used are the same in 32 bits as in 64.
+        context = self.last2 * np.uint32(0x2545F491)
+        context += self.last1 * np.uint32(0x9E3779B1)
+        context >>= np.uint32(7)
+        context &= np.uint32((1 << _CONTEXT_BITS) - 1)
+        np.add(context, self.vocabulary, out=self.at[1])
+        self.old = self.guess.take(self.at)
+        self.sure = self.old & _CONFIDENT
+        self.guessed = (self.old >> _SURE_BITS).astype(np.int64)
+        self.same, self.compared = self.guessed[0] == self.guessed[1], None
+        state = self.sure[1] << _SURE_BITS
+        state += self.sure[0]
+        state <<= 1
+        state += self.same
+        self.state = state.astype(np.int64)
+        self.rest, self.mass = self.rests.take(self.state), self.shares.take(self.state, axis=1)
+        self.span = self.spans.take(self.guessed)
+        self.first = self.span >> _HALF
+
+    def _right(self, ids: np.ndarray) -> np.ndarray:
+        """Which guesses are the ids; compared once for each step's array of ids."""
+        if self.compared is not ids:
+            self.compared, self.right = ids, self.guessed == ids
+        return self.right
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first = self.first.take(ids)
-        start = self.w0 * first + self.mass1 * (self.first1 < first) + self.mass2 * (self.first2 < first)
-        size = self.w0 * self.width.take(ids) + self.mass1 * (self.a1 == ids) + self.mass2 * (self.a2 == ids)
+        """Where the ids' intervals start and how large they are."""
+        right = self._right(ids)
+        size = self.spans.take(ids)
+        first = size >> _HALF
+        before = self.mass * (self.first < first)
+        start = self.rest * first
+        start += before[0]
+        start += before[1]
+        size &= _WIDTH
+        size *= self.rest
+        own = self.mass * right
+        size += own[0]
+        size += own[1]
         return start, size
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The ids whose intervals hold the values."""
-        start1 = self.w0 * self.first1 + self.mass2 * (self.first2 < self.first1)
-        start2 = self.w0 * self.first2 + self.mass1 * (self.first1 < self.first2)
-        size1 = self.w0 * self.width.take(self.a1) + self.mass1 + self.mass2 * self.same
-        size2 = self.w0 * self.width.take(self.a2) + self.mass2 + self.mass1 * self.same
-        # Before the start, a difference wraps around and is beyond any size.
-        is1, is2 = value - start1 < size1, value - start2 < size2
+        start = self.rest * self.first
+        start += self.mass[::-1] * (self.first[::-1] < self.first)
+        size = self.span & _WIDTH
+        size *= self.rest
+        size += self.mass
+        size[0] += self.mass[1] * self.same  # of two equal guesses, the first one has it all
         # Neither guess: without their masses, the place in order 0. Of guesses it is not used.
-        place = value - self.mass1 * (value >= start1) - self.mass2 * (value >= start2)
-        place = np.minimum(place // self.w0, _U(self.end - 1)).astype(np.int64)
-        slot = np.minimum(place // self.unit, len(self.slots) - 1)
-        found = np.where(place < self.head, self.slots.take(slot), place - self.head)
-        found = np.where(is2, self.a2, found)
-        return np.where(is1, self.a1, np.maximum(found, 0))
+        before = self.mass * (value >= start)
+        place = value - before[0]
+        place -= before[1]
+        # Before the start, a difference wraps around and is beyond any size.
+        np.subtract(value, start, out=start)
+        guessed = start < size
+        # Quotients of integers below 2**53 by ones up to 2**10: rounding never reaches the next integer.
+        place = np.minimum(place / self.rest, self.end - 1).astype(np.int64)
+        slot = np.minimum(place / self.unit, len(self.slots) - 1).astype(np.int64)
+        found = self.slots.take(slot)
+        late = np.flatnonzero(place >= self.head)
+        found[late] = place.take(late) - self.head
+        return np.where(guessed[0], self.guessed[0], np.where(guessed[1], self.guessed[1], found))
 
     def learn(self, ids: np.ndarray) -> None:
-        right2, right1 = self.a2 == ids, self.a1 == ids
-        slot = self.state * 3 + np.where(right2, 0, np.where(right1, 1, 2))
-        self.hits += np.bincount(slot, minlength=self.hits.size).reshape(self.hits.shape)
-        fresh = ids << _SURE_BITS
-        for guess, at, old, right in (
-            (self.guess1, self.last1, self.g1, right1), (self.guess2, self.context, self.g2, right2),
-        ):
-            sure = old & _CONFIDENT
-            wrong = np.where(sure > 0, old - ((sure + 1) >> 1), fresh)
-            guess[at] = np.where(right, old + (sure < _CONFIDENT), wrong)
-        np.add.at(self.seen, ids, 1)
-        self.last2, self.last1 = self.last1, ids
+        right = self._right(ids)
+        wrong = ~right
+        outcome = self.state << 2
+        outcome += wrong[1].view(np.int8) + (wrong[0] & wrong[1]).view(np.int8)
+        np.add.at(self.outcomes, outcome, 1)
+        short = ids.astype(np.uint32)
+        fresh = (short << np.uint32(_SURE_BITS)).view(np.int32)
+        weaker = np.where(self.sure > 0, self.old - ((self.sure + 1) >> 1), fresh)
+        stronger = np.minimum(self.old + 1, self.old | _CONFIDENT)
+        self.guess[self.at] = np.where(right, stronger, weaker)
+        np.add.at(self.seen, ids, np.int32(1))
+        self.last2, self.last1 = self.last1, short
+        self.at[0] = ids
 
 
 def _lanes(n: int) -> int:
@@ -135,8 +182,9 @@ def _lanes(n: int) -> int:
 def _unsettled(low: np.ndarray, width: np.ndarray) -> np.ndarray:
     """Lanes whose first 16 bits are settled. Too narrow lanes are cut off so that they are, too."""
     settled = (low ^ (low + width)) < _TOP
-    narrow = np.flatnonzero((width < _BOTTOM) & ~settled)
-    if len(narrow):
+    narrow = (width < _BOTTOM) > settled
+    if narrow.any():
+        narrow = np.flatnonzero(narrow)
         width[narrow] = (_U(0) - low[narrow]) & (_BOTTOM - _U(1))
         settled[narrow] = True
     return np.flatnonzero(settled)
@@ -146,25 +194,37 @@ def _moves(low: np.ndarray, width: np.ndarray):
     """Shift out what is settled, lane by lane; yields the lanes and the 16 bits of each."""
     move = _unsettled(low, width)
     while len(move):
-        part_low, part_width = low[move], width[move]
+        part_low, part_width = low.take(move), width.take(move)
         yield move, part_low >> _HEAD
         part_low <<= _SHIFT
         part_width <<= _SHIFT
-        again = _unsettled(part_low, part_width)
+        # Wider lanes reach into other first 16 bits.
+        more = np.flatnonzero(part_width < _TOP)
+        if len(more):
+            more_width = part_width.take(more)
+            again = _unsettled(part_low.take(more), more_width)
+            part_width[more] = more_width
+            more = more.take(again)
         low[move], width[move] = part_low, part_width
-        move = move[again]
+        move = move.take(more)
 
 
-def encode(ids: np.ndarray, vocabulary: int) -> bytes:
-    lanes = _lanes(len(ids))
+def _rows(ids: np.ndarray, lanes: int) -> Iterator[np.ndarray]:
+    """The ids of each step; lanes that have ended go on with 0."""
     steps = -(-len(ids) // lanes)
-    padded = np.zeros(lanes * steps, np.int64)
+    padded = np.zeros(lanes * steps, np.uint32)
     padded[:len(ids)] = ids
-    rows = np.ascontiguousarray(padded.reshape(lanes, steps).T)
+    padded = padded.reshape(lanes, steps)
+    for at in range(0, steps, _STEPS):
+        yield from padded[:, at:at + _STEPS].T.astype(np.int64, order="C")
+
+
+def encode(ids: np.ndarray, vocabulary: int) -> bytes:
+    lanes = _lanes(len(ids))
     mixer = _Mixer(vocabulary, lanes)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     of, words = [], []
-    for row in rows:
+    for row in _rows(ids, lanes):
         mixer.predict()
         start, size = mixer.interval(row)
         unit = width // mixer.total
@@ -187,28 +247,34 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
 def decode(data: bytes) -> np.ndarray:
     n, lanes, vocabulary = struct.unpack_from("<III", data)
     lengths = np.frombuffer(data, "<u4", lanes, 12).astype(np.int64)
-    words = np.frombuffer(data, "<u2", offset=12 + 4 * lanes).astype(np.uint64)
-    words = np.append(words, np.zeros(4, np.uint64))
+    words = np.frombuffer(data, "<u2", offset=12 + 4 * lanes)
+    words = np.append(words, np.zeros(4, "<u2"))
     at = np.cumsum(lengths) - lengths
     code = np.zeros(lanes, np.uint64)
     for _ in range(4):
         code = (code << _SHIFT) | words[at]
         at += 1
-    mixer = _Mixer(vocabulary, lanes)
+    mixer = _Mixer(vocabulary, lanes, reading=True)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    found = np.empty((-(-n // lanes), lanes), np.int64)
-    for row in found:
+    steps = -(-n // lanes)
+    found, rows = np.empty((lanes, steps), np.uint32), np.empty((_STEPS, lanes), np.uint32)
+    for step in range(steps):
         mixer.predict()
         unit = width // mixer.total
-        row[:] = mixer.find(np.minimum((code - low) // unit, mixer.total - _U(1)))
-        start, size = mixer.interval(row)
+        ids = mixer.find(np.minimum((code - low) // unit, mixer.total - _U(1)))
+        rows[step % _STEPS] = ids
+        if step % _STEPS == _STEPS - 1 or step == steps - 1:
+            first = step // _STEPS * _STEPS
+            found[:, first:step + 1] = rows[:step + 1 - first].T
+        start, size = mixer.interval(ids)
         low += unit * start
         width = unit * size
         for move, _ in _moves(low, width):
-            code[move] = (code[move] << _SHIFT) | words[at[move]]
-            at[move] += 1
-        mixer.learn(row)
-    return found.T.ravel()[:n].astype(np.uint32)
+            place = at.take(move)
+            code[move] = (code.take(move) << _SHIFT) | words.take(place)
+            at[move] = place + 1
+        mixer.learn(ids)
+    return found.ravel()[:n]
 
 
 def pack_block(documents: list[tuple[int | None, np.ndarray]], vocabulary: int) -> bytes:

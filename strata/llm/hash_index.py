@@ -22,14 +22,18 @@ class HashIndex:
 
     def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
         """The entries, or -1."""
-        found = np.full(len(keys), -1, np.int32)
-        left, slot = np.arange(len(keys)), (keys & np.uint64(self.mask)).astype(np.int64)
+        slot = (keys & np.uint64(self.mask)).astype(np.int64)
+        entry = self.entry.take(slot)
+        same = (entry >= 0) & (self.keys.take(slot) == keys) & (self.checks.take(slot) == checks)
+        found = np.where(same, entry, np.int32(-1))
+        left = np.flatnonzero((entry >= 0) > same)
+        slot = (slot.take(left) + 1) & self.mask
         while len(left):
-            entry = self.entry[slot]
-            same = (entry >= 0) & (self.keys[slot] == keys[left]) & (self.checks[slot] == checks[left])
+            entry = self.entry.take(slot)
+            same = (entry >= 0) & (self.keys.take(slot) == keys.take(left)) & (self.checks.take(slot) == checks.take(left))
             found[left[same]] = entry[same]
-            on = np.flatnonzero(~same & (entry >= 0))
-            left, slot = left[on], (slot[on] + 1) & self.mask
+            on = np.flatnonzero((entry >= 0) > same)
+            left, slot = left.take(on), (slot.take(on) + 1) & self.mask
         return found
 
     def add(self, keys: np.ndarray, checks: np.ndarray) -> None:

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from strata.llm import batch_encoder, context_coder, pretokens
 from strata.llm import token_counts as token_counts_module
 from strata.llm.batch_encoder import BatchEncoder
+from strata.llm.hash_index import HashIndex
 from strata.llm.packing import packed
 from strata.llm.token_counts import token_counts
 from strata.llm.token_files import read_token_files, write_token_files
@@ -170,3 +171,42 @@ def test_weights_learn_from_every_step():
         mixer.predict()
         mixer.learn(np.arange(5) + step)
         assert mixer.hits.sum() - before == 5 * (step + 1)
+
+
+def test_coded_bytes_stay_the_same():
+    # Files written by earlier versions stay readable: rows, digest and size as those gave them.
+    ids = (np.arange(300_000, dtype=np.uint64) ** 2 % 50_021 % 3_001).astype(np.uint32)
+    coded = context_coder.encode(ids, 50_000)
+    assert (zlib.crc32(coded), len(coded)) == (3447325839, 164048)
+
+
+def test_writing_looks_up_each_id_once_and_builds_nothing_for_reading():
+    looked_up = []
+
+    class Spans(np.ndarray):
+        def take(self, at, **more):
+            looked_up.append(np.size(at))
+            return np.asarray(self).take(at, **more)
+
+    mixer = context_coder._Mixer(50, 5)
+    ids = np.arange(5)
+    mixer.predict()
+    assert not hasattr(mixer, "slots")
+    mixer.spans = mixer.spans.view(Spans)
+    start, size = mixer.interval(ids)
+    assert looked_up == [5]
+    mixer.learn(ids)
+    assert looked_up == [5] and (size > 0).all()
+    reader = context_coder._Mixer(50, 5, reading=True)
+    reader.predict()
+    assert (reader.find(start) == ids).all() and (reader.find(start + size - np.uint64(1)) == ids).all()
+
+
+def test_look_ups_of_keys_that_share_slots():
+    index = HashIndex(4)
+    keys, checks = np.array([3, 19, 35, 4, 15, 31], np.uint64), np.arange(6)
+    index.add(keys, checks)
+    assert (index.find(keys, checks) == np.arange(6)).all()
+    assert (index.find(keys[::-1], checks[::-1]) == np.arange(6)[::-1]).all()
+    assert (index.find(keys, checks + 1) == -1).all() and (index.find(keys + np.uint64(64), checks) == -1).all()
+    assert not len(index.find(keys[:0], checks[:0]))
