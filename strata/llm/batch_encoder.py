@@ -16,6 +16,7 @@ from itertools import chain
 import numpy as np
 
 from strata.llm import pretokens
+from strata.llm.common import worker_tables
 from strata.llm.hash_index import HashIndex, checks_of
 from strata.llm.shingles import hash_spans
 
@@ -183,7 +184,7 @@ class BatchEncoder:
         return (merge(signs[a:b]) for a, b in zip(starts.tolist(), ends.tolist()))
 
 
-_ENCODERS: dict[str, BatchEncoder] = {}
+_ENCODERS: dict[str, BatchEncoder] = worker_tables("batch_encoder")
 
 
 def batch_encoder(path: str) -> BatchEncoder:

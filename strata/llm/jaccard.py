@@ -81,7 +81,7 @@ def shingle_digests(documents: DataFrame, id_column: str, text_column: str, widt
 
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema[0].dataType.simpleString()
-    found = rows.mapInArrow(lean(digest), f"id {kind}, n long, s1 long, s2 long")
+    found = rows.mapInArrow(lean(digest, alone=True), f"id {kind}, n long, s1 long, s2 long")
     return found.select("id", "n", F.when(F.col("n") > 0, F.struct("s1", "s2")).alias("v"))
 
 
@@ -297,7 +297,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("v").alias("b"), side("r"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "l", "r")
     v = "struct<s1:bigint,s2:bigint>"
-    return written(both.mapInArrow(lean(_verifier(percent)), f"a {v}, b {v}"))
+    return written(both.mapInArrow(lean(_verifier(percent), alone=True), f"a {v}, b {v}"))
 
 
 def shared_sets(
@@ -307,7 +307,7 @@ def shared_sets(
     ranges = max(LEAST_RANGES, total // RANGE_SHINGLES)
     range_bits = min(64 - _LOW_BITS, (ranges - 1).bit_length())
     texts = documents.select(F.col(text_column).alias("text"))
-    packed = texts.mapInArrow(lean(_pack(width, range_bits)), _PACKED)
+    packed = texts.mapInArrow(lean(_pack(width, range_bits), alone=True), _PACKED)
     counted = packed.groupBy("key").applyInArrow(_count_range, _PACKED)
     found = counted.groupBy("batch").applyInArrow(_shared_sets(percent), _SHARED)
     found = found.select(F.struct("s1", "s2").alias("v"), "n", "n_prefix", "weight", "shingles", "parity")

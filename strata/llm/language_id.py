@@ -23,14 +23,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm import word_crf
-from strata.llm.common import lean
+from strata.llm.common import character_chunks, lean
 
 ROWS_PER_LANGUAGE = 400
 SPAN_CHARACTERS = 3_000
 MOST_LANGUAGES = 200
 FOLDS = 5
 UNKNOWN = "und"
-CHUNK_CHARACTERS = 1 << 20
+CHUNK_CHARACTERS = 1 << 19
 
 
 def is_held_out(of: Column) -> Column:
@@ -69,20 +69,6 @@ def fit(
     return word_crf.fit(spans)
 
 
-def _parts(texts: list) -> Iterator[list]:
-    """Runs of texts of bounded size together; a long text is one of its own."""
-    held, size = [], 0
-    for text in texts:
-        length = len(text or "")
-        if held and size + length > CHUNK_CHARACTERS:
-            yield held
-            held, size = [], 0
-        held.append(text)
-        size += length
-    if held:
-        yield held
-
-
 def identify(
     documents: DataFrame, model: word_crf.Model, *, id_column: str = "doc_id", text_column: str = "text",
     spans: bool = False,
@@ -98,8 +84,7 @@ def identify(
         known = shared.value
         names = known.languages
         for batch in batches:
-            at = 0
-            for part in _parts(batch.column(1).to_pylist()):
+            for at, part in character_chunks(batch.column(1), CHUNK_CHARACTERS):
                 found = known.label(word_crf.words_of(part))
                 shares = [x.mean(0) if len(x) else None for x in found]
                 best = [None if x is None else int(np.argmax(x)) for x in shares]
@@ -112,13 +97,12 @@ def identify(
                     columns.append(pa.array([_runs(x, names) for x in found], pa.list_(pa.struct(
                         [("lang", pa.string()), ("first", pa.int64()), ("n", pa.int64())]
                     ))))
-                at += len(part)
                 yield pa.RecordBatch.from_arrays(columns, ["id", "lang_pred", "score", "spans"][:len(columns)])
 
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema[0].dataType.simpleString()
     schema = f"id {kind}, lang_pred string, score double" + (f", spans {kind_of_spans}" if spans else "")
-    found = rows.mapInArrow(lean(predict), schema)
+    found = rows.mapInArrow(lean(predict, alone=True), schema)
     more = ["spans"] if spans else []
     return found.select(
         F.col("id").alias(id_column), is_held_out(F.col("id")).alias("held_out"), "lang_pred", "score", *more

@@ -15,6 +15,7 @@ rows and equal ids are packed each; an empty table gives no piece; other columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,12 @@ from pyspark.sql import functions as F
 
 from strata.llm import pretokens
 from strata.llm.batch_encoder import batch_encoder
-from strata.llm.common import lean, written
+from strata.llm.common import lean, text_chunks, written
 
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
 END_ID = 2
+ROWS_AT_ONCE = 1000
 
 
 def encoded(
@@ -41,18 +43,20 @@ def encoded(
         encoder, end = batch_encoder(path), np.array([end_id], np.uint32)
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            starts, counts, ids = [], [], []
-            for found in encoder.encode([x or "" for x in batch.column(1).to_pylist()]):
-                found = np.concatenate([found, end])
-                narrow = found.astype("<u2" if found.max() < 1 << 16 else "<u4")
-                starts.append(at)
-                counts.append(len(found))
-                ids.append(narrow.tobytes())
-                at += len(found)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([part] * batch.num_rows, pa.int32()), pa.array(starts, pa.int64()),
-                batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()),
-            ], ["part", "at", "id", "n", "ids"])
+            for begin, texts in text_chunks(batch.column(1)):
+                starts, counts, ids = [], [], []
+                for found in encoder.encode([x or "" for x in texts]):
+                    found = np.concatenate([found, end])
+                    narrow = found.astype("<u2" if found.max() < 1 << 16 else "<u4")
+                    starts.append(at)
+                    counts.append(len(found))
+                    ids.append(narrow.tobytes())
+                    at += len(found)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([part] * len(texts), pa.int32()), pa.array(starts, pa.int64()),
+                    batch.column(0).slice(begin, len(texts)), pa.array(counts, pa.int64()),
+                    pa.array(ids, pa.binary()),
+                ], ["part", "at", "id", "n", "ids"])
 
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     kind = rows.schema[0].dataType.simpleString()
@@ -68,6 +72,12 @@ def part_starts(totals: DataFrame) -> dict[int, int]:
     return starts
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows, which become Python's one after the other."""
+    for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+        yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def packed(
     documents: DataFrame,
     *,
@@ -89,7 +99,7 @@ def packed(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["row", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
-        for batch in batches:
+        for batch in chain.from_iterable(map(_slices, batches)):
             columns = [[] for _ in names]
             part, at, n, ids = (batch.column(x).to_pylist() for x in ("part", "at", "n", "ids"))
             for i in range(batch.num_rows):

@@ -15,6 +15,7 @@ from itertools import chain
 import numpy as np
 
 from strata.llm.batch_encoder import _Table
+from strata.llm.common import worker_tables
 from strata.llm.hash_index import checks_of
 from strata.llm.shingles import hash_spans
 
@@ -131,7 +132,7 @@ class PieceEncoder:
         return self._library(["\n"])[0][:1]
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[str, PieceEncoder] = worker_tables("piece_encoder")
 
 
 def piece_encoder(path: str) -> PieceEncoder:

@@ -12,6 +12,8 @@ import re
 
 import numpy as np
 
+from strata.llm.common import worker_tables
+
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[\t\n\x0b\x0c\r -~{_LETTERS}]*")
 _SUFFIX = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -93,7 +95,7 @@ class CachedIds(dict):
         return found
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = worker_tables("pretokens")
 
 
 def encoder(path: str) -> Encoder:

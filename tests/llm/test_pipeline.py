@@ -1,7 +1,9 @@
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from strata.llm.common import written
+from strata.llm import batch_encoder, packing, pretokens
+from strata.llm.common import character_chunks, lean, written
 from tests.llm.cases import AWKWARD, ascii_lower, documents
 from tests.llm.test_jaccard import brute_force, near_copies
 from tests.llm.test_language_id import corpus
@@ -73,3 +75,24 @@ def test_one_row_of_each_group_of_near_copies(spark):
     found = [(x.doc_id, (x.text or "")[:1]) for x in kept.collect()]
     want = [(None, "a"), (7, "b"), (3, "c"), (5, "d"), (5, "e"), (None, "f"), (1, ""), (1, ""), (None, ""), (None, "")]
     assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_a_stage_without_tokens_drops_the_tables_of_the_stage_before():
+    path = pretokens.public(packing.TOKENIZER)
+    encoder = batch_encoder.batch_encoder(path)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b"])], ["text"])
+    assert list(lean(lambda batches: batches)(iter([batch]))) == [batch]
+    assert batch_encoder.batch_encoder(path) is encoder
+    assert list(lean(lambda batches: batches, alone=True)(iter([batch]))) == [batch]
+    assert not batch_encoder._ENCODERS and not pretokens._ENCODERS
+
+
+def test_texts_become_python_ones_part_by_part():
+    texts = ["ab", None, "\u00e9" * 2, "", "x" * 9, "y"]
+    parts = list(character_chunks(pa.array(texts), 4))
+    assert parts == [(0, texts[:4]), (4, texts[4:5]), (5, texts[5:])]
+    assert not list(character_chunks(pa.array([], pa.string()), 4))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2 * packing.ROWS_AT_ONCE + 1))], ["row"])
+    slices = list(packing._slices(batch))
+    assert max(x.num_rows for x in slices) == packing.ROWS_AT_ONCE
+    assert [x for part in slices for x in part.column(0).to_pylist()] == batch.column(0).to_pylist()
