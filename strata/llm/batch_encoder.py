@@ -11,7 +11,6 @@ very long ones are encoded one by one.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 
@@ -29,6 +28,7 @@ _CLASS = np.full(256, _OTHER, np.uint8)
 _CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
 _CLASS[48:58] = _DIGIT
 _CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = _LETTER
+_CLASSES = _CLASS.tobytes()
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 # Byte-level vocabularies write each byte as a sign: printable ones as themselves, the others, in
@@ -108,33 +108,37 @@ class BatchEncoder:
                 found[i] = np.zeros(0, np.uint32)
             return
         entries = self._entries(data, starts, ends)
-        first = self.table.first.take(entries)
-        counts = self.table.first.take(entries + 1) - first
+        # All places are within the tables; wrapping spares the look-ups their checks.
+        first = self.table.first.take(entries, mode="wrap")
+        counts = self.table.first.take(entries + 1, mode="wrap")
+        counts -= first
         upto = np.concatenate(([0], np.cumsum(counts)))
-        place = np.repeat(first - upto[:-1], counts)
+        first -= upto[:-1]
+        place = np.repeat(first, counts)
         place += np.arange(upto[-1])
-        ids = self.table.ids.take(place)
+        ids = self.table.ids.take(place, mode="wrap")
         for (i, _), part in zip(held, np.split(ids, upto[np.searchsorted(starts, cuts[1:-1])])):
             found[i] = part
 
     def _pieces(self, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(data)
-        kind = _CLASS[data]
+        kind = np.frombuffer(data.tobytes().translate(_CLASSES), np.uint8)
         flag = np.ones(n + 1, bool)
-        flag[1:n] = kind[1:] != kind[:-1]
+        np.not_equal(kind[1:], kind[:-1], out=flag[1:n])
         flag[cuts] = True
-        text_end = np.zeros(n + 1, bool)
-        text_end[cuts] = True
-        runs = np.flatnonzero(flag)
-        begin, end = runs[:-1], runs[1:]
-        apostrophe = begin[(data[begin] == 39) & (end - begin == 1) & ~text_end[end]]
+        inside = np.ones(n + 1, bool)
+        inside[cuts] = False
+        # An apostrophe that is a run of its own and not the end of its text.
+        apostrophe = np.flatnonzero((data == 39) & flag[:-1] & flag[1:] & inside[1:])
         if self.encoder.byte_level:
             # The last blank before a run of other signs goes with it if it is a space; else it stands
             # alone. Blanks at the end of a text stay together.
-            spaces = end[(kind[begin] == _SPACE) & ~text_end[end]]
-            flag[spaces - 1] = True
-            joined = spaces[data[spaces - 1] == 32]
-            flag[joined] = False
+            last = kind == _SPACE
+            last &= flag[1:]
+            last &= inside[1:]
+            flag[:-1] |= last
+            last &= data == 32
+            flag[1:] &= ~last
             apostrophe = apostrophe[flag[apostrophe]]
         else:
             flag[:n][kind == _DIGIT] = True
@@ -142,7 +146,7 @@ class BatchEncoder:
         padded = np.append(data, np.zeros(2, np.uint8))
         one, two = padded[apostrophe + 1], padded[apostrophe + 2]
         pair = ((two == ord("e")) & np.isin(one, list(b"rv"))) | ((one == ord("l")) & (two == ord("l")))
-        pair &= ~text_end[np.minimum(apostrophe + 2, n)]
+        pair &= inside[np.minimum(apostrophe + 2, n)]
         single = np.isin(one, list(b"stmd"))
         cut = np.where(single, 1, np.where(pair, 2, 0))
         of, cut = apostrophe[cut > 0], cut[cut > 0]
@@ -174,9 +178,12 @@ class BatchEncoder:
         return entries
 
     def _learn(self, data, keys, checks, starts, ends) -> None:
-        made = [[x.id for x in found] for found in self.merged(data, starts, ends)]
-        counts = np.array([len(x) for x in made], np.int64)
-        self.table.add_ids(keys, checks, np.fromiter(chain.from_iterable(made), np.uint32), counts)
+        ids, counts = [], []
+        for found in self.merged(data, starts, ends):
+            counts.append(len(found))
+            for x in found:
+                ids.append(x.id)
+        self.table.add_ids(keys, checks, np.array(ids, np.uint32), np.array(counts, np.int64))
 
     def merged(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[list]:
         """The library's tokens of each pre-token."""

@@ -27,7 +27,7 @@ from strata.llm.packing import part_starts
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-BLOCK_IDS = 1 << 21
+BLOCK_IDS = 1 << 22
 
 _BLOCK = "part int, block int, at long, n_documents int, n long, data binary"
 

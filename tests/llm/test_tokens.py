@@ -202,6 +202,51 @@ def test_writing_looks_up_each_id_once_and_builds_nothing_for_reading():
     assert (reader.find(start) == ids).all() and (reader.find(start + size - np.uint64(1)) == ids).all()
 
 
+def test_ids_are_counted_and_searched_at_a_refresh_only():
+    mixer = context_coder._Mixer(50, 5)
+    known = []
+    for step in range(25):
+        mixer.predict()
+        known.append(mixer.known)
+        mixer.learn(np.arange(5) + 40 * (step >= 16))
+        assert mixer.seen.sum() == 5 * (step // 8 * 8 if step >= 8 else (0, 1, 2, 2, 4, 4, 4, 4)[step])
+    assert known[1].tolist() == [0, 1, 2, 3, 4] and known[16] is known[1]
+    assert known[24].tolist() == [0, 1, 2, 3, 4, 40, 41, 42, 43, 44]
+
+
+def test_larger_blocks_learn_in_more_steps():
+    sizes = [*range(0, 1 << 21, 999), 1 << 21, 2_700_000, 3_000_000, 1 << 22, 1 << 24]
+    lanes = [context_coder._lanes(n) for n in sizes]
+    # Up to 2**21 ids as earlier versions, with 512 steps in the largest; then never fewer.
+    assert lanes[:-4] == [max(1, min(4096, n // 256)) for n in sizes[:-4]]
+    assert all(n // x >= 640 for n, x in zip(sizes[-4:], lanes[-4:]))
+    assert lanes[-2:] == [6144, 6144]
+
+
+def test_coder_refuses_ids_beyond_the_vocabulary():
+    with pytest.raises(IndexError):
+        context_coder.encode(np.array([1, 50, 2]), 50)
+
+
+def test_reading_long_blocks_of_vocabularies_of_any_size():
+    rng = np.random.default_rng(3)
+    for vocabulary in (1, 2, 1 << 16, (1 << 16) + 1, 70_000):
+        ids = np.append(rng.zipf(1.2, 20_000) % vocabulary, np.full(700, vocabulary - 1))
+        assert (context_coder.decode(context_coder.encode(ids, vocabulary)) == ids).all()
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_pieces_of_a_chunk_are_those_of_the_pattern(name, monkeypatch):
+    # Classes come from a table of bytes at once, not by one look-up for each run of signs.
+    monkeypatch.setattr(batch_encoder, "_CLASS", None)
+    rng, encoder = random.Random(4), batched(name)
+    for _ in range(500):
+        texts = ["".join(rng.choice("abSsTtvVrReElLmd''  \n\t09.,éÉ") for _ in range(rng.randrange(12))) for _ in range(4)]
+        data, cuts, starts, ends = encoder.spans([(i, x.encode()) for i, x in enumerate(texts)])
+        found = [data[a:b].tobytes().decode() for a, b in zip(starts, ends)]
+        assert found == [x for text in texts for x in encoder.encoder.pieces(text)]
+
+
 def test_look_ups_of_keys_that_share_slots():
     index = HashIndex(4)
     keys, checks = np.array([3, 19, 35, 4, 15, 31], np.uint64), np.arange(6)
